@@ -62,6 +62,7 @@ def ingest(
     """
     if on_orphan not in ("fail", "quarantine"):
         raise ValueError(f"on_orphan is {on_orphan!r}")
+    store.refresh()
     enriched = enrich(
         parse_top_list(payloads),
         parse_app_details(detail_responses),

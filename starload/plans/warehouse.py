@@ -47,6 +47,7 @@ def create_warehouse(
     run_id: str = "create",
 ) -> list[Staged]:
     """Add the calendar days and the bookmark row that are missing."""
+    store.refresh()
     days = insert_if_absent(
         store.read("dim_date"), calendar(store.spark, start, end), ["full_date"]
     )
@@ -67,6 +68,7 @@ def load_dimensions(store: Store, run_id: str, load_ts: dt.datetime, mode: str)
     Names and bridges are always taken from all games. What is published already satisfies the
     constraints, so only the rows a run adds are checked.
     """
+    store.refresh()
     games, dim = store.read("games"), store.read("dim_games")
     since = last_update(dim) if mode == "incremental" else None
     staged = []
@@ -110,6 +112,7 @@ def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     The last day is read once, before the load, so snapshots that arrive meanwhile wait for the
     next run. Facts and bookmark are published together.
     """
+    store.refresh()
     marks = store.read("etl_bookmark")
     low = read_bookmark(marks)
     months = store.months("snapshots")
@@ -150,6 +153,7 @@ def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
 
 def load_warehouse(store: Store, run_id: str, load_ts: dt.datetime) -> str:
     """Dimensions first, then facts, each published on its own. Returns the load mode."""
+    store.refresh()
     mode = choose_load_mode(store.read(FACT), store.read("dim_games"))
     load_dimensions(store, f"{run_id}-dims", load_ts, mode)
     load_facts(store, f"{run_id}-facts", load_ts)

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starload.schemas import MONTHLY, SCHEMAS
 
@@ -29,47 +28,42 @@ class Staged:
 
 
 class Store:
+    """One view of the published tables: what was published when it was last refreshed."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.refresh()
 
     # Reading ------------------------------------------------------------------------------
 
-    def _log(self) -> DataFrame:
+    def refresh(self) -> None:
+        """See what other runs have published. The log grows with runs and months, not with rows."""
         try:
-            return self.spark.read.schema(PUBLISHED).parquet(f"{self.root}/_published")
+            log = self.spark.read.schema(PUBLISHED).parquet(f"{self.root}/_published")
+            self._log = log.orderBy("seq").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], PUBLISHED)
-
-    def _live(self, table: str):
-        """Folders that make up a table now: all since the last full write (of each month).
-
-        The log grows with runs and months, not with rows.
-        """
-        log = self._log().filter(F.col("table_name") == table)
-        rewritten = (
-            log.filter(~F.col("appended"))
-            .groupBy("ym")
-            .agg(F.max("seq").alias("since"))
-            .withColumnRenamed("ym", "rewritten_ym")
-        )
-        same_month = F.col("ym").eqNullSafe(F.col("rewritten_ym"))
-        live = log.join(rewritten, same_month, "left").filter(
-            F.col("since").isNull() | (F.col("seq") >= F.col("since"))
-        )
-        return live.select("path", "ym").orderBy("ym", "seq").collect()
+            self._log = []
+
+    def _live(self, table: str) -> dict[int | None, list[str]]:
+        """Folders that make up a table, per month: all since the month's last full write."""
+        live: dict[int | None, list[str]] = {}
+        for entry in self._log:
+            if entry.table_name == table:
+                before = live.get(entry.ym, []) if entry.appended else []
+                live[entry.ym] = [*before, entry.path]
+        return live
 
     def read(self, table: str, months: list[int] | None = None) -> DataFrame:
         """The published table, with its declared schema; empty when nothing is published."""
         live = self._live(table)
-        if months is not None:
-            live = [row for row in live if row.ym in months]
-        return self._load(table, [row.path for row in live])
+        chosen = live if months is None else [m for m in live if m in months]
+        return self._load(table, [path for month in chosen for path in live[month]])
 
     def months(self, table: str) -> list[int]:
-        return sorted({row.ym for row in self._live(table)})
+        return sorted(self._live(table))
 
     def read_staged(self, staged: Staged) -> DataFrame:
         return self._load(staged.table, [staged.path])
@@ -86,7 +80,7 @@ class Store:
         return based.parquet(*paths).drop("run")
 
     def is_published(self, run_id: str) -> bool:
-        return not self._log().filter(F.col("run_id") == run_id).isEmpty()
+        return any(entry.run_id == run_id for entry in self._log)
 
     # Writing ------------------------------------------------------------------------------
 
@@ -117,7 +111,8 @@ class Store:
 
     def publish(self, run_id: str, staged: list[Staged]) -> None:
         """Make every staged table visible at once."""
-        last = self._log().agg(F.max("seq")).first()[0] or 0
+        self.refresh()
+        last = max((entry.seq for entry in self._log), default=0)
         rows = []
         for item in staged:
             if item.table in MONTHLY:
@@ -130,3 +125,4 @@ class Store:
         if rows:
             entry = self.spark.createDataFrame(rows, PUBLISHED).coalesce(1)
             entry.write.mode("append").parquet(f"{self.root}/_published")
+            self.refresh()

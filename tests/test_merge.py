@@ -1,0 +1,186 @@
+import random
+
+import pytest
+from conftest import T1, T2, T3, rows_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from starload.operators.dedupe import last_wins
+from starload.operators.keys import assign_keys, highest_key
+from starload.operators.merge import (
+    advance_bookmark,
+    insert_if_absent,
+    keyed_names,
+    unseen_names,
+    upsert_current,
+    upsert_fact,
+    upsert_scd1,
+)
+from starload.schemas import GAME_ATTRIBUTES, GAME_COLUMNS
+
+BOTH = pytest.mark.parametrize("small", [False, True])
+FEW = settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+def batch_of(make, *rows):
+    return make("games", *rows).select("appid", *GAME_COLUMNS)
+
+
+@BOTH
+def test_upsert_current(make, small):
+    base = make(
+        "games",
+        {"appid": 1, "name": "a", "price_final": 100, "created_at": T1, "updated_at": T1},
+        {"appid": 2, "name": "b", "price_final": 5, "created_at": T1, "updated_at": T1},
+    )
+    batch = batch_of(make, {"appid": 1, "name": "a2"}, {"appid": 3, "name": "c"})
+    merged = upsert_current(base, batch, T2, small)
+    assert rows_of(merged, "appid", "name", "price_final", "created_at", "updated_at") == [
+        (1, "a2", None, T1, T2),
+        (2, "b", 5, T1, T1),
+        (3, "c", None, T2, T2),
+    ]
+
+
+@BOTH
+def test_upsert_current_empty_sides(make, small):
+    row = {"appid": 1, "name": "a", "created_at": T1, "updated_at": T1}
+    none, one = make("games"), make("games", row)
+    assert rows_of(upsert_current(none, batch_of(make, row), T1, small)) == rows_of(one)
+    assert rows_of(upsert_current(one, batch_of(make), T2, small)) == rows_of(one)
+
+
+games_strategy = st.dictionaries(
+    st.integers(1, 12), st.tuples(st.sampled_from(["x", "y", None]), st.none() | st.integers(0, 3))
+)
+
+
+@FEW
+@given(games_strategy, games_strategy)
+def test_upsert_current_against_a_dict(make, old, new):
+    def rows(d, **extra):
+        return [{"appid": k, "name": n, "price_final": p, **extra} for k, (n, p) in d.items()]
+
+    base = make("games", *rows(old, created_at=T1, updated_at=T1))
+    batch = batch_of(make, *rows(new))
+    expected = sorted(
+        (
+            (
+                k,
+                *(new.get(k) or old[k]),
+                T1 if k in old else T2,
+                T2 if k in new else T1,
+            )
+            for k in old.keys() | new.keys()
+        ),
+        key=lambda r: tuple(map(str, r)),
+    )
+    columns = ["appid", "name", "price_final", "created_at", "updated_at"]
+    for small in (False, True):
+        once = upsert_current(base, batch, T2, small)
+        assert rows_of(once, *columns) == expected
+        assert rows_of(upsert_current(once, batch, T2, small), *columns) == expected
+
+
+def source_of(make, *rows):
+    return make("dim_games", *rows).select("appid", *GAME_ATTRIBUTES)
+
+
+@BOTH
+def test_upsert_scd1(make, small):
+    dim = upsert_scd1(
+        make("dim_games"), source_of(make, *[{"appid": i, "name": f"g{i}"} for i in (10, 20, 30)]), T1, 0
+    )
+    before = {r.appid: r.game_key for r in dim.collect()}
+    assert sorted(before.values()) == [1, 2, 3]
+    source = source_of(make, {"appid": 20, "name": "new"}, {"appid": 40, "name": "g40"})
+    merged = upsert_scd1(dim, source, T2, highest_key(dim, "game_key"), small)
+    assert rows_of(merged, "appid", "game_key", "name", "created_at", "updated_at") == [
+        (10, before[10], "g10", T1, T1),
+        (20, before[20], "new", T1, T2),
+        (30, before[30], "g30", T1, T1),
+        (40, 4, "g40", T2, T2),
+    ]
+
+
+def test_assign_keys_do_not_depend_on_partitions(spark):
+    names = [(f"n{i}",) for i in range(3000)]
+    random.Random(3).shuffle(names)
+    df = spark.createDataFrame(names, "name string")
+    first = rows_of(assign_keys(df.repartition(3), "name", "k", 100))
+    second = rows_of(assign_keys(df.repartition(13).sortWithinPartitions("name"), "name", "k", 100))
+    assert first == second
+    assert sorted(k for _, k in first) == list(range(101, 3101))
+
+
+def test_assign_keys_few_buckets_and_none(spark):
+    df = spark.range(50).withColumnRenamed("id", "nk")
+    assert sorted(r.k for r in assign_keys(df, "nk", "k", buckets=3).collect()) == list(range(1, 51))
+    assert assign_keys(df.limit(0), "nk", "k").count() == 0
+
+
+def test_name_dimension_is_add_only(spark):
+    names = spark.createDataFrame([("A",), ("B",), ("A",)], "publisher_name string")
+    empty = spark.createDataFrame([], "publisher_key bigint, publisher_name string, created_at timestamp_ntz")
+    name, key = "publisher_name", "publisher_key"
+    dim = keyed_names(unseen_names(empty, names, name), name, key, T1)
+    more = spark.createDataFrame([("C",), ("B",)], "publisher_name string")
+    grown = dim.unionByName(
+        keyed_names(unseen_names(dim, more, name), name, key, T2, highest_key(dim, key))
+    )
+    keys = {r[name]: r[key] for r in grown.collect()}
+    assert keys == {r[name]: r[key] for r in dim.collect()} | {"C": 3}
+    assert rows_of(grown, name, "created_at") == [("A", T1), ("B", T1), ("C", T2)]
+
+
+def test_insert_if_absent(make):
+    base = make("etl_bookmark", {"table_name": "t", "updated_at": T1})
+    rows = make("etl_bookmark", {"table_name": "t", "updated_at": T2}, {"table_name": "u", "updated_at": T2})
+    assert rows_of(insert_if_absent(base, rows, ["table_name"]), "table_name", "updated_at") == [
+        ("t", T1),
+        ("u", T2),
+    ]
+
+
+def test_last_wins(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 1, None), (1, "b", 3, None), (1, "c", 2, 5), (2, "z", 1, 1)],
+        "k int, v string, pos int, w int",
+    )
+    assert rows_of(last_wins(df, ["k"], ["pos"])) == [(1, "b", 3, None), (2, "z", 1, 1)]
+
+
+def test_last_wins_hot_key(spark):
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("pos")
+    )
+    got = {r.k: r.pos for r in last_wins(df, ["k"], ["pos"]).collect()}
+    assert got[0] == 19998 and len(got) == 13334
+
+
+@BOTH
+def test_upsert_fact(make, small):
+    def fact(game, day, ccu, at=None):
+        return {"game_key": game, "date_key": day, "ccu": ccu, "created_at": at, "ym": day // 100}
+
+    old = make("fact_game_metrics", fact(1, 20240101, 5, T1), fact(2, 20240101, 6, T1))
+    delta = make("fact_game_metrics", fact(1, 20240101, None), fact(1, 20240102, 7)).drop("created_at")
+    merged = upsert_fact(old, delta, T2, small)
+    expected = [(1, 20240101, None, T1), (1, 20240102, 7, T2), (2, 20240101, 6, T1)]
+    columns = ["game_key", "date_key", "ccu", "created_at"]
+    assert rows_of(merged, *columns) == expected
+    assert rows_of(upsert_fact(merged, delta, T3, small), *columns) == expected
+
+
+def test_advance_bookmark_updates_only(make):
+    import datetime as dt
+
+    day = dt.date(2024, 1, 5)
+    marks = make("etl_bookmark", {"table_name": "t", "last_loaded_date": dt.date(1900, 1, 1)})
+    assert rows_of(advance_bookmark(marks, "t", day, T2), "last_loaded_date") == [(day,)]
+    assert rows_of(advance_bookmark(marks, "u", day, T2)) == rows_of(marks)
+    assert rows_of(advance_bookmark(marks, "t", None, T2)) == rows_of(marks)
+    assert advance_bookmark(marks.limit(0), "t", day, T2).isEmpty()

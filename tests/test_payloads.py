@@ -1,0 +1,222 @@
+import json
+
+import pytest
+from conftest import rows_of
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from starload.functions.jsontext import clean_names
+from starload.operators.enrich import enrich, has_store_data, kept, rejected
+from starload.sources.payloads import (
+    parse_app_details,
+    parse_player_count,
+    parse_top_list,
+    read_payloads,
+    read_response_lines,
+    read_responses,
+)
+
+FAILURES = (PySparkException, Py4JJavaError)
+
+
+def top(spark, *bodies):
+    rows = [(f"p{i}", b if isinstance(b, str) else json.dumps(b)) for i, b in enumerate(bodies)]
+    return spark.createDataFrame(rows, "payload_id string, body string")
+
+
+def responses(spark, **bodies):
+    rows = [(int(k[1:]), b if isinstance(b, str) else json.dumps(b)) for k, b in bodies.items()]
+    return spark.createDataFrame(rows, "appid int, body string")
+
+
+def one_detail(spark, body):
+    return parse_app_details(responses(spark, a7=body)).first()
+
+
+FULL = {"name": "A", "score": 1, "userscore": 2, "owners": "o", "average_forever": 3,
+        "median_forever": 4, "ccu": 5}
+
+
+def test_top_list_keys(spark):
+    parsed = parse_top_list(top(spark, {"7": FULL, "x1": 5, "007": FULL, "1x": FULL, "": FULL, "12\n": FULL}))
+    assert rows_of(parsed, "pos", "appid") == [(0, 7), (2, 7)]
+
+
+def test_top_list_missing_is_default_and_null_is_null(spark):
+    parsed = parse_top_list(top(spark, {"1": {}, "2": dict.fromkeys(FULL), "3": FULL}))
+    columns = [c for c in parsed.columns if c not in ("payload_id", "pos")]
+    assert rows_of(parsed, *columns) == [
+        (1, "", 0, 0, "", 0, 0, 0),
+        (2, *[None] * 7),
+        (3, "A", 1, 2, "o", 3, 4, 5),
+    ]
+
+
+def test_top_list_numbers(spark):
+    parsed = parse_top_list(top(spark, {"1": {"score": 2.5, "userscore": "8", "ccu": -2.5}}))
+    assert rows_of(parsed, "score", "userscore", "ccu") == [(3, 8, -3)]
+
+
+@pytest.mark.parametrize(
+    "body",
+    ["[]", "null", "5", "", '{"1":', '{"1": null}', '{"1": 5}', '{"1": {"score": "abc"}}',
+     '{"1": {"ccu": 3000000000}}', '{"3000000000": {}}'],
+)
+def test_top_list_malformed_ends_the_job(spark, body):
+    with pytest.raises(FAILURES):
+        parse_top_list(top(spark, body)).collect()
+
+
+def test_top_list_repeated_key_last_wins(spark):
+    body = '{"1": {"name": "a"}, "2": {"name": "b", "name": "c"}, "1": {"name": "d"}}'
+    assert rows_of(parse_top_list(top(spark, body)), "appid", "name") == [(1, "d"), (2, "c")]
+
+
+def test_details_full(spark):
+    data = {
+        "name": "N",
+        "price_overview": {"initial": 100, "final": 50, "discount_percent": 50, "currency": "EUR"},
+        "release_date": {"date": "1 Jan, 2020"},
+        "short_description": 'say "é"',
+        "developers": ["D", "é"],
+        "publishers": [],
+        "categories": [{"description": "c1"}, {"id": 3}],
+        "genres": [{"description": "g1"}],
+    }
+    row = one_detail(spark, {"7": {"success": True, "data": data}})
+    assert (row.outcome, row.reject_reason, row.has_name, row.detail_name) == ("detail", None, True, "N")
+    assert (row.price_initial, row.price_final, row.price_discount_percent) == (100, 50, 50)
+    assert (row.price_currency, row.release_date) == ("EUR", "1 Jan, 2020")
+    assert row.short_description == 'say "é"'
+    assert json.loads(row.developers) == ["D", "é"]
+    assert row.publishers == "[]"
+    assert json.loads(row.categories) == ["c1", None]
+    assert json.loads(row.genres) == ["g1"]
+
+
+def test_details_all_missing(spark):
+    row = one_detail(spark, {"7": {"success": True, "data": {}}})
+    assert (row.outcome, row.has_name, row.price_final, row.release_date) == ("detail", False, None, None)
+    assert [row.developers, row.publishers, row.categories, row.genres] == ["[]"] * 4
+
+
+def test_details_null_fields(spark):
+    row = one_detail(spark, {"7": {"success": 1, "data": {"name": None, "publishers": None}}})
+    assert (row.outcome, row.has_name, row.detail_name, row.publishers) == ("detail", True, None, "null")
+
+
+@pytest.mark.parametrize(
+    "body",
+    [{}, {"8": {"success": True, "data": {}}}, {"7": {}}, {"7": {"success": False, "data": {}}},
+     {"7": {"success": True}}, {"7": {"success": 0, "data": {}}}, {"7": {"success": None, "data": 1}},
+     {"7": {"success": "", "data": {}}}],
+)
+def test_details_fallback(spark, body):
+    row = one_detail(spark, body)
+    assert (row.outcome, row.reject_reason, row.publishers) == ("fallback", None, None)
+
+
+@pytest.mark.parametrize(
+    "body, reason",
+    [
+        ("oops", "body_not_object"),
+        ("", "body_not_object"),
+        ("null", "body_not_object"),
+        ("[1]", "body_not_object"),
+        ('{"7": {}} tail', "body_not_object"),
+        ({"7": None}, "entry_not_object"),
+        ({"7": []}, "entry_not_object"),
+        ({"7": {"success": True, "data": None}}, "data_not_object"),
+        ({"7": {"success": True, "data": []}}, "data_not_object"),
+        ({"7": {"success": True, "data": {"price_overview": None}}}, "price_not_object"),
+        ({"7": {"success": True, "data": {"release_date": []}}}, "release_not_object"),
+        ({"7": {"success": True, "data": {"categories": None}}}, "categories_not_objects"),
+        ({"7": {"success": True, "data": {"categories": [None]}}}, "categories_not_objects"),
+        ({"7": {"success": True, "data": {"genres": ["g"]}}}, "genres_not_objects"),
+        ({"7": {"success": True, "data": {"genres": {"a": 1}}}}, "genres_not_objects"),
+    ],
+)
+def test_details_reject(spark, body, reason):
+    row = one_detail(spark, body)
+    assert (row.outcome, row.reject_reason, row.has_name) == ("reject", reason, False)
+
+
+def test_details_empty_non_lists_count_as_empty(spark):
+    row = one_detail(spark, {"7": {"success": True, "data": {"genres": {}, "categories": ""}}})
+    assert (row.outcome, row.genres, row.categories) == ("detail", "[]", "[]")
+
+
+@pytest.mark.parametrize(
+    "body, ccu",
+    [
+        ({"response": {"result": 1, "player_count": 9}}, 9),
+        ({"response": {"result": True, "player_count": 9}}, 9),
+        ({"response": {"result": 1.0, "player_count": 9}}, 9),
+        ({"response": {"result": "1", "player_count": 9}}, 0),
+        ({"response": {"result": 42, "player_count": 9}}, 0),
+        ({"response": {"result": 1}}, 0),
+        ({"response": {"result": 1, "player_count": None}}, None),
+        ({"response": None}, 0),
+        ({}, 0),
+        ("{", 0),
+        ("[]", 0),
+    ],
+)
+def test_player_count(spark, body, ccu):
+    assert parse_player_count(responses(spark, a7=body)).first().ccu == ccu
+
+
+def test_enrich_outcomes(spark):
+    listed = {str(i): dict(FULL, name=f"list{i}") for i in range(1, 6)}
+    usable = {"success": True, "data": {"name": "detail", "short_description": "s"}}
+    details = responses(
+        spark,
+        a1={"1": usable},
+        a2={"2": {"success": False}},
+        a3="<html>",
+        a5={"5": {"success": True, "data": {"developers": ["D"]}}},
+    )
+    counts = responses(spark, a1={"response": {"result": 1, "player_count": 11}})
+    out = enrich(
+        parse_top_list(top(spark, listed)), parse_app_details(details), parse_player_count(counts)
+    )
+    assert rows_of(kept(out), "appid", "name", "ccu", "short_description", "developers") == [
+        (1, "detail", 11, "s", "[]"),
+        (2, "list2", 0, None, None),
+        (5, "list5", 0, None, '["D"]'),
+    ]
+    assert rows_of(rejected(out)) == [
+        (3, "list3", "body_not_object"),
+        (4, "list4", "request_failed"),
+    ]
+    assert rows_of(kept(out).filter(has_store_data()), "appid") == [(1,)]
+
+
+def lists(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "t string").select(clean_names(F.col("t")))
+
+
+def test_clean_names(spark):
+    got = lists(spark, '["A"," A ","",null,"  "]', '["\\tA", 1, true, {"x":1}]', "[]", None).collect()
+    assert [r[0] for r in got] == [["A"], ["\tA", "1", "true", '{"x":1}'], [], None]
+
+
+@pytest.mark.parametrize("text", ["[bad", "null", "5", '{"a":1}', "", "['a']", '["a"] x', '"[]"'])
+def test_clean_names_malformed_ends_the_job(spark, text):
+    with pytest.raises(FAILURES):
+        lists(spark, text).collect()
+
+
+def test_readers(spark, tmp_path):
+    (tmp_path / "top").mkdir()
+    (tmp_path / "top" / "list.json").write_text('{"1":\n {"name": "é"}}')
+    assert rows_of(parse_top_list(read_payloads(spark, str(tmp_path / "top"))), "appid", "name") == [(1, "é")]
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "12.json").write_text('{"a":\n1}')
+    (tmp_path / "one" / "notes.json").write_text("{}")
+    assert rows_of(read_responses(spark, str(tmp_path / "one"))) == [(12, '{"a":\n1}')]
+    (tmp_path / "many").mkdir()
+    line = json.dumps({"appid": 3, "body": '{"a":"\n"}'})
+    (tmp_path / "many" / "part.jsonl").write_text(line + "\n")
+    assert rows_of(read_response_lines(spark, str(tmp_path / "many"))) == [(3, '{"a":"\n"}')]
