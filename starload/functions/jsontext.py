@@ -35,6 +35,15 @@ def field(obj: Column, name: str | Column) -> Column:
     return F.try_element_at(obj, key)
 
 
+def once(*columns: Column) -> Column:
+    """The columns of a parsed row, computed once.
+
+    Without this, a later filter on a parsed column would be pushed below the parsing, and every
+    mention of the column in it would parse the text again.
+    """
+    return F.inline(F.array(F.struct(*columns)))
+
+
 def text(value: Column) -> Column:
     return F.variant_get(value, "$", "string")
 

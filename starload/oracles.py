@@ -142,9 +142,10 @@ ORACLES = {
       CASE WHEN second_gate THEN '2024-05-02 09' ELSE '2024-05-01 06' END AS updated
     FROM ingested WHERE first_gate""",
     "c6_ingest_snapshots": ON_PARSED
-    + """SELECT appid, name, CAST(run AS DATE) AS recorded_date, ccu, score, userscore, owners, average_playtime,
-      median_playtime, strftime(run, '%Y-%m-%d') || ' 06' AS created
-    FROM ingested CROSS JOIN (VALUES (DATE '2024-05-01'), (DATE '2024-05-02')) runs(run) WHERE first_gate""",
+    + """SELECT appid, name, recorded_date, ccu, score, userscore, owners, average_playtime, median_playtime,
+      strftime(recorded_date, '%Y-%m-%d') || ' 06' AS created
+    FROM (SELECT *, DATE '2024-05-01' AS recorded_date FROM ingested WHERE first_gate
+      UNION ALL SELECT *, DATE '2024-05-02' FROM ingested WHERE first_gate) s""",
     "s5_calendar": _with(CALENDAR)
     + """SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_key, d AS full_date,
       CAST(dayofweek(d) AS INT) AS day_of_week, rpad(dayname(d), 9, ' ') AS day_name,
@@ -234,7 +235,7 @@ ORACLES = {
       UNION ALL SELECT 'price_currency', count(*) FILTER (length(price_currency) > 10), CAST(max(length(price_currency)) AS INT) FROM raw
     ) v WHERE n > 0""",
     "q4_range": """SELECT * FROM (
-      SELECT 'order_micros' AS "column", count(*) FILTER (l_orderkey*1000000 NOT BETWEEN -2147483648 AND 2147483647) AS n FROM lineitem
+      SELECT 'order_parts' AS "column", count(*) FILTER (l_orderkey*10000000 NOT BETWEEN -2147483648 AND 2147483647) AS n FROM lineitem
       UNION ALL SELECT 'l_partkey', count(*) FILTER (l_partkey NOT BETWEEN -2147483648 AND 2147483647) FROM lineitem
       UNION ALL SELECT 'l_linenumber', count(*) FILTER (l_linenumber NOT BETWEEN -2147483648 AND 2147483647) FROM lineitem
     ) v WHERE n > 0""",

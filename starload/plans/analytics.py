@@ -61,13 +61,18 @@ def game_series(
 def top_games(fact: DataFrame, dim_games: DataFrame, day: dt.date, n: int = 10) -> DataFrame:
     """The n games with the highest count on a day: game_key, appid, name, ccu.
 
-    A NULL count ranks first; equal counts go by appid.
+    A NULL count ranks first; equal counts go by appid. The n-th highest count is found first, from
+    n rows per task, so only games that reach it (ties included) are joined with the dimension.
     """
-    on_day = between(fact, day, day).select("game_key", "ccu")
+    rank = F.coalesce(F.col("ccu").cast("bigint"), F.lit(2**31))
+    on_day = between(fact, day, day).select("game_key", "ccu", rank.alias("rank"))
+    least = on_day.orderBy(F.col("rank").desc()).limit(n).agg(F.min("rank"))
+    contenders = on_day.filter(F.col("rank") >= least.scalar())
     return (
-        on_day.join(dim_games.select("game_key", "appid", "name"), "game_key")
-        .orderBy(F.col("ccu").desc_nulls_first(), F.col("appid"))
+        contenders.join(dim_games.select("game_key", "appid", "name"), "game_key")
+        .orderBy(F.col("rank").desc(), F.col("appid"))
         .limit(n)
+        .drop("rank")
     )
 
 

@@ -498,9 +498,9 @@ def q4_length(spark, folder):
 
 def q4_range(spark, folder):
     wide = standin.table(spark, folder, "lineitem").select(
-        (F.col("l_orderkey") * 1_000_000).alias("order_micros"), "l_partkey", "l_linenumber"
+        (F.col("l_orderkey") * 10_000_000).alias("order_parts"), "l_partkey", "l_linenumber"
     )
-    return checks.range_violations(wide, ["order_micros", "l_partkey", "l_linenumber"])
+    return checks.range_violations(wide, ["order_parts", "l_partkey", "l_linenumber"])
 
 
 def q6_cascade(spark, folder):

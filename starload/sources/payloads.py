@@ -64,10 +64,7 @@ def parse_top_list(payloads: DataFrame) -> DataFrame:
         js.object_or_fail(F.col("entry")).alias("info"),
     )
     info, zero, empty = F.col("info"), F.lit(0), F.lit("")
-    return infos.select(
-        "payload_id",
-        "pos",
-        "appid",
+    parsed = js.once(
         js.with_default(info, "name", empty, js.text).alias("name"),
         js.with_default(info, "score", zero, js.whole_number).alias("score"),
         js.with_default(info, "userscore", zero, js.whole_number).alias("userscore"),
@@ -76,6 +73,7 @@ def parse_top_list(payloads: DataFrame) -> DataFrame:
         js.with_default(info, "median_forever", zero, js.whole_number).alias("median_playtime"),
         js.with_default(info, "ccu", zero, js.whole_number).alias("ccu"),
     )
+    return infos.select("payload_id", "pos", "appid", parsed)
 
 
 def _is_object_or_missing(obj: Column, name: str, inner: Column) -> Column:
@@ -166,13 +164,13 @@ def parse_app_details(responses: DataFrame) -> DataFrame:
         "categories": _descriptions(d, "categories", categories),
         "genres": _descriptions(d, "genres", genres),
     }
-    return judged.select(
-        "appid",
-        "outcome",
-        "reject_reason",
+    parsed = js.once(
+        F.col("outcome"),
+        F.col("reject_reason"),
         (usable & js.has(d, "name")).alias("has_name"),
         *[F.when(usable, column).alias(name) for name, column in details.items()],
     )
+    return judged.select("appid", parsed)
 
 
 def _objects(value: Column) -> Column:
@@ -189,4 +187,4 @@ def parse_player_count(responses: DataFrame) -> DataFrame:
     )
     good = js.is_one(js.field(F.col("answer"), "result"))
     count = js.with_default(F.col("answer"), "player_count", F.lit(0), js.whole_number)
-    return answer.select("appid", F.when(good, count).otherwise(F.lit(0)).alias("ccu"))
+    return answer.select("appid", js.once(F.when(good, count).otherwise(F.lit(0)).alias("ccu")))

@@ -65,6 +65,15 @@ class Store:
     def months(self, table: str) -> list[int]:
         return sorted(self._live(table))
 
+    def register_views(self, prefix: str = "") -> None:
+        """Every table as a temporary view of its name, for SQL. Call again to see later runs.
+
+        Facts are stored by month: join `dim_date` on `date_key` and `ym` to read only the months
+        a date filter asks for.
+        """
+        for table in SCHEMAS:
+            self.read(table).createOrReplaceTempView(f"{prefix}{table}")
+
     def read_staged(self, staged: Staged) -> DataFrame:
         return self._load(staged.table, [staged.path])
 
