@@ -12,9 +12,9 @@ from starload.operators import checks
 from starload.operators.dedupe import last_wins
 from starload.operators.enrich import enrich, has_store_data, kept, rejected
 from starload.operators.merge import SMALL_BATCH_ROWS, timestamp, upsert_current
-from starload.schemas import GAME_COLUMNS, MAX_LENGTHS, SCHEMAS
+from starload.schemas import GAME_COLUMNS, MAX_LENGTHS
 from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list
-from starload.sources.store import Staged, Store
+from starload.sources.store import Staged, Store, empty_table
 
 
 class EmptyBatch(ValueError):
@@ -108,7 +108,7 @@ def ingest(
             checks.length_violations(snapshots, MAX_LENGTHS["snapshots"]),
             "snapshots: text too long",
         )
-        snapshots = snapshots.select(*store.spark.createDataFrame([], SCHEMAS["snapshots"]).columns)
+        snapshots = snapshots.select(*empty_table(store.spark, "snapshots").columns)
         staged.append(store.stage(run_id, "snapshots", snapshots, appended=True))
 
     bad = bad.withColumn("run_date", F.lit(run_date))

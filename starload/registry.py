@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.functions.dates import date_key, year_month
+from starload.functions.dates import date_key
 from starload.operators import checks
 from starload.operators.bookmark import (
     changed_since,
@@ -45,12 +45,12 @@ from starload.operators.names import bridge, list_names
 from starload.plans import analytics, trends
 from starload.plans.ingest import ingest
 from starload.plans.warehouse import create_warehouse, load_dimensions, load_warehouse
-from starload.schemas import FACT, GAME_ATTRIBUTES, METRICS, SCHEMAS
+from starload.schemas import FACT, GAME_ATTRIBUTES, METRICS
 from starload.session import scratch_root, settle
 from starload.sources import standin
 from starload.sources.calendar import calendar, calendar_covering
 from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list
-from starload.sources.store import Store
+from starload.sources.store import Store, empty_table
 
 DAY_ONE = dt.datetime(2024, 1, 15)
 DAY_TWO = dt.datetime(2024, 3, 1)
@@ -58,10 +58,6 @@ AS_OF = dt.date(2024, 1, 30)
 SPLIT = dt.date(1998, 12, 31)
 
 
-def _empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], SCHEMAS[table])
-
-
 @dataclass
 class Star:
     games: DataFrame
@@ -72,7 +68,7 @@ class Star:
 
 def _dim_games(spark: SparkSession, games: DataFrame) -> DataFrame:
     source = games.select("appid", *GAME_ATTRIBUTES)
-    return upsert_scd1(_empty(spark, "dim_games"), source, DAY_ONE, start=0)
+    return upsert_scd1(empty_table(spark, "dim_games"), source, DAY_ONE, start=0)
 
 
 def _shipments(spark: SparkSession, folder: str) -> Star:
@@ -93,7 +89,7 @@ def _activity(spark: SparkSession, folder: str) -> Star:
 
 
 def _names(spark: SparkSession, games: DataFrame, column: str, table: str, name: str, key: str):
-    unseen = unseen_names(_empty(spark, table), list_names(games, column, name), name)
+    unseen = unseen_names(empty_table(spark, table), list_names(games, column, name), name)
     return keyed_names(unseen, name, key, DAY_ONE)
 
 
@@ -352,9 +348,9 @@ def c5_fact_two_batches(spark, folder):
     late = early & (F.col("userscore") == 7)
     store = Store(spark, scratch_root(spark))
     create_warehouse(store, DAY_ONE, dt.date(1995, 1, 1), dt.date(2001, 12, 31))
-    columns = _empty(spark, "snapshots").columns
+    columns = empty_table(spark, "snapshots").columns
     games = standin.games(standin.table(spark, folder, "part"))
-    games = games.select(*_empty(spark, "games").columns)
+    games = games.select(*empty_table(spark, "games").columns)
     first = [
         store.stage("raw-1", "games", games),
         store.stage("raw-1", "snapshots", snapshots.filter(early & ~late).select(*columns), True),
@@ -444,7 +440,7 @@ def c2_changed_since(spark, folder):
 def c4_load_dimensions(spark, folder):
     """Initial load of early games, then an incremental load of all: rows per published table."""
     games = standin.games(standin.table(spark, folder, "part"))
-    games = games.select(*_empty(spark, "games").columns)
+    games = games.select(*empty_table(spark, "games").columns)
     store = Store(spark, scratch_root(spark))
     early = games.filter(F.col("updated_at") <= timestamp(DAY_ONE))
     store.publish("raw-1", [store.stage("raw-1", "games", early)])

@@ -12,12 +12,18 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starload.schemas import MONTHLY, SCHEMAS
 
 PUBLISHED = "seq bigint, run_id string, table_name string, path string, ym int, appended boolean"
 
 
+def empty_table(spark: SparkSession, table: str) -> DataFrame:
+    """No rows, and known to be so when planning: joins and unions with it cost nothing."""
+    return spark.createDataFrame([], SCHEMAS[table]).filter(F.lit(False))
+
+
 @dataclass(frozen=True)
 class Staged:
     """One table written by a run, not visible yet."""
@@ -78,10 +84,9 @@ class Store:
         return self._load(staged.table, [staged.path])
 
     def _load(self, table: str, paths: list[str]) -> DataFrame:
-        schema = SCHEMAS[table]
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema)
+            return empty_table(self.spark, table)
+        reader = self.spark.read.schema(SCHEMAS[table])
         if table not in MONTHLY:
             return reader.parquet(*paths)
         # The month comes from the folder name; folders of several runs are one scan.

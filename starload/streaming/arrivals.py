@@ -16,8 +16,7 @@ from starload.operators import checks
 from starload.operators.facts import guard_days, with_month
 from starload.operators.merge import timestamp
 from starload.plans.warehouse import load_facts
-from starload.schemas import SCHEMAS
-from starload.sources.store import Store
+from starload.sources.store import Store, empty_table
 
 ARRIVING = """appid int, name string, score int, userscore int, owners string,
     average_playtime int, median_playtime int, ccu int, recorded_date date"""
@@ -37,7 +36,7 @@ def store_arrivals(store: Store, batch: DataFrame, run_id: str, load_ts: dt.date
         "snapshots: more than one row for a game and day",
     )
     fresh = fresh.withColumn("created_at", timestamp(load_ts))
-    columns = [F.col(c) for c in store.spark.createDataFrame([], SCHEMAS["snapshots"]).columns]
+    columns = [F.col(c) for c in empty_table(store.spark, "snapshots").columns]
     store.publish(run_id, [store.stage(run_id, "snapshots", fresh.select(*columns), appended=True)])
 
 
