@@ -93,10 +93,16 @@ def ingest(
     if not day_is_stored(store, run_date):
         snapshots = snapshot_rows(good, run_date, load_ts)
         if on_orphan == "quarantine":
-            lost = snapshots.join(games.select("appid"), "appid", "left_anti")
-            bad = bad.unionByName(lost.select("appid", "name", F.lit("no_game").alias("reject_reason")))
-            snapshots = snapshots.join(games.select("appid"), "appid", "left_semi")
-        else:
+            known = games.select("appid")
+            lost = snapshots.join(known, "appid", "left_anti")
+            bad = bad.unionByName(
+                lost.select("appid", "name", F.lit("no_game").alias("reject_reason"))
+            )
+            snapshots = snapshots.join(known, "appid", "left_semi")
+        snapshots = snapshots.select(*empty_table(store.spark, "snapshots").columns)
+        staged.append(store.stage(run_id, "snapshots", snapshots, appended=True))
+        snapshots = store.read_staged(staged[-1])
+        if on_orphan == "fail":
             checks.require_none(
                 checks.reference_violations(snapshots, games, "appid"), "snapshots without a game"
             )
@@ -108,11 +114,8 @@ def ingest(
             checks.length_violations(snapshots, MAX_LENGTHS["snapshots"]),
             "snapshots: text too long",
         )
-        snapshots = snapshots.select(*empty_table(store.spark, "snapshots").columns)
-        staged.append(store.stage(run_id, "snapshots", snapshots, appended=True))
 
     bad = bad.withColumn("run_date", F.lit(run_date))
-    if not bad.isEmpty():
-        staged.append(store.stage(run_id, "rejects", bad, appended=True))
+    staged.append(store.stage(run_id, "rejects", bad, appended=True))
     store.publish(run_id, staged)
     return staged

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators import checks
@@ -89,23 +91,46 @@ def load_dimensions(store: Store, run_id: str, load_ts: dt.datetime, mode: str)
             staged.append(store.stage(run_id, "dim_games", merged))
             dim = store.read_staged(staged[-1])
 
-    for column, table, name, key, bridge_table in NAME_DIMENSIONS:
-        known = store.read(table)
-        unseen = unseen_names(known, list_names(games, column, name), name)
-        unseen = store.work(run_id, table, unseen)
-        if not unseen.isEmpty():
-            checks.require_none(
-                checks.length_violations(unseen, MAX_LENGTHS[table]), f"{table}: text too long"
-            )
-            fresh = keyed_names(unseen, name, key, load_ts, highest_key(known, key))
-            staged.append(store.stage(run_id, table, fresh, appended=True))
-            known = known.unionByName(store.read_staged(staged[-1]))
-        pairs = bridge(games, dim, known, column, name, key)
-        staged.append(store.stage(run_id, bridge_table, pairs))
+    def names(spec: tuple[str, str, str, str, str]) -> list[Staged]:
+        return _load_names(store, run_id, load_ts, games, dim, *spec)
+
+    # Independent jobs: on a cluster they share the executors instead of waiting for each other.
+    with ThreadPoolExecutor(len(NAME_DIMENSIONS)) as pool:
+        for tables in pool.map(names, NAME_DIMENSIONS):
+            staged += tables
     store.publish(run_id, staged)
     return staged
 
 
+def _load_names(
+    store: Store,
+    run_id: str,
+    load_ts: dt.datetime,
+    games: DataFrame,
+    dim_games: DataFrame,
+    column: str,
+    table: str,
+    name: str,
+    key: str,
+    bridge_table: str,
+) -> list[Staged]:
+    """Add the names a list column brings, and rebuild its bridge."""
+    staged = []
+    known = store.read(table)
+    unseen = unseen_names(known, list_names(games, column, name), name)
+    unseen = store.work(run_id, table, unseen)
+    if not unseen.isEmpty():
+        checks.require_none(
+            checks.length_violations(unseen, MAX_LENGTHS[table]), f"{table}: text too long"
+        )
+        fresh = keyed_names(unseen, name, key, load_ts, highest_key(known, key))
+        staged.append(store.stage(run_id, table, fresh, appended=True))
+        known = known.unionByName(store.read_staged(staged[-1]))
+    pairs = bridge(games, dim_games, known, column, name, key)
+    staged.append(store.stage(run_id, bridge_table, pairs))
+    return staged
+
+
 def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     """Load snapshots past the bookmark, then move it to the last snapshot day.
 
