@@ -11,6 +11,16 @@ from starload.functions.dates import date_key, year_month
 from starload.schemas import METRICS
 
 
+def one_per_day(days: DataFrame) -> DataFrame:
+    """Mark a side with one row per calendar day for broadcast.
+
+    The DATE range holds under 3.7 million days (years 1 to 9999), so a few dozen megabytes is the
+    most it can reach, however large the tables are. A shuffle on the day would be worse than slow:
+    few distinct values, and one may hold a third of the rows.
+    """
+    return F.broadcast(days)
+
+
 def past_bookmark(
     snapshots: DataFrame, low: dt.date, high: dt.date | None = None
 ) -> DataFrame:
@@ -32,11 +42,10 @@ def past_bookmark(
 def fact_delta(snapshots: DataFrame, dim_games: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Snapshots with both keys found; a row without its game or its day drops out.
 
-    The calendar comes first: it is small enough for Spark to broadcast on its own, so days outside
-    it never reach the shuffle on the game.
+    The calendar comes first, so days outside it never reach the shuffle on the game.
     """
     dated = snapshots.withColumn("date_key", date_key(F.col("recorded_date"))).drop("ym")
-    in_calendar = dated.join(dim_date.select("date_key", "ym"), "date_key")
+    in_calendar = dated.join(one_per_day(dim_date.select("date_key", "ym")), "date_key")
     keyed = in_calendar.join(dim_games.select("appid", "game_key"), "appid")
     return keyed.select("game_key", "date_key", *METRICS, "ym")
 
@@ -48,7 +57,7 @@ def orphans(snapshots: DataFrame, dim_games: DataFrame, dim_date: DataFrame) ->
     marked = (
         snapshots.select("appid", "recorded_date")
         .withColumn("date_key", date_key(F.col("recorded_date")))
-        .join(days, "date_key", "left")
+        .join(one_per_day(days), "date_key", "left")
         .join(games, "appid", "left")
     )
     reason = (
@@ -62,12 +71,8 @@ def orphans(snapshots: DataFrame, dim_games: DataFrame, dim_date: DataFrame) ->
 
 
 def guard_days(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """The part of a snapshot batch whose day is not stored yet. A stored day is skipped whole.
-
-    The stored side is one row per day. No hint: Spark broadcasts it when its size allows, and a
-    day that fills a third of the batch is split by the adaptive skew join when it does not.
-    """
-    days = stored.select("recorded_date").distinct()
+    """The part of a snapshot batch whose day is not stored yet. A stored day is skipped whole."""
+    days = one_per_day(stored.select("recorded_date").distinct())
     return batch.join(days, "recorded_date", "left_anti").select(*batch.columns)
 
 

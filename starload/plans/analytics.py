@@ -8,6 +8,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starload.operators.facts import one_per_day
+
 # A top-k list up to this long is broadcast; a longer one is left to the optimizer.
 BROADCAST_ROWS = 10_000
 
@@ -32,7 +34,7 @@ def between(fact: DataFrame, first: dt.date | None = None, last: dt.date | None
 
 def with_day(fact: DataFrame, dim_date: DataFrame, *columns: str) -> DataFrame:
     """Join the calendar on the day and on the storage month, which lets Spark prune by it."""
-    return fact.join(dim_date.select("date_key", "ym", *columns), ["date_key", "ym"])
+    return fact.join(one_per_day(dim_date.select("date_key", "ym", *columns)), ["date_key", "ym"])
 
 
 def mean(total: str, rows: str) -> Column:

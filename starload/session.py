@@ -45,6 +45,8 @@ def local_session(cpus: int | str = 8, app: str = "starload", **conf: str) -> Sp
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        # Python call sites in error messages cost more than planning does on small data.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in (RESULT_SETTINGS | conf).items():
         builder = builder.config(name, value)
