@@ -9,10 +9,12 @@ leaves the previous state as it was and can be repeated under the same run id.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starload.schemas import MONTHLY, SCHEMAS
 
@@ -21,7 +23,9 @@ PUBLISHED = "seq bigint, run_id string, table_name string, path string, ym int,
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
     """No rows, and known to be so when planning: joins and unions with it cost nothing."""
-    return spark.createDataFrame([], SCHEMAS[table]).filter(F.lit(False))
+    fields = StructType.fromDDL(SCHEMAS[table])
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in fields]
+    return spark.range(1).select(*nulls).filter(F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -47,7 +51,7 @@ class Store:
         """See what other runs have published. The log grows with runs and months, not with rows."""
         try:
             log = self.spark.read.schema(PUBLISHED).parquet(f"{self.root}/_published")
-            self._log = log.orderBy("seq").collect()
+            self._log = sorted(log.collect(), key=lambda entry: (entry.seq, entry.run_id))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -127,16 +131,25 @@ class Store:
         """Make every staged table visible at once."""
         self.refresh()
         last = max((entry.seq for entry in self._log), default=0)
-        rows = []
-        for item in staged:
-            if item.table in MONTHLY:
-                rows += [
-                    (last + 1, run_id, item.table, f"{item.path}/ym={ym}", ym, item.appended)
-                    for ym in self.staged_months(item)
-                ]
-            else:
-                rows.append((last + 1, run_id, item.table, item.path, None, item.appended))
-        if rows:
-            entry = self.spark.createDataFrame(rows, PUBLISHED).coalesce(1)
-            entry.write.mode("append").parquet(f"{self.root}/_published")
+        entries = [self._entry(last + 1, run_id, item) for item in staged]
+        if entries:
+            log = reduce(DataFrame.unionByName, entries).coalesce(1)
+            log.write.mode("append").parquet(f"{self.root}/_published")
             self.refresh()
+
+    def _entry(self, seq: int, run_id: str, item: Staged) -> DataFrame:
+        """What the log says of one table: a row, or a row for each month it holds."""
+        if item.table in MONTHLY:
+            months = self.read_staged(item).select("ym").distinct()
+            path, ym = F.concat(F.lit(f"{item.path}/ym="), F.col("ym")), F.col("ym")
+        else:
+            months = self.spark.range(1)
+            path, ym = F.lit(item.path), F.lit(None).cast("int")
+        return months.select(
+            F.lit(seq).cast("bigint").alias("seq"),
+            F.lit(run_id).alias("run_id"),
+            F.lit(item.table).alias("table_name"),
+            path.alias("path"),
+            ym.alias("ym"),
+            F.lit(item.appended).alias("appended"),
+        )
