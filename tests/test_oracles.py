@@ -8,8 +8,9 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry_point
+from starload import oracles, registry
 
-NAMES = sorted(entry_point.queries())
+NAMES = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -33,15 +34,17 @@ def ordered(rows):
 
 
 def test_every_query_has_sql():
-    assert entry_point.oracle_sql().keys() == entry_point.queries().keys()
+    assert oracles.ORACLES.keys() == registry.queries().keys()
+    assert registry.queries().keys() <= entry_point.queries().keys()
+    assert entry_point.oracle_sql().keys() <= entry_point.queries().keys()
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, duck, name):
-    df = entry_point.queries()[name](spark, DATA)
+    df = registry.queries()[name](spark, DATA)
     columns = sorted(df.columns)
     got = ordered(tuple(row[c] for c in columns) for row in df.collect())
-    result = duck.execute(entry_point.oracle_sql()[name])
+    result = duck.execute(oracles.ORACLES[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     expected = ordered(tuple(row[names.index(c)] for c in columns) for row in result.fetchall())
