@@ -7,18 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import simhash
+from starload.llm import linededup, sharding, simhash
 from starload.llm.common import table
 
 
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.assign(sharding.sized(table(spark, folder, "documents")), "doc_id")
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "home_shard",
+    )
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = linededup.dedupe_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_simhash": op10_simhash}
+    return {"op7_sharding": op7_sharding, "op8_line_dedup": op8_line_dedup, "op10_simhash": op10_simhash}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op8_line_dedup": linededup.ORACLE}
