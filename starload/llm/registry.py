@@ -7,10 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import linededup, sharding, simhash
+import public_tokenizers
+
+from starload.llm import bpe, linededup, secret_scan, sharding, simhash
 from starload.llm.common import table
 
 
+# Read by the driver only.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    spans = F.col("spans")
+    base = secret_scan.joined(secret_scan.of_kind(spans, *secret_scan.BASE))
+    return secret_scan.scan(table(spark, folder, "documents"), ["doc_id"]).select(
+        "doc_id",
+        *[F.size(secret_scan.of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE],
+        F.sha2(base, 256).alias("base_sha256"),
+        secret_scan.joined(spans).alias("spans"),
+    )
+
+
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bpe.encode_documents(table(spark, folder, "documents"), VOCABULARY, ["doc_id"])
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.assign(sharding.sized(table(spark, folder, "documents")), "doc_id")
     return placed.select(
@@ -36,8 +63,14 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_sharding": op7_sharding, "op8_line_dedup": op8_line_dedup, "op10_simhash": op10_simhash}
+    return {
+        "op1_secret_scan": op1_secret_scan,
+        "op5_bpe": op5_bpe,
+        "op7_sharding": op7_sharding,
+        "op8_line_dedup": op8_line_dedup,
+        "op10_simhash": op10_simhash,
+    }
 
 
 def oracles() -> dict[str, str]:
-    return {"op8_line_dedup": linededup.ORACLE}
+    return {"op1_secret_scan": secret_scan.ORACLE, "op8_line_dedup": linededup.ORACLE}

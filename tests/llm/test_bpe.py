@@ -1,0 +1,74 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from starload.llm import bpe
+
+FILE = public_tokenizers.path("word_bpe_49k.json")
+CONTENT = open(FILE, encoding="utf-8").read()
+PLAIN = Tokenizer.from_str(CONTENT)
+
+
+def brute(text):
+    ids = PLAIN.encode(text or "", add_special_tokens=False).ids
+    return np.array(ids, "<u4").tobytes(), PLAIN.decode(ids, skip_special_tokens=False)
+
+
+def check(encoder, texts):
+    assert list(encoder.encode([t.encode() for t in texts])) == [brute(t) for t in texts]
+
+
+@pytest.fixture(scope="module")
+def tiny():
+    return bpe.Encoder(CONTENT, mean=4)
+
+
+words = st.sampled_from(["the", "THE", "é", "é", " ", "\n", " ", "'s", "don't", "12", "!?", "<|endoftext|>", "\x1c", "İ", "ß", "日本", "Σ", "🙂"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(words, st.text(max_size=6)), max_size=40).map("".join))
+def test_any_text_at_any_cut(tiny, text):
+    check(tiny, [text])
+
+
+def test_shared_chunks_and_bounded_caches(monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_CHUNKS", 20)
+    monkeypatch.setattr(bpe, "MOST_PIECES", 30)
+    rng = random.Random(3)
+    passage = " ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(400))
+    texts = [f"{k} {passage}{'x' * 300}{passage} {k}" for k in range(30)]
+    own = bpe.Encoder(CONTENT, mean=64)
+    for group in bpe.slices([t.encode() for t in texts], 4000):
+        assert list(own.encode(group)) == [brute(t.decode()) for t in group]
+        assert len(own.chunks) <= 20 and len(own.ids) <= 30
+
+
+def test_cuts_depend_on_content_only(monkeypatch):
+    rng = random.Random(5)
+    data = bytes(rng.randrange(97, 123) for _ in range(20_000))
+    whole = bpe.cuts(data, 64)
+    later = [c - 1000 for c in bpe.cuts(b"z" * 1000 + data, 64) if c > 1000 + bpe.WINDOW]
+    assert later == [c for c in whole if c > bpe.WINDOW]
+    monkeypatch.setattr(bpe, "SLICE", 333)
+    assert bpe.cuts(data, 64) == whole and len(whole) > 200
+
+
+def test_other_kinds_of_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="independently"):
+        bpe.Encoder(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+
+
+def test_documents(spark):
+    rows = [(1, "Some words here"), (2, None), (3, ""), (None, "İ é"), (1, "Some words here"), (4, "x" * 5000 + " y " * 9000)]
+    docs = spark.createDataFrame([(i, t, "n", "d") for i, t in rows], "doc_id long, text string, n_tokens string, decoded string")
+    found = bpe.encode_documents(docs.repartition(3), FILE, ["doc_id"]).collect()
+    got = sorted(((r.doc_id, r.n_tokens, bytes(r.ids), r.decoded) for r in found), key=str)
+    want = [(i, *brute(t)) for i, t in rows]
+    assert got == sorted(((i, len(ids) // 4, ids, text) for i, ids, text in want), key=str)
+    assert bpe.encode_documents(docs.limit(0), FILE, ["doc_id"]).count() == 0
