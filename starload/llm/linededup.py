@@ -99,15 +99,15 @@ ORACLE = r"""
 WITH blanks AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS b),
 split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 lines AS (
-  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS at FROM split
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split
 ),
 keyed AS (
-  SELECT doc_id, at, line,
+  SELECT doc_id, pos, line,
          translate(trim(line, (SELECT b FROM blanks)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM lines
 ),
 common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(common.key) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN common USING (key) GROUP BY doc_id
 """

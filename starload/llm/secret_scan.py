@@ -134,11 +134,11 @@ def _oracle() -> str:
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 found AS ({' UNION ALL '.join(kinds)}),
 each AS (
-  SELECT doc_id, k, kind, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap, unnest(range(1, len(ms) + 1)) AS at
+  SELECT doc_id, k, kind, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap, unnest(range(1, len(ms) + 1)) AS pos
   FROM found WHERE len(ms) > 0
 ),
 placed AS (
-  SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, k ORDER BY at) AS stop FROM each
+  SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, k ORDER BY pos) AS stop FROM each
 ),
 spans AS (
   SELECT doc_id, k, kind, (stop - length(m))::BIGINT AS start, stop::BIGINT AS stop FROM placed
