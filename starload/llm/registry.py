@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from starload.llm import bpe, linededup, secret_scan, sharding, simhash
+from starload.llm import bpe, linededup, quality, secret_scan, sharding, simhash
 from starload.llm.common import table
 
 
@@ -28,6 +28,22 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "n_removed_lines",
+        "removed_chars",
+        "depleted",
+    )
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode_documents(table(spark, folder, "documents"), VOCABULARY, ["doc_id"])
     return encoded.select(
@@ -65,6 +81,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op3_quality": op3_quality,
         "op5_bpe": op5_bpe,
         "op7_sharding": op7_sharding,
         "op8_line_dedup": op8_line_dedup,
@@ -73,4 +90,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_secret_scan": secret_scan.ORACLE, "op8_line_dedup": linededup.ORACLE}
+    return {
+        "op1_secret_scan": secret_scan.ORACLE,
+        "op3_quality": quality.ORACLE,
+        "op8_line_dedup": linededup.ORACLE,
+    }

@@ -1,0 +1,120 @@
+import random
+from collections import Counter, defaultdict
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from starload.llm import quality
+
+BLANKS = " \t\n\x0b\x0c\r"
+SCHEMA = "doc_id long, text string, source string, lines string, removed long"
+
+
+def words_of(text):
+    for b in BLANKS:
+        text = text.replace(b, " ")
+    return [w for w in text.split(" ") if w]
+
+
+def repeated(words):
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    n = Counter(windows)
+    return len({i + d for i, w in enumerate(windows) if n[w] > 1 for d in range(3)})
+
+
+def counts(text):
+    words = words_of(text or "")
+    lines = [x for x in (text or "").split("\n") if x.strip(BLANKS)]
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), repeated(words)
+
+
+def brute(rows, least, share):
+    texts = defaultdict(set)
+    held = defaultdict(set)
+    for _, text, source in rows:
+        texts[source or ""].add(text or "")
+        for line in (text or "").split("\n"):
+            if line.strip(BLANKS):
+                held[source or "", line.strip(BLANKS).lower()].add(text or "")
+    out = []
+    for doc_id, text, source in rows:
+        host, lines = source or "", (text or "").split("\n")
+        limit = max(least, -int(-len(texts[host]) * share // 1))
+        gone = [k for k, x in enumerate(lines) if len(held[host, x.strip(BLANKS).lower()]) >= limit]
+        chars = sum(len(lines[k].strip(BLANKS)) for k in gone)
+        depleted = 2 * chars > sum(len(x.strip(BLANKS)) for x in lines)
+        c = counts(text)
+        base = c[0] < 50 or 100 * c[4] > 50 * c[0]
+        left = "\n".join(x for k, x in enumerate(lines) if k not in gone) if gone else text
+        out.append((doc_id, *c, len(gone), chars, base, depleted, not base and not depleted, left))
+    return sorted(out, key=str)
+
+
+def corpus():
+    rng = random.Random(7)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    rows = []
+    for k in range(60):
+        parts = [fresh(40) for _ in range(3)]
+        if k % 4 == 0:
+            parts.insert(rng.randrange(4), "  Accept ALL cookies \t")
+        if k % 6 == 0:
+            parts = [fresh(60)] + [f"menu{n} entry{n} of{n} the{n} whole{n} site{n}" for n in range(30 if k % 12 else 2)]
+        if k % 7 == 0:
+            parts += parts[:2]
+        rows.append((k, "\n".join(parts), ["a", "b", None, ""][k % 4]))
+    copy = rows[1][1]
+    rows += [(100 + k, copy, "a") for k in range(30)] + [(100, copy, "a"), (None, copy, "b")]
+    rows += [(200, None, "a"), (201, "", "b"), (202, "\n \x0b\n", None), (203, "é É | <b> #", "c")]
+    long = " ".join(f"t{rng.randrange(400)}" for _ in range(9000))
+    return rows + [(204, long, "c"), (205, "one two three " * 40, "c"), (206, "x\n" * 3000, "c"), (207, "a b c\x1c\xa0a b c", "d")]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, s, "l", 1) for i, t, s in rows], SCHEMA)
+
+
+COLUMNS = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words n_removed_lines removed_chars base_failed depleted kept"
+
+
+def test_equals_brute_force(spark):
+    rows = corpus()
+    for least, share in [(4, 0.0), (2, 0.3), (10, 0.02)]:
+        found = quality.judge(frame(spark, rows).repartition(5), least, share).select(*COLUMNS.split())
+        want = brute(rows, least, share)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted((w[:-1] for w in want), key=str)
+        cleaned = quality.clean(frame(spark, rows), least, share)
+        assert cleaned.columns == ["doc_id", "text", "source", "lines", "removed"]
+        got = sorted(((r.doc_id, r.text) for r in cleaned.collect()), key=str)
+        assert got == sorted(((w[0], w[-1]) for w in want if w[-2]), key=str)
+
+
+def test_some_documents_are_depleted_and_some_lines_removed():
+    want = brute(corpus(), 4, 0.0)
+    assert any(w[9] and not w[8] for w in want) and any(w[10] and w[6] for w in want)
+
+
+@settings(max_examples=12, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from("ab cd a b \n \t * é".split(" ") + [" ", "a b c "]), max_size=30).map("".join), min_size=1, max_size=30))
+def test_counts_of_any_text(spark, texts):
+    docs = frame(spark, [(k, t, None) for k, t in enumerate(texts)])
+    found = {r.doc_id: tuple(r)[1:] for r in quality.profile(docs).select(*COLUMNS.split()[:6]).collect()}
+    assert found == {k: counts(t) for k, t in enumerate(texts)}
+
+
+def test_no_python_on_the_main_path(spark, capsys):
+    quality.clean(frame(spark, corpus())).explain("extended")
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_empty_table(spark):
+    assert quality.judge(frame(spark, [])).count() == quality.clean(frame(spark, [])).count() == 0
+
+
+def test_copies_count_once(spark):
+    rows = [(k, "same line\n" + " ".join(f"w{i}" for i in range(80)), "a") for k in range(50)]
+    found = quality.judge(frame(spark, rows)).agg(F.sum("n_removed_lines"), F.min(F.col("kept").cast("int"))).first()
+    assert tuple(found) == (0, 1)
