@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from starload.llm import bpe, linededup, quality, secret_scan, sharding, simhash
+from starload.llm import bpe, linededup, mixing, quality, secret_scan, sharding, simhash
 from starload.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).withColumn("rate", F.round("rate", 6))
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).select(
         "doc_id",
@@ -81,6 +85,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_mixing": op2_mixing,
         "op3_quality": op3_quality,
         "op5_bpe": op5_bpe,
         "op7_sharding": op7_sharding,
@@ -92,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracles() -> dict[str, str]:
     return {
         "op1_secret_scan": secret_scan.ORACLE,
+        "op2_mixing": mixing.ORACLE,
         "op3_quality": quality.ORACLE,
         "op8_line_dedup": linededup.ORACLE,
     }

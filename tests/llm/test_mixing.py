@@ -1,0 +1,125 @@
+import hashlib
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from starload.llm import mixing
+
+SCHEMA = "doc_id long, text string, lang string, source string, rate string, tokens long"
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def corpus():
+    rng = random.Random(11)
+    rows = []
+    for k in range(900):
+        source = "hot" if k % 3 == 0 else f"s{k % 7}"
+        text = " ".join("w" for _ in range(rng.randrange(1, 200))) + rng.choice(["", " a | b", " x@y", " MIT License", "\n"])
+        rows.append((k, text, rng.choice(["en", "en", "fr", None]), source))
+    rows += [(1000, None, "en", None), (1001, "", None, ""), (5, rows[5][1], "fr", "hot"), (None, "lost", "en", "s1"), (None, None, None, None)]
+    return rows
+
+
+def cell(row):
+    doc_id, text, lang, source = row
+    text = text or ""
+    for topic, strings in mixing.TOPICS:
+        if any(s in text for s in strings):
+            break
+    else:
+        topic = "prose"
+    words = text
+    for b in BLANKS:
+        words = words.replace(b, " ")
+    tokens = max(1, sum(map(bool, words.split(" "))))
+    own = str(doc_id) if doc_id is not None else hashlib.md5(text.encode()).hexdigest()
+    u = int(hashlib.md5(f"{mixing.SEED}:{own}".encode()).hexdigest()[:13], 16) / 2**52
+    return (source or "", lang or "", topic), tokens, u
+
+
+def fit(cells, targets, budget, rounds):
+    total = sum(cells.values())
+    factor = dict.fromkeys(cells, budget)
+    for _ in range(rounds):
+        for m, shares in enumerate(targets):
+            taken = defaultdict(float)
+            for c, n in cells.items():
+                taken[c[m]] += n * min(1, factor[c])
+            for c in cells:
+                factor[c] = min(mixing.HIGHEST, factor[c] * shares.get(c[m], 0) * budget * total / taken[c[m]]) if taken[c[m]] else 0
+    return {c: min(1, f) for c, f in factor.items()}
+
+
+def brute(rows, budget):
+    cells = defaultdict(int)
+    for row in rows:
+        c, n, _ = cell(row)
+        cells[c] += n
+    targets = []
+    for m, margin in enumerate(mixing.MARGINS):
+        sums = defaultdict(int)
+        for c, n in cells.items():
+            sums[c[m]] += n
+        raised = {v: n ** mixing.TEMPER[margin] for v, n in sums.items()}
+        targets.append({v: x / sum(raised.values()) for v, x in raised.items()})
+    return fit(cells, targets, budget, mixing.ROUNDS), cells, targets
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "r", 1) for r in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("budget", [0.6, 0.95])
+def test_equals_brute_force(spark, budget):
+    rows = corpus()
+    rates, _, _ = brute(rows, budget)
+    want = []
+    for row in rows:
+        c, n, u = cell(row)
+        want.append((row[0], row[3], row[2], c[2], n, round(rates[c], 9), u < rates[c]))
+    found = mixing.mix(frame(spark, rows).repartition(4), budget=budget).withColumn("rate", F.round("rate", 9))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+
+
+def test_margins_are_met(spark):
+    rows = corpus()
+    rates, cells, targets = brute(rows, mixing.BUDGET)
+    total = mixing.BUDGET * sum(cells.values())
+    for m, shares in enumerate(targets):
+        for value, share in shares.items():
+            took = sum(n * rates[c] for c, n in cells.items() if c[m] == value)
+            if sum(n for c, n in cells.items() if c[m] == value) > 1.2 * share * total:
+                assert took == pytest.approx(share * total, rel=0.02)
+
+
+def test_own_targets(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 100), ("a", "y", "t", 100), ("b", "x", "t", 50), ("b", "y", "t", 150)], "source string, lang string, topic string, tokens long")
+    share = lambda **v: spark.createDataFrame(list(v.items()), "value string, share double")
+    found = mixing.rake(cells, {"source": share(a=0.75, b=0.25), "lang": share(x=0.5, y=0.5), "topic": share(t=1.0)}, 0.4, 40)
+    got = {(r.source, r.lang): r.rate * r.tokens for r in found.collect()}
+    assert got["a", "x"] + got["a", "y"] == pytest.approx(120) and got["a", "x"] + got["b", "x"] == pytest.approx(80)
+    assert got["a", "x"] * got["b", "y"] / (got["a", "y"] * got["b", "x"]) == pytest.approx(3)  # the corpus' odds ratio
+    none = mixing.rake(cells, {"source": share(a=1.0), "lang": share(x=0.5, y=0.5), "topic": share(t=1.0)}, 0.4, 5)
+    assert {r.rate for r in none.collect() if r.source == "b"} == {0.0}
+
+
+def test_sample_keeps_columns_and_whole_rows(spark):
+    rows = corpus()
+    docs = frame(spark, rows)
+    rates, _, _ = brute(rows, mixing.BUDGET)
+    found = mixing.sample(docs)
+    assert found.columns == docs.columns
+    want = [(*r, "r", 1) for r in rows if cell(r)[2] < rates[cell(r)[0]]]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+
+
+def test_no_python_on_the_main_path(spark, capsys):
+    mixing.sample(frame(spark, corpus())).explain("extended")
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_empty_table(spark):
+    assert mixing.mix(frame(spark, [])).count() == mixing.sample(frame(spark, [])).count() == 0
