@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from starload.llm import bpe, linededup, mixing, quality, secret_scan, sharding, simhash
+from starload.llm import ann, bpe, linededup, mixing, quality, secret_scan, sharding, simhash
 from starload.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.assign(sharding.sized(table(spark, folder, "documents")), "doc_id")
     return placed.select(
@@ -88,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mixing": op2_mixing,
         "op3_quality": op3_quality,
         "op5_bpe": op5_bpe,
+        "op6_ann": op6_ann,
         "op7_sharding": op7_sharding,
         "op8_line_dedup": op8_line_dedup,
         "op10_simhash": op10_simhash,
