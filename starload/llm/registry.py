@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from starload.llm import ann, bpe, linededup, mixing, quality, secret_scan, sharding, simhash
+from starload.llm import ann, bpe, langid, linededup, mixing, quality, secret_scan, sharding, simhash
 from starload.llm.common import table
 
 
@@ -48,6 +48,12 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    named = langid.identify(docs, langid.learn(docs), ["doc_id"])
+    return named.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", F.size("runs").alias("n_runs"))
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode_documents(table(spark, folder, "documents"), VOCABULARY, ["doc_id"])
     return encoded.select(
@@ -91,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": op1_secret_scan,
         "op2_mixing": op2_mixing,
         "op3_quality": op3_quality,
+        "op4_langid": op4_langid,
         "op5_bpe": op5_bpe,
         "op6_ann": op6_ann,
         "op7_sharding": op7_sharding,
