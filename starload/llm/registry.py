@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from starload.llm import ann, bpe, langid, linededup, mixing, quality, secret_scan, sharding, simhash
+from starload.llm import ann, bpe, chat, langid, linededup, mixing, quality, secret_scan, sharding, simhash
 from starload.llm.common import table
 
 
@@ -87,6 +87,12 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = chat.transcribed(table(spark, folder, "conversations"))
+    found = chat.parse(pieces, chat.learned(pieces))
+    return found.select("conv_id", "turn", "role", "n_lines", "rendered")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -102,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_ann": op6_ann,
         "op7_sharding": op7_sharding,
         "op8_line_dedup": op8_line_dedup,
+        "op9_chat": op9_chat,
         "op10_simhash": op10_simhash,
     }
 
