@@ -9,7 +9,9 @@ Chunks and pieces are kept by worker process, in caches of bounded size. Encodin
 shuffle every text and its ids, which costs more than the encoding it saves; blank-separated pieces, of which a few
 hundred thousand cover most of a corpus, carry nearly all of the reuse.
 
-Only tokenizers that treat blank-separated pieces independently can be used; this is probed when one is loaded.
+Only tokenizers that treat blank-separated pieces independently can be used; this is probed when one is loaded. If
+it is found to ignore case, texts are lower-cased first (A-Z), and if it parts words from full stops and commas, a piece
+that ends in one is put together from its word and the mark: fewer different pieces are left to encode.
 
 Defined results: a null text is an empty one and has no ids and an empty decoded text; strings of special tokens in a
 text are those tokens, as in the library; rows are kept as often as they come; an empty table gives an empty result.
@@ -18,6 +20,8 @@ text are those tokens, as in the library; rows are kept as often as they come; a
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
@@ -32,10 +36,13 @@ WINDOW = 16  # bytes that decide a cut
 MEAN_CHUNK = 1024
 SLICE = 1 << 20  # bytes of text, or of hashes, worked on at a time
 MOST_CHUNKS = 16_384
-MOST_PIECES = 300_000
+MOST_PIECES = 600_000
 LONGEST_PIECE = 64  # longer pieces are not kept
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are built as little-endian 32-bit integers")
 GEAR = np.random.default_rng(20240501).integers(0, 1 << 32, 256, np.uint32)
 BLANKS = b" \t\n\x0b\x0c\r"
+MARKS = b".,"
 
 
 def cuts(data: bytes, mean: int = MEAN_CHUNK) -> list[int]:
@@ -72,55 +79,74 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.mean = mean
+        self.tokens = [self.tokenizer.id_to_token(k) for k in range(self.tokenizer.get_vocab_size())]
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.long: list[bytes] = []
         self.ids: dict[bytes, bytes] = {}
-        self.texts: dict[bytes, str] = {}
         self.chunks: dict[bytes, tuple] = {}
         probe = ["ab", "é", "x1"]
-        apart = [i for p in probe for i in self._plain(p).ids]
+        apart = [k for p in probe for k in self._plain(p)]
         if self.tokenizer.decoder is not None or any(
-            self._plain(f" {blank.join(probe)}{blank}").ids != apart for blank in (" ", "\n", "\r\n", "\t \x0b\x0c")
+            self._plain(f" {blank.join(probe)}{blank}") != apart for blank in (" ", "\n", "\r\n", "\t \x0b\x0c")
         ):
             raise ValueError("this tokenizer does not treat blank-separated pieces independently")
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        self.folds = all(self._plain(x.upper()) == self._plain(x) for x in (*letters, letters))
+        self.parts = all(self._plain(x + m) == self._plain(x) + self._plain(m) for x in (*letters, "é", "the") for m in ".,")
 
-    def _plain(self, text: str):
-        return self.tokenizer.encode(text, add_special_tokens=False)
+    def _plain(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _keep(self, piece: bytes, ids: list[int]) -> None:
+    def _keep(self, piece: bytes, ids: bytes) -> None:
         if len(piece) > LONGEST_PIECE:
             self.long.append(piece)
-        self.ids[piece] = np.array(ids, "<u4").tobytes()
-        self.texts[piece] = " ".join(map(self.tokenizer.id_to_token, ids))
+        self.ids[piece] = ids
 
     def learn(self, pieces: Iterable[bytes]) -> None:
         """Encode the pieces not known yet, all at once."""
         new = [p for p in pieces if p not in self.ids]
+        marked = []
+        if self.parts:
+            marked = [p for p in new if p[-1] in MARKS and len(p) > 1 and p[:-1].decode()[-1].isalpha()]
+            whole = set(marked)
+            new = [p for p in new if p not in whole]
+            new += [p for p in {p[:-1]: None for p in marked} | {p[-1:]: None for p in marked} if p not in self.ids]
+            new = list(dict.fromkeys(new))
         found = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
         for piece, encoding in zip(new, found):
-            self._keep(piece, encoding.ids)
+            self._keep(piece, array("I", encoding.ids).tobytes())
+        for piece in marked:
+            self._keep(piece, self.ids[piece[:-1]] + self.ids[piece[-1:]])
 
     def forget(self) -> None:
         """Bring the caches back under their bounds, oldest entries first."""
         for piece in self.long:
-            del self.ids[piece], self.texts[piece]
+            del self.ids[piece]
         self.long.clear()
         if len(self.ids) > MOST_PIECES:
             for piece in list(islice(self.ids, len(self.ids) - MOST_PIECES // 2)):
-                del self.ids[piece], self.texts[piece]
+                del self.ids[piece]
         if len(self.chunks) > MOST_CHUNKS:
             for chunk in list(islice(self.chunks, len(self.chunks) - MOST_CHUNKS // 2)):
                 del self.chunks[chunk]
 
-    def _chunk(self, split: tuple[bytes, list[bytes], bytes]) -> tuple[bytes, bytes, str, bytes]:
-        """Open piece on the left, ids and text of the closed ones, open piece on the right."""
+    def _chunk(self, split: tuple[bytes, list[bytes], bytes]) -> tuple[bytes, bytes, bytes]:
+        """Open piece on the left, ids of the closed ones, open piece on the right."""
         left, closed, right = split
-        ids = b"".join(map(self.ids.__getitem__, closed))
-        return left, ids, " ".join(filter(None, map(self.texts.__getitem__, closed))), right
+        return left, b"".join(map(self.ids.__getitem__, closed)), right
+
+    def _folded(self, data: bytes) -> bytes:
+        """Lower-cased, unless that could make or unmake a special token."""
+        lower = data.lower()
+        return data if any(token in lower for token in self.special) else lower
+
+    def decode(self, ids: bytes) -> str:
+        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[bytes, str]]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text, of each text."""
         cut = []
-        for data in texts:
+        for data in map(self._folded, texts) if self.folds else texts:
             start, chunks = 0, []
             for end in cuts(data, self.mean) if data else ():
                 chunks.append(data[start:end])
@@ -131,33 +157,32 @@ class Encoder:
         for chunk, found in new.items():
             self.chunks[chunk] = found and self._chunk(found)
         for chunks in cut:
-            yield self._joined(chunks)
+            ids = self._joined(chunks)
+            yield ids, self.decode(ids)
         self.forget()
 
-    def _joined(self, chunks: list[bytes]) -> tuple[bytes, str]:
-        ids, texts, carried = [], [], []
+    def _joined(self, chunks: list[bytes]) -> bytes:
+        ids, carried = [], []
 
         def close() -> None:
             """The piece that the last joins have cut, encoded whole."""
             if piece := b"".join(carried):
                 if piece not in self.ids:
-                    self._keep(piece, self._plain(piece.decode()).ids)
+                    self._keep(piece, array("I", self._plain(piece.decode())).tobytes())
                 ids.append(self.ids[piece])
-                texts.append(self.texts[piece])
             carried.clear()
 
         for chunk in chunks:
             if (found := self.chunks[chunk]) is None:
                 carried.append(chunk)
                 continue
-            left, inner_ids, inner_text, right = found
+            left, inner, right = found
             carried.append(left)
             close()
-            ids.append(inner_ids)
-            texts.append(inner_text)
+            ids.append(inner)
             carried.append(right)
         close()
-        return b"".join(ids), " ".join(filter(None, texts))
+        return b"".join(ids)
 
 
 @lru_cache(maxsize=2)
