@@ -3,24 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starload.llm import simhash
+from starload.llm import bpe, linededup, mixing, quality, simhash
 from starload.llm.common import DOCUMENT_COLUMNS, table, written
+from starload.llm.registry import VOCABULARY
+
+
+def _documents(df: DataFrame) -> DataFrame:
+    """The columns of documents, the length told anew as a text may have lost lines."""
+    return df.withColumn("n_chars", F.char_length("text").cast("long")).select(*DOCUMENT_COLUMNS)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; kept ones lose the lines that too many documents of their host hold."""
+    return _documents(quality.clean(docs))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that ten or more documents hold go, from all of them."""
+    return _documents(linededup.deduped_text(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group of near-duplicates."""
+    """The document with the smallest doc_id of each group of near-duplicates stays."""
     return simhash.one_of_each(docs).select(*DOCUMENT_COLUMNS)
 
 
-STAGES = [("simhash near-dedup", near_duplicates)]
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled so that sources, languages and topics come near their target weights."""
+    return mixing.sample(docs).select(*DOCUMENT_COLUMNS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens and ids (little-endian unsigned 32-bit integers) of each document."""
+    found = bpe.encode_documents(docs, VOCABULARY, ["doc_id", "lang", "source"])
+    return found.select("doc_id", "lang", "source", "n_tokens", "ids")
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("simhash near-dedup", near_duplicates),
+    ("mixing to target weights", mixed),
+    ("bpe encoding", encoded),
+]
 
 # Fingerprints (XXH64) and byte-pair encoding are not expressible in DuckDB SQL; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over documents; all but the last one's rows go through a table in the shared folder."""
+    """The stages in order over documents; the rows between them go through tables in the shared folder."""
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
