@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starload.operators.dedupe import last_wins
 from starload.sources.payloads import DETAIL_COLUMNS
 
 
@@ -12,9 +13,14 @@ def enrich(top: DataFrame, details: DataFrame, counts: DataFrame) -> DataFrame:
     """Every list row with its detail and player count; `reject_reason` is NULL on rows to keep.
 
     No landed detail response means the request failed: the row is rejected. A response without
-    usable data keeps the row with empty detail columns. A missing player count is 0.
+    usable data keeps the row with empty detail columns. A missing player count is 0. Of responses
+    that landed more than once for a game one counts: a readable one before a rejected one, then the
+    one with the greatest values, as responses carry no time.
     All three sides are keyed by `appid`, so one partitioning serves both joins.
     """
+    details = details.withColumn("readable", F.col("reject_reason").isNull())
+    details = last_wins(details, ["appid"], ["readable"])
+    counts = last_wins(counts, ["appid"], [])
     details = details.select(
         "appid",
         F.lit(True).alias("answered"),

@@ -16,19 +16,24 @@ def assign_keys(
 
     The numbers depend only on the natural keys and `buckets`, never on how Spark happened to
     partition the rows, so a task that is run again hands out the same keys. Rows are hashed into
-    buckets and numbered inside each; the natural keys are distinct, so no bucket is hot. The
-    offsets table has one row per bucket, which is what bounds its broadcast and its one-task sum.
+    buckets and numbered inside each; the natural keys are distinct, so no bucket is hot. The first
+    row of a bucket, which knows its count, makes up the offsets: the rows are read and shuffled
+    once, for the ranks and the offsets alike. The offsets table has one row per bucket, which is
+    what bounds its broadcast and its one-task sum; with more rows than fit `buckets` tasks pass a
+    larger number, the same one for every load of a dimension.
     """
-    bucketed = rows.withColumn("_bucket", F.pmod(F.xxhash64(natural_key), F.lit(buckets)))
-    counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    # Not nullable, so that no filter sets the two readers of the shuffle apart.
+    bucket = F.coalesce(F.pmod(F.xxhash64(natural_key), F.lit(buckets)), F.lit(0))
+    bucketed = rows.withColumn("_bucket", bucket)
+    inside = Window.partitionBy("_bucket").orderBy(natural_key)
+    ranked = bucketed.withColumn("_rank", F.row_number().over(inside))
+    counts = ranked.groupBy("_bucket").agg(F.max("_rank").alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    inside = Window.partitionBy("_bucket").orderBy(natural_key)
     return (
-        bucketed.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
+        ranked.join(F.broadcast(offsets), "_bucket")
         .withColumn(key, (F.lit(start) + F.col("_offset") + F.col("_rank")).cast("bigint"))
         .drop("_bucket", "_rank", "_offset")
     )

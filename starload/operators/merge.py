@@ -1,9 +1,7 @@
 """Insert-or-overwrite on immutable files: DataFrame in, DataFrame out, no I/O.
 
-Each merge takes `small`. It says the caller has checked that the batch has at most
-`SMALL_BATCH_ROWS` rows. Then the batch's keys (fixed-width, so the row count bounds the size) are
-broadcast to cut the base in two, and only the touched part is shuffled; the untouched part passes
-straight through. Without it both sides are shuffled on the key and merged in one join.
+One way to merge, whatever the size of the batch: the caller passes the part of the base that the
+batch can touch (buckets or months), and both meet in one full outer join on the key.
 """
 
 from __future__ import annotations
@@ -16,24 +14,11 @@ from pyspark.sql import functions as F
 from starload.operators.keys import assign_keys
 from starload.schemas import GAME_ATTRIBUTES, GAME_COLUMNS, METRICS
 
-SMALL_BATCH_ROWS = 1_000_000
-
 
 def timestamp(moment: dt.datetime) -> Column:
     return F.lit(moment).cast("timestamp_ntz")
 
 
-def _divide(base: DataFrame, batch: DataFrame, keys: list[str], small: bool):
-    """(rows a batch key may touch, rows it cannot touch or None)."""
-    if not small:
-        return base, None
-    touched_keys = F.broadcast(batch.select(*keys))
-    return (
-        base.join(touched_keys, keys, "left_semi"),
-        base.join(touched_keys, keys, "left_anti"),
-    )
-
-
 def _overwrite(
     base: DataFrame,
     batch: DataFrame,
@@ -65,63 +50,46 @@ def _overwrite(
     return joined.select(*columns)
 
 
-def _merge(base, batch, keys, values, on_insert, on_match, small) -> DataFrame:
-    touched, untouched = _divide(base, batch, keys, small)
-    merged = _overwrite(touched, batch, keys, values, on_insert, on_match)
-    return merged if untouched is None else merged.unionByName(untouched)
-
-
-def upsert_current(
-    base: DataFrame, batch: DataFrame, load_ts: dt.datetime, small: bool = False
-) -> DataFrame:
+def upsert_current(base: DataFrame, batch: DataFrame, load_ts: dt.datetime) -> DataFrame:
     """Current-state games: overwrite every column on a match, NULLs too; keep `created_at`.
 
     `batch` holds one row per appid (see `last_wins`).
     """
     now = timestamp(load_ts)
-    return _merge(
+    return _overwrite(
         base,
         batch,
         ["appid"],
         GAME_COLUMNS,
         on_insert={"created_at": now, "updated_at": now},
         on_match={"updated_at": now},
-        small=small,
     )
 
 
 def upsert_scd1(
-    dim: DataFrame,
-    source: DataFrame,
-    load_ts: dt.datetime,
-    start: int,
-    small: bool = False,
+    dim: DataFrame, source: DataFrame, load_ts: dt.datetime, start: int
 ) -> DataFrame:
     """Game dimension: overwrite attributes in place, keep keys, give new games keys from `start`.
 
     `source` holds one row per appid; check it first, two different rows for one game are an error.
     """
     now = timestamp(load_ts)
-    touched, untouched = _divide(dim, source, ["appid"], small)
-    fresh = source.join(touched.select("appid"), "appid", "left_anti")
-    inserted = (
-        assign_keys(fresh, "appid", "game_key", start)
-        .withColumn("created_at", now)
-        .withColumn("updated_at", now)
-    )
-    new = source.select(
-        "appid", *[F.col(c).alias(f"_new_{c}") for c in GAME_ATTRIBUTES], F.lit(True).alias("_hit")
+    values = [c for c in GAME_ATTRIBUTES]
+    merged = _overwrite(
+        dim,
+        source,
+        ["appid"],
+        values,
+        on_insert={"game_key": F.lit(None).cast("bigint"), "created_at": now, "updated_at": now},
+        on_match={"updated_at": now},
     )
-    hit = F.col("_hit").isNotNull()
-    updated = touched.join(new, "appid", "left").select(
-        "game_key",
-        "appid",
-        *[F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in GAME_ATTRIBUTES],
-        "created_at",
-        F.when(hit, now).otherwise(F.col("updated_at")).alias("updated_at"),
+    fresh = source.select("appid").join(dim.select("appid"), "appid", "left_anti")
+    keys = assign_keys(fresh, "appid", "_key", start)
+    return (
+        merged.join(keys, "appid", "left")
+        .withColumn("game_key", F.coalesce("game_key", "_key"))
+        .select(*dim.columns)
     )
-    merged = updated.unionByName(inserted)
-    return merged if untouched is None else merged.unionByName(untouched)
 
 
 def unseen_names(dim: DataFrame, names: DataFrame, name: str) -> DataFrame:
@@ -144,23 +112,20 @@ def insert_if_absent(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataF
     return base.unionByName(unseen.select(*base.columns))
 
 
-def upsert_fact(
-    fact: DataFrame, delta: DataFrame, load_ts: dt.datetime, small: bool = False
-) -> DataFrame:
+def upsert_fact(fact: DataFrame, delta: DataFrame, load_ts: dt.datetime) -> DataFrame:
     """Facts by (game_key, date_key): overwrite the metrics on a match, keep `created_at`.
 
     Pass only the months the delta touches as `fact`; `ym` follows from `date_key`, so joining on
     it too changes nothing and lets Spark prune.
     """
     now = timestamp(load_ts)
-    return _merge(
+    return _overwrite(
         fact,
         delta,
         ["game_key", "date_key", "ym"],
         METRICS,
         on_insert={"created_at": now},
         on_match={},
-        small=small,
     )
 
 

@@ -211,11 +211,29 @@ ORACLES = {
     + """SELECT appid, name FROM games WHERE updated_on >
       (SELECT max(updated_on) FROM games WHERE updated_on <= DATE '2024-01-15')""",
     "c4_load_dimensions": _with(RAW)
-    + """SELECT 'dim_games' AS table_name, count(*) AS n FROM games
-    UNION ALL SELECT 'dim_publishers', count(DISTINCT publisher_name) FROM publisher_pairs
-    UNION ALL SELECT 'dim_genres', count(DISTINCT genre_name) FROM genre_pairs
-    UNION ALL SELECT 'bridge_game_publishers', count(*) FROM publisher_pairs
-    UNION ALL SELECT 'bridge_game_genres', count(*) FROM genre_pairs""",
+.rstrip()
+    + """, names AS (
+      SELECT 'dim_publishers' AS dim, 'bridge_game_publishers' AS links, appid, publisher_name AS name, updated_on FROM publisher_pairs
+      UNION ALL SELECT 'dim_genres', 'bridge_game_genres', appid, genre_name, updated_on FROM genre_pairs JOIN games USING (appid))
+    SELECT 'dim_games' AS table_name, CAST(appid AS VARCHAR) AS key,
+      coalesce(name, '-') || '|' || coalesce(CAST(price_final AS VARCHAR), '-') || '|' || coalesce(short_description, '-') AS detail
+    FROM games
+    UNION ALL SELECT dim, name, CASE WHEN min(updated_on) <= DATE '2024-01-15' THEN '2024-01-15' ELSE '2024-03-01' END
+    FROM names GROUP BY dim, name
+    UNION ALL SELECT links, CAST(appid AS VARCHAR), name FROM names""",
+    "c5_retry_after_failure": ON_SHIPMENTS + f"SELECT appid, date_key, {METRICS} FROM fact",
+    "m4_load_overlap": ON_SHIPMENTS
+    + """SELECT appid, date_key, ccu,
+      CASE WHEN recorded_date <= DATE '1998-12-31' THEN DATE '2024-01-15' ELSE DATE '2024-03-01' END AS created_on
+    FROM fact""",
+    "p11_stored_rejects": ON_PARSED
+    + """SELECT appid, name, reject_reason, run_date, run_id FROM (
+      SELECT appid, name, reject_reason, unnest(['day-1', 'day-2', 'day-2-again']) AS run_id FROM enriched WHERE reject_reason IS NOT NULL
+      UNION ALL SELECT appid, name, 'no_game', unnest(['day-1', 'day-2']) FROM ingested WHERE NOT first_gate) r
+    JOIN (VALUES ('day-1', DATE '2024-05-01'), ('day-2', DATE '2024-05-02'), ('day-2-again', DATE '2024-05-02'))
+      AS days(run_id, run_date) USING (run_id)""",
+    "k1_second_load": """SELECT l_orderkey, CASE WHEN min(CAST(l_shipdate AS DATE)) <= DATE '1998-12-31' THEN 1 ELSE 2 END AS loaded_by
+    FROM lineitem GROUP BY 1""",
     "q1_unique": """SELECT l_partkey, CAST(l_shipdate AS DATE) AS ship_day, count(*) AS n
     FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "q2_not_null": _with(RAW)

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from starload.operators.facts import one_per_day
 
-# A top-k list up to this long is broadcast; a longer one is left to the optimizer.
-BROADCAST_ROWS = 10_000
-
 
 def key_of(day: dt.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
@@ -50,11 +47,17 @@ def game_series(
     as_of: dt.date,
     days: int = 30,
 ) -> DataFrame:
-    """One game's player counts since `days` before `as_of`: name, ccu, full_date."""
-    game = dim_games.filter(F.col("appid") == appid).select("game_key", "name")
+    """One game's player counts since `days` before `as_of`: name, ccu, full_date.
+
+    A game is one row of the dimension, so its key and name are scalars: the facts are filtered by a
+    column that their files are sorted by, and not shuffled.
+    """
+    game = dim_games.filter(F.col("appid") == appid).agg(F.max(F.struct("game_key", "name")).alias("g"))
     recent = between(fact, as_of - dt.timedelta(days=days))
+    own = recent.filter(F.col("game_key") == game.select("g.game_key").scalar())
+    named = own.withColumn("name", game.select("g.name").scalar())
     return (
-        with_day(recent.join(game, "game_key"), dim_date, "full_date")
+        with_day(named, dim_date, "full_date")
         .select("name", "ccu", "full_date")
         .orderBy(F.col("full_date").asc_nulls_last())
     )
@@ -92,8 +95,6 @@ def top_games_by_weekday(
     the facts meet n rows and no dimension.
     """
     top = top_games(fact, dim_games, as_of, n).select("game_key", "name")
-    if n <= BROADCAST_ROWS:
-        top = F.broadcast(top)
     recent = between(fact, as_of - dt.timedelta(days=days)).join(top, "game_key")
     return (
         with_day(recent, dim_date, "day_of_week")

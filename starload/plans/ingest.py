@@ -11,10 +11,10 @@ from starload.functions.dates import year_month
 from starload.operators import checks
 from starload.operators.dedupe import last_wins
 from starload.operators.enrich import enrich, has_store_data, kept, rejected
-from starload.operators.merge import SMALL_BATCH_ROWS, timestamp, upsert_current
-from starload.schemas import GAME_COLUMNS, MAX_LENGTHS
+from starload.operators.merge import timestamp, upsert_current
+from starload.schemas import GAME_COLUMNS
 from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list
-from starload.sources.store import Staged, Store, empty_table
+from starload.sources.store import Staged, Store, bucket_of, empty_table
 
 
 class EmptyBatch(ValueError):
@@ -41,7 +41,7 @@ def snapshot_rows(good: DataFrame, run_date: dt.date, load_ts: dt.datetime) -> D
 
 def day_is_stored(store: Store, run_date: dt.date) -> bool:
     """One stored row of the day is enough to skip the whole batch; reads one month."""
-    month = store.read("snapshots", months=[run_date.year * 100 + run_date.month])
+    month = store.read("snapshots", parts=[run_date.year * 100 + run_date.month])
     return not month.filter(F.col("recorded_date") == F.lit(run_date)).isEmpty()
 
 
@@ -58,37 +58,39 @@ def ingest(
     """Parse, enrich, check and publish one run. Games, snapshots and rejects appear together.
 
     `on_orphan`: a snapshot whose game has never been stored ends the run (`fail`), or goes to the
-    rejects (`quarantine`).
+    rejects (`quarantine`). A run that is already published is left alone, so a failed step can be
+    repeated with the ones before it. Each staged table knows how many rows it holds.
     """
     if on_orphan not in ("fail", "quarantine"):
         raise ValueError(f"on_orphan is {on_orphan!r}")
     store.refresh()
+    if store.is_published(run_id):
+        return []
     enriched = enrich(
         parse_top_list(payloads),
         parse_app_details(detail_responses),
         parse_player_count(count_responses),
     )
-    enriched = store.work(run_id, "enriched", enriched)
-    good, bad = kept(enriched), rejected(enriched)
-    if good.isEmpty():
+    usable = F.col("reject_reason").isNull()
+    enriched, seen = store.work(run_id, "enriched", enriched, usable=F.count_if(usable))
+    if not seen["usable"]:
         raise EmptyBatch(f"run {run_id}: no usable games")
+    good, bad = kept(enriched), rejected(enriched)
     staged = []
 
-    games = store.read("games")
     batch = last_wins(
         good.filter(has_store_data()).select("appid", *GAME_COLUMNS, "payload_id", "pos"),
         ["appid"],
         ["payload_id", "pos"],
     ).drop("payload_id", "pos")
-    batch = store.work(run_id, "games_batch", batch)
-    rows = batch.count()
-    if rows:
-        checks.require_none(
-            checks.length_violations(batch, MAX_LENGTHS["games"]), "games: text too long"
-        )
-        merged = upsert_current(games, batch, load_ts, small=rows <= SMALL_BATCH_ROWS)
-        staged.append(store.stage(run_id, "games", merged))
-        games = store.read_staged(staged[-1])
+    # At most one row per bucket; only these are read, merged and written again.
+    buckets = [row[0] for row in batch.select(bucket_of("games")).distinct().collect()]
+    games = store.read("games")
+    if buckets:
+        merged = upsert_current(store.read("games", buckets), batch, load_ts)
+        staged.append(store.stage(run_id, "games", merged, whole=False))
+        rest = [b for b in store.months("games") if b not in buckets]
+        games = store.read_staged(staged[-1]).unionByName(store.read("games", rest))
 
     if not day_is_stored(store, run_date):
         snapshots = snapshot_rows(good, run_date, load_ts)
@@ -110,12 +112,8 @@ def ingest(
             checks.unique_violations(snapshots, ["appid", "recorded_date"]),
             "snapshots: more than one row for a game and day",
         )
-        checks.require_none(
-            checks.length_violations(snapshots, MAX_LENGTHS["snapshots"]),
-            "snapshots: text too long",
-        )
 
-    bad = bad.withColumn("run_date", F.lit(run_date))
+    bad = bad.withColumns({"run_date": F.lit(run_date), "run_id": F.lit(run_id)})
     staged.append(store.stage(run_id, "rejects", bad, appended=True))
     store.publish(run_id, staged)
     return staged

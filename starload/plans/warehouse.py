@@ -20,7 +20,6 @@ from starload.operators.bookmark import (
 from starload.operators.facts import fact_delta, past_bookmark
 from starload.operators.keys import highest_key
 from starload.operators.merge import (
-    SMALL_BATCH_ROWS,
     advance_bookmark,
     insert_if_absent,
     keyed_names,
@@ -30,9 +29,9 @@ from starload.operators.merge import (
     upsert_scd1,
 )
 from starload.operators.names import bridge, list_names
-from starload.schemas import FACT, GAME_ATTRIBUTES, MAX_LENGTHS
+from starload.schemas import FACT, GAME_ATTRIBUTES
 from starload.sources.calendar import FIRST_DAY, LAST_DAY, calendar
-from starload.sources.store import Staged, Store
+from starload.sources.store import Staged, Store, bucket_of
 
 # list column in games, name dimension, its name and key columns, bridge table
 NAME_DIMENSIONS = [
@@ -50,6 +49,8 @@ def create_warehouse(
 ) -> list[Staged]:
     """Add the calendar days and the bookmark row that are missing."""
     store.refresh()
+    if store.is_published(run_id):
+        return []
     days = insert_if_absent(
         store.read("dim_date"), calendar(store.spark, start, end), ["full_date"]
     )
@@ -68,28 +69,29 @@ def load_dimensions(store: Store, run_id: str, load_ts: dt.datetime, mode: str)
     """`incremental` only narrows the game dimension to games updated since its last update.
 
     Names and bridges are always taken from all games. What is published already satisfies the
-    constraints, so only the rows a run adds are checked.
+    constraints, so only the rows a run adds are checked. A run that is already published is left
+    alone.
     """
     store.refresh()
+    if store.is_published(run_id):
+        return []
     games, dim = store.read("games"), store.read("dim_games")
     since = last_update(dim) if mode == "incremental" else None
     staged = []
     if mode == "initial" or since is not None:
         source = changed_since(games, since).select("appid", *GAME_ATTRIBUTES).distinct()
-        source = store.work(run_id, "games_source", source)
+        source, _ = store.work(run_id, "games_source", source)
         checks.require_none(
             checks.unique_violations(source, ["appid"]), "games: two different rows for a game"
         )
-        checks.require_none(checks.null_violations(source, ["name"]), "dim_games: required")
-        checks.require_none(
-            checks.length_violations(source, MAX_LENGTHS["dim_games"]), "dim_games: text too long"
-        )
-        rows = source.count()
-        if rows:
+        # At most one row per bucket; only these are read, merged and written again.
+        buckets = [row[0] for row in source.select(bucket_of("dim_games")).distinct().collect()]
+        if buckets:
             start = highest_key(dim, "game_key")
-            merged = upsert_scd1(dim, source, load_ts, start, small=rows <= SMALL_BATCH_ROWS)
-            staged.append(store.stage(run_id, "dim_games", merged))
-            dim = store.read_staged(staged[-1])
+            merged = upsert_scd1(store.read("dim_games", buckets), source, load_ts, start)
+            staged.append(store.stage(run_id, "dim_games", merged, whole=False))
+            rest = [b for b in store.months("dim_games") if b not in buckets]
+            dim = store.read_staged(staged[-1]).unionByName(store.read("dim_games", rest))
 
     def names(spec: tuple[str, str, str, str, str]) -> list[Staged]:
         return _load_names(store, run_id, load_ts, games, dim, *spec)
@@ -118,11 +120,8 @@ def _load_names(
     staged = []
     known = store.read(table)
     unseen = unseen_names(known, list_names(games, column, name), name)
-    unseen = store.work(run_id, table, unseen)
-    if not unseen.isEmpty():
-        checks.require_none(
-            checks.length_violations(unseen, MAX_LENGTHS[table]), f"{table}: text too long"
-        )
+    unseen, seen = store.work(run_id, table, unseen)
+    if seen["rows"]:
         fresh = keyed_names(unseen, name, key, load_ts, highest_key(known, key))
         staged.append(store.stage(run_id, table, fresh, appended=True))
         known = known.unionByName(store.read_staged(staged[-1]))
@@ -135,39 +134,39 @@ def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     """Load snapshots past the bookmark, then move it to the last snapshot day.
 
     The last day is read once, before the load, so snapshots that arrive meanwhile wait for the
-    next run. Facts and bookmark are published together.
+    next run. Facts and bookmark are published together. A run that is already published is left
+    alone.
     """
     store.refresh()
+    if store.is_published(run_id):
+        return []
     marks = store.read("etl_bookmark")
     low = read_bookmark(marks)
     months = store.months("snapshots")
     if not months:
         return []
     # The month is derived from the day, so the last day is in the last month.
-    high = last_day(store.read("snapshots", months=months[-1:]))
+    high = last_day(store.read("snapshots", parts=months[-1:]))
     wanted = [m for m in months if m >= low.year * 100 + low.month]
-    snapshots = past_bookmark(store.read("snapshots", months=wanted), low, high)
+    snapshots = past_bookmark(store.read("snapshots", parts=wanted), low, high)
     delta = fact_delta(snapshots, store.read("dim_games"), store.read("dim_date"))
     delta = delta.withColumn("created_at", timestamp(load_ts))
 
     staged = []
     added = store.stage(run_id, FACT, delta, appended=True)
-    touched = store.staged_months(added)
-    if touched:
-        new = store.read_staged(added)
+    if added.rows:
+        new, touched = store.read_staged(added), store.staged_months(added)
         checks.require_none(
             checks.unique_violations(new, ["game_key", "date_key"]),
             "facts: more than one row for a game and day",
         )
-        old = store.read(FACT, months=touched)
-        first_new = new.agg(F.min("date_key")).first()[0]
+        old = store.read(FACT, parts=touched)
         last_old = old.agg(F.max("date_key")).first()[0]
-        if last_old is None or last_old < first_new:
+        if last_old is None or last_old < added.first_day:
             # Every new day is later than every stored day: nothing to overwrite.
             staged.append(added)
         else:
-            small = new.count() <= SMALL_BATCH_ROWS
-            merged = upsert_fact(old, new.drop("created_at"), load_ts, small)
+            merged = upsert_fact(old, new.drop("created_at"), load_ts)
             staged.append(store.stage(f"{run_id}-merged", FACT, merged))
     staged.append(
         store.stage(run_id, "etl_bookmark", advance_bookmark(marks, FACT, high, load_ts))
@@ -177,7 +176,10 @@ def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
 
 
 def load_warehouse(store: Store, run_id: str, load_ts: dt.datetime) -> str:
-    """Dimensions first, then facts, each published on its own. Returns the load mode."""
+    """Dimensions first, then facts, each published on its own. Returns the load mode.
+
+    A step that fails is repeated by the same call: steps published before it are not run again.
+    """
     store.refresh()
     mode = choose_load_mode(store.read(FACT), store.read("dim_games"))
     load_dimensions(store, f"{run_id}-dims", load_ts, mode)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from starload.operators.facts import (
     past_bookmark,
     with_month,
 )
-from starload.operators.keys import assign_keys
+from starload.operators.keys import assign_keys, highest_key
 from starload.operators.merge import (
     advance_bookmark,
     insert_if_absent,
@@ -44,9 +45,15 @@ from starload.operators.merge import (
 from starload.operators.names import bridge, list_names
 from starload.plans import analytics, trends
 from starload.plans.ingest import ingest
-from starload.plans.warehouse import create_warehouse, load_dimensions, load_warehouse
+from starload.plans.warehouse import (
+    NAME_DIMENSIONS,
+    create_warehouse,
+    load_dimensions,
+    load_facts,
+    load_warehouse,
+)
 from starload.schemas import FACT, GAME_ATTRIBUTES, METRICS
-from starload.session import scratch_root, settle
+from starload.session import checkpointed, scratch_root, settle
 from starload.sources import standin
 from starload.sources.calendar import calendar, calendar_covering
 from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list
@@ -56,6 +63,7 @@ DAY_ONE = dt.datetime(2024, 1, 15)
 DAY_TWO = dt.datetime(2024, 3, 1)
 AS_OF = dt.date(2024, 1, 30)
 SPLIT = dt.date(1998, 12, 31)
+SHIP_DAYS = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))  # covers every line item
 
 
 @dataclass
@@ -72,11 +80,11 @@ def _dim_games(spark: SparkSession, games: DataFrame) -> DataFrame:
 
 
 def _shipments(spark: SparkSession, folder: str) -> Star:
-    """Star over line items; the calendar covers their ship dates."""
+    """Star over line items; games and their dimension are derived once, however often they are used."""
     lineitem = standin.table(spark, folder, "lineitem")
-    games = standin.games(standin.table(spark, folder, "part"))
-    dim = _dim_games(spark, games)
-    days = calendar_covering(lineitem, F.col("l_shipdate"))
+    games = checkpointed(standin.games(standin.table(spark, folder, "part")))
+    dim = checkpointed(_dim_games(spark, games))
+    days = calendar(spark, *SHIP_DAYS)
     return Star(games, dim, days, fact_delta(standin.shipment_snapshots(lineitem), dim, days))
 
 
@@ -84,13 +92,13 @@ def _activity(spark: SparkSession, folder: str) -> Star:
     """Star over events, with the default calendar."""
     snapshots = standin.event_snapshots(standin.table(spark, folder, "events"))
     games = standin.games(standin.table(spark, folder, "part"))
-    dim, days = _dim_games(spark, games), calendar(spark)
+    dim, days = checkpointed(_dim_games(spark, games)), calendar(spark)
     return Star(games, dim, days, fact_delta(snapshots, dim, days))
 
 
 def _names(spark: SparkSession, games: DataFrame, column: str, table: str, name: str, key: str):
     unseen = unseen_names(empty_table(spark, table), list_names(games, column, name), name)
-    return keyed_names(unseen, name, key, DAY_ONE)
+    return checkpointed(keyed_names(unseen, name, key, DAY_ONE))
 
 
 def _genres(spark: SparkSession, star: Star):
@@ -236,6 +244,10 @@ def c6_ingest_snapshots(spark, folder):
     )
 
 
+def p11_stored_rejects(spark, folder):
+    return _ingested(spark, folder).read("rejects").select("appid", "name", "reject_reason", "run_date", "run_id")
+
+
 # Dimensions -------------------------------------------------------------------------------
 
 
@@ -247,8 +259,9 @@ def s5_calendar(spark, folder):
 def m2_scd1(spark, folder):
     """Games of the first fortnight, then those updated after the dimension's last update."""
     games = standin.games(standin.table(spark, folder, "part"))
+    games = checkpointed(games)
     first = games.filter(F.col("updated_at") <= timestamp(DAY_ONE))
-    dim = _dim_games(spark, first)
+    dim = checkpointed(_dim_games(spark, first))
     changed = changed_since(games, last_update(dim))
     source = changed.select("appid", *GAME_ATTRIBUTES).withColumn("price_currency", F.lit("EUR"))
     resent = first.select("appid", *GAME_ATTRIBUTES).filter(F.col("short_description") == "PROMO")
@@ -275,6 +288,20 @@ def k1_dense_keys(spark, folder):
     )
 
 
+def k1_second_load(spark, folder):
+    """Orders of the first period get keys, then all others: each order's load, told from its key."""
+    lineitem = standin.table(spark, folder, "lineitem")
+    orders = lineitem.groupBy("l_orderkey").agg(F.min("l_shipdate").cast("date").alias("first_day"))
+    early = F.col("first_day") <= F.lit(SPLIT)
+    first = assign_keys(orders.filter(early).select("l_orderkey"), "l_orderkey", "order_key")
+    first = checkpointed(first)
+    start = highest_key(first, "order_key")
+    unseen = orders.select("l_orderkey").join(first, "l_orderkey", "left_anti")
+    both = first.unionByName(assign_keys(unseen, "l_orderkey", "order_key", start))
+    load = F.when(F.col("order_key") <= start, 1).otherwise(2)
+    return both.select("l_orderkey", load.alias("loaded_by"))
+
+
 def j6_unnest(spark, folder):
     games = standin.games(standin.table(spark, folder, "part"))
     return list_names(games, "publishers", "publisher_name", "appid")
@@ -337,32 +364,66 @@ def c5_fact_full(spark, folder):
     return _natural(star.fact, star.dim_games)
 
 
-def c5_fact_two_batches(spark, folder):
-    """Two loads through the store. Rows with line number 7 of the first period arrive late, after
-    the bookmark has passed them, and are never loaded."""
+def _delivered(spark, folder, first_part) -> tuple[Store, DataFrame]:
+    """A store with a warehouse, all games and the snapshots that `first_part` selects; all snapshots."""
     snapshots = standin.shipment_snapshots(standin.table(spark, folder, "lineitem"))
     snapshots = with_month(snapshots).select(
         "*", F.lit(None).cast("string").alias("name"), timestamp(DAY_ONE).alias("created_at")
     )
-    early = F.col("recorded_date") <= F.lit(SPLIT)
-    late = early & (F.col("userscore") == 7)
+    snapshots = snapshots.select(*empty_table(spark, "snapshots").columns)
     store = Store(spark, scratch_root(spark))
-    create_warehouse(store, DAY_ONE, dt.date(1995, 1, 1), dt.date(2001, 12, 31))
-    columns = empty_table(spark, "snapshots").columns
+    create_warehouse(store, DAY_ONE, *SHIP_DAYS)
     games = standin.games(standin.table(spark, folder, "part"))
     games = games.select(*empty_table(spark, "games").columns)
     first = [
         store.stage("raw-1", "games", games),
-        store.stage("raw-1", "snapshots", snapshots.filter(early & ~late).select(*columns), True),
+        store.stage("raw-1", "snapshots", snapshots.filter(first_part), True),
     ]
     store.publish("raw-1", first)
+    return store, snapshots
+
+
+def c5_fact_two_batches(spark, folder):
+    """Two loads through the store. Rows with line number 7 of the first period arrive late, after
+    the bookmark has passed them, and are never loaded."""
+    early = F.col("recorded_date") <= F.lit(SPLIT)
+    late = early & (F.col("userscore") == 7)
+    store, snapshots = _delivered(spark, folder, early & ~late)
     load_warehouse(store, "load-1", DAY_ONE)
-    rest = store.stage("raw-2", "snapshots", snapshots.filter(~early | late).select(*columns), True)
+    rest = store.stage("raw-2", "snapshots", snapshots.filter(~early | late), True)
     store.publish("raw-2", [rest])
     load_warehouse(store, "load-2", DAY_TWO)
     return _natural(store.read(FACT), store.read("dim_games"))
 
 
+def c5_retry_after_failure(spark, folder):
+    """The dimensions are loaded, the facts are lost on the way; the same call finishes the run."""
+    store, _ = _delivered(spark, folder, F.lit(True))
+    load_dimensions(store, "load-1-dims", DAY_ONE, "initial")
+    lost = store.read(FACT)
+    store.stage("load-1-facts", FACT, lost, True)
+    load_warehouse(store, "load-1", DAY_TWO)
+    load_warehouse(store, "load-1", DAY_TWO)
+    return _natural(store.read(FACT), store.read("dim_games"))
+
+
+def m4_load_overlap(spark, folder):
+    """The bookmark row is lost, so the second load takes all days and merges with the stored ones."""
+    early = F.col("recorded_date") <= F.lit(SPLIT)
+    store, snapshots = _delivered(spark, folder, early)
+    load_warehouse(store, "load-1", DAY_ONE)
+    reset = [
+        store.stage("reset", "etl_bookmark", empty_table(spark, "etl_bookmark")),
+        store.stage("reset", "snapshots", snapshots.filter(~early), True),
+    ]
+    store.publish("reset", reset)
+    load_facts(store, "load-2", DAY_TWO)
+    appids = store.read("dim_games").select("game_key", "appid")
+    return store.read(FACT).join(appids, "game_key").select(
+        "appid", "date_key", "ccu", F.col("created_at").cast("date").alias("created_on")
+    )
+
+
 def m4_upsert_fact(spark, folder):
     """Facts through 1998, then a second delivery from 1998 on that doubles the counts."""
     lineitem = standin.table(spark, folder, "lineitem")
@@ -438,7 +499,7 @@ def c2_changed_since(spark, folder):
 
 
 def c4_load_dimensions(spark, folder):
-    """Initial load of early games, then an incremental load of all: rows per published table."""
+    """Initial load of early games, then an incremental load of all: what all five tables hold."""
     games = standin.games(standin.table(spark, folder, "part"))
     games = games.select(*empty_table(spark, "games").columns)
     store = Store(spark, scratch_root(spark))
@@ -447,21 +508,20 @@ def c4_load_dimensions(spark, folder):
     load_dimensions(store, "dims-1", DAY_ONE, "initial")
     store.publish("raw-2", [store.stage("raw-2", "games", games)])
     load_dimensions(store, "dims-2", DAY_TWO, "incremental")
-    tables = [
-        "dim_games",
-        "dim_publishers",
-        "dim_genres",
-        "bridge_game_publishers",
-        "bridge_game_genres",
-    ]
-    counts = [
-        store.read(t).select(F.lit(t).alias("table_name")).groupBy("table_name").count()
-        for t in tables
+    appids = store.read("dim_games").select("game_key", "appid")
+
+    def rows(table: str, df: DataFrame, key: str, *details: str) -> DataFrame:
+        detail = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in details])
+        return df.select(F.lit(table).alias("table_name"), F.col(key).cast("string").alias("key"), detail.alias("detail"))
+
+    found = [
+        rows("dim_games", store.read("dim_games"), "appid", "name", "price_final", "short_description")
     ]
-    result = counts[0]
-    for more in counts[1:]:
-        result = result.unionByName(more)
-    return result.withColumnRenamed("count", "n")
+    for _, table, name, key, links in NAME_DIMENSIONS:
+        names = store.read(table).withColumn("created_on", F.col("created_at").cast("date"))
+        pairs = store.read(links).join(appids, "game_key").join(names, key)
+        found += [rows(table, names, name, "created_on"), rows(links, pairs, "appid", name)]
+    return reduce(DataFrame.unionByName, found)
 
 
 # Checks -----------------------------------------------------------------------------------
@@ -616,6 +676,7 @@ QUERIES = [
     s7_snapshot_guard, a7_last_wins, m1_upsert_games, c6_ingest_games, c6_ingest_snapshots,
     s5_calendar, m2_scd1, k1_dense_keys, j6_unnest, m3_publishers, m3_genres, m3_insert_if_absent,
     m6_bridge_publishers, m6_bridge_genres, c5_fact_full, c5_fact_two_batches, m4_upsert_fact,
+    c5_retry_after_failure, m4_load_overlap, p11_stored_rejects, k1_second_load,
     p9_past_bookmark, c5_calendar_drop, q5_orphans, m5_bookmark, c3_read_bookmark, c1_mode,
     c2_changed_since, c4_load_dimensions, q1_unique, q2_not_null, q3_reference, q4_length, q4_range,
     q6_cascade, g6_required, an1_series, an2_top10_weekday, an3_weekday, an4_total_series,

@@ -38,7 +38,7 @@ SCHEMAS = {
     "snapshots": """appid int, name string, score int, userscore int, owners string,
         average_playtime int, median_playtime int, ccu int, recorded_date date,
         created_at timestamp_ntz, ym int""",
-    "rejects": """appid int, name string, reject_reason string, run_date date""",
+    "rejects": """appid int, name string, reject_reason string, run_date date, run_id string""",
     "etl_bookmark": "table_name string, last_loaded_date date, updated_at timestamp_ntz",
     "dim_date": """date_key int, full_date date, day_of_week int, day_name string, month int,
         month_name string, quarter int, year int, is_weekend boolean, ym int""",
@@ -57,6 +57,10 @@ SCHEMAS = {
 # Stored one folder per month.
 MONTHLY = {"snapshots", "fact_game_metrics"}
 
+# Stored by a hash of a column in so many buckets: a batch rewrites only the buckets it touches. The
+# number is part of the layout of a store, so it is the same at every size.
+BUCKETED = {"games": ("appid", 32), "dim_games": ("appid", 32)}
+
 # Declared widths, keys, required columns and references (fixed values).
 MAX_LENGTHS = {
     "games": {"name": 500, "price_currency": 10, "release_date": 50},

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results, not speed.
 RESULT_SETTINGS = {
@@ -55,6 +55,23 @@ def local_session(cpus: int | str = 8, app: str = "starload", **conf: str) -> Sp
     return settle(spark)
 
 
+def apply_cluster_settings(spark: SparkSession) -> SparkSession:
+    """What a large cluster should run with; a setting the session was started with is kept."""
+    started = spark.sparkContext.getConf()
+    for name, value in CLUSTER_SETTINGS.items():
+        if not started.contains(name):
+            spark.conf.set(name, value)
+    return spark
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows, computed once and kept in the shared folder: a lost executor costs no recomputation."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """A new folder under the shared folder the cluster names; a local one only in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None)

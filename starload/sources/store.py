@@ -1,24 +1,28 @@
 """Tables under one shared folder, published all or nothing.
 
-A run writes each table it changes to a folder of its own, then appends one small file to
-`_published` that names them all. Readers follow that file, so they see every table of a run or
-none, and no folder that is being read is ever overwritten. A run that dies before the append
-leaves the previous state as it was and can be repeated under the same run id.
+A run writes each table it changes to a folder of its own, then writes one small state that names
+every folder in force. Readers take the newest state, so they see every table of a run or none, and
+no folder that is being read is ever overwritten. A run that dies before that leaves the previous
+state as it was and can be repeated under the same run id.
+
+Large tables are kept in parts, months or hash buckets, and a run rewrites only the parts it touches.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starload.schemas import MONTHLY, SCHEMAS
+from starload.operators.checks import CheckFailed
+from starload.schemas import BUCKETED, MAX_LENGTHS, MONTHLY, REQUIRED, SCHEMAS
 
-PUBLISHED = "seq bigint, run_id string, table_name string, path string, ym int, appended boolean"
+STATE = "seq bigint, run_id string, table_name string, path string, part int, appended boolean"
+KEPT_RUNS = 1000  # run ids remembered, so that a repeat of a recent run changes nothing
 
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
@@ -28,6 +32,24 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.range(1).select(*nulls).filter(F.lit(False))
 
 
+def bucket_of(table: str) -> Column:
+    """The part of a bucketed table that a row belongs to."""
+    key, buckets = BUCKETED[table]
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def observed(seen: Observation, written: DataFrame, figures: list[Column]) -> dict:
+    """What was counted while writing; from the files where the planner has cut an empty plan short."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return written.agg(*figures).first().asDict()
+
+
+class Overlap(ValueError):
+    """Another run has replaced what this one was derived from; nothing was published."""
+
+
 @dataclass(frozen=True)
 class Staged:
     """One table written by a run, not visible yet."""
@@ -35,6 +57,48 @@ class Staged:
     table: str
     path: str
     appended: bool
+    whole: bool = False  # replaces the whole table, not only the parts it holds
+    base: int = 0  # the state it was derived from
+    rows: int = 0
+    first_day: int | None = None  # smallest date_key, of facts
+
+
+@dataclass(frozen=True)
+class Entry:
+    seq: int
+    run_id: str
+    table_name: str
+    path: str
+    part: int | None
+    appended: bool
+
+
+@dataclass
+class State:
+    seq: int = 0
+    entries: list[Entry] = field(default_factory=list)  # in force, oldest first
+    runs: list[Entry] = field(default_factory=list)  # one for each published run
+
+    def after(self, seq: int, run_id: str, staged: list[Staged], parts: dict[str, list[int | None]]):
+        entries = list(self.entries)
+        for item in staged:
+            held = parts[item.path]
+            if not item.appended:
+                gone = lambda e: e.table_name == item.table and (item.whole or e.part in held)  # noqa: B023, E731
+                entries = [e for e in entries if not gone(e)]
+            entries += [
+                Entry(seq, run_id, item.table, _folder(item, part), part, item.appended) for part in held
+            ]
+        runs = [*self.runs, Entry(seq, run_id, "", "", None, False)][-KEPT_RUNS:]
+        return State(seq, entries, runs)
+
+
+def _folder(item: Staged, part: int | None) -> str:
+    return item.path if part is None else f"{item.path}/{part_column(item.table)}={part}"
+
+
+def part_column(table: str) -> str | None:
+    return "ym" if table in MONTHLY else "bucket" if table in BUCKETED else None
 
 
 class Store:
@@ -43,34 +107,50 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(self.root).getFileSystem(conf)
         self.refresh()
 
     # Reading ------------------------------------------------------------------------------
 
-    def refresh(self) -> None:
-        """See what other runs have published. The log grows with runs and months, not with rows."""
+    def _names(self, folder: str) -> list[str]:
         try:
-            log = self.spark.read.schema(PUBLISHED).parquet(f"{self.root}/_published")
-            self._log = sorted(log.collect(), key=lambda entry: (entry.seq, entry.run_id))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            return [status.getPath().getName() for status in self._files.listStatus(self._path(folder))]
+        except Py4JJavaError as error:
+            if "FileNotFoundException" not in error.java_exception.getClass().getName():
                 raise
-            self._log = []
+            return []
+
+    def _states(self) -> list[int]:
+        names = self._names(f"{self.root}/_published")
+        return sorted(int(name.removeprefix("seq=")) for name in names if name.startswith("seq="))
+
+    def refresh(self) -> None:
+        """See what other runs have published: the newest complete state, whatever came before it."""
+        for seq in reversed(self._states()):
+            folder = f"{self.root}/_published/seq={seq}"
+            if "_SUCCESS" in self._names(folder):
+                rows = self.spark.read.schema(STATE).parquet(f"{folder}/*.parquet").collect()
+                found = sorted((Entry(**row.asDict()) for row in rows), key=lambda e: (e.seq, e.run_id))
+                tables = [e for e in found if e.table_name]
+                self._state = State(seq, tables, [e for e in found if not e.table_name])
+                return
+        self._state = State()
 
     def _live(self, table: str) -> dict[int | None, list[str]]:
-        """Folders that make up a table, per month: all since the month's last full write."""
+        """Folders that make up a table, by part."""
         live: dict[int | None, list[str]] = {}
-        for entry in self._log:
+        for entry in self._state.entries:
             if entry.table_name == table:
-                before = live.get(entry.ym, []) if entry.appended else []
-                live[entry.ym] = [*before, entry.path]
+                live.setdefault(entry.part, []).append(entry.path)
         return live
 
-    def read(self, table: str, months: list[int] | None = None) -> DataFrame:
-        """The published table, with its declared schema; empty when nothing is published."""
+    def read(self, table: str, parts: list[int] | None = None) -> DataFrame:
+        """The published table, or these months or buckets of it, with its declared schema."""
         live = self._live(table)
-        chosen = live if months is None else [m for m in live if m in months]
-        return self._load(table, [path for month in chosen for path in live[month]])
+        chosen = live if parts is None else [p for p in live if p in parts]
+        return self._load(table, [path for part in chosen for path in live[part]])
 
     def months(self, table: str) -> list[int]:
         return sorted(self._live(table))
@@ -90,66 +170,133 @@ class Store:
     def _load(self, table: str, paths: list[str]) -> DataFrame:
         if not paths:
             return empty_table(self.spark, table)
-        reader = self.spark.read.schema(SCHEMAS[table])
-        if table not in MONTHLY:
-            return reader.parquet(*paths)
+        column = part_column(table)
         # The month comes from the folder name; folders of several runs are one scan.
-        based = reader.option("basePath", f"{self.root}/{table}")
-        return based.parquet(*paths).drop("run")
+        schema = SCHEMAS[table] if table in MONTHLY or not column else f"{SCHEMAS[table]}, {column} int"
+        reader = self.spark.read.schema(schema)
+        if not column:
+            return reader.parquet(*paths)
+        rows = reader.option("basePath", f"{self.root}/{table}").parquet(*paths).drop("run")
+        return rows if table in MONTHLY else rows.drop(column)
 
     def is_published(self, run_id: str) -> bool:
-        return any(entry.run_id == run_id for entry in self._log)
+        return any(entry.run_id == run_id for entry in self._state.runs)
 
     # Writing ------------------------------------------------------------------------------
 
-    def work(self, run_id: str, name: str, df: DataFrame) -> DataFrame:
-        """Write an intermediate result once and read it back: several sinks, one computation."""
+    def work(self, run_id: str, name: str, df: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
+        """Write an intermediate result once and read it back, with figures counted meanwhile."""
         path = f"{self.root}/_work/run={run_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        seen, figures = Observation(), [F.count("*").alias("rows"), *[c.alias(n) for n, c in counts.items()]]
+        df.observe(seen, *figures).write.mode("overwrite").parquet(path)
+        written = self.spark.read.schema(df.schema).parquet(path)
+        return written, observed(seen, written, figures)
+
+    def stage(
+        self, run_id: str, table: str, df: DataFrame, appended: bool = False, whole: bool | None = None
+    ) -> Staged:
+        """Write a table to the run's own folder, counting its rows and checking its columns.
 
-    def stage(self, run_id: str, table: str, df: DataFrame, appended: bool = False) -> Staged:
-        """Write a table to the run's own folder. `appended` adds to what is published."""
+        `appended` adds to what is published; else months are replaced one by one and other tables as
+        a whole, unless `whole` says otherwise. A required column with NULLs, a text longer than
+        declared or a row without a part ends the run.
+        """
         if self.is_published(run_id):
             raise ValueError(f"run {run_id} is already published")
-        path = f"{self.root}/{table}/run={run_id}"
-        if table in MONTHLY:
-            # Whole months to a task, big months split by AQE: few, even files and no hot writer.
-            sort = [c for c in ("ym", "game_key", "appid", "date_key") if c in df.columns]
-            df = df.hint("rebalance", "ym").sortWithinPartitions(*sort)
-            df.write.mode("overwrite").partitionBy("ym").parquet(path)
+        path, column = f"{self.root}/{table}/run={run_id}", part_column(table)
+        if table in BUCKETED:
+            df = df.withColumn(column, bucket_of(table))
+        faults = {
+            **{f"{c}: required": F.col(c).isNull() for c in REQUIRED.get(table, [])},
+            **{f"{c}: text too long": F.char_length(c) > n for c, n in MAX_LENGTHS.get(table, {}).items()},
+        }
+        if column:
+            faults[f"{column}: required"] = F.col(column).isNull()
+        figures = [F.count("*").alias("rows"), *[F.count_if(fault).alias(name) for name, fault in faults.items()]]
+        if "date_key" in df.columns:
+            figures.append(F.min("date_key").alias("first_day"))
+        seen = Observation()
+        df = df.observe(seen, *figures)
+        if column:
+            # Whole parts to a task, big ones split by AQE: few, even files and no hot writer.
+            sort = [c for c in (column, "game_key", "appid", "date_key") if c in df.columns]
+            df = df.hint("rebalance", column).sortWithinPartitions(*sort)
+            df.write.mode("overwrite").partitionBy(column).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
-        return Staged(table, path, appended)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        found = observed(seen, self.spark.read.schema(schema).parquet(path), figures)
+        wrong = {name: found[name] for name in faults if found[name]}
+        if wrong:
+            raise CheckFailed(f"{table}: {wrong}")
+        replaces = not appended and (table not in MONTHLY if whole is None else whole)
+        first_day = found.get("first_day")
+        return Staged(table, path, appended, replaces, self._state.seq, found["rows"], first_day)
 
     def staged_months(self, staged: Staged) -> list[int]:
-        """Months a staged table holds; at most one row per calendar month."""
-        rows = self.read_staged(staged).select("ym").distinct().collect()
-        return sorted(row.ym for row in rows)
+        """Parts a staged table holds, from its folder names."""
+        column = part_column(staged.table)
+        names = self._names(staged.path)
+        return sorted(int(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}="))
 
     def publish(self, run_id: str, staged: list[Staged]) -> None:
-        """Make every staged table visible at once."""
+        """Make every staged table visible at once.
+
+        Refused if another run has meanwhile replaced, or added to, what a staged table replaces.
+        """
+        if not staged:
+            return
         self.refresh()
-        last = max((entry.seq for entry in self._log), default=0)
-        entries = [self._entry(last + 1, run_id, item) for item in staged]
-        if entries:
-            log = reduce(DataFrame.unionByName, entries).coalesce(1)
-            log.write.mode("append").parquet(f"{self.root}/_published")
-            self.refresh()
-
-    def _entry(self, seq: int, run_id: str, item: Staged) -> DataFrame:
-        """What the log says of one table: a row, or a row for each month it holds."""
-        if item.table in MONTHLY:
-            months = self.read_staged(item).select("ym").distinct()
-            path, ym = F.concat(F.lit(f"{item.path}/ym="), F.col("ym")), F.col("ym")
-        else:
-            months = self.spark.range(1)
-            path, ym = F.lit(item.path), F.lit(None).cast("int")
-        return months.select(
-            F.lit(seq).cast("bigint").alias("seq"),
-            F.lit(run_id).alias("run_id"),
-            F.lit(item.table).alias("table_name"),
-            path.alias("path"),
-            ym.alias("ym"),
-            F.lit(item.appended).alias("appended"),
-        )
+        parts = {i.path: self.staged_months(i) if part_column(i.table) else [None] for i in staged}
+        for item in staged:
+            touched = [
+                e
+                for e in self._state.entries
+                if e.table_name == item.table and (item.whole or e.part in parts[item.path])
+            ]
+            if not item.appended and any(e.seq > item.base for e in touched):
+                raise Overlap(f"run {run_id}: {item.table} has changed since state {item.base}")
+        seq = max(self._states(), default=0) + 1
+        state = self._state.after(seq, run_id, staged, parts)
+        rows = [
+            (e.seq, e.run_id, e.table_name, e.path, e.part, e.appended) for e in (*state.entries, *state.runs)
+        ]
+        try:
+            self.spark.createDataFrame(rows, STATE).coalesce(1).write.parquet(f"{self.root}/_published/seq={seq}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise Overlap(f"run {run_id}: another run is publishing") from error
+        self.refresh()
+        if not self.is_published(run_id):
+            raise Overlap(f"run {run_id}: another run has published meanwhile")
+
+    # Upkeep -------------------------------------------------------------------------------
+
+    def compact(self, table: str, part: int, run_id: str) -> None:
+        """Write one month or bucket that several runs have added to as a single folder."""
+        self.refresh()
+        if not self.is_published(run_id) and len(self._live(table).get(part, [])) > 1:
+            self.publish(run_id, [self.stage(run_id, table, self.read(table, [part]), whole=False)])
+
+    def clean(self, states: int = 10) -> list[str]:
+        """Remove run folders that none of the newest states names, older states and all intermediate results.
+
+        Call it while no run is under way: what a run has staged is not named yet.
+        """
+        self.refresh()
+        kept = self._states()[-states:]
+        named = set()
+        for seq in kept:
+            rows = self.spark.read.schema(STATE).parquet(f"{self.root}/_published/seq={seq}/*.parquet")
+            named |= {r.path.split("/run=")[1].split("/")[0] + "/" + r.table_name for r in rows.where("path <> ''").collect()}
+        gone = [f"_published/seq={seq}" for seq in self._states()[: -len(kept) or None] if seq not in kept]
+        for table in SCHEMAS:
+            for name in self._names(f"{self.root}/{table}"):
+                if name.startswith("run=") and f"{name.removeprefix('run=')}/{table}" not in named:
+                    gone.append(f"{table}/{name}")
+        if self._names(f"{self.root}/_work"):
+            gone.append("_work")
+        for name in gone:
+            self._files.delete(self._path(f"{self.root}/{name}"), True)
+        return gone

@@ -9,35 +9,62 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators import checks
 from starload.operators.facts import guard_days, with_month
 from starload.operators.merge import timestamp
 from starload.plans.warehouse import load_facts
+from starload.schemas import MAX_LENGTHS, REQUIRED
 from starload.sources.store import Store, empty_table
 
 ARRIVING = """appid int, name string, score int, userscore int, owners string,
     average_playtime int, median_playtime int, ccu int, recorded_date date"""
 
 
+def _reason(columns: dict[str, int]) -> Column:
+    """Why an arriving row cannot be stored, NULL if it can: a required column, then a text."""
+    required = [F.when(F.col(c).isNull(), F.lit(f"no_{c}")) for c in REQUIRED["snapshots"]]
+    texts = [F.when(F.char_length(c) > n, F.lit(f"long_{c}")) for c, n in columns.items()]
+    return F.coalesce(*required, *texts)
+
+
 def store_arrivals(store: Store, batch: DataFrame, run_id: str, load_ts: dt.datetime) -> None:
-    """Publish the snapshots of days not stored yet."""
+    """Publish the snapshots of days not stored yet; rows that cannot be stored go to the rejects.
+
+    Those lack the game's number or the day, name a game that is not stored, or hold a text longer
+    than declared. One of them does not keep the others back.
+    """
     store.refresh()
     if store.is_published(run_id):
         return
-    batch = store.work(run_id, "arrivals", with_month(batch))
+    games = store.read("games").select("appid", F.lit(True).alias("known"))
+    judged = with_month(batch).withColumn("reject_reason", _reason(MAX_LENGTHS["snapshots"]))
+    judged = judged.join(games, "appid", "left").withColumn(
+        "reject_reason",
+        F.coalesce("reject_reason", F.when(F.col("known").isNull(), F.lit("no_game"))),
+    )
+    judged, _ = store.work(run_id, "arrivals", judged.drop("known"))
+    sound = judged.filter("reject_reason is null").drop("reject_reason")
     # Months of the batch only; at most one row per calendar month.
-    months = [row.ym for row in batch.select("ym").distinct().collect()]
-    fresh = guard_days(batch, store.read("snapshots", months))
+    months = [row.ym for row in sound.select("ym").distinct().collect()]
+    fresh = guard_days(sound, store.read("snapshots", months))
+    fresh = fresh.withColumn("created_at", timestamp(load_ts))
+    columns = [F.col(c) for c in empty_table(store.spark, "snapshots").columns]
+    added = store.stage(run_id, "snapshots", fresh.select(*columns), appended=True)
     checks.require_none(
-        checks.unique_violations(fresh, ["appid", "recorded_date"]),
+        checks.unique_violations(store.read_staged(added), ["appid", "recorded_date"]),
         "snapshots: more than one row for a game and day",
     )
-    fresh = fresh.withColumn("created_at", timestamp(load_ts))
-    columns = [F.col(c) for c in empty_table(store.spark, "snapshots").columns]
-    store.publish(run_id, [store.stage(run_id, "snapshots", fresh.select(*columns), appended=True)])
+    lost = judged.filter("reject_reason is not null").select(
+        "appid",
+        F.left("name", F.lit(MAX_LENGTHS["snapshots"]["name"])).alias("name"),
+        "reject_reason",
+        F.lit(load_ts.date()).alias("run_date"),
+        F.lit(run_id).alias("run_id"),
+    )
+    store.publish(run_id, [added, store.stage(run_id, "rejects", lost, appended=True)])
 
 
 def load_arrivals(
@@ -48,9 +75,7 @@ def load_arrivals(
 
     def each(batch: DataFrame, number: int) -> None:
         store_arrivals(store, batch, f"{name}-{number}", load_ts)
-        store.refresh()
-        if not store.is_published(f"{name}-{number}-facts"):
-            load_facts(store, f"{name}-{number}-facts", load_ts)
+        load_facts(store, f"{name}-{number}-facts", load_ts)
 
     query = (
         stream.writeStream.foreachBatch(each)

@@ -301,8 +301,8 @@ def test_duplicate_snapshots_stop_the_fact_load(ready, make):
     ],
 )
 def test_bad_games_stop_the_dimension_load(store, make, rows, message):
-    store.publish("g", [store.stage("g", "games", make("games", *rows))])
     with pytest.raises(CheckFailed, match=message):
+        store.publish("g", [store.stage("g", "games", make("games", *rows))])
         load_dimensions(store, "dims", T1, "initial")
     assert store.read("dim_games").isEmpty() and store.read("dim_genres").isEmpty()
 
@@ -311,3 +311,32 @@ def test_incremental_without_a_last_update_skips_the_game_dimension(store, make)
     put_games(store, make, "g", 1)
     load_dimensions(store, "dims", T1, "incremental")
     assert store.read("dim_games").isEmpty()
+
+
+def test_a_failed_step_is_finished_by_the_same_call(spark, store, monkeypatch):
+    from starload.plans import warehouse
+
+    create_warehouse(store, T1)
+    create_warehouse(store, T2)
+    run(spark, store, DAY1, T1, "d1")
+    snapshots = rows_of(store.read("snapshots"))
+    assert run(spark, store, DAY2, T2, "d1") == [] and rows_of(store.read("snapshots")) == snapshots
+    plain = warehouse.fact_delta
+    monkeypatch.setattr(warehouse, "fact_delta", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        load_warehouse(store, "w1", T1)
+    assert store.read("dim_games").count() == 2 and store.read(FACT).isEmpty()
+    monkeypatch.setattr(warehouse, "fact_delta", plain)
+    for _ in range(2):
+        load_warehouse(store, "w1", T2)
+        assert facts_of(store) == [(1, 20240101, 10, T2), (2, 20240101, 20, T2)]
+        assert bookmark_of(store) == T1.date()
+        assert rows_of(store.read("dim_games"), "updated_at") == [(T1,), (T1,)]
+
+
+def test_responses_that_landed_twice_count_once(spark, store):
+    top, details, counts = payloads(spark, DAY1)
+    failed = spark.createDataFrame([(1, "not json")], "appid int, body string")
+    ingest(store, top, details.union(details).union(failed), counts.union(counts), T1.date(), T1, "d1")
+    assert rows_of(store.read("snapshots"), "appid", "ccu") == [(1, 10), (2, 20)]
+    assert store.read("rejects").isEmpty()

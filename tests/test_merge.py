@@ -19,7 +19,6 @@ from starload.operators.merge import (
 )
 from starload.schemas import GAME_ATTRIBUTES, GAME_COLUMNS
 
-BOTH = pytest.mark.parametrize("small", [False, True])
 FEW = settings(
     max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
@@ -29,15 +28,14 @@ def batch_of(make, *rows):
     return make("games", *rows).select("appid", *GAME_COLUMNS)
 
 
-@BOTH
-def test_upsert_current(make, small):
+def test_upsert_current(make):
     base = make(
         "games",
         {"appid": 1, "name": "a", "price_final": 100, "created_at": T1, "updated_at": T1},
         {"appid": 2, "name": "b", "price_final": 5, "created_at": T1, "updated_at": T1},
     )
     batch = batch_of(make, {"appid": 1, "name": "a2"}, {"appid": 3, "name": "c"})
-    merged = upsert_current(base, batch, T2, small)
+    merged = upsert_current(base, batch, T2)
     assert rows_of(merged, "appid", "name", "price_final", "created_at", "updated_at") == [
         (1, "a2", None, T1, T2),
         (2, "b", 5, T1, T1),
@@ -45,12 +43,11 @@ def test_upsert_current(make, small):
     ]
 
 
-@BOTH
-def test_upsert_current_empty_sides(make, small):
+def test_upsert_current_empty_sides(make):
     row = {"appid": 1, "name": "a", "created_at": T1, "updated_at": T1}
     none, one = make("games"), make("games", row)
-    assert rows_of(upsert_current(none, batch_of(make, row), T1, small)) == rows_of(one)
-    assert rows_of(upsert_current(one, batch_of(make), T2, small)) == rows_of(one)
+    assert rows_of(upsert_current(none, batch_of(make, row), T1)) == rows_of(one)
+    assert rows_of(upsert_current(one, batch_of(make), T2)) == rows_of(one)
 
 
 games_strategy = st.dictionaries(
@@ -79,25 +76,23 @@ def test_upsert_current_against_a_dict(make, old, new):
         key=lambda r: tuple(map(str, r)),
     )
     columns = ["appid", "name", "price_final", "created_at", "updated_at"]
-    for small in (False, True):
-        once = upsert_current(base, batch, T2, small)
-        assert rows_of(once, *columns) == expected
-        assert rows_of(upsert_current(once, batch, T2, small), *columns) == expected
+    once = upsert_current(base, batch, T2)
+    assert rows_of(once, *columns) == expected
+    assert rows_of(upsert_current(once, batch, T2), *columns) == expected
 
 
 def source_of(make, *rows):
     return make("dim_games", *rows).select("appid", *GAME_ATTRIBUTES)
 
 
-@BOTH
-def test_upsert_scd1(make, small):
+def test_upsert_scd1(make):
     dim = upsert_scd1(
         make("dim_games"), source_of(make, *[{"appid": i, "name": f"g{i}"} for i in (10, 20, 30)]), T1, 0
     )
     before = {r.appid: r.game_key for r in dim.collect()}
     assert sorted(before.values()) == [1, 2, 3]
     source = source_of(make, {"appid": 20, "name": "new"}, {"appid": 40, "name": "g40"})
-    merged = upsert_scd1(dim, source, T2, highest_key(dim, "game_key"), small)
+    merged = upsert_scd1(dim, source, T2, highest_key(dim, "game_key"))
     assert rows_of(merged, "appid", "game_key", "name", "created_at", "updated_at") == [
         (10, before[10], "g10", T1, T1),
         (20, before[20], "new", T1, T2),
@@ -161,18 +156,17 @@ def test_last_wins_hot_key(spark):
     assert got[0] == 19998 and len(got) == 13334
 
 
-@BOTH
-def test_upsert_fact(make, small):
+def test_upsert_fact(make):
     def fact(game, day, ccu, at=None):
         return {"game_key": game, "date_key": day, "ccu": ccu, "created_at": at, "ym": day // 100}
 
     old = make("fact_game_metrics", fact(1, 20240101, 5, T1), fact(2, 20240101, 6, T1))
     delta = make("fact_game_metrics", fact(1, 20240101, None), fact(1, 20240102, 7)).drop("created_at")
-    merged = upsert_fact(old, delta, T2, small)
+    merged = upsert_fact(old, delta, T2)
     expected = [(1, 20240101, None, T1), (1, 20240102, 7, T2), (2, 20240101, 6, T1)]
     columns = ["game_key", "date_key", "ccu", "created_at"]
     assert rows_of(merged, *columns) == expected
-    assert rows_of(upsert_fact(merged, delta, T3, small), *columns) == expected
+    assert rows_of(upsert_fact(merged, delta, T3), *columns) == expected
 
 
 def test_advance_bookmark_updates_only(make):

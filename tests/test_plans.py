@@ -7,14 +7,16 @@ import pytest
 from conftest import DATA, T1
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
+from starload import registry
 from starload.operators.facts import past_bookmark
-from starload.operators.merge import upsert_current, upsert_scd1
+from starload.operators.keys import assign_keys
+from starload.operators.merge import upsert_current
 from starload.operators.names import bridge
 from starload.plans import analytics
-from starload.schemas import FACT, GAME_ATTRIBUTES, GAME_COLUMNS
+from starload.schemas import FACT, GAME_COLUMNS
 from starload.sources import standin
 from starload.sources.calendar import calendar
+from starload.sources.store import bucket_of
 
 D = dt.date
 STORED = {"c6_ingest_games", "c6_ingest_snapshots", "c5_fact_two_batches", "c4_load_dimensions"}
@@ -24,6 +26,10 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def final_plan(plan):
+    return plan.split("== Initial Plan ==")[0]
+
+
 def exchanges(plan):
     return len(re.findall(r"[^d]Exchange hashpartitioning", plan))
 
@@ -54,9 +60,9 @@ def published(spark, store, make):
     return store
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries().keys() - STORED))
+@pytest.mark.parametrize("name", sorted(registry.queries().keys() - STORED))
 def test_no_cross_joins_no_python_no_global_windows(spark, name):
-    plan = plan_of(entry_point.queries()[name](spark, DATA))
+    plan = plan_of(registry.queries()[name](spark, DATA))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Python" not in plan and "Pandas" not in plan
     for window in re.findall(r"Window \[.*", plan):
@@ -101,15 +107,18 @@ def test_bookmark_reaches_the_scan(store, make):
     assert re.search(r"PartitionFilters: \[[^\]]*ym#\d+ >= 202401", plan)
 
 
-def test_untouched_rows_are_not_shuffled(store, make):
+def test_a_merge_reads_the_touched_buckets_only(store, make):
     base = [{"appid": a, "name": f"g{a}", "created_at": T1, "updated_at": T1} for a in range(50)]
     store.publish("a", [store.stage("a", "games", make("games", *base))])
     batch = make("games", {"appid": 3, "name": "x"}).select("appid", *GAME_COLUMNS)
-    merged = upsert_current(store.read("games"), batch, T1, small=True)
-    plan = plan_of(merged)
-    assert re.search(r"BroadcastHashJoin \[appid#\d+\], \[appid#\d+\], LeftAnti", plan)
-    untouched = plan[plan.index("LeftAnti") :]
-    assert "Exchange hashpartitioning" not in untouched
+    [row] = batch.select(bucket_of("games")).collect()
+    assert 1 < len(store.months("games")) <= 32
+    merged = upsert_current(store.read("games", [row[0]]), batch, T1)
+    staged = store.stage("b", "games", merged, whole=False)
+    assert store.staged_months(staged) == [row[0]] and staged.rows < 10
+    store.publish("b", [staged])
+    assert store.read("games").count() == 50
+    assert [r.name for r in store.read("games").filter("appid = 3").collect()] == ["x"]
 
 
 def test_bridge_distinct_reuses_the_partitioning(spark, shuffled):
@@ -139,10 +148,10 @@ def test_hot_name_is_split(spark, shuffled, store):
         ids = spark.range(60000)
         name = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("id") % 500))
         games = ids.select(F.col("id").cast("int").alias("appid"), F.to_json(F.array(name)).alias("publishers"))
-        games = store.work("x", "games", games)
-        dim_games = store.work("x", "dim", games.select("appid", F.col("appid").cast("bigint").alias("game_key")))
+        games = store.work("x", "games", games)[0]
+        dim_games = store.work("x", "dim", games.select("appid", F.col("appid").cast("bigint").alias("game_key")))[0]
         names = games.select(F.get_json_object("publishers", "$[0]").alias("publisher_name")).distinct()
-        dim = store.work("x", "names", names.withColumn("publisher_key", F.xxhash64("publisher_name")))
+        dim = store.work("x", "names", names.withColumn("publisher_key", F.xxhash64("publisher_name")))[0]
         pairs = bridge(games, dim_games, dim, "publishers", "publisher_name", "publisher_key")
         rows = pairs.collect()
         assert len(rows) == 60000
@@ -152,12 +161,20 @@ def test_hot_name_is_split(spark, shuffled, store):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_new_games_get_keys_without_touching_the_rest(store, make):
-    games = [{"game_key": a, "appid": a, "name": f"g{a}"} for a in range(1, 20)]
-    store.publish("a", [store.stage("a", "dim_games", make("dim_games", *games))])
-    source = make("games", {"appid": 3, "name": "x"}, {"appid": 99, "name": "y"}).select("appid", *GAME_ATTRIBUTES)
-    plan = plan_of(upsert_scd1(store.read("dim_games"), source, T1, 19, small=True))
-    assert "LeftAnti" in plan and "LeftSemi" in plan
+def test_keys_come_from_one_scan_and_shuffle(spark, shuffled, store):
+    rows, _ = store.work("x", "names", spark.range(5000).withColumn("name", F.concat(F.lit("n"), "id")).select("name"))
+    keyed = assign_keys(rows, "name", "key")
+    keyed.collect()
+    plan = plan_of(keyed)
+    assert "ReusedExchange" in plan
+    assert len(re.findall(r"^.*\bExchange hashpartitioning\(_bucket", final_plan(plan), re.M)) == 1
+
+
+def test_one_game_series_does_not_shuffle_the_facts(published, shuffled):
+    found = analytics.game_series(
+        published.read(FACT), published.read("dim_games"), published.read("dim_date"), 2, D(2024, 3, 31), 60
+    )
+    assert "hashpartitioning" not in plan_of(found)
 
 
 def test_sql_over_the_views(spark, published):

@@ -3,8 +3,9 @@ import datetime as dt
 import pytest
 from conftest import T1, rows_of
 
+from starload.operators.checks import CheckFailed
 from starload.schemas import FACT
-from starload.sources.store import Store
+from starload.sources.store import Overlap, Store, bucket_of
 
 
 def fact(make, *rows):
@@ -82,3 +83,60 @@ def test_types_survive(store, make):
 def test_publishing_empty_tables(store, make):
     store.publish("a", [store.stage("a", FACT, fact(make)), store.stage("a", "games", make("games"))])
     assert store.read(FACT).isEmpty() and store.read("games").isEmpty()
+
+
+def test_rows_without_a_part_or_a_required_value_are_refused(store, make):
+    for table, row in [("snapshots", {"appid": 1, "ym": None}), ("games", {"name": "x"}), (FACT, {"game_key": 1, "ym": 202401})]:
+        with pytest.raises(CheckFailed, match="required"):
+            store.stage("a", table, make(table, row), appended=True)
+    with pytest.raises(CheckFailed, match="too long"):
+        store.stage("a", "games", make("games", {"appid": 1, "name": "x" * 501}))
+    assert store.read("snapshots").isEmpty() and store.months("snapshots") == []
+
+
+def test_an_overlapping_writer_is_refused(spark, store, make):
+    other = Store(spark, store.root)
+    staged = store.stage("a", "games", make("games", {"appid": 1}, {"appid": 2}))
+    other.publish("b", [other.stage("b", "games", make("games", {"appid": 1}, {"appid": 3}))])
+    with pytest.raises(Overlap, match="games has changed"):
+        store.publish("a", [staged])
+    assert rows_of(store.read("games"), "appid") == [(1,), (3,)]
+    # Other tables, and other buckets of the same one, do not matter.
+    ids = {r.appid: r.b for r in make("games", *[{"appid": a} for a in range(1, 9)]).select("appid", bucket_of("games").alias("b")).collect()}
+    apart = next(a for a in ids if ids[a] not in (ids[1], ids[3]))
+    staged = store.stage("c", "games", make("games", {"appid": apart}), whole=False)
+    other.refresh()
+    other.publish("d", [other.stage("d", "games", make("games", {"appid": 1, "name": "new"}), whole=False)])
+    store.publish("c", [staged])
+    assert (1, "new") in rows_of(store.read("games"), "appid", "name")
+    assert (apart, None) in rows_of(store.read("games"), "appid", "name")
+
+
+def test_rows_are_counted(store, make):
+    assert store.stage("a", "games", make("games", {"appid": 1}, {"appid": 2})).rows == 2
+    assert store.stage("a", FACT, fact(make, (1, 20240105, 1), (1, 20240103, 1)), True).first_day == 20240103
+    assert store.stage("a", FACT, fact(make), True).rows == 0
+
+
+def test_compaction_and_cleaning_bound_the_store(spark, store, make):
+    for k in range(1, 13):
+        store.publish(f"r{k}", [store.stage(f"r{k}", FACT, fact(make, (1, 20240100 + k, k)), True)])
+    before = facts_of(store)
+    assert len(store._live(FACT)[202401]) == 12
+    store.compact(FACT, 202401, "c1")
+    assert len(store._live(FACT)[202401]) == 1 and facts_of(store) == before
+    store.work("x", "y", make("games"))
+    gone = store.clean(states=1)
+    assert f"{FACT}/run=r1" in gone and "_work" in gone and len([g for g in gone if g.startswith("_published")]) == 12
+    assert facts_of(Store(spark, store.root)) == before
+    assert Store(spark, store.root).is_published("r3")
+    assert store.clean(states=1) == []
+
+
+def test_an_unfinished_state_is_not_read(spark, store, make):
+    store.publish("a", [store.stage("a", "games", make("games", {"appid": 1}))])
+    spark.range(1).write.parquet(f"{store.root}/_published/seq=2")
+    store._files.delete(store._path(f"{store.root}/_published/seq=2/_SUCCESS"), False)
+    assert rows_of(Store(spark, store.root).read("games"), "appid") == [(1,)]
+    store.publish("b", [store.stage("b", "games", make("games", {"appid": 5}))])
+    assert rows_of(store.read("games"), "appid") == [(5,)]

@@ -3,7 +3,7 @@ import datetime as dt
 from conftest import T1, T2, rows_of
 
 from starload.operators.bookmark import read_bookmark
-from starload.plans.warehouse import create_warehouse, load_dimensions
+from starload.plans.warehouse import create_warehouse, load_dimensions, load_facts
 from starload.schemas import FACT
 from starload.streaming.arrivals import ARRIVING, load_arrivals, store_arrivals
 
@@ -25,12 +25,13 @@ def test_arrivals(spark, store, make, tmp_path):
     land(spark, landing, (1, D(2024, 1, 31), 5), (9, D(2024, 2, 1), 6))
     load_arrivals(store, landing, checkpoint, T1)
     assert rows_of(store.read(FACT), "date_key", "ccu") == [(20240131, 5)]
-    assert read_bookmark(store.read("etl_bookmark")) == D(2024, 2, 1)
+    assert read_bookmark(store.read("etl_bookmark")) == D(2024, 1, 31)
+    assert rows_of(store.read("rejects"), "appid", "reject_reason") == [(9, "no_game")]
 
     # A stored day is skipped whole; an earlier new day is stored but past the bookmark.
     land(spark, landing, (2, D(2024, 1, 31), 7), (2, D(2024, 1, 30), 8), (2, D(2024, 2, 2), 9))
     load_arrivals(store, landing, checkpoint, T2)
-    assert rows_of(store.read("snapshots"), "appid", "ccu") == [(1, 5), (2, 8), (2, 9), (9, 6)]
+    assert rows_of(store.read("snapshots"), "appid", "ccu") == [(1, 5), (2, 8), (2, 9)]
     assert rows_of(store.read(FACT), "date_key", "ccu") == [(20240131, 5), (20240202, 9)]
 
     before = rows_of(store.read("snapshots"))
@@ -38,3 +39,23 @@ def test_arrivals(spark, store, make, tmp_path):
     again = spark.read.schema(ARRIVING).parquet(landing)
     store_arrivals(store, again, "arrivals-0", T2)
     assert rows_of(store.read("snapshots")) == before
+
+
+def test_bad_arrivals_go_to_the_rejects(spark, store, make):
+    create_warehouse(store, T1)
+    store.publish("games", [store.stage("games", "games", make("games", {"appid": 1, "name": "g"}, {"appid": 2}))])
+    rows = [(1, None, 0, 0, None, 0, 0, 5, D(2024, 1, 1)), (1, "n", 0, 0, None, 0, 0, 5, None)]
+    rows += [(None, "m", 0, 0, None, 0, 0, 5, D(2024, 1, 1)), (9, "u", 0, 0, "x" * 500, 0, 0, 5, D(2024, 1, 1))]
+    rows += [(8, None, 0, 0, None, 0, 0, 5, D(2024, 1, 1)), (2, "y" * 600, 0, 0, None, 0, 0, 5, D(2024, 1, 1))]
+    batch = spark.createDataFrame(rows, ARRIVING)
+    for _ in range(2):  # a repeat changes nothing
+        store_arrivals(store, batch, "a", T1)
+        assert rows_of(store.read("snapshots"), "appid", "recorded_date") == [(1, D(2024, 1, 1))]
+        assert rows_of(store.read("rejects"), "appid", "reject_reason", "run_id") == [
+            (1, "no_recorded_date", "a"),
+            (2, "long_name", "a"),
+            (8, "no_game", "a"),
+            (9, "long_owners", "a"),
+            (None, "no_appid", "a"),
+        ]
+    load_facts(store, "f", T1)
