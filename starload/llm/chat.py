@@ -24,6 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -157,29 +158,30 @@ def viterbi(scores: np.ndarray, model: Model, into: np.ndarray | None = None, ou
     return states
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Groups of equal keys from rows sorted by them; a group may go over batches."""
-    held: list[pd.DataFrame] = []
-    held_key = None
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by KEY, as tables of whole groups, with where each group begins and the end."""
+    held = None
     for batch in batches:
-        frame = batch.to_pandas()
-        if frame.empty:
+        if not batch.num_rows:
             continue
-        changes = frame[keys].ne(frame[keys].shift()).any(axis=1).to_numpy()
-        begins = np.append(np.flatnonzero(changes), len(frame))
-        for a, b in zip(begins, begins[1:]):
-            key = tuple(frame[k].iat[a] for k in keys)
-            if held and key != held_key:
-                yield pd.concat(held) if len(held) > 1 else held[0]
-                held = []
-            held.append(frame.iloc[a:b])
-            held_key = key
-    if held:
-        yield pd.concat(held) if len(held) > 1 else held[0]
-
-
-def _scores(group: pd.DataFrame, model: Model) -> np.ndarray:
-    return model.scores({name: group[name].to_numpy() for name in SHOWN})
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        table = table.combine_chunks()
+        differs = np.zeros(table.num_rows, bool)
+        differs[0] = True
+        for name in KEY:
+            column = table.column(name)
+            differs[1:] |= pc.not_equal(column.slice(1), column.slice(0, table.num_rows - 1)).to_numpy()
+        begins = np.flatnonzero(differs)
+        if begins[-1]:  # the last group may go on in the next batch
+            yield table.slice(0, begins[-1]).combine_chunks(), begins
+        held = table.slice(begins[-1])
+    if held is not None:
+        yield held.combine_chunks(), np.array([0, held.num_rows])
+
+
+def _scores(table: pa.Table, model: Model) -> np.ndarray:
+    return model.scores({name: table.column(name).to_numpy() for name in SHOWN})
 
 
 def _blocked(lines: DataFrame) -> DataFrame:
@@ -191,14 +193,14 @@ def _summaries(lines: DataFrame, shared) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for group in _groups(batches, KEY):
-            scores = _scores(group, model)
-            first = model.start + scores[0]
-            if len(scores) > 1:
-                first = _times(first, _through(scores[1:], model))
-            row = {"conv": [group["conv"].iat[0]], "block": [int(group["block"].iat[0])]}
-            row |= {"through": [_through(scores, model).ravel()], "first": [first]}
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(row), preserve_index=False)
+        for table, begins in _groups(batches):
+            scores, through, first = _scores(table, model), [], []
+            for a, b in zip(begins, begins[1:]):
+                through.append(_through(scores[a:b], model).ravel())
+                opened = model.start + scores[a]
+                first.append(_times(opened, _through(scores[a + 1 : b], model)) if b > a + 1 else opened)
+            keys = [table.column(k).combine_chunks().take(pa.array(begins[:-1])) for k in KEY]
+            yield pa.record_batch([*keys, pa.array(through), pa.array(first)], [*KEY, "through", "first"])
 
     picked = _blocked(lines).select(*KEY, *SHOWN)
     return picked.mapInArrow(run, "conv string, block long, through array<double>, first array<double>")
@@ -272,22 +274,23 @@ def label(lines: DataFrame, model: Model) -> DataFrame:
     columns = [*KEY, "conv_id", *ORDER, "line"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, KEY):
-            into, out_of = (None if x is None else np.asarray(x) for x in (group["into"].iat[0], group["out_of"].iat[0]))
-            states = viterbi(_scores(group, shared.value), shared.value, into, out_of)
-            found = group[columns].assign(state=states)
-            yield pa.RecordBatch.from_pandas(found, schema=kinds, preserve_index=False)
-
-    kinds = pa.schema(
-        [("conv", pa.string()), ("block", pa.int64()), ("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string())]
-        + [("digest", pa.string()), ("at", pa.int32()), ("line", pa.string()), ("state", pa.int64())]
-    )
+        model = shared.value
+        for table, begins in _groups(batches):
+            scores, states = _scores(table, model), []
+            intos, outs = table.column("into"), table.column("out_of")
+            for a, b in zip(begins.tolist(), begins[1:].tolist()):
+                into, out_of = (None if (x := c[a].as_py()) is None else np.array(x) for c in (intos, outs))
+                states.append(viterbi(scores[a:b], model, into, out_of))
+            found = table.select(columns).append_column("state", pa.array(np.concatenate(states)))
+            yield from found.to_batches()
+
     schema = "conv string, block long, conv_id long, turn long, role string, digest string, at int, line string, state long"
     return _blocked(joined).select(*columns, *SHOWN, "into", "out_of").mapInArrow(run, schema)
 
 
 def turns(labelled: DataFrame) -> DataFrame:
     """conv_id, turn (from 0), role, n_lines, text and rendered of each turn that label() has found."""
+    labelled = checkpointed(labelled)  # read twice: for the turns of each block and for their lines
     begins = F.element_at(F.array(*[F.lit(b) for _, b in STATES]), (F.col("state") + 1).cast("int"))
     role = F.element_at(F.array(*[F.lit(r) for r, _ in STATES]), (F.col("state") + 1).cast("int"))
     named = labelled.withColumn("begins", begins.cast("int")).withColumn("found_role", role)
