@@ -35,8 +35,8 @@ from tokenizers import Tokenizer
 WINDOW = 16  # bytes that decide a cut
 MEAN_CHUNK = 1024
 SLICE = 1 << 20  # bytes of text, or of hashes, worked on at a time
-MOST_CHUNKS = 16_384
-MOST_PIECES = 600_000
+MOST_CHUNKS = 4096
+MOST_PIECES = 400_000
 LONGEST_PIECE = 64  # longer pieces are not kept
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are built as little-endian 32-bit integers")

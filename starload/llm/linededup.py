@@ -4,8 +4,8 @@ A line's key is the line without the six blanks at its ends and with A-Z lower-c
 128-bit digest. Only digests and positions are shuffled for counting; the text moves once, to meet the positions
 that it loses, and equal texts share one set of positions.
 
-Defined results: a null or empty text is one empty line, an empty key is never dropped, a text that loses every line
-becomes the empty text; documents are told apart by doc_id (null is one more id), so a line repeated in one document,
+Defined results: a null or empty text is one empty line and stays as it is, an empty key is never dropped, a text that
+loses every line becomes the empty text; documents are told apart by doc_id (null is one more id), so a line repeated in one document,
 or in repeated rows of it, counts once; every row comes back with all its columns, also if they are called like the
 columns used here; an empty table gives an empty result.
 """
@@ -16,15 +16,16 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.llm.common import BLANKS, whole_text
+from starload.llm.common import BLANKS, checkpointed, whole_text, written
 
 IN_DOCUMENTS = 10
 KEY_LENGTH = 1
 STRIPPED = BLANKS.encode()
+ROWS = 512  # texts handed on at a time
 
 
 def line_key(line: bytes) -> bytes:
@@ -59,40 +60,51 @@ def frequent_keys(docs: DataFrame, in_documents: int = IN_DOCUMENTS, key_length:
 
 
 def dedupe_lines(docs: DataFrame, in_documents: int = IN_DOCUMENTS, key_length: int = KEY_LENGTH) -> DataFrame:
-    """The columns of docs and, last, n_lines, n_dropped and kept_text."""
-    lines = _keyed(docs, key_length).select("digest", F.posexplode("keys").alias("at", "key"))
-    dropped = (
-        lines.where("key is not null")
-        .join(frequent_keys(docs, in_documents, key_length), "key", "left_semi")
-        .groupBy("digest")
-        .agg(F.collect_set("at").alias("dropped"))
-    )
-    whole = docs.select(F.struct("*").alias("row"), whole_text().alias("text"))
-    whole = whole.withColumn("digest", F.unhex(F.md5("text")))
-    joined = whole.join(dropped, "digest", "left").select("row", "text", "dropped")
+    """The columns of docs, text without the lines that go, then n_lines (before) and n_dropped."""
+    return _deduped(docs, in_documents, key_length).select(*_own(docs), "n_lines", "n_dropped")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, losses, texts = [], [], []
-            for text, gone in zip(batch.column(1).cast(pa.binary()), batch.column(2)):
-                rows, positions = text.as_py().split(b"\n"), set(gone.as_py() or ())
-                counts.append(len(rows))
-                losses.append(len(positions))
-                texts.append(b"\n".join([x for k, x in enumerate(rows) if k not in positions]) if positions else text.as_py())
-            found = [pa.array(counts, pa.int64()), pa.array(losses, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())]
-            yield pa.record_batch([batch.column(0), *found], ["row", "n_lines", "n_dropped", "kept_text"])
 
-    schema = T.StructType([joined.schema["row"]]).add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string")
-    return joined.mapInArrow(run, schema).select("row.*", "n_lines", "n_dropped", "kept_text")
+def deduped_text(docs: DataFrame, in_documents: int = IN_DOCUMENTS, key_length: int = KEY_LENGTH) -> DataFrame:
+    """The columns of docs, text without the lines that go."""
+    return _deduped(docs, in_documents, key_length).select(*_own(docs))
 
 
-def deduped_text(docs: DataFrame, in_documents: int = IN_DOCUMENTS, key_length: int = KEY_LENGTH) -> DataFrame:
-    """docs with the same columns, text replaced by what is kept (a null text that loses nothing stays null)."""
-    rest = [c for c in docs.columns if c != "text"]
-    ready = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))
-    found = dedupe_lines(ready, in_documents, key_length)
-    text = F.when(F.col("text").isNotNull(), F.col("kept_text")).alias("text")
-    return found.select(*[F.col(f"row.`{c}`") for c in rest], text).select(*[F.col(f"`{c}`") for c in docs.columns])
+def _own(docs: DataFrame) -> list[Column]:
+    return [F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns]
+
+
+def _deduped(docs: DataFrame, in_documents: int, key_length: int) -> DataFrame:
+    """rest (the other columns of docs), text, n_lines, n_dropped.
+
+    What the lines and the texts are joined with is kept apart first, so that the joins can split the rows of a frequent
+    line or of a text with many copies. The frequent keys, few, are a plain table of known size.
+    """
+    frequent = written(frequent_keys(docs, in_documents, key_length), "frequent")
+    lines = _keyed(docs, key_length).select("digest", F.posexplode("keys").alias("at", "key"))
+    dropped = lines.where("key is not null").join(frequent, "key", "left_semi")
+    dropped = dropped.groupBy("digest").agg(F.collect_set("at").alias("dropped"))
+    dropped = checkpointed(dropped)
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    whole = docs.select(rest.alias("rest"), "text", F.unhex(F.md5(whole_text())).alias("digest"))
+    joined = whole.join(dropped, "digest", "left").select("rest", "text", "dropped")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                counts, losses, texts = [], [], []
+                for text, gone in zip(part.column(1).cast(pa.binary()), part.column(2)):
+                    data, positions = text.as_py(), set(gone.as_py() or ())
+                    rows = (data or b"").split(b"\n")
+                    counts.append(len(rows))
+                    losses.append(len(positions))
+                    texts.append(b"\n".join([x for k, x in enumerate(rows) if k not in positions]) if positions else data)
+                kept = pa.array(texts, pa.binary()).cast(pa.string())
+                found = [kept, pa.array(counts, pa.int64()), pa.array(losses, pa.int64())]
+                yield pa.record_batch([part.column(0), *found], ["rest", "text", "n_lines", "n_dropped"])
+
+    schema = T.StructType(joined.schema.fields[:2]).add("n_lines", "long").add("n_dropped", "long")
+    return joined.mapInArrow(run, schema)
 
 
 ORACLE = r"""

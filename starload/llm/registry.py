@@ -84,7 +84,8 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = linededup.dedupe_lines(table(spark, folder, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return found.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:

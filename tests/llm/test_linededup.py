@@ -33,7 +33,7 @@ def rows_with_cases():
 
 
 def got(df):
-    return sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in df.collect()), key=str)
+    return sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in df.collect()), key=str)
 
 
 def frame(spark, rows):
@@ -44,7 +44,7 @@ def test_equals_brute_force(spark):
     rows = rows_with_cases()
     for least, length in [(10, 1), (2, 1), (2, 5), (1, 1)]:
         found = linededup.dedupe_lines(frame(spark, rows).repartition(5), least, length)
-        assert found.columns == ["doc_id", "text", "key", "digest", "row", "n_lines", "n_dropped", "kept_text"]
+        assert found.columns == ["doc_id", "text", "key", "digest", "row", "n_lines", "n_dropped"]
         assert got(found) == brute(rows, least, length)
 
 
@@ -67,5 +67,11 @@ def test_empty_table(spark):
 def test_digest_of_kept_text(spark):
     from pyspark.sql import functions as F
 
-    text = linededup.dedupe_lines(frame(spark, [(1, "é\nb")])).select(F.sha2("kept_text", 256)).first()[0]
+    text = linededup.dedupe_lines(frame(spark, [(1, "é\nb")])).select(F.sha2("text", 256)).first()[0]
     assert text == hashlib.sha256("é\nb".encode()).hexdigest()
+
+
+def test_columns_named_like_the_figures(spark):
+    docs = spark.createDataFrame([(1, "a\nb", 7)], "doc_id long, text string, n_lines long")
+    assert [tuple(r) for r in linededup.deduped_text(docs, 1).collect()] == [(1, "", 7)]
+    assert [tuple(r) for r in linededup.dedupe_lines(docs).collect()] == [(1, "a\nb", 7, 2, 0)]
