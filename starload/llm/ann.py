@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starload.llm.common import checkpointed
+from starload.llm.common import checkpointed, written
 
 TABLES = 12
 HASHES = 8
@@ -151,11 +151,15 @@ def _keyed(found: DataFrame, hasher, probing: bool) -> DataFrame:
 
 
 def _blocks(keyed: DataFrame, key: str, size: int) -> DataFrame:
-    """The entries of each key as arrays; those of a key with more than size entries are dealt to several blocks."""
+    """The entries of each key as arrays; those of a key with more than size entries are dealt to several blocks.
+
+    The keys with many entries are a plain table of known size, and blocks are dealt out by key and part, so that no
+    task gets all entries of a crowded key.
+    """
     large = keyed.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > size)
-    large = large.select(key, F.ceil(F.col("n") / size).alias("parts"))
+    large = written(large.select(key, F.ceil(F.col("n") / size).alias("parts")), "crowded")
     dealt = keyed.join(large, key, "left").withColumn("part", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))))
-    return dealt.groupBy(key, "part").agg(F.collect_list(F.struct("cid", "vector")).alias("entries")).select(key, "entries")
+    return dealt.repartition(key, "part").groupBy(key, "part").agg(F.collect_list(F.struct("cid", "vector")).alias("entries")).select(key, "entries")
 
 
 def _nearest(pairs: DataFrame, k: int) -> DataFrame:

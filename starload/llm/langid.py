@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 SAMPLE = 250
 LANGUAGES = 64
-LONGEST = 20_000
+LONGEST = 8_000
 TABLE = 1 << 18
 WINDOW = 32  # words to a training sequence
 BATCH = 256  # sequences to a step

@@ -55,8 +55,8 @@ def _uniform(seed: int) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def weighed(docs: DataFrame, seed: int = SEED) -> dict[str, Column]:
-    """Columns that a document is sampled by."""
+def weighed(seed: int = SEED) -> dict[str, Column]:
+    """What a document is sampled by."""
     text = whole_text()
     return {
         "_source": F.coalesce("source", F.lit("")),
@@ -105,7 +105,7 @@ def rates(docs: DataFrame, temper: Mapping[str, float] = TEMPER, budget: float =
 
 def mix(docs: DataFrame, temper: Mapping[str, float] = TEMPER, budget: float = BUDGET, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, rate and sampled of every row."""
-    own = docs.withColumns(weighed(docs, seed)).select("doc_id", "source", "lang", "_source", "_lang", "_topic", "_tokens", "_u")
+    own = docs.select("doc_id", "source", "lang", *[c.alias(name) for name, c in weighed(seed).items()])
     own = checkpointed(own)
     return _joined(own, rates(own, temper, budget, rounds)).select(
         "doc_id",
@@ -123,9 +123,10 @@ def sample(docs: DataFrame, temper: Mapping[str, float] = TEMPER, budget: float
 
     The rates are written first: with their size known, they meet the texts without a shuffle wherever they are small.
     """
-    own = docs.withColumns(weighed(docs, seed))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    own = docs.select(row.alias("row"), *[c.alias(name) for name, c in weighed(seed).items()])
     found = written(rates(own, temper, budget, rounds), "rates")
-    return _joined(own, found).where("_u < _rate").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _joined(own, found).where("_u < _rate").select("row.*")
 
 
 def _joined(own: DataFrame, fitted: DataFrame) -> DataFrame:

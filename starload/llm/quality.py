@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import BLANK_RUN, BLANKS, checkpointed, whole_text, words
+from starload.llm.common import BLANKS, checkpointed, whole_text, words, written
 
 FEWEST_WORDS = 50
 MOST_REPEATED = 50  # percent of the words
@@ -111,7 +111,9 @@ def removed_lines(found: DataFrame, least: int = LEAST, share: float = SHARE) ->
 def judge(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
     """The counts of every row with base_failed, n_removed_lines, removed_chars, depleted and kept."""
     found = checkpointed(profile(docs))
-    joined = found.join(removed_lines(found, least, share), ["host", "digest"], "left")
+    # Kept apart first, so that the join can split the rows of a text with many copies.
+    removed = checkpointed(removed_lines(found, least, share))
+    joined = found.join(removed, ["host", "digest"], "left")
     line_chars = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x["chars"], F.lit(0)))
     base_failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     removed_chars = F.coalesce("removed_chars", F.lit(0).cast("long"))
@@ -128,18 +130,20 @@ def judge(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFram
 def clean(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
     """The columns of docs for the documents that are kept, their text without the lines above the limits."""
     verdicts = judge(docs, least, share).where("kept").groupBy("host", "digest").agg(F.first("removed").alias("removed"))
-    verdicts = verdicts.select(F.col("host").alias("_host"), F.col("digest").alias("_digest"), F.col("removed").alias("_removed"))
-    keyed = docs.withColumn("_host", _host()).withColumn("_digest", F.unhex(F.md5(whole_text())))
-    joined = keyed.join(verdicts, ["_host", "_digest"]).withColumn("_lines", F.split("text", "\n", -1))
+    verdicts = written(verdicts, "verdicts")  # a plain table: the join can split the rows of a text with many copies
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row, _host().alias("host"), F.unhex(F.md5(whole_text())).alias("digest"))
+    joined = keyed.join(verdicts, ["host", "digest"]).withColumn("lines", F.split("row.text", "\n", -1))
     # The runs of lines between removed positions, one slice each.
-    ends = joined.withColumn("_ends", F.concat("_removed", F.array(F.size("_lines"))))
+    ends = joined.withColumn("ends", F.concat("removed", F.array(F.size("lines"))))
 
     def run(end: Column, k: Column) -> Column:
-        start = F.coalesce(F.get("_ends", k - 1) + 1, F.lit(0))
-        return F.slice("_lines", start + 1, end - start)
+        start = F.coalesce(F.get("ends", k - 1) + 1, F.lit(0))
+        return F.slice("lines", start + 1, end - start)
 
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(F.transform("_ends", run)), "\n"))
-    return ends.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    left = F.array_join(F.flatten(F.transform("ends", run)), "\n")
+    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(left).alias("text")
+    return ends.select(*[text if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""

@@ -145,24 +145,22 @@ def assign(rows: DataFrame, key: str, shards: int = SHARDS, nodes: int = NODES,
 
     Equal rows are counted first and written out last, so a key that holds many rows is one row in the shuffle.
     """
-    names = rows.columns
-    hashed = _hash(F.col(f"`{key}`"))
-    counted = rows.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.count("*").alias("_n"))
-    counted = checkpointed(counted.withColumn("_hash", hashed).withColumn("_cell", _cell(F.col("_hash"))))
-    counts = counted.groupBy(F.col("_cell").alias("cell")).agg(F.sum("_n").alias("n"))
-    plan = _plan(counts, shards, nodes, slack)
-    inside = W.partitionBy("_cell").orderBy("_hash", *[F.col(f"`{c}`") for c in names]).rowsBetween(W.unboundedPreceding, -1)
-    ranked = counted.withColumn("_first", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    plan = plan.select(*[F.col(c).alias(f"_{c}") for c in plan.columns])
-    owners = ring(rows.sparkSession, shards, nodes).select(F.col("cell").alias("_cell"), F.col("shard").alias("home_shard"))
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    counted = rows.select(row.alias("row")).groupBy("row").agg(F.count("*").alias("n"))
+    counted = counted.withColumn("hash", _hash(F.col(f"row.`{key}`")))
+    counted = checkpointed(counted.withColumn("cell", _cell(F.col("hash"))))
+    plan = _plan(counted.groupBy("cell").agg(F.sum("n").alias("n")), shards, nodes, slack)
+    inside = W.partitionBy("cell").orderBy("hash", "row").rowsBetween(W.unboundedPreceding, -1)
+    ranked = counted.withColumn("first", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    owners = ring(rows.sparkSession, shards, nodes).withColumnRenamed("shard", "home_shard")
     # Both tables are bounded by CELLS and the number of virtual nodes.
-    placed = ranked.join(F.broadcast(plan), "_cell").where("_first < _high and _first + _n > _low")
-    low, high = F.greatest("_first", "_low"), F.least(F.col("_first") + F.col("_n"), "_high")
-    placed = placed.withColumn("_from", F.explode(F.sequence(low, high - 1, F.lit(STEP).cast("long"))))
-    placed = placed.withColumn("_rank", F.explode(F.sequence("_from", F.least(F.col("_from") + STEP, high) - 1)))
-    return placed.join(F.broadcast(owners), "_cell").select(
-        *[F.col(f"`{c}`") for c in names],
-        F.col("_shard").cast("int").alias("shard"),
-        (F.col("_slot") + F.col("_rank") - F.col("_low")).cast("long").alias("slot"),
+    placed = ranked.join(F.broadcast(plan), "cell").where("first < high and first + n > low")
+    start, end = F.greatest("first", "low"), F.least(F.col("first") + F.col("n"), "high")
+    placed = placed.withColumn("run", F.explode(F.sequence(start, end - 1, F.lit(STEP).cast("long"))))
+    placed = placed.withColumn("rank", F.explode(F.sequence("run", F.least(F.col("run") + STEP, end) - 1)))
+    return placed.join(F.broadcast(owners), "cell").select(
+        "row.*",
+        F.col("shard").cast("int").alias("shard"),
+        (F.col("slot") + F.col("rank") - F.col("low")).cast("long").alias("slot"),
         "home_shard",
     )

@@ -118,6 +118,7 @@ def links(found: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame
         .groupBy("cell", "part")
         .agg(F.collect_list("fp").alias("fps"))
     )
+    tiles = checkpointed(tiles)  # read from both sides of the join, which can then split a crowded cell
     visits = tiles.select(
         F.explode(F.array([F.col("cell") - F.lit(o) for o in _offsets(radius)])).alias("cell"),
         F.col("cell").alias("from_cell"),
@@ -175,7 +176,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         "root", F.coalesce("root", "fp")
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(ids, "root").select("fp", "component_id")
+    # Kept apart first, so that the join can split the rows of a fingerprint with many copies.
+    by_fp = checkpointed(rooted.join(ids, "root").select("fp", "component_id"))
     return found.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -183,9 +185,11 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, s
     """The documents that are the smallest of their component, all columns kept.
 
     Rows without doc_id stay: nothing tells which of them stands for a group. Of rows that repeat a doc_id,
-    the one with the smallest text (null first), language and source stays, once.
+    the one that comes first by its columns in order (nulls first) stays, once.
     """
     kept = near_duplicates(docs, shingle, radius, seed).where("doc_id = component_id").select("doc_id").distinct()
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    chosen = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row")).select("row.*")
-    return chosen.union(docs.where("doc_id is null").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    sortable = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    first = F.min_by(F.struct(*own), F.struct(*sortable)).alias("row")
+    chosen = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(first).select("row.*")
+    return chosen.union(docs.where("doc_id is null").select(*own))

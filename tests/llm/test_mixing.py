@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starload.llm import mixing
 
-SCHEMA = "doc_id long, text string, lang string, source string, rate string, tokens long"
+SCHEMA = "doc_id long, text string, lang string, source string, rate string, tokens long, _u int, row int"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -68,7 +68,7 @@ def brute(rows, budget):
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(*r, "r", 1) for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, "r", 1, 2, 3) for r in rows], SCHEMA)
 
 
 @pytest.mark.parametrize("budget", [0.6, 0.95])
@@ -111,7 +111,7 @@ def test_sample_keeps_columns_and_whole_rows(spark):
     rates, _, _ = brute(rows, mixing.BUDGET)
     found = mixing.sample(docs)
     assert found.columns == docs.columns
-    want = [(*r, "r", 1) for r in rows if cell(r)[2] < rates[cell(r)[0]]]
+    want = [(*r, "r", 1, 2, 3) for r in rows if cell(r)[2] < rates[cell(r)[0]]]
     assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
 
 

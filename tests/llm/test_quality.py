@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starload.llm import quality
 
 BLANKS = " \t\n\x0b\x0c\r"
-SCHEMA = "doc_id long, text string, source string, lines string, removed long"
+SCHEMA = "doc_id long, text string, source string, lines string, removed long, _host int, row int, digest int"
 
 
 def words_of(text):
@@ -73,7 +73,7 @@ def corpus():
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, t, s, "l", 1) for i, t, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, s, "l", 1, 2, 3, 4) for i, t, s in rows], SCHEMA)
 
 
 COLUMNS = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words n_removed_lines removed_chars base_failed depleted kept"
@@ -86,7 +86,7 @@ def test_equals_brute_force(spark):
         want = brute(rows, least, share)
         assert sorted(map(tuple, found.collect()), key=str) == sorted((w[:-1] for w in want), key=str)
         cleaned = quality.clean(frame(spark, rows), least, share)
-        assert cleaned.columns == ["doc_id", "text", "source", "lines", "removed"]
+        assert cleaned.columns == ["doc_id", "text", "source", "lines", "removed", "_host", "row", "digest"]
         got = sorted(((r.doc_id, r.text) for r in cleaned.collect()), key=str)
         assert got == sorted(((w[0], w[-1]) for w in want if w[-2]), key=str)
 

@@ -96,5 +96,12 @@ def test_sizes_and_checksums(spark):
     assert found == {1: (18, zlib.crc32("é".encode())), 2: (16, 0), 3: (16, 0)}
 
 
+def test_columns_with_the_names_used_inside(spark):
+    rows = spark.createDataFrame([(k, 0, "x", 1, 2) for k in range(50)], "key long, slot int, hash string, n int, cell int")
+    found = sharding.assign(rows, "key", 3)
+    assert found.columns == ["key", "slot", "hash", "n", "cell", "shard", "slot", "home_shard"]
+    assert sorted(r[0] for r in found.collect()) == list(range(50))
+
+
 def test_empty_table(spark):
     assert sharding.assign(frame(spark, []), "doc_id").count() == 0

@@ -109,6 +109,11 @@ def test_one_of_each_keeps_columns_and_ids(spark):
     assert kept.where("doc_id is null").count() == 1
 
 
+def test_one_of_each_with_a_map_column(spark):
+    docs = spark.createDataFrame([(1, "a b c", {"x": 1}), (1, "a b c", {"x": 1}), (2, "A b c", None)], "doc_id long, text string, row map<string,int>")
+    assert [tuple(r) for r in simhash.one_of_each(docs).collect()] == [(1, "a b c", {"x": 1})]
+
+
 def test_empty_table(spark):
     empty = frame(spark, [])
     assert simhash.near_duplicates(empty).count() == simhash.one_of_each(empty).count() == 0
