@@ -94,20 +94,21 @@ def ingest(
 
     if not day_is_stored(store, run_date):
         snapshots = snapshot_rows(good, run_date, load_ts)
-        if on_orphan == "quarantine":
-            known = games.select("appid")
-            lost = snapshots.join(known, "appid", "left_anti")
-            bad = bad.unionByName(
-                lost.select("appid", "name", F.lit("no_game").alias("reject_reason"))
-            )
-            snapshots = snapshots.join(known, "appid", "left_semi")
-        snapshots = snapshots.select(*empty_table(store.spark, "snapshots").columns)
+        known = games.select("appid", F.lit(True).alias("known"))
+        judged, seen = store.work(
+            run_id,
+            "snapshots",
+            snapshots.join(known, "appid", "left"),
+            unknown=F.count_if(F.col("known").isNull()),
+        )
+        lost = judged.filter("known is null").select("appid", "name")
+        if seen["unknown"] and on_orphan == "fail":
+            first = [row.asDict() for row in lost.limit(5).collect()]
+            raise checks.CheckFailed(f"snapshots without a game: {first}")
+        bad = bad.unionByName(lost.withColumn("reject_reason", F.lit("no_game")))
+        snapshots = judged.filter("known").select(*empty_table(store.spark, "snapshots").columns)
         staged.append(store.stage(run_id, "snapshots", snapshots, appended=True))
         snapshots = store.read_staged(staged[-1])
-        if on_orphan == "fail":
-            checks.require_none(
-                checks.reference_violations(snapshots, games, "appid"), "snapshots without a game"
-            )
         checks.require_none(
             checks.unique_violations(snapshots, ["appid", "recorded_date"]),
             "snapshots: more than one row for a game and day",

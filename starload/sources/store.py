@@ -110,6 +110,7 @@ class Store:
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         self._path = jvm.org.apache.hadoop.fs.Path
         self._files = self._path(self.root).getFileSystem(conf)
+        self._state = State()
         self.refresh()
 
     # Reading ------------------------------------------------------------------------------
@@ -127,8 +128,13 @@ class Store:
         return sorted(int(name.removeprefix("seq=")) for name in names if name.startswith("seq="))
 
     def refresh(self) -> None:
-        """See what other runs have published: the newest complete state, whatever came before it."""
+        """See what other runs have published: the newest complete state, whatever came before it.
+
+        A state never changes once it is written, so one that is already known is not read again.
+        """
         for seq in reversed(self._states()):
+            if seq == self._state.seq:
+                return
             folder = f"{self.root}/_published/seq={seq}"
             if "_SUCCESS" in self._names(folder):
                 rows = self.spark.read.schema(STATE).parquet(f"{folder}/*.parquet").collect()
@@ -267,9 +273,7 @@ class Store:
             if error.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
             raise Overlap(f"run {run_id}: another run is publishing") from error
-        self.refresh()
-        if not self.is_published(run_id):
-            raise Overlap(f"run {run_id}: another run has published meanwhile")
+        self._state = state
 
     # Upkeep -------------------------------------------------------------------------------
 
