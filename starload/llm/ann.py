@@ -218,11 +218,15 @@ def _nearest(pairs: DataFrame, k: int) -> DataFrame:
 MOST_HELD = 100_000  # queries with a top list in a task
 
 
-def _expanded(near: DataFrame, found: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id and score from the nearest classes of each asking class."""
+def _merged(near: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each query from the lists of all tasks."""
     near = near.groupBy("qid", "cid").agg(F.min("score").alias("score"))
     near = near.withColumn("place", F.row_number().over(W.partitionBy("qid").orderBy("score", "cid")))
-    near = near.where(F.col("place") <= k + 1).drop("place")
+    return near.where(F.col("place") <= k).drop("place")
+
+
+def _expanded(near: DataFrame, found: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id and score from the nearest classes of each asking class."""
     ids = near.join(found.select("cid", "ids"), "cid").select("qid", "score", F.explode("ids").alias("vec_id"))
     # Of a class no more than k + 1 can be needed: one of them may be the query itself.
     place = F.row_number().over(W.partitionBy("qid").orderBy("score", "vec_id"))
@@ -258,17 +262,17 @@ def search(
     asking = found.where("asks")
     visits = _blocks(_keyed(asking, hasher, probing=True), "cell", BLOCK).withColumnRenamed("entries", "asking")
     index = _blocks(_keyed(found, hasher, probing=False), "cell", BLOCK)
-    near = checkpointed(_nearest(visits.join(index, "cell"), k + 1))
+    near = checkpointed(_merged(_nearest(visits.join(index, "cell"), k + 1), k + 1))
     askers = members.where(asked).select(F.col("vec_id").alias("query_id"), "vector")
     queries = askers.join(asking.select(F.col("cid").alias("qid"), "vector"), "vector").select("query_id", "qid")
     queries = checkpointed(queries)
 
     # Classes that found too few ids: with all classes, block by block.
     sizes = found.select("cid", F.size("ids").alias("n"))
-    held = near.select("qid", "cid").distinct().join(sizes, "cid").groupBy("qid").agg(F.sum("n").alias("n"))
+    held = near.join(sizes, "cid").groupBy("qid").agg(F.sum("n").alias("n"))
     enough = F.least(F.lit(k + 1), F.lit(members.count()))
     few = asking.join(held.where(F.col("n") >= enough).select(F.col("qid").alias("cid")), "cid", "left_anti")
     dealt = lambda df: df.withColumn("cell", F.lit(0))
     some, every = (_blocks(dealt(df.select("cid", "vector")), "cell", BLOCK) for df in (few, found))
     rest = _nearest(some.withColumnRenamed("entries", "asking").drop("cell").crossJoin(every.drop("cell")), k + 1)
-    return _expanded(near.union(rest), found, queries, k)
+    return _expanded(_merged(near.union(rest), k + 1), found, queries, k)
