@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +18,15 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+# Where Python workers find this package if it is not installed and they start in another folder.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     settle(spark)
+    workers = spark.sparkContext.environment
+    if ROOT not in (paths := workers.get("PYTHONPATH", "").split(os.pathsep)):
+        workers["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
