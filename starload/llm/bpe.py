@@ -5,7 +5,7 @@ documents share is cut into the same chunks wherever it stands. A chunk is encod
 separated piece inside it. A cut may fall inside a piece: the two halves at a join are then set aside and the whole
 piece is encoded again, carried over as many chunks as it spans, so the ids are those of the uncut text exactly.
 
-Chunks and pieces are kept by worker process, in caches of bounded size. Encoding them once for the whole cluster would
+Chunks and pieces are kept by task, in caches of bounded size. Encoding them once for the whole cluster would
 shuffle every text and its ids, which costs more than the encoding it saves; blank-separated pieces, of which a few
 hundred thousand cover most of a corpus, carry nearly all of the reuse.
 
@@ -143,6 +143,13 @@ class Encoder:
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+    def clear(self) -> None:
+        """Give the memory back: a worker that has nothing to encode is kept for other work."""
+        self.ids.clear()
+        self.chunks.clear()
+        self.long.clear()
+        pa.default_memory_pool().release_unused()
+
     def encode(self, texts: list[bytes]) -> Iterator[tuple[bytes, str]]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text, of each text."""
         cut = []
@@ -225,6 +232,7 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, keep: list[str], text
                     pa.array([decoded for _, decoded in found], pa.string()),
                 ]
                 yield pa.record_batch(columns, schema_names)
+        own.clear()
 
     picked = docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"])
     schema = T.StructType(picked.schema.fields[:-1]).add("n_tokens", "long").add("ids", "binary").add("decoded", "string")
