@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from conftest import T1, T2, T3, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
