@@ -6,8 +6,9 @@ the languages of neighbouring words are learned with them, on windows of texts a
 languages. Forward-backward gives each word a probability for each language; the words' sum names the text's language,
 so a text that switches is labelled by its larger part and its runs of languages can be read off.
 
-Fitting takes at most SAMPLE texts of each of the LANGUAGES most frequent languages, of at most LONGEST characters
-each, chosen by a hash. Labelling reads whole texts: forward-backward runs over all words of a slice of texts side by
+Fitting takes SAMPLE different texts, or all if there are fewer, of each of the LANGUAGES languages with the most
+different texts, chosen by a hash of the text whatever its length; of a long text it takes a run of neighbouring words
+of at most LONGEST characters in all. Labelling reads whole texts: forward-backward runs over all words of a slice of texts side by
 side, in blocks whose products are chained, which is exact.
 
 Defined results: a null text or one without letters is "und" with score 0; with no labelled row to learn from every
@@ -260,18 +261,42 @@ class Labeller:
         return found
 
 
+def run_of(words: list[str], place: int, longest: int = LONGEST) -> list[str]:
+    """Neighbouring words of at most so many characters, a blank after each counted; all words where they fit."""
+    ends = np.cumsum([len(w) + 1 for w in words])
+    if not words or ends[-1] <= longest + 1:
+        return words
+    starts = ends - [len(w) + 1 for w in words]
+    first = place % (int(np.searchsorted(starts, ends[-1] - longest - 1, "right")))
+    last = int(np.searchsorted(ends, starts[first] + longest + 1, "right"))
+    return words[first:last] or [words[first][:longest]]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(batch.column(2), batch.column(1))
+        found = [" ".join(run_of(words_of(text.as_py()), h.as_py())) for text, h in rows]
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.string())], ["lang", "h", "words"])
+
+
 def learn(docs: DataFrame, sample: int = SAMPLE, most_languages: int = LANGUAGES) -> Model:
-    """Fitted on text and lang of rows that are not held out; at most 2 * sample * most_languages rows are fetched."""
+    """Fitted on text and lang of rows that are not held out.
+
+    Of each language some 1.5 * sample different texts are fetched, as runs of words, so no language takes the place of
+    another one. Equal texts of a language are one row before they are counted, and one row before they are fetched.
+    """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    usable = usable.where(F.char_length("text") <= LONGEST).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    most = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
-    share = F.least(F.lit(1.0), F.lit(1.5 * sample) / F.col("n"))
+    usable = usable.where(F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("h"))
+    counts = usable.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    most = counts.orderBy(F.desc("n"), "lang").limit(most_languages)
+    # Beside the largest share a few rows more, so that a small sample is full all the same.
+    share = F.least(F.lit(1.0), F.lit(1.5 * sample + 50) / F.col("n"))
     chosen = usable.join(F.broadcast(most.select("lang", share.alias("share"))), "lang")  # most_languages rows
-    chosen = chosen.where((F.col("h") / F.lit(2.0**64) + 0.5) <= F.col("share")).orderBy("h", "text", "lang")
+    chosen = chosen.where((F.col("h") / F.lit(2.0**64) + 0.5) <= F.col("share")).select("lang", "h", "text").distinct()
     texts: dict[str, list[list[str]]] = {}
-    for row in chosen.limit(2 * sample * most_languages).select("lang", "text").collect():
-        if len(texts.setdefault(row.lang, [])) < sample and (words := words_of(row.text)):
-            texts[row.lang].append(words)
+    for row in sorted(chosen.mapInArrow(_runs, "lang string, h long, words string").collect(), key=lambda r: (r.h, r.words)):
+        if len(texts.setdefault(row.lang, [])) < sample and row.words:
+            texts[row.lang].append(row.words.split(" "))
     return fit([(lang, words) for lang in sorted(texts) for words in texts[lang]])
 
 

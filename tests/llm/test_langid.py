@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starload.llm import langid, registry
 from starload.llm.common import table
@@ -110,3 +111,29 @@ def test_nothing_to_learn_and_empty_table(spark):
     model = langid.learn(docs)
     assert [(r.lang_pred, r.score) for r in langid.identify(docs, model, ["doc_id"]).collect()] == [("und", 0.0)]
     assert langid.identify(docs.limit(0), langid.learn(docs.limit(0)), ["doc_id"]).count() == 0
+
+
+def test_language_of_long_texts_only_is_learned(spark):
+    long = "\n".join(f"zorgu blam quiv {n} zorgu" for n in range(langid.LONGEST // 10))
+    rows = [(k, "the thing that is of " * 30 + f"a{k}", "en", "s", 0) for k in range(8)]
+    rows += [(k, long + f" quiv{k}", "zz", "s", 0) for k in range(100, 108)]
+    found = langid.learn(spark.createDataFrame(rows, SCHEMA))
+    assert found.languages == ["en", "zz"]
+    [(lang, _, _)] = langid.Labeller(found).label([["zorgu", "blam", "quiv"] * 5])
+    assert lang == "zz"
+
+
+def test_run_of_a_long_text_is_bounded():
+    words = [f"w{n}" for n in range(5000)]
+    for place in (-7, 0, 3, 10**12):
+        part = langid.run_of(words, place, 400)
+        assert 390 <= len(" ".join(part)) <= 400 and part == words[words.index(part[0]) :][: len(part)]
+    assert langid.run_of(words[:9], 5, 400) == words[:9] and langid.run_of([], 5, 400) == []
+    assert langid.run_of(["x" * 900], 5, 400) == ["x" * 400]
+
+
+def test_copies_do_not_push_other_languages_out(spark):
+    texts = spark.createDataFrame([(f"copied text number{n}",) for n in range(300)], "text string")
+    text = texts.orderBy(F.xxhash64("text")).first().text
+    rows = [(None, text, "aa", "s", 0)] * 200 + [(4 * k, f"other words here{k}", "bb", "s", 0) for k in range(20)]
+    assert langid.learn(spark.createDataFrame(rows, SCHEMA), sample=2, most_languages=2).languages == ["aa", "bb"]
