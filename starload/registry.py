@@ -63,7 +63,6 @@ DAY_ONE = dt.datetime(2024, 1, 15)
 DAY_TWO = dt.datetime(2024, 3, 1)
 AS_OF = dt.date(2024, 1, 30)
 SPLIT = dt.date(1998, 12, 31)
-SHIP_DAYS = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))  # covers every line item
 
 
 @dataclass
@@ -84,7 +83,7 @@ def _shipments(spark: SparkSession, folder: str) -> Star:
     lineitem = standin.table(spark, folder, "lineitem")
     games = checkpointed(standin.games(standin.table(spark, folder, "part")))
     dim = checkpointed(_dim_games(spark, games))
-    days = calendar(spark, *SHIP_DAYS)
+    days = calendar_covering(lineitem, F.col("l_shipdate"))
     return Star(games, dim, days, fact_delta(standin.shipment_snapshots(lineitem), dim, days))
 
 
@@ -372,7 +371,9 @@ def _delivered(spark, folder, first_part) -> tuple[Store, DataFrame]:
     )
     snapshots = snapshots.select(*empty_table(spark, "snapshots").columns)
     store = Store(spark, scratch_root(spark))
-    create_warehouse(store, DAY_ONE, *SHIP_DAYS)
+    day = F.col("recorded_date")
+    first, last = snapshots.agg(F.min(day), F.max(day)).first()
+    create_warehouse(store, DAY_ONE, *([first, last] if first else []))
     games = standin.games(standin.table(spark, folder, "part"))
     games = games.select(*empty_table(spark, "games").columns)
     first = [
