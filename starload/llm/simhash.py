@@ -51,17 +51,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * counts > len(ends), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and the fingerprint as a signed long, a row for each row of docs."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, keyed: bool = False) -> DataFrame:
+    """doc_id, with keyed column key, and the fingerprint as a signed long, a row for each row of docs."""
+    kept = ["doc_id", "key"] if keyed else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(len(kept)).cast(pa.binary())
             found = np.fromiter((fingerprint(t.as_py() or b"", shingle, seed) for t in texts), np.uint64, len(texts))
-            yield pa.record_batch([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([*batch.columns[: len(kept)], pa.array(found.view(np.int64))], [*kept, "fp"])
 
-    picked = docs.select(F.col("doc_id").cast("long"), "text")
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    picked = docs.select(F.col("doc_id").cast("long"), *kept[1:], "text")
+    return picked.mapInArrow(run, "doc_id long, key string, fp long" if keyed else "doc_id long, fp long")
 
 
 def _forest(pairs: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int]]:
@@ -170,6 +171,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
     """doc_id, fp and component_id (smallest doc_id reachable over links within the radius) of every row."""
     found = checkpointed(fingerprints(docs, shingle, seed))
+    return found.join(_by_print(found, radius), "fp").select("doc_id", "fp", "component_id")
+
+
+def _by_print(found: DataFrame, radius: int) -> DataFrame:
+    """fp, root (the same for all of a component) and component_id of each fingerprint."""
     classes = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(classes.select("fp"), radius))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
@@ -177,19 +183,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     # Kept apart first, so that the join can split the rows of a fingerprint with many copies.
-    by_fp = checkpointed(rooted.join(ids, "root").select("fp", "component_id"))
-    return found.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return checkpointed(rooted.join(ids, "root").select("fp", "root", "component_id"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
-    """The documents that are the smallest of their component, all columns kept.
+    """The document with the smallest doc_id of each component, all columns kept.
 
-    Rows without doc_id stay: nothing tells which of them stands for a group. Of rows that repeat a doc_id,
-    the one that comes first by its columns in order (nulls first) stays, once.
+    Of rows without doc_id one of each component stays as well. Of the rows of a component that share a doc_id, or
+    have none, the one that comes first by its columns in order (nulls first) stays, once.
     """
-    kept = near_duplicates(docs, shingle, radius, seed).where("doc_id = component_id").select("doc_id").distinct()
     own = [F.col(f"`{c}`") for c in docs.columns]
     sortable = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
-    first = F.min_by(F.struct(*own), F.struct(*sortable)).alias("row")
-    chosen = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(first).select("row.*")
-    return chosen.union(docs.where("doc_id is null").select(*own))
+    key = F.concat_ws("/", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))).alias("key")
+    found = checkpointed(fingerprints(docs.select("doc_id", key, "text"), shingle, seed, keyed=True))
+    least = found.join(_by_print(found, radius), "fp").where("doc_id = component_id or doc_id is null")
+    # Kept apart first, so that the join can split the rows of a key with many copies.
+    least = checkpointed(least.select("key", "root", F.col("doc_id").isNull().alias("nameless")).distinct())
+    rows = docs.select(key, F.struct(*own).alias("row"), F.struct(*sortable).alias("place"))
+    first = F.min_by("row", "place").alias("row")
+    return rows.join(least, "key").groupBy("root", "nameless").agg(first).select("row.*")

@@ -117,3 +117,15 @@ def test_one_of_each_with_a_map_column(spark):
 def test_empty_table(spark):
     empty = frame(spark, [])
     assert simhash.near_duplicates(empty).count() == simhash.one_of_each(empty).count() == 0
+
+
+def test_one_of_each_of_groups_without_ids(spark):
+    rows = [(None, "a b c d")] * 5 + [(None, "A b c d")] * 3 + [(None, "other words of this text")]
+    kept = simhash.one_of_each(frame(spark, rows).repartition(3))
+    assert sorted(r.text for r in kept.collect()) == ["A b c d", "other words of this text"]
+
+
+def test_one_of_each_of_groups_that_share_an_id(spark):
+    rows = [(1, "a b c d"), (1, "A b c d"), (1, "other words of this text"), (2, "other words of this TEXT")]
+    kept = simhash.one_of_each(frame(spark, rows))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "A b c d"), (1, "other words of this text")]
