@@ -7,7 +7,9 @@ capacities are the floor or the ceiling of the mean, so row counts differ by at
 from home.
 
 Only counts per cell decide, so whatever the number of rows, the walk runs over at most CELLS + 2 * virtual nodes
-rows. Rows meet the plan in a join on the cell against that bounded table; ranks are taken inside a cell.
+rows. Rows meet the plan in a join on the cell against that bounded table. A cell's order is by the key's hash, then by
+ranges of the row's hash: ranks are taken inside one range of one key, and what comes before it in the cell is added
+from counts, so that a key with many different rows is spread over PARTS groups.
 
 Defined results: a null text has size 0 + 16 and checksum 0; rows are kept as often as they come, equal rows get
 slots one after the other; a null key is one more key; an empty table gives an empty result; other columns are not
@@ -26,6 +28,7 @@ CELLS = 1 << 14
 SHARDS = 40
 NODES = 64  # virtual nodes to a shard
 ROW_BYTES = 16
+PARTS = 256  # ranges of the row's hash, for each key
 STEP = 4096  # equal rows are written out in runs of at most so many
 
 
@@ -140,6 +143,20 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
+def _ranked(counted: DataFrame) -> DataFrame:
+    """Adds first: how many rows come before a row in its cell, by hash, part and row."""
+    group = ["cell", "hash", "part"]
+    along = W.partitionBy("cell").orderBy("hash", "part").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*group).orderBy("row").rowsBetween(W.unboundedPreceding, -1)
+    # At most PARTS rows a key, whatever the number of its rows.
+    parts = counted.groupBy(*group).agg(F.sum("n").alias("of_part"))
+    parts = parts.select(*group, F.coalesce(F.sum("of_part").over(along), F.lit(0)).alias("before"))
+    ranked = counted.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    # Merged in the order the ranks have; a broadcast of the ranked rows would bring those of a key to one task again.
+    joined = ranked.hint("merge").join(parts, group)
+    return joined.withColumn("first", F.col("before") + F.col("inside"))
+
+
 def assign(rows: DataFrame, key: str, shards: int = SHARDS, nodes: int = NODES, slack: float = 0.0) -> DataFrame:
     """The columns of rows with shard and slot (gapless from 0 in each shard) and home_shard, where the ring points.
 
@@ -148,10 +165,10 @@ def assign(rows: DataFrame, key: str, shards: int = SHARDS, nodes: int = NODES,
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
     counted = rows.select(row.alias("row")).groupBy("row").agg(F.count("*").alias("n"))
     counted = counted.withColumn("hash", _hash(F.col(f"row.`{key}`")))
-    counted = checkpointed(counted.withColumn("cell", _cell(F.col("hash"))))
+    part = F.pmod(F.xxhash64("row"), F.lit(PARTS)).cast("int")
+    counted = checkpointed(counted.withColumn("cell", _cell(F.col("hash"))).withColumn("part", part))
     plan = _plan(counted.groupBy("cell").agg(F.sum("n").alias("n")), shards, nodes, slack)
-    inside = W.partitionBy("cell").orderBy("hash", "row").rowsBetween(W.unboundedPreceding, -1)
-    ranked = counted.withColumn("first", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    ranked = _ranked(counted)
     owners = ring(rows.sparkSession, shards, nodes).withColumnRenamed("shard", "home_shard")
     # Both tables are bounded by CELLS and the number of virtual nodes.
     placed = ranked.join(F.broadcast(plan), "cell").where("first < high and first + n > low")

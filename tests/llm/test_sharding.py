@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from starload.llm import sharding
 
@@ -105,3 +106,17 @@ def test_columns_with_the_names_used_inside(spark):
 
 def test_empty_table(spark):
     assert sharding.assign(frame(spark, []), "doc_id").count() == 0
+
+
+def test_rows_of_one_key_are_ranked_in_several_tasks(spark):
+    rows = frame(spark, [(5, k, k) for k in range(3000)] + [(k, 16, 0) for k in range(100, 400)])
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        found = sharding.assign(rows, "doc_id", 7).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset(setting)
+    assert len({r.task for r in found if r.doc_id == 5}) > 1
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in found) == Counter(map(tuple, rows.collect()))
+    slots = sorted((r.shard, r.slot) for r in found)
+    assert len(set(slots)) == 3300 and max(s for _, s in slots) == -(-3300 // 7) - 1
