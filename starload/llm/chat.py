@@ -335,8 +335,11 @@ def held_out(conv_id: str = "conv_id"):
 
 
 def parse(pieces: DataFrame, model: Model) -> DataFrame:
-    """Turns of the transcripts that the pieces make up; a role that a piece carries is not looked at."""
-    return turns(label(lines_of(pieces.withColumn("role", F.lit(None).cast("string"))), model))
+    """Turns of the transcripts that the pieces make up.
+
+    A role that a piece carries tells it apart from others and orders those of one turn number; the model does not see it.
+    """
+    return turns(label(lines_of(pieces), model))
 
 
 def learned(pieces: DataFrame) -> Model:

@@ -111,3 +111,11 @@ def test_odd_rows(spark, model):
 def test_empty_table(spark, model):
     empty = spark.createDataFrame([], SCHEMA)
     assert chat.parse(chat.transcribed(empty), chat.empty_model(spark)).count() == 0
+
+
+def test_turns_that_differ_in_role_only(spark, model):
+    rows = [(1, 0, role, "\nsame", "s", 0) for role in ("user", "assistant", None)] * 2
+    rows += [(None, 0, role, "User: a", "s", 0) for role in ("user", "assistant")]
+    found = chat.parse(spark.createDataFrame(rows, SCHEMA), model).collect()
+    assert sum(r.n_lines for r in found if r.conv_id == 1) == 6
+    assert [(r.role, r.text) for r in found if r.conv_id is None] == [("user", "a")] * 2
