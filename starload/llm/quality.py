@@ -3,7 +3,8 @@
 Counts, all native expressions over whole texts: words are runs of characters other than the six blanks. A text fails
 the base rules with fewer than FEWEST_WORDS words, or if more than half of them are in three-word windows that occur
 twice or more. Windows are compared by 64-bit hashes: the hashes, with their positions in the low bits, are sorted
-inside the row, equal neighbours are repeats.
+inside the row, equal neighbours are repeats. Where different hashes share all bits above the positions, pairs of
+whole hash and position are sorted instead, so that equal hashes are always neighbours.
 
 Line frequency: lines are stripped, lower-cased and hashed; for each host (column source) the distinct documents that
 hold a line are counted, equal texts as one document, so that a group of copies does not make its own lines frequent.
@@ -53,11 +54,24 @@ def _repeated(df: DataFrame) -> DataFrame:
     def full(value: Column) -> Column:
         return F.get("hashes", F.pmod(value, F.col("base")).cast("int"))
 
+    def mixes(value: Column, k: Column) -> Column:
+        after = F.get("packed", k + 1)
+        return (value - F.pmod(value, F.col("base")) == after - F.pmod(after, F.col("base"))) & (full(value) != full(after))
+
+    df = df.withColumn("mixed", F.size(F.filter("packed", mixes)) > 0)
+    pairs = F.sort_array(F.transform("hashes", lambda h, k: F.struct(h.alias("h"), k.cast("long").alias("at"))))
+    df = df.withColumn("pairs", F.when(F.col("mixed"), pairs))
+
     def repeats(value: Column, k: Column) -> Column:
         return (full(value) == full(F.get("packed", k - 1))) | (full(value) == full(F.get("packed", k + 1)))
 
+    def pair_repeats(pair: Column, k: Column) -> Column:
+        return (pair["h"] == F.get("pairs", k - 1)["h"]) | (pair["h"] == F.get("pairs", k + 1)["h"])
+
     positions = F.transform(F.filter("packed", repeats), lambda v: F.pmod(v, F.col("base")))
-    df = df.withColumn("positions", F.sort_array(positions)).drop("packed", "hashes", "base")
+    whole = F.transform(F.filter("pairs", pair_repeats), lambda p: p["at"])
+    positions = F.when(F.col("mixed"), whole).otherwise(positions)
+    df = df.withColumn("positions", F.sort_array(positions)).drop("packed", "pairs", "mixed", "hashes", "base")
 
     def adds(at: Column, k: Column) -> Column:
         """Words that a window covers and the one before it does not."""

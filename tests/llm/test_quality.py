@@ -118,3 +118,14 @@ def test_copies_count_once(spark):
     rows = [(k, "same line\n" + " ".join(f"w{i}" for i in range(80)), "a") for k in range(50)]
     found = quality.judge(frame(spark, rows)).agg(F.sum("n_removed_lines"), F.min(F.col("kept").cast("int"))).first()
     assert tuple(found) == (0, 1)
+
+
+def test_repeats_are_found_where_hashes_share_their_high_bits(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("0123456789") for _ in range(n)) for n in (1100, 1500, 60)]
+    hashed = F.xxhash64
+    small = lambda *cols: F.concat_ws("", *cols).cast("long") if len(cols) == 3 else hashed(*cols)
+    monkeypatch.setattr(quality.F, "xxhash64", small)
+    docs = frame(spark, [(k, t, None) for k, t in enumerate(texts)])
+    found = {r.doc_id: r.n_repeat_words for r in quality.profile(docs).collect()}
+    assert found == {k: repeated(words_of(t)) for k, t in enumerate(texts)}
