@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from starload.llm import ann, bpe, chat, langid, linededup, mixing, quality, secret_scan, sharding, simhash
+from starload.llm import ann, bpe, chat, langid, linededup, mixing, quality, secret_scan, sharding, simhash, urlfilter
 from starload.llm.common import table
 
 
@@ -99,6 +99,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge(table(spark, folder, "pages"), urlfilter.rule_table(spark), ["page_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -111,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_chat": op9_chat,
         "op10_simhash": op10_simhash,
+        "op11_url_filter": op11_url_filter,
     }
 
 
@@ -120,4 +125,5 @@ def oracles() -> dict[str, str]:
         "op2_mixing": mixing.ORACLE,
         "op3_quality": quality.ORACLE,
         "op8_line_dedup": linededup.ORACLE,
+        "op11_url_filter": urlfilter.ORACLE,
     }

@@ -1,0 +1,146 @@
+import random
+
+from starload.llm import urlfilter
+
+PAGES = "page_id long, url string, host string, address string, verdict string"
+
+
+def brute(url, rules, default="allow"):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    ends = [rest.index(c) for c in "/?#" if c in rest]
+    at = min(ends, default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:at])
+    path = rest[at:]
+    for c in "?#":
+        path = path.split(c, 1)[0]
+    best = None
+    for rule_host, rule_path, verdict in rules:
+        if rule_host is None or rule_path is None or verdict is None:
+            continue
+        rule_host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rule_host)
+        if (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path):
+            place = (len(rule_host + rule_path), len(rule_host), verdict)
+            if best is None or place > best[0]:
+                best = place, rule_host + rule_path, verdict
+    return (host, path, *best[1:]) if best else (host, path, None, default)
+
+
+def rows(spark, urls):
+    return spark.createDataFrame([(k, u, "h", "a", "v") for k, u in enumerate(urls)], PAGES)
+
+
+def judged(spark, urls, rules, **more):
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    found = urlfilter.judge(rows(spark, urls).repartition(3), table, ["page_id"], **more)
+    assert found.columns == ["page_id", "host", "path", "rule", "verdict"]
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in found.collect()}
+    return [got[k] for k in range(len(urls))]
+
+
+CASES = [
+    None,
+    "",
+    "no scheme.net/",
+    "http://",
+    "http://a.net",
+    "http://a.net/",
+    "HTTP://A.Example.NET/en/x?q=/de/#y",
+    "https://example.net/en",
+    "https://example.net/EN/",
+    "http://notexample.net/en/",
+    "http://x.example.com/de/a/b/c",
+    "http://example.com/de",
+    "http://example.com#/de/",
+    "http://example.com?/de/",
+    "http://b.org/fr/x",
+    "http://org/fr/",
+    "http://b.org./fr/",
+    "http://ÄB.org/fr/é/",
+    "http://user@a.net:80/",
+    "ftp://a.net/x://b.org/fr/",
+    "http://.net/",
+    "http://a..net//",
+    "http://net/" + "a/" * 5000,
+    "http://" + "a." * 5000 + "net/",
+    "http://a\nb.net/x\ny",
+]
+
+
+def test_equals_brute_force(spark):
+    assert judged(spark, CASES, urlfilter.RULES) == [brute(u, urlfilter.RULES) for u in CASES]
+
+
+def test_rules_of_any_shape(spark):
+    rules = [
+        ("a.NET", "/x", "block"),
+        ("a.net", "/xy", "allow"),
+        ("net", "/x/long/", "block"),
+        ("a.net", "", "allow"),
+        ("", "", "block"),
+        ("b", "x", "block"),
+        ("org", "/", "allow"),
+        ("org", "/", "block"),
+        ("é.org", "/é", "other"),
+        ("x.yz", "/", "block"),
+        ("yz", "/ab", "allow"),
+        (None, "/", "block"),
+        ("org", None, "block"),
+        ("z#a", "", "block"),
+        ("z", "#a", "block"),
+    ]
+    urls = CASES + [
+        "h://a.net/x/long/er",
+        "h://q.a.net/xyz",
+        "h://a.net",
+        "h://é.org/éa",
+        "h://u.é.org/e",
+        "h://x.yz/abc",
+        "h://b/x",
+        "h://z#a",
+    ]
+    assert judged(spark, urls, rules, default="none") == [brute(u, rules, "none") for u in urls]
+
+
+def test_random(spark):
+    pick = random.Random(5)
+    labels, steps = ["a", "b", "ab", ""], ["/", "/a", "/a/", "/b/a", "//", ""]
+    host = lambda n: ".".join(pick.choice(labels) for _ in range(pick.randint(1, n)))
+    path = lambda n: "".join(pick.choice(steps) for _ in range(pick.randint(0, n)))
+    rules = [(host(3), path(2), pick.choice(["allow", "block"])) for _ in range(60)]
+    urls = [f"http://{host(4)}{path(4)}{pick.choice(['', '?a/b', '#c'])}" for _ in range(600)]
+    assert judged(spark, urls, rules) == [brute(u, rules) for u in urls]
+
+
+def test_a_shared_prefix_is_no_match(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "PREFIX", 0)  # every expression meets every rule
+    assert judged(spark, CASES, urlfilter.RULES) == [brute(u, urlfilter.RULES) for u in CASES]
+
+
+def test_empty_tables_repeated_rows_and_columns_of_any_name(spark):
+    assert judged(spark, [], urlfilter.RULES) == []
+    assert judged(spark, CASES, []) == [brute(u, []) for u in CASES]
+    pages = spark.createDataFrame([(1, "http://a.net/", "h", "a", "v"), (1, "http://a.net/", "h", "a", "v")], PAGES)
+    found = urlfilter.judge(pages, urlfilter.rule_table(spark), ["page_id", "address", "verdict"])
+    assert [tuple(r) for r in found.collect()] == [(1, "a", "v", "a.net", "/", "net/", "block")] * 2
+
+
+def test_native_and_without_a_cross_join(spark):
+    found = urlfilter.judge(rows(spark, CASES), urlfilter.rule_table(spark), ["page_id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_large_rule_table_is_shuffled_by_prefix(spark):
+    rules = spark.createDataFrame(urlfilter.RULES, "host string, path string, verdict string")
+    cut = rows(spark, CASES).select("url")
+    host, path = urlfilter.host_and_path(cut["url"])
+    addresses = cut.select(urlfilter._digest(host, path).alias("address"), host.alias("host"), path.alias("path"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = urlfilter.fitting(addresses, rules)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(prefix" in plan and "SortMergeJoin [prefix" in plan
+        assert {r.rule for r in found.collect()} == {r for u in CASES if (r := brute(u, urlfilter.RULES)[2])}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
