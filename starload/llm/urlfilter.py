@@ -105,10 +105,11 @@ def fitting(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     """address, rule and verdict of the longest rule that fits, for addresses (address, host, path) that one fits."""
     found = digested(rules)
     candidates = _expressions(addresses, *_lengths(found)).join(found, "prefix")
-    confirmed = candidates.where(F.col("found") == F.col("digest"))
-    place = F.struct(F.col("host_chars") + F.col("path_chars"), "host_chars")
-    best = F.max(F.struct(place.alias("place"), "rule", "verdict")).alias("best")
-    return confirmed.groupBy("address").agg(best).select("address", "best.rule", "best.verdict")
+    # Not a filter: the planner would join on the full digests as well.
+    confirmed = F.col("found") == F.col("digest")
+    chars = (F.col("host_chars") + F.col("path_chars")).alias("chars")
+    best = F.max(F.when(confirmed, F.struct(chars, "host_chars", "rule", "verdict"))).alias("best")
+    return candidates.groupBy("address").agg(best).where("best is not null").select("address", "best.rule", "best.verdict")
 
 
 def judge(pages: DataFrame, rules: DataFrame, keep: list[str], url: str = "url", default: str = "allow") -> DataFrame:
