@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,3 +54,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     folder = f"{scratch_root(df.sparkSession)}/{name}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def in_groups(texts: Iterable[bytes], size: int) -> Iterator[list[bytes]]:
+    """The texts in order, grouped until they reach the size, at least one to a group."""
+    group, held = [], 0
+    for text in texts:
+        group.append(text)
+        held += len(text)
+        if held >= size:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group

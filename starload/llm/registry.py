@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from starload.llm import ann, bpe, chat, langid, linededup, mixing, quality, secret_scan, sharding, simhash, urlfilter
+from starload.llm import (
+    ann,
+    bpe,
+    chat,
+    langid,
+    lexical,
+    linededup,
+    mixing,
+    periodic,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    urlfilter,
+)
 from starload.llm.common import table
 
 
@@ -103,6 +117,26 @@ def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages"), urlfilter.rule_table(spark), ["page_id"])
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(lexical.build(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.runs(periodic.with_tails(table(spark, folder, "documents")), ["doc_id"])
+    best = F.col("best")
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -116,6 +150,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_chat": op9_chat,
         "op10_simhash": op10_simhash,
         "op11_url_filter": op11_url_filter,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
@@ -126,4 +162,5 @@ def oracles() -> dict[str, str]:
         "op3_quality": quality.ORACLE,
         "op8_line_dedup": linededup.ORACLE,
         "op11_url_filter": urlfilter.ORACLE,
+        "op12_ranked_search": lexical.ORACLE,
     }
