@@ -76,5 +76,11 @@ def guard_days(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return batch.join(days, "recorded_date", "left_anti").select(*batch.columns)
 
 
+def rows_of_stored_days(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """What `guard_days` leaves out."""
+    days = one_per_day(stored.select("recorded_date").distinct())
+    return batch.join(days, "recorded_date", "left_semi").select(*batch.columns)
+
+
 def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn("ym", year_month(F.col("recorded_date")))

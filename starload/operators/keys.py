@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+from starload.schemas import KEY_BUCKETS
 
 
 def assign_keys(
-    rows: DataFrame, natural_key: str, key: str, start: int = 0, buckets: int = BUCKETS
+    rows: DataFrame, natural_key: str, key: str, start: int = 0, buckets: int = KEY_BUCKETS
 ) -> DataFrame:
     """Add `key` = start+1 .. start+n to rows with distinct natural keys.
 
@@ -19,8 +19,8 @@ def assign_keys(
     buckets and numbered inside each; the natural keys are distinct, so no bucket is hot. The first
     row of a bucket, which knows its count, makes up the offsets: the rows are read and shuffled
     once, for the ranks and the offsets alike. The offsets table has one row per bucket, which is
-    what bounds its broadcast and its one-task sum; with more rows than fit `buckets` tasks pass a
-    larger number, the same one for every load of a dimension.
+    what bounds its broadcast and its one-task sum. A store records the number for each dimension when it is
+    created; one whose new rows do not fit so many tasks is created with a larger one.
     """
     # Not nullable, so that no filter sets the two readers of the shuffle apart.
     bucket = F.coalesce(F.pmod(F.xxhash64(natural_key), F.lit(buckets)), F.lit(0))

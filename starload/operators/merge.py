@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.keys import assign_keys
-from starload.schemas import GAME_ATTRIBUTES, GAME_COLUMNS, METRICS
+from starload.schemas import GAME_ATTRIBUTES, GAME_COLUMNS, KEY_BUCKETS, METRICS
 
 
 def timestamp(moment: dt.datetime) -> Column:
@@ -67,7 +67,7 @@ def upsert_current(base: DataFrame, batch: DataFrame, load_ts: dt.datetime) -> D
 
 
 def upsert_scd1(
-    dim: DataFrame, source: DataFrame, load_ts: dt.datetime, start: int
+    dim: DataFrame, source: DataFrame, load_ts: dt.datetime, start: int, buckets: int = KEY_BUCKETS
 ) -> DataFrame:
     """Game dimension: overwrite attributes in place, keep keys, give new games keys from `start`.
 
@@ -84,7 +84,7 @@ def upsert_scd1(
         on_match={"updated_at": now},
     )
     fresh = source.select("appid").join(dim.select("appid"), "appid", "left_anti")
-    keys = assign_keys(fresh, "appid", "_key", start)
+    keys = assign_keys(fresh, "appid", "_key", start, buckets)
     return (
         merged.join(keys, "appid", "left")
         .withColumn("game_key", F.coalesce("game_key", "_key"))
@@ -98,10 +98,10 @@ def unseen_names(dim: DataFrame, names: DataFrame, name: str) -> DataFrame:
 
 
 def keyed_names(
-    unseen: DataFrame, name: str, key: str, load_ts: dt.datetime, start: int = 0
+    unseen: DataFrame, name: str, key: str, load_ts: dt.datetime, start: int = 0, buckets: int = KEY_BUCKETS
 ) -> DataFrame:
     """Rows to append to an add-only dimension."""
-    return assign_keys(unseen, name, key, start).select(
+    return assign_keys(unseen, name, key, start, buckets).select(
         key, name, timestamp(load_ts).alias("created_at")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starload.functions.dates import year_month
@@ -14,7 +14,7 @@ from starload.operators.enrich import enrich, has_store_data, kept, rejected
 from starload.operators.merge import timestamp, upsert_current
 from starload.schemas import GAME_COLUMNS
 from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list
-from starload.sources.store import Staged, Store, bucket_of, empty_table
+from starload.sources.store import Staged, Store, empty_table, observed
 
 
 class EmptyBatch(ValueError):
@@ -40,7 +40,9 @@ def snapshot_rows(good: DataFrame, run_date: dt.date, load_ts: dt.datetime) -> D
 
 
 def day_is_stored(store: Store, run_date: dt.date) -> bool:
-    """One stored row of the day is enough to skip the whole batch; reads one month."""
+    """One stored row of the day is enough to skip the whole batch; reads one month, of a later day nothing."""
+    if (store.last_day("snapshots") or 0) < run_date.year * 10000 + run_date.month * 100 + run_date.day:
+        return False
     month = store.read("snapshots", parts=[run_date.year * 100 + run_date.month])
     return not month.filter(F.col("recorded_date") == F.lit(run_date)).isEmpty()
 
@@ -83,36 +85,25 @@ def ingest(
         ["appid"],
         ["payload_id", "pos"],
     ).drop("payload_id", "pos")
-    # At most one row per bucket; only these are read, merged and written again.
-    buckets = [row[0] for row in batch.select(bucket_of("games")).distinct().collect()]
-    games = store.read("games")
-    if buckets:
-        merged = upsert_current(store.read("games", buckets), batch, load_ts)
-        staged.append(store.stage(run_id, "games", merged, whole=False))
-        rest = [b for b in store.months("games") if b not in buckets]
-        games = store.read_staged(staged[-1]).unionByName(store.read("games", rest))
+    batch, changed = store.work(run_id, "batch", batch)
+    stored = store.read("games")
+    if changed["rows"]:
+        merged = lambda old: upsert_current(old, batch, load_ts)
+        staged.append(store.merge(run_id, "games", batch, changed["rows"], merged))
 
     if not day_is_stored(store, run_date):
         snapshots = snapshot_rows(good, run_date, load_ts)
-        known = games.select("appid", F.lit(True).alias("known"))
-        judged, seen = store.work(
-            run_id,
-            "snapshots",
-            snapshots.join(known, "appid", "left"),
-            unknown=F.count_if(F.col("known").isNull()),
-        )
+        known = stored.select("appid").unionByName(batch.select("appid")).distinct()
+        judged = snapshots.join(known.withColumn("known", F.lit(True)), "appid", "left")
         lost = judged.filter("known is null").select("appid", "name")
-        if seen["unknown"] and on_orphan == "fail":
-            first = [row.asDict() for row in lost.limit(5).collect()]
-            raise checks.CheckFailed(f"snapshots without a game: {first}")
-        bad = bad.unionByName(lost.withColumn("reject_reason", F.lit("no_game")))
-        snapshots = judged.filter("known").select(*empty_table(store.spark, "snapshots").columns)
-        staged.append(store.stage(run_id, "snapshots", snapshots, appended=True))
-        snapshots = store.read_staged(staged[-1])
-        checks.require_none(
-            checks.unique_violations(snapshots, ["appid", "recorded_date"]),
-            "snapshots: more than one row for a game and day",
-        )
+        seen, figures = Observation(), [F.count_if(F.col("known").isNull()).alias("unknown")]
+        sound = judged.observe(seen, *figures).filter("known").select(*empty_table(store.spark, "snapshots").columns)
+        staged.append(store.stage(run_id, "snapshots", sound, appended=True))
+        if observed(seen, judged, figures)["unknown"]:
+            if on_orphan == "fail":
+                first = [row.asDict() for row in lost.limit(5).collect()]
+                raise checks.CheckFailed(f"snapshots without a game: {first}")
+            bad = bad.unionByName(lost.withColumn("reject_reason", F.lit("no_game")))
 
     bad = bad.withColumns({"run_date": F.lit(run_date), "run_id": F.lit(run_id)})
     staged.append(store.stage(run_id, "rejects", bad, appended=True))

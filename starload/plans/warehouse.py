@@ -8,11 +8,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.operators import checks
 from starload.operators.bookmark import (
     changed_since,
     choose_load_mode,
-    last_day,
     last_update,
     read_bookmark,
     seed_bookmark,
@@ -29,9 +27,9 @@ from starload.operators.merge import (
     upsert_scd1,
 )
 from starload.operators.names import bridge, list_names
-from starload.schemas import FACT, GAME_ATTRIBUTES
+from starload.schemas import BUCKETED, FACT, GAME_ATTRIBUTES
 from starload.sources.calendar import FIRST_DAY, LAST_DAY, calendar
-from starload.sources.store import Staged, Store, bucket_of
+from starload.sources.store import Staged, Store
 
 # list column in games, name dimension, its name and key columns, bridge table
 NAME_DIMENSIONS = [
@@ -39,6 +37,9 @@ NAME_DIMENSIONS = [
     ("genres", "dim_genres", "genre_name", "genre_key", "bridge_game_genres"),
 ]
 
+# Dimensions whose keys are handed out here.
+KEYED = ["dim_games", "dim_publishers", "dim_genres"]
+
 
 def create_warehouse(
     store: Store,
@@ -46,8 +47,13 @@ def create_warehouse(
     start: dt.date = FIRST_DAY,
     end: dt.date = LAST_DAY,
     run_id: str = "create",
+    layout: dict[str, int] | None = None,
 ) -> list[Staged]:
-    """Add the calendar days and the bookmark row that are missing."""
+    """Add the calendar days and the bookmark row that are missing.
+
+    `layout` chooses, once and for all, how many buckets a table is kept in (`games.buckets`, `dim_games.buckets`) and
+    the keys of a dimension are handed out in (`dim_games.key_buckets` and so on); else the defaults of the schemas hold.
+    """
     store.refresh()
     if store.is_published(run_id):
         return []
@@ -61,16 +67,18 @@ def create_warehouse(
         store.stage(run_id, "dim_date", days),
         store.stage(run_id, "etl_bookmark", marks),
     ]
-    store.publish(run_id, staged)
+    names = {f"{t}.buckets" for t in BUCKETED} | {f"{t}.key_buckets" for t in KEYED}
+    wrong = [name for name, number in (layout or {}).items() if name not in names or number < 1]
+    if wrong:
+        raise ValueError(f"no number of buckets: {wrong}")
+    store.publish(run_id, staged, layout)
     return staged
 
 
 def load_dimensions(store: Store, run_id: str, load_ts: dt.datetime, mode: str) -> list[Staged]:
     """`incremental` only narrows the game dimension to games updated since its last update.
 
-    Names and bridges are always taken from all games. What is published already satisfies the
-    constraints, so only the rows a run adds are checked. A run that is already published is left
-    alone.
+    Names and bridges are always taken from all games. A run that is already published is left alone.
     """
     store.refresh()
     if store.is_published(run_id):
@@ -79,19 +87,13 @@ def load_dimensions(store: Store, run_id: str, load_ts: dt.datetime, mode: str)
     since = last_update(dim) if mode == "incremental" else None
     staged = []
     if mode == "initial" or since is not None:
-        source = changed_since(games, since).select("appid", *GAME_ATTRIBUTES).distinct()
-        source, _ = store.work(run_id, "games_source", source)
-        checks.require_none(
-            checks.unique_violations(source, ["appid"]), "games: two different rows for a game"
-        )
-        # At most one row per bucket; only these are read, merged and written again.
-        buckets = [row[0] for row in source.select(bucket_of("dim_games")).distinct().collect()]
-        if buckets:
-            start = highest_key(dim, "game_key")
-            merged = upsert_scd1(store.read("dim_games", buckets), source, load_ts, start)
-            staged.append(store.stage(run_id, "dim_games", merged, whole=False))
-            rest = [b for b in store.months("dim_games") if b not in buckets]
-            dim = store.read_staged(staged[-1]).unionByName(store.read("dim_games", rest))
+        source = changed_since(games, since).select("appid", *GAME_ATTRIBUTES)
+        source, seen = store.work(run_id, "games_source", source)
+        if seen["rows"]:
+            start, buckets = highest_key(dim, "game_key"), store.key_buckets("dim_games")
+            merged = lambda old: upsert_scd1(old, source, load_ts, start, buckets)
+            staged.append(store.merge(run_id, "dim_games", source, seen["rows"], merged))
+            dim = store.after(staged[-1])
 
     def names(spec: tuple[str, str, str, str, str]) -> list[Staged]:
         return _load_names(store, run_id, load_ts, games, dim, *spec)
@@ -122,7 +124,7 @@ def _load_names(
     unseen = unseen_names(known, list_names(games, column, name), name)
     unseen, seen = store.work(run_id, table, unseen)
     if seen["rows"]:
-        fresh = keyed_names(unseen, name, key, load_ts, highest_key(known, key))
+        fresh = keyed_names(unseen, name, key, load_ts, highest_key(known, key), store.key_buckets(table))
         staged.append(store.stage(run_id, table, fresh, appended=True))
         known = known.unionByName(store.read_staged(staged[-1]))
     pairs = bridge(games, dim_games, known, column, name, key)
@@ -133,7 +135,7 @@ def _load_names(
 def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     """Load snapshots past the bookmark, then move it to the last snapshot day.
 
-    The last day is read once, before the load, so snapshots that arrive meanwhile wait for the
+    The last day is that of the state the load starts from, so snapshots that arrive meanwhile wait for the
     next run. Facts and bookmark are published together. A run that is already published is left
     alone.
     """
@@ -145,8 +147,7 @@ def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     months = store.months("snapshots")
     if not months:
         return []
-    # The month is derived from the day, so the last day is in the last month.
-    high = last_day(store.read("snapshots", parts=months[-1:]))
+    high = dt.datetime.strptime(str(store.last_day("snapshots")), "%Y%m%d").date()
     wanted = [m for m in months if m >= low.year * 100 + low.month]
     snapshots = past_bookmark(store.read("snapshots", parts=wanted), low, high)
     delta = fact_delta(snapshots, store.read("dim_games"), store.read("dim_date"))
@@ -156,18 +157,12 @@ def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     added = store.stage(run_id, FACT, delta, appended=True)
     if added.rows:
         new, touched = store.read_staged(added), store.staged_months(added)
-        checks.require_none(
-            checks.unique_violations(new, ["game_key", "date_key"]),
-            "facts: more than one row for a game and day",
-        )
-        old = store.read(FACT, parts=touched)
-        last_old = old.agg(F.max("date_key")).first()[0]
-        if last_old is None or last_old < added.first_day:
+        if (store.last_day(FACT, touched) or 0) < added.first_day:
             # Every new day is later than every stored day: nothing to overwrite.
             staged.append(added)
         else:
-            merged = upsert_fact(old, new.drop("created_at"), load_ts)
-            staged.append(store.stage(f"{run_id}-merged", FACT, merged))
+            merged = upsert_fact(store.read(FACT, parts=touched), new.drop("created_at"), load_ts)
+            staged.append(store.stage(run_id, FACT, merged))
     staged.append(
         store.stage(run_id, "etl_bookmark", advance_bookmark(marks, FACT, high, load_ts))
     )
@@ -175,13 +170,23 @@ def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     return staged
 
 
-def load_warehouse(store: Store, run_id: str, load_ts: dt.datetime) -> str:
-    """Dimensions first, then facts, each published on its own. Returns the load mode.
+class Loaded(str):
+    """The load mode, with the rows that each step has written, by table."""
+
+    rows: dict[str, int]
+
+    def __new__(cls, mode: str, staged: list[Staged]):
+        found = super().__new__(cls, mode)
+        found.rows = {item.table: item.rows for item in staged}
+        return found
+
+
+def load_warehouse(store: Store, run_id: str, load_ts: dt.datetime) -> Loaded:
+    """Dimensions first, then facts, each published on its own. Returns the load mode, which knows its row counts.
 
     A step that fails is repeated by the same call: steps published before it are not run again.
     """
     store.refresh()
     mode = choose_load_mode(store.read(FACT), store.read("dim_games"))
-    load_dimensions(store, f"{run_id}-dims", load_ts, mode)
-    load_facts(store, f"{run_id}-facts", load_ts)
-    return mode
+    staged = load_dimensions(store, f"{run_id}-dims", load_ts, mode)
+    return Loaded(mode, staged + load_facts(store, f"{run_id}-facts", load_ts))

@@ -57,10 +57,12 @@ SCHEMAS = {
 # Stored one folder per month.
 MONTHLY = {"snapshots", "fact_game_metrics"}
 
-# Stored by a hash of a column in so many buckets: a batch rewrites only the buckets it touches. The
-# number is part of the layout of a store, so it is the same at every size.
+# Stored by a hash of a column, in so many buckets unless the store is created with another number, which it keeps.
 BUCKETED = {"games": ("appid", 32), "dim_games": ("appid", 32)}
 
+# Keys of a dimension are handed out in so many buckets, unless the store is created with another number.
+KEY_BUCKETS = 1024
+
 # Declared widths, keys, required columns and references (fixed values).
 MAX_LENGTHS = {
     "games": {"name": 500, "price_currency": 10, "release_date": 50},

@@ -1,28 +1,50 @@
 """Tables under one shared folder, published all or nothing.
 
-A run writes each table it changes to a folder of its own, then writes one small state that names
-every folder in force. Readers take the newest state, so they see every table of a run or none, and
-no folder that is being read is ever overwritten. A run that dies before that leaves the previous
-state as it was and can be repeated under the same run id.
+A run writes each table it changes to new folders, never to one that exists, then one small state that names every
+folder in force. Readers take the newest state, so they see every table of a run or none. The state is written under a
+name of its own and renamed to its number; of two publishers only one finds that number free. A run that dies before
+that leaves the previous state as it was and can be repeated under the same run id.
 
-Large tables are kept in parts, months or hash buckets, and a run rewrites only the parts it touches.
+Large tables are kept in parts, months or hash buckets, and a run rewrites only the parts it touches. To a table in
+buckets a small batch is added as a delta: whole rows that replace those of the same key. Deltas are read over the
+buckets and folded into them when they have grown to a tenth of the table, or to DELTAS of them.
+
+Unique keys and references are checked for all that a run has staged, in one job, before it is published.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+import threading
+import uuid
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starload.operators.checks import CheckFailed
-from starload.schemas import BUCKETED, MAX_LENGTHS, MONTHLY, REQUIRED, SCHEMAS
+from starload.functions.dates import date_key
+from starload.operators.checks import CheckFailed, reference_violations, unique_violations
+from starload.operators.dedupe import last_wins
+from starload.schemas import (
+    BUCKETED,
+    KEY_BUCKETS,
+    MAX_LENGTHS,
+    MONTHLY,
+    REFERENCES,
+    REQUIRED,
+    SCHEMAS,
+    UNIQUE_KEYS,
+)
+
+KEPT_RUNS = 1000  # ids of runs that are remembered though nothing of theirs is in force any more
+DELTAS = 30  # in force at a time
+SMALL = 10  # a batch this many times smaller than its table, deltas included, is a delta
 
-STATE = "seq bigint, run_id string, table_name string, path string, part int, appended boolean"
-KEPT_RUNS = 1000  # run ids remembered, so that a repeat of a recent run changes nothing
+_renaming = threading.Lock()  # for file systems that look first and rename then; others need none
 
 
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
@@ -32,10 +54,10 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.range(1).select(*nulls).filter(F.lit(False))
 
 
-def bucket_of(table: str) -> Column:
-    """The part of a bucketed table that a row belongs to."""
-    key, buckets = BUCKETED[table]
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+def bucket_of(table: str, buckets: int | None = None) -> Column:
+    """The part of a bucketed table that a row belongs to; `buckets` is what the store has recorded."""
+    key, default = BUCKETED[table]
+    return F.pmod(F.xxhash64(key), F.lit(buckets or default)).cast("int")
 
 
 def observed(seen: Observation, written: DataFrame, figures: list[Column]) -> dict:
@@ -60,7 +82,9 @@ class Staged:
     whole: bool = False  # replaces the whole table, not only the parts it holds
     base: int = 0  # the state it was derived from
     rows: int = 0
-    first_day: int | None = None  # smallest date_key, of facts
+    first_day: int | None = None  # smallest and largest day, as date keys, of facts and snapshots
+    last_day: int | None = None
+    delta: bool = False
 
 
 @dataclass(frozen=True)
@@ -70,27 +94,40 @@ class Entry:
     table_name: str
     path: str
     part: int | None
-    appended: bool
+    rows: float  # of a run's parts the mean
+    last_day: int | None = None
 
 
 @dataclass
 class State:
     seq: int = 0
     entries: list[Entry] = field(default_factory=list)  # in force, oldest first
-    runs: list[Entry] = field(default_factory=list)  # one for each published run
+    runs: list[str] = field(default_factory=list)  # ids of published runs
+    layout: dict[str, int] = field(default_factory=dict)  # numbers of buckets, fixed once they are in use
 
-    def after(self, seq: int, run_id: str, staged: list[Staged], parts: dict[str, list[int | None]]):
+    def after(
+        self, seq: int, run_id: str, staged: list[Staged], parts: dict[str, list[int | None]], layout: dict[str, int]
+    ) -> State:
         entries = list(self.entries)
         for item in staged:
             held = parts[item.path]
             if not item.appended:
                 gone = lambda e: e.table_name == item.table and (item.whole or e.part in held)  # noqa: B023, E731
                 entries = [e for e in entries if not gone(e)]
-            entries += [
-                Entry(seq, run_id, item.table, _folder(item, part), part, item.appended) for part in held
-            ]
-        runs = [*self.runs, Entry(seq, run_id, "", "", None, False)][-KEPT_RUNS:]
-        return State(seq, entries, runs)
+            for part in held:
+                last = item.last_day
+                if last is not None and part is not None:
+                    last = min(last, part * 100 + 31)
+                entries.append(Entry(seq, run_id, item.table, _folder(item, part), part, item.rows / len(held), last))
+        return State(seq, entries, [*self.runs, run_id][-KEPT_RUNS:], self.layout | layout)
+
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @staticmethod
+    def from_json(text: str) -> State:
+        found = json.loads(text)
+        return State(**found | {"entries": [Entry(**e) for e in found["entries"]]})
 
 
 def _folder(item: Staged, part: int | None) -> str:
@@ -110,6 +147,8 @@ class Store:
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         self._path = jvm.org.apache.hadoop.fs.Path
         self._files = self._path(self.root).getFileSystem(conf)
+        where = self._files.makeQualified(self._path(self.root)).toUri()
+        self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where, conf)
         self._state = State()
         self.refresh()
 
@@ -127,22 +166,18 @@ class Store:
         names = self._names(f"{self.root}/_published")
         return sorted(int(name.removeprefix("seq=")) for name in names if name.startswith("seq="))
 
-    def refresh(self) -> None:
-        """See what other runs have published: the newest complete state, whatever came before it.
+    def _state_of(self, seq: int) -> State:
+        stream = self._files.open(self._path(f"{self.root}/_published/seq={seq}"))
+        try:
+            return State.from_json(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
 
-        A state never changes once it is written, so one that is already known is not read again.
-        """
-        for seq in reversed(self._states()):
-            if seq == self._state.seq:
-                return
-            folder = f"{self.root}/_published/seq={seq}"
-            if "_SUCCESS" in self._names(folder):
-                rows = self.spark.read.schema(STATE).parquet(f"{folder}/*.parquet").collect()
-                found = sorted((Entry(**row.asDict()) for row in rows), key=lambda e: (e.seq, e.run_id))
-                tables = [e for e in found if e.table_name]
-                self._state = State(seq, tables, [e for e in found if not e.table_name])
-                return
-        self._state = State()
+    def refresh(self) -> None:
+        """See what other runs have published. A state never changes, so a known one is not read again."""
+        newest = max(self._states(), default=0)
+        if newest != self._state.seq:
+            self._state = self._state_of(newest) if newest else State()
 
     def _live(self, table: str) -> dict[int | None, list[str]]:
         """Folders that make up a table, by part."""
@@ -155,11 +190,43 @@ class Store:
     def read(self, table: str, parts: list[int] | None = None) -> DataFrame:
         """The published table, or these months or buckets of it, with its declared schema."""
         live = self._live(table)
+        deltas = live.pop(None, []) if table in BUCKETED else []
         chosen = live if parts is None else [p for p in live if p in parts]
-        return self._load(table, [path for part in chosen for path in live[part]])
+        rows = self._load(table, [path for part in chosen for path in live[part]])
+        if not deltas:
+            return rows
+        key = BUCKETED[table][0]
+        changed = [self._plain(table, path).withColumn("_age", F.lit(k)) for k, path in enumerate(deltas)]
+        changed = last_wins(reduce(DataFrame.unionByName, changed), [key], ["_age"]).drop("_age")
+        if parts is not None:
+            changed = changed.filter(bucket_of(table, self.buckets(table)).isin(parts))
+        return rows.join(changed.select(key), key, "left_anti").select(*rows.columns).unionByName(changed)
+
+    def buckets(self, table: str) -> int:
+        """How many buckets a table is kept in, from its creation on."""
+        return self._state.layout.get(f"{table}.buckets", BUCKETED[table][1])
+
+    def key_buckets(self, table: str) -> int:
+        """How many buckets the keys of a dimension are handed out in, from its creation on."""
+        return self._state.layout.get(f"{table}.key_buckets", KEY_BUCKETS)
+
+    def last_day(self, table: str, months: list[int] | None = None) -> int | None:
+        """The largest day stored, or of these months no smaller than that, as a date key, from the state."""
+        own = [e for e in self._state.entries if e.table_name == table and (months is None or e.part in months)]
+        return max((e.last_day for e in own if e.last_day is not None), default=None)
+
+    def deltas(self, table: str) -> int:
+        return len(self._live(table).get(None, []))
+
+    def is_small(self, table: str, rows: int) -> bool:
+        """Whether so many rows are a delta of a bucketed table, rather than a reason to write its buckets again."""
+        own = [e for e in self._state.entries if e.table_name == table]
+        added = rows + sum(e.rows for e in own if e.part is None)
+        return self.deltas(table) < DELTAS and added * SMALL <= sum(e.rows for e in own if e.part is not None)
 
     def months(self, table: str) -> list[int]:
-        return sorted(self._live(table))
+        """The months, or buckets, that hold rows."""
+        return sorted(part for part in self._live(table) if part is not None)
 
     def register_views(self, prefix: str = "") -> None:
         """Every table as a temporary view of its name, for SQL. Call again to see later runs.
@@ -171,7 +238,25 @@ class Store:
             self.read(table).createOrReplaceTempView(f"{prefix}{table}")
 
     def read_staged(self, staged: Staged) -> DataFrame:
-        return self._load(staged.table, [staged.path])
+        return self._plain(staged.table, staged.path) if staged.delta else self._load(staged.table, [staged.path])
+
+    def after(self, staged: Staged) -> DataFrame:
+        """The table as it will be once this is published."""
+        rows = self.read_staged(staged)
+        if staged.whole:
+            return rows
+        if staged.delta:
+            key = BUCKETED[staged.table][0]
+            rest = self.read(staged.table).join(rows.select(key), key, "left_anti").select(*rows.columns)
+        elif staged.appended:
+            rest = self.read(staged.table)
+        else:
+            gone = self.staged_months(staged)
+            rest = self.read(staged.table, [p for p in self.months(staged.table) if p not in gone])
+        return rest.unionByName(rows)
+
+    def _plain(self, table: str, path: str) -> DataFrame:
+        return self.spark.read.schema(SCHEMAS[table]).parquet(path)
 
     def _load(self, table: str, paths: list[str]) -> DataFrame:
         if not paths:
@@ -186,32 +271,47 @@ class Store:
         return rows if table in MONTHLY else rows.drop(column)
 
     def is_published(self, run_id: str) -> bool:
-        return any(entry.run_id == run_id for entry in self._state.runs)
+        """Remembered, or something of it is in force."""
+        return run_id in self._state.runs or any(entry.run_id == run_id for entry in self._state.entries)
 
     # Writing ------------------------------------------------------------------------------
 
     def work(self, run_id: str, name: str, df: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
         """Write an intermediate result once and read it back, with figures counted meanwhile."""
-        path = f"{self.root}/_work/run={run_id}/{name}"
+        path = f"{self.root}/_work/{self._new(run_id)}/{name}"
         seen, figures = Observation(), [F.count("*").alias("rows"), *[c.alias(n) for n, c in counts.items()]]
-        df.observe(seen, *figures).write.mode("overwrite").parquet(path)
+        df.observe(seen, *figures).write.parquet(path)
         written = self.spark.read.schema(df.schema).parquet(path)
         return written, observed(seen, written, figures)
 
+    @staticmethod
+    def _new(run_id: str) -> str:
+        """The name of a folder that no other attempt has."""
+        return f"run={run_id}-{uuid.uuid4().hex[:12]}"
+
     def stage(
-        self, run_id: str, table: str, df: DataFrame, appended: bool = False, whole: bool | None = None
+        self,
+        run_id: str,
+        table: str,
+        df: DataFrame,
+        appended: bool = False,
+        whole: bool | None = None,
+        delta: bool = False,
     ) -> Staged:
-        """Write a table to the run's own folder, counting its rows and checking its columns.
+        """Write a table to a new folder, counting its rows and checking its columns.
 
         `appended` adds to what is published; else months are replaced one by one and other tables as
-        a whole, unless `whole` says otherwise. A required column with NULLs, a text longer than
-        declared or a row without a part ends the run.
+        a whole, unless `whole` says otherwise. A `delta` holds rows that replace those of the same key of a
+        table in buckets. A required column with NULLs, a text longer than declared or a row without a
+        part ends the run. Buckets that a delta may lie over can only be replaced as a whole.
         """
         if self.is_published(run_id):
             raise ValueError(f"run {run_id} is already published")
-        path, column = f"{self.root}/{table}/run={run_id}", part_column(table)
-        if table in BUCKETED:
-            df = df.withColumn(column, bucket_of(table))
+        path, column = f"{self.root}/{table}/{self._new(run_id)}", None if delta else part_column(table)
+        if delta and table not in BUCKETED:
+            raise ValueError(f"{table} is not kept in buckets")
+        if column and table in BUCKETED:
+            df = df.withColumn(column, bucket_of(table, self.buckets(table)))
         faults = {
             **{f"{c}: required": F.col(c).isNull() for c in REQUIRED.get(table, [])},
             **{f"{c}: text too long": F.char_length(c) > n for c, n in MAX_LENGTHS.get(table, {}).items()},
@@ -219,25 +319,43 @@ class Store:
         if column:
             faults[f"{column}: required"] = F.col(column).isNull()
         figures = [F.count("*").alias("rows"), *[F.count_if(fault).alias(name) for name, fault in faults.items()]]
-        if "date_key" in df.columns:
-            figures.append(F.min("date_key").alias("first_day"))
+        if table in MONTHLY:
+            day = F.col("date_key") if "date_key" in df.columns else date_key(F.col("recorded_date"))
+            figures += [F.min(day).alias("first_day"), F.max(day).alias("last_day")]
         seen = Observation()
         df = df.observe(seen, *figures)
         if column:
             # Whole parts to a task, big ones split by AQE: few, even files and no hot writer.
             sort = [c for c in (column, "game_key", "appid", "date_key") if c in df.columns]
             df = df.hint("rebalance", column).sortWithinPartitions(*sort)
-            df.write.mode("overwrite").partitionBy(column).parquet(path)
+            df.write.partitionBy(column).parquet(path)
         else:
-            df.write.mode("overwrite").parquet(path)
+            df.write.parquet(path)
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
         found = observed(seen, self.spark.read.schema(schema).parquet(path), figures)
         wrong = {name: found[name] for name in faults if found[name]}
         if wrong:
             raise CheckFailed(f"{table}: {wrong}")
-        replaces = not appended and (table not in MONTHLY if whole is None else whole)
-        first_day = found.get("first_day")
-        return Staged(table, path, appended, replaces, self._state.seq, found["rows"], first_day)
+        replaces = not appended and not delta and (table not in MONTHLY if whole is None else whole)
+        days = found.get("first_day"), found.get("last_day")
+        return Staged(table, path, appended or delta, replaces, self._state.seq, found["rows"], *days, delta)
+
+    def merge(
+        self, run_id: str, table: str, batch: DataFrame, rows: int, merged: Callable[[DataFrame], DataFrame]
+    ) -> Staged:
+        """Stage a table in buckets with a batch of so many rows merged in, as a delta if that is small for the table.
+
+        `merged` makes, of the stored rows that the batch may touch, those to be stored.
+        """
+        key = BUCKETED[table][0]
+        if self.is_small(table, rows):
+            old = self.read(table).join(batch.select(key), key, "left_semi")
+            return self.stage(run_id, table, merged(old), delta=True)
+        if self.deltas(table):
+            return self.stage(run_id, table, merged(self.read(table)))
+        # At most one row per bucket; only these are read, merged and written again.
+        buckets = [row[0] for row in batch.select(bucket_of(table, self.buckets(table))).distinct().collect()]
+        return self.stage(run_id, table, merged(self.read(table, buckets)), whole=False)
 
     def staged_months(self, staged: Staged) -> list[int]:
         """Parts a staged table holds, from its folder names."""
@@ -245,42 +363,99 @@ class Store:
         names = self._names(staged.path)
         return sorted(int(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}="))
 
-    def publish(self, run_id: str, staged: list[Staged]) -> None:
-        """Make every staged table visible at once.
+    def _violations(self, staged: list[Staged]) -> list[tuple[str, DataFrame]]:
+        """What the staged rows break of the declared keys and references; references to tables in use only."""
+        new = {item.table: item for item in staged}
+        found = []
+        for item in staged:
+            rows, table = self.read_staged(item), item.table
+            fresh = not item.appended or item.delta or not self._live(table)
+            if item.first_day is not None and (self.last_day(table) or 0) < item.first_day:
+                fresh = True  # every day is later than every stored one
+            for keys in UNIQUE_KEYS.get(table, []):
+                what = f"{table}: more than one row for {', '.join(keys)}"
+                found.append((what, unique_violations(rows, keys)))
+                if not fresh:
+                    stored = self.read(table, self.staged_months(item) if table in MONTHLY else None)
+                    found.append((what, rows.select(*keys).join(stored.select(*keys), keys, "left_semi")))
+            for column, parent, parent_column in REFERENCES.get(table, []):
+                if parent in new or self._live(parent):
+                    parents = self.after(new[parent]) if parent in new else self.read(parent)
+                    lost = reference_violations(rows, parents, column, parent_column)
+                    found.append((f"{table}: {column} without a row of {parent}", lost))
+        return found
+
+    def check(self, staged: list[Staged]) -> None:
+        """Fail if the staged rows break a unique key or a reference; one job for all of them."""
+        found = [
+            broken.limit(3).select(F.lit(what).alias("what"), F.to_json(F.struct("*")).alias("example"))
+            for what, broken in self._violations([item for item in staged if item.rows])
+        ]
+        if found and (rows := reduce(DataFrame.union, found).collect()):
+            raise CheckFailed("; ".join(f"{r.what}: {r.example}" for r in rows))
+
+    def publish(self, run_id: str, staged: list[Staged], layout: dict[str, int] | None = None) -> None:
+        """Make every staged table visible at once, if keys and references hold.
 
-        Refused if another run has meanwhile replaced, or added to, what a staged table replaces.
+        Refused if another run has meanwhile replaced, or added to, what a staged table replaces. `layout` fixes
+        numbers of buckets (`games.buckets`, `dim_games.key_buckets`); those of a table in use cannot be changed.
         """
         if not staged:
             return
         self.refresh()
-        parts = {i.path: self.staged_months(i) if part_column(i.table) else [None] for i in staged}
+        parts = {i.path: self.staged_months(i) if part_column(i.table) and not i.delta else [None] for i in staged}
         for item in staged:
             touched = [
                 e
                 for e in self._state.entries
-                if e.table_name == item.table and (item.whole or e.part in parts[item.path])
+                if e.table_name == item.table
+                and (item.whole or item.delta or e.part in parts[item.path] or (e.part is None and item.table in BUCKETED))
             ]
-            if not item.appended and any(e.seq > item.base for e in touched):
+            if (item.delta or not item.appended) and any(e.seq > item.base for e in touched):
                 raise Overlap(f"run {run_id}: {item.table} has changed since state {item.base}")
-        seq = max(self._states(), default=0) + 1
-        state = self._state.after(seq, run_id, staged, parts)
-        rows = [
-            (e.seq, e.run_id, e.table_name, e.path, e.part, e.appended) for e in (*state.entries, *state.runs)
-        ]
+            if item.table in BUCKETED and not (item.delta or item.whole or item.appended) and self.deltas(item.table):
+                raise ValueError(f"{item.table} has deltas: its buckets are replaced together")
+        self.check(staged)
+        used = {t: self.buckets(t) for t in {i.table for i in staged} & BUCKETED.keys()}
+        fixed = {f"{t}.buckets": n for t, n in used.items()} | (layout or {})
+        for name, number in fixed.items():
+            if self._state.layout.get(name, number) != number:
+                raise ValueError(f"{name} is {self._state.layout[name]} already")
+        seq = self._state.seq + 1
+        state = self._state.after(seq, run_id, staged, parts, fixed)
+        self._commit(run_id, state)
+        self._state = state
+
+    def _commit(self, run_id: str, state: State) -> None:
+        """Write the state and give it its number, unless another publisher has taken that."""
+        folder = f"{self.root}/_published"
+        draft, name = (self._path(f"{folder}/{n}") for n in (f"draft-{uuid.uuid4().hex}", f"seq={state.seq}"))
+        stream = self._files.create(draft, False)
         try:
-            self.spark.createDataFrame(rows, STATE).coalesce(1).write.parquet(f"{self.root}/_published/seq={seq}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
+            stream.write(bytearray(state.to_json().encode()))
+        finally:
+            stream.close()
+        jvm = self.spark._jvm
+        plain = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            with _renaming:
+                self._context.rename(draft, name, plain)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
                 raise
-            raise Overlap(f"run {run_id}: another run is publishing") from error
-        self._state = state
+            self._files.delete(draft, False)
+            raise Overlap(f"run {run_id}: another run has published state {state.seq}") from error
 
     # Upkeep -------------------------------------------------------------------------------
 
-    def compact(self, table: str, part: int, run_id: str) -> None:
-        """Write one month or bucket that several runs have added to as a single folder."""
+    def compact(self, table: str, part: int | None, run_id: str) -> None:
+        """Write one month or bucket that several runs have added to as a single folder; deltas go into the buckets."""
         self.refresh()
-        if not self.is_published(run_id) and len(self._live(table).get(part, [])) > 1:
+        if self.is_published(run_id):
+            return
+        if self.deltas(table):
+            self.publish(run_id, [self.stage(run_id, table, self.read(table))])
+        elif len(self._live(table).get(part, [])) > 1:
             self.publish(run_id, [self.stage(run_id, table, self.read(table, [part]), whole=False)])
 
     def clean(self, states: int = 10) -> list[str]:
@@ -289,15 +464,14 @@ class Store:
         Call it while no run is under way: what a run has staged is not named yet.
         """
         self.refresh()
-        kept = self._states()[-states:]
-        named = set()
-        for seq in kept:
-            rows = self.spark.read.schema(STATE).parquet(f"{self.root}/_published/seq={seq}/*.parquet")
-            named |= {r.path.split("/run=")[1].split("/")[0] + "/" + r.table_name for r in rows.where("path <> ''").collect()}
-        gone = [f"_published/seq={seq}" for seq in self._states()[: -len(kept) or None] if seq not in kept]
+        known = self._states()
+        kept = known[-states:]
+        named = {f"{e.table_name}/{e.path.split('/run=')[1].split('/')[0]}" for seq in kept for e in self._state_of(seq).entries}
+        gone = [f"_published/seq={seq}" for seq in known if seq not in kept]
+        gone += [f"_published/{n}" for n in self._names(f"{self.root}/_published") if n.startswith("draft-")]
         for table in SCHEMAS:
             for name in self._names(f"{self.root}/{table}"):
-                if name.startswith("run=") and f"{name.removeprefix('run=')}/{table}" not in named:
+                if name.startswith("run=") and f"{table}/{name.removeprefix('run=')}" not in named:
                     gone.append(f"{table}/{name}")
         if self._names(f"{self.root}/_work"):
             gone.append("_work")

@@ -12,8 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.operators import checks
-from starload.operators.facts import guard_days, with_month
+from starload.operators.facts import guard_days, rows_of_stored_days, with_month
 from starload.operators.merge import timestamp
 from starload.plans.warehouse import load_facts
 from starload.schemas import MAX_LENGTHS, REQUIRED
@@ -30,11 +29,27 @@ def _reason(columns: dict[str, int]) -> Column:
     return F.coalesce(*required, *texts)
 
 
+def _one_per_key(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """One row of each key, the greatest by its other columns, and the rows that are left over.
+
+    Equal rows are counted before they are shuffled, and a key's greatest row meets them in a join that can split a key
+    of many different rows.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+    greatest = counted.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_best"))
+    judged = counted.join(greatest, keys).withColumn("_first", F.struct(*rest) == F.col("_best"))
+    over = F.col("_n") - F.col("_first").cast("int")
+    left = judged.filter(over > 0).withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), over)))
+    return judged.filter("_first").select(*rows.columns), left.select(*rows.columns)
+
+
 def store_arrivals(store: Store, batch: DataFrame, run_id: str, load_ts: dt.datetime) -> None:
     """Publish the snapshots of days not stored yet; rows that cannot be stored go to the rejects.
 
-    Those lack the game's number or the day, name a game that is not stored, or hold a text longer
-    than declared. One of them does not keep the others back.
+    Those lack the game's number or the day, name a game that is not stored, hold a text longer than declared
+    (`no_...`, `long_...`), belong to a day that is stored already (`day_stored`) or repeat a game and day of the batch
+    (`repeated`: the greatest row by its columns is stored). None of them keeps the others back.
     """
     store.refresh()
     if store.is_published(run_id):
@@ -49,15 +64,16 @@ def store_arrivals(store: Store, batch: DataFrame, run_id: str, load_ts: dt.date
     sound = judged.filter("reject_reason is null").drop("reject_reason")
     # Months of the batch only; at most one row per calendar month.
     months = [row.ym for row in sound.select("ym").distinct().collect()]
-    fresh = guard_days(sound, store.read("snapshots", months))
-    fresh = fresh.withColumn("created_at", timestamp(load_ts))
+    stored = store.read("snapshots", months)
+    first, left = _one_per_key(guard_days(sound, stored), ["appid", "recorded_date"])
+    fresh = first.withColumn("created_at", timestamp(load_ts))
     columns = [F.col(c) for c in empty_table(store.spark, "snapshots").columns]
     added = store.stage(run_id, "snapshots", fresh.select(*columns), appended=True)
-    checks.require_none(
-        checks.unique_violations(store.read_staged(added), ["appid", "recorded_date"]),
-        "snapshots: more than one row for a game and day",
-    )
-    lost = judged.filter("reject_reason is not null").select(
+
+    lost = judged.filter("reject_reason is not null")
+    for rows, reason in ((rows_of_stored_days(sound, stored), "day_stored"), (left, "repeated")):
+        lost = lost.unionByName(rows.withColumn("reject_reason", F.lit(reason)))
+    lost = lost.select(
         "appid",
         F.left("name", F.lit(MAX_LENGTHS["snapshots"]["name"])).alias("name"),
         "reject_reason",

@@ -196,11 +196,11 @@ def ready(store, make):
 
 
 def test_late_and_unknown_rows_are_never_loaded(ready, make):
+    put_games(ready, make, "games2", 1, 2, 9, at=T2)  # 9 is not in the dimension yet
     put(ready, make, "s1", (1, D(2024, 1, 10), 1), (9, D(2024, 1, 11), 2))
     load_facts(ready, "f1", T1)
     assert bookmark_of(ready) == D(2024, 1, 11)
     put(ready, make, "s2", (2, D(2024, 1, 9), 3), (2, D(2024, 1, 11), 4), (2, D(2024, 2, 1), 5))
-    put_games(ready, make, "games2", 1, 2, 9, at=T2)
     load_dimensions(ready, "dims2", T2, "incremental")
     load_facts(ready, "f2", T2)
     assert [(a, d, c) for a, d, c, _ in facts_of(ready)] == [(1, 20240110, 1), (2, 20240201, 5)]
@@ -259,6 +259,7 @@ def test_many_small_loads_equal_one_big_load(spark, make, tmp_path):
         create_warehouse(store, T1)
         put_games(store, make, "games", 1, 2)
         load_dimensions(store, "dims", T1, "initial")
+        put_games(store, make, "games2", 1, 2, 7)  # 7 is not in the dimension
         for i, batch in enumerate(batches):
             put(store, make, f"s{i}", *batch)
             load_facts(store, f"f{i}", T1)
@@ -284,17 +285,17 @@ def test_crash_before_publish_leaves_everything_and_a_repeat_finishes(ready, mak
     assert bookmark_of(ready) == D(2024, 1, 2)
 
 
-def test_duplicate_snapshots_stop_the_fact_load(ready, make):
-    put(ready, make, "s1", (1, D(2024, 1, 1), 1), (1, D(2024, 1, 1), 2))
+def test_duplicate_snapshots_are_never_published(ready, make):
     with pytest.raises(CheckFailed, match="more than one row"):
-        load_facts(ready, "f1", T1)
+        put(ready, make, "s1", (1, D(2024, 1, 1), 1), (1, D(2024, 1, 1), 2))
+    load_facts(ready, "f1", T1)
     assert ready.read(FACT).isEmpty() and bookmark_of(ready) == BEGINNING
 
 
 @pytest.mark.parametrize(
     "rows, message",
     [
-        ([{"appid": 1, "name": "a"}, {"appid": 1, "name": "b"}], "two different rows"),
+        ([{"appid": 1, "name": "a"}, {"appid": 1, "name": "b"}], "games: more than one row"),
         ([{"appid": 1}], "required"),
         ([{"appid": 1, "name": "x" * 501}], "too long"),
         ([{"appid": 1, "name": "a", "genres": json.dumps(["g" * 101])}], "too long"),
@@ -340,3 +341,43 @@ def test_responses_that_landed_twice_count_once(spark, store):
     ingest(store, top, details.union(details).union(failed), counts.union(counts), T1.date(), T1, "d1")
     assert rows_of(store.read("snapshots"), "appid", "ccu") == [(1, 10), (2, 20)]
     assert store.read("rejects").isEmpty()
+
+
+def test_the_load_tells_its_rows(spark, store):
+    create_warehouse(store, T1)
+    run(spark, store, DAY1, T1, "d1")
+    loaded = load_warehouse(store, "w1", T1)
+    assert loaded == "initial" and loaded.rows == {
+        "dim_games": 2, "dim_publishers": 2, "bridge_game_publishers": 3, "dim_genres": 2, "bridge_game_genres": 2,
+        FACT: 2, "etl_bookmark": 1,
+    }
+    assert load_warehouse(store, "w1", T2).rows == {}
+
+
+@pytest.mark.parametrize("buckets", [7, 5000])
+def test_keys_are_dense_and_stay_with_any_number_of_buckets(spark, store, make, buckets):
+    layout = {f"{t}.key_buckets": buckets for t in ("dim_games", "dim_publishers", "dim_genres")}
+    create_warehouse(store, T1, layout=layout | {"games.buckets": 5, "dim_games.buckets": 3})
+    rows = [{"appid": a, "name": f"g{a}", "publishers": json.dumps([f"p{a % 40}"]), "updated_at": T1} for a in range(300)]
+    store.publish("g1", [store.stage("g1", "games", make("games", *rows[:200]))])
+    load_dimensions(store, "d1", T1, "initial")
+    assert store.months("games") == list(range(5)) and store.months("dim_games") == list(range(3))
+
+    def keys(table, natural, key):
+        return dict(rows_of(store.read(table), natural, key))
+
+    games, names = keys("dim_games", "appid", "game_key"), keys("dim_publishers", "publisher_name", "publisher_key")
+    assert sorted(games.values()) == list(range(1, 201)) and sorted(names.values()) == list(range(1, 41))
+    load_dimensions(store, "d2", T2, "initial")
+    assert keys("dim_games", "appid", "game_key") == games
+    store.publish("g2", [store.stage("g2", "games", make("games", *[r | {"updated_at": T3} for r in rows]))])
+    load_dimensions(store, "d3", T3, "incremental")
+    after = keys("dim_games", "appid", "game_key")
+    assert {a: after[a] for a in games} == games and sorted(after.values()) == list(range(1, 301))
+    assert keys("dim_publishers", "publisher_name", "publisher_key") == names
+
+
+def test_a_number_of_buckets_must_name_a_table(store):
+    for layout in ({"games.key_buckets": 3}, {"dim_games.buckets": 0}):
+        with pytest.raises(ValueError, match="no number of buckets"):
+            create_warehouse(store, T1, layout=layout)

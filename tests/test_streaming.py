@@ -59,3 +59,30 @@ def test_bad_arrivals_go_to_the_rejects(spark, store, make):
             (None, "no_appid", "a"),
         ]
     load_facts(store, "f", T1)
+
+
+def test_a_repeated_row_does_not_stop_the_stream(spark, store, make, tmp_path):
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    create_warehouse(store, T1)
+    store.publish("games", [store.stage("games", "games", make("games", *[{"appid": a, "name": "g"} for a in (1, 2, 3)]))])
+    load_dimensions(store, "dims", T1, "initial")
+    one, two = D(2024, 1, 1), D(2024, 1, 2)
+    land(spark, landing, (1, one, 5), (1, one, 7), (1, one, 7), (1, one, 7), (2, one, 1), (3, two, 2), (3, two, 2))
+    load_arrivals(store, landing, checkpoint, T1)
+    assert rows_of(store.read("snapshots"), "appid", "ccu") == [(1, 7), (2, 1), (3, 2)]
+    assert rows_of(store.read("rejects"), "appid", "reject_reason") == [(1, "repeated")] * 3 + [(3, "repeated")]
+    # The rest of a day that is stored, and a day that is not.
+    land(spark, landing, (3, one, 9), (3, one, 9), (1, D(2024, 1, 3), 4))
+    load_arrivals(store, landing, checkpoint, T2)
+    assert rows_of(store.read(FACT), "date_key", "ccu") == [(20240101, 1), (20240101, 7), (20240102, 2), (20240103, 4)]
+    late = store.read("rejects").filter("reject_reason = 'day_stored'")
+    assert rows_of(late, "appid", "run_id") == [(3, "arrivals-1"), (3, "arrivals-1")]
+
+
+def test_arrivals_that_are_all_rejected(spark, store, make):
+    create_warehouse(store, T1)
+    store.publish("games", [store.stage("games", "games", make("games", {"appid": 1, "name": "g"}))])
+    batch = spark.createDataFrame([(8, None, 0, 0, None, 0, 0, 5, D(2024, 1, 1))], ARRIVING)
+    store_arrivals(store, batch, "a", T1)
+    store_arrivals(store, batch.limit(0), "b", T1)
+    assert store.read("snapshots").isEmpty() and store.read("rejects").count() == 1
