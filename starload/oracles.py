@@ -107,6 +107,20 @@ def _with(*ctes: str) -> str:
 ON_SHIPMENTS = _with(RAW, SHIPMENTS, FACT)
 ON_ACTIVITY = _with(RAW, ACTIVITY, FACT)
 ON_PARSED = _with(RAW, PARSED)
+ON_ARRIVALS = (
+    _with(RAW, ACTIVITY)
+    + """, arrived AS (
+  SELECT 1 AS batch, * FROM snap WHERE recorded_date <= DATE '2024-01-20'
+  UNION ALL SELECT 1, * REPLACE (ccu * 2 AS ccu) FROM snap WHERE recorded_date <= DATE '2024-01-20' AND userscore > 0
+  UNION ALL SELECT 2, * FROM snap WHERE recorded_date >= DATE '2024-01-18'),
+stored_days AS (SELECT DISTINCT recorded_date FROM arrived WHERE batch = 1 AND appid IN (SELECT appid FROM games)),
+judged AS (
+  SELECT *, CASE WHEN appid NOT IN (SELECT appid FROM games) THEN 'no_game'
+    WHEN batch = 2 AND recorded_date IN (SELECT recorded_date FROM stored_days) THEN 'day_stored'
+    WHEN row_number() OVER (PARTITION BY batch, appid, recorded_date ORDER BY ccu DESC) > 1 THEN 'repeated' END AS reject_reason
+  FROM arrived)
+"""
+)
 RECENT = "recorded_date >= DATE '2024-01-30' - 30"
 METRICS = "ccu, score, userscore, owners, average_playtime, median_playtime"
 
@@ -232,6 +246,24 @@ ORACLES = {
       UNION ALL SELECT appid, name, 'no_game', unnest(['day-1', 'day-2']) FROM ingested WHERE NOT first_gate) r
     JOIN (VALUES ('day-1', DATE '2024-05-01'), ('day-2', DATE '2024-05-02'), ('day-2-again', DATE '2024-05-02'))
       AS days(run_id, run_date) USING (run_id)""",
+    "p11_stored_arrivals": ON_ARRIVALS
+    + """SELECT appid, reject_reason, CASE batch WHEN 1 THEN DATE '2024-01-15' ELSE DATE '2024-03-01' END AS run_date,
+      'batch-' || batch AS run_id
+    FROM judged WHERE reject_reason IS NOT NULL""",
+    "s7_stored_arrivals": ON_ARRIVALS
+    + "SELECT appid, recorded_date, ccu, score, userscore FROM judged WHERE reject_reason IS NULL",
+    "e2e_weekday": _with(
+        "sound AS (SELECT * REPLACE (CASE WHEN p_size = 23 THEN 25 ELSE p_size END AS p_size) FROM part)",
+        RAW.replace("FROM part", "FROM sound"),
+        PARSED,
+    )
+    + """, fact AS (
+      SELECT appid, name, d AS recorded_date, CAST(dayofweek(d) AS INT) AS day_of_week,
+        CASE WHEN ccu > 0 THEN ccu + more ELSE ccu END AS ccu
+      FROM ingested, (VALUES (DATE '2024-05-04', 0), (DATE '2024-05-05', 50)) AS days(d, more) WHERE first_gate)
+    SELECT name, day_of_week, avg(ccu) AS avg_ccu FROM fact WHERE appid IN (
+      SELECT appid FROM fact WHERE recorded_date = DATE '2024-05-05' ORDER BY ccu DESC NULLS FIRST, appid LIMIT 10)
+    GROUP BY name, day_of_week ORDER BY name, day_of_week""",
     "k1_second_load": """SELECT l_orderkey, CASE WHEN min(CAST(l_shipdate AS DATE)) <= DATE '1998-12-31' THEN 1 ELSE 2 END AS loaded_by
     FROM lineitem GROUP BY 1""",
     "q1_unique": """SELECT l_partkey, CAST(l_shipdate AS DATE) AS ship_day, count(*) AS n

@@ -107,15 +107,28 @@ def top_games_by_weekday(
 def games_by_weekday(
     fact: DataFrame, dim_games: DataFrame, dim_date: DataFrame, as_of: dt.date, days: int = 30
 ) -> DataFrame:
-    """Average count by weekday of every game: name, day_of_week, avg_ccu."""
+    """Average count by weekday of every game: name, day_of_week, avg_ccu.
+
+    Facts are summed to one row per game with a slot for each weekday, so that the sums meet the dimension where the
+    one shuffle by game has put them; the slots become rows after that.
+    """
     recent = between(fact, as_of - dt.timedelta(days=days))
-    per_game = (
-        with_day(recent, dim_date, "day_of_week")
-        .groupBy("game_key", "day_of_week")
-        .agg(F.sum("ccu").alias("total"), F.count("ccu").alias("rows"))
-    )
+    sums = []
+    for number in range(7):
+        on_day = F.when(F.col("day_of_week") == number, F.col("ccu"))
+        sums += [
+            F.count_if(F.col("day_of_week") == number).alias(f"n{number}"),
+            F.sum(on_day).alias(f"total{number}"),
+            F.count(on_day).alias(f"rows{number}"),
+        ]
+    slots = [
+        F.struct(F.lit(k).alias("day_of_week"), *[F.col(f"{c}{k}").alias(c) for c in ("n", "total", "rows")]) for k in range(7)
+    ]
+    per_game = with_day(recent, dim_date, "day_of_week").groupBy("game_key").agg(*sums)
     return (
         per_game.join(dim_games.select("game_key", "name"), "game_key")
+        .select("name", F.inline(F.array(*slots)))
+        .filter("n > 0")
         .groupBy("name", "day_of_week")
         .agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"))
         .select("name", "day_of_week", mean("total", "rows").alias("avg_ccu"))

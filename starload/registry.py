@@ -56,8 +56,15 @@ from starload.schemas import FACT, GAME_ATTRIBUTES, METRICS
 from starload.session import checkpointed, scratch_root, settle
 from starload.sources import standin
 from starload.sources.calendar import calendar, calendar_covering
-from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list
+from starload.sources.payloads import (
+    parse_app_details,
+    parse_player_count,
+    parse_top_list,
+    read_payloads,
+    read_response_lines,
+)
 from starload.sources.store import Store, empty_table
+from starload.streaming.arrivals import ARRIVING, store_arrivals
 
 DAY_ONE = dt.datetime(2024, 1, 15)
 DAY_TWO = dt.datetime(2024, 3, 1)
@@ -78,11 +85,13 @@ def _dim_games(spark: SparkSession, games: DataFrame) -> DataFrame:
     return upsert_scd1(empty_table(spark, "dim_games"), source, DAY_ONE, start=0)
 
 
-def _shipments(spark: SparkSession, folder: str) -> Star:
-    """Star over line items; games and their dimension are derived once, however often they are used."""
+def _shipments(spark: SparkSession, folder: str, names: bool = False, dim: bool = True) -> Star:
+    """Star over line items. What a query reads more than once is kept: the games if it needs their names too, their
+    dimension unless only the facts need it."""
     lineitem = standin.table(spark, folder, "lineitem")
-    games = checkpointed(standin.games(standin.table(spark, folder, "part")))
-    dim = checkpointed(_dim_games(spark, games))
+    keep = lambda df, often: checkpointed(df) if often else df
+    games = keep(standin.games(standin.table(spark, folder, "part")), names)
+    dim = keep(_dim_games(spark, games), dim)
     days = calendar_covering(lineitem, F.col("l_shipdate"))
     return Star(games, dim, days, fact_delta(standin.shipment_snapshots(lineitem), dim, days))
 
@@ -247,6 +256,54 @@ def p11_stored_rejects(spark, folder):
     return _ingested(spark, folder).read("rejects").select("appid", "name", "reject_reason", "run_date", "run_id")
 
 
+def _arrived(spark, folder) -> Store:
+    """Two micro-batches: rows of the first come twice where an error was logged, the second begins with stored days."""
+    store = Store(spark, scratch_root(spark))
+    games = standin.games(standin.table(spark, folder, "part")).select(*empty_table(spark, "games").columns)
+    store.publish("games", [store.stage("games", "games", games)])
+    offered = standin.event_snapshots(standin.table(spark, folder, "events"))
+    offered = offered.withColumn("name", F.lit(None).cast("string")).select(*spark.createDataFrame([], ARRIVING).columns)
+    first = offered.filter(F.col("recorded_date") <= F.lit(dt.date(2024, 1, 20)))
+    twice = first.filter(F.col("userscore") > 0).withColumn("ccu", F.col("ccu") * 2)
+    store_arrivals(store, first.unionByName(twice), "batch-1", DAY_ONE)
+    store_arrivals(store, offered.filter(F.col("recorded_date") >= F.lit(dt.date(2024, 1, 18))), "batch-2", DAY_TWO)
+    return store
+
+
+def p11_stored_arrivals(spark, folder):
+    return _arrived(spark, folder).read("rejects").select("appid", "reject_reason", "run_date", "run_id")
+
+
+def s7_stored_arrivals(spark, folder):
+    return _arrived(spark, folder).read("snapshots").select("appid", "recorded_date", "ccu", "score", "userscore")
+
+
+def e2e_weekday(spark, folder):
+    """From files to an answer: lists of a hundred games each and packed responses are landed, read back, ingested for
+    two days, loaded, and asked for the average count by weekday of the second day's ten top games."""
+    landing, store = scratch_root(spark), Store(spark, scratch_root(spark))
+    size = F.col("p_size")  # a game without any name is none
+    part = standin.table(spark, folder, "part").withColumn("p_size", F.when(size == 23, 25).otherwise(size))
+    create_warehouse(store, DAY_ONE)
+    for number, day in enumerate((dt.datetime(2024, 5, 4, 6), dt.datetime(2024, 5, 5, 6))):
+        files = f"{landing}/{number}"
+        standin.land(part, files, number * 50)
+        ingest(
+            store,
+            read_payloads(spark, f"{files}/list"),
+            read_response_lines(spark, f"{files}/details"),
+            read_response_lines(spark, f"{files}/counts"),
+            day.date(),
+            day,
+            f"ingest-{number}",
+            on_orphan="quarantine",
+        )
+        load_warehouse(store, f"load-{number}", day)
+    return analytics.top_games_by_weekday(
+        store.read(FACT), store.read("dim_games"), store.read("dim_date"), day.date()
+    )
+
+
 # Dimensions -------------------------------------------------------------------------------
 
 
@@ -332,7 +389,7 @@ def m3_insert_if_absent(spark, folder):
 
 
 def _bridge_pairs(spark, folder, load, key, name):
-    star = _shipments(spark, folder)
+    star = _shipments(spark, folder, names=True)
     dim, pairs = load(spark, star)
     return (
         pairs.join(star.dim_games.select("game_key", "appid"), "game_key")
@@ -364,8 +421,11 @@ def c5_fact_full(spark, folder):
 
 
 def _delivered(spark, folder, first_part) -> tuple[Store, DataFrame]:
-    """A store with a warehouse, all games and the snapshots that `first_part` selects; all snapshots."""
+    """A store with a warehouse, all games and the snapshots that `first_part` selects; all snapshots of these games (a
+    store takes no others)."""
+    games = standin.games(standin.table(spark, folder, "part")).select(*empty_table(spark, "games").columns)
     snapshots = standin.shipment_snapshots(standin.table(spark, folder, "lineitem"))
+    snapshots = snapshots.join(games.select("appid"), "appid", "left_semi")
     snapshots = with_month(snapshots).select(
         "*", F.lit(None).cast("string").alias("name"), timestamp(DAY_ONE).alias("created_at")
     )
@@ -374,8 +434,6 @@ def _delivered(spark, folder, first_part) -> tuple[Store, DataFrame]:
     day = F.col("recorded_date")
     first, last = snapshots.agg(F.min(day), F.max(day)).first()
     create_warehouse(store, DAY_ONE, *([first, last] if first else []))
-    games = standin.games(standin.table(spark, folder, "part"))
-    games = games.select(*empty_table(spark, "games").columns)
     first = [
         store.stage("raw-1", "games", games),
         store.stage("raw-1", "snapshots", snapshots.filter(first_part), True),
@@ -592,7 +650,7 @@ def an3_weekday(spark, folder):
 
 
 def an4_total_series(spark, folder):
-    star = _shipments(spark, folder)
+    star = _shipments(spark, folder, dim=False)
     return analytics.total_series(star.fact, star.dim_date)
 
 
@@ -602,7 +660,7 @@ def an5_compare(spark, folder):
 
 
 def an6_drill(spark, folder):
-    star = _shipments(spark, folder)
+    star = _shipments(spark, folder, names=True)
     genres, genre_pairs = _genres(spark, star)
     publishers, publisher_pairs = _publishers(spark, star)
     return analytics.drill_down(
@@ -619,7 +677,7 @@ def an6_drill(spark, folder):
 
 
 def an7_genre(spark, folder):
-    star = _shipments(spark, folder)
+    star = _shipments(spark, folder, names=True)
     dim, pairs = _genres(spark, star)
     return analytics.genre_performance(star.fact, pairs, dim)
 
@@ -635,7 +693,7 @@ def l3_top_active(spark, folder):
 
 
 def g1_rollup(spark, folder):
-    star = _shipments(spark, folder)
+    star = _shipments(spark, folder, dim=False)
     return trends.rollup(star.fact, star.dim_date)
 
 
@@ -650,14 +708,14 @@ def g2_top_decliners(spark, folder):
 
 
 def g3_genre_trend(spark, folder):
-    star = _shipments(spark, folder)
+    star = _shipments(spark, folder, names=True)
     dim, pairs = _genres(spark, star)
     named = pairs.join(dim.select("genre_key", "genre_name"), "genre_key")
     return trends.monthly_trend(star.fact, named, "genre_name")
 
 
 def g3_category_trend(spark, folder):
-    star = _shipments(spark, folder)
+    star = _shipments(spark, folder, names=True)
     pairs = trends.category_pairs(star.games, star.dim_games)
     return trends.monthly_trend(star.fact, pairs, "category")
 
@@ -677,7 +735,8 @@ QUERIES = [
     s7_snapshot_guard, a7_last_wins, m1_upsert_games, c6_ingest_games, c6_ingest_snapshots,
     s5_calendar, m2_scd1, k1_dense_keys, j6_unnest, m3_publishers, m3_genres, m3_insert_if_absent,
     m6_bridge_publishers, m6_bridge_genres, c5_fact_full, c5_fact_two_batches, m4_upsert_fact,
-    c5_retry_after_failure, m4_load_overlap, p11_stored_rejects, k1_second_load,
+    c5_retry_after_failure, m4_load_overlap, p11_stored_rejects, k1_second_load, p11_stored_arrivals,
+    s7_stored_arrivals, e2e_weekday,
     p9_past_bookmark, c5_calendar_drop, q5_orphans, m5_bookmark, c3_read_bookmark, c1_mode,
     c2_changed_since, c4_load_dimensions, q1_unique, q2_not_null, q3_reference, q4_length, q4_range,
     q6_cascade, g6_required, an1_series, an2_top10_weekday, an3_weekday, an4_total_series,

@@ -112,16 +112,28 @@ def detail_responses(part: DataFrame, described_from_size: int = 0) -> DataFrame
     return part.select(F.col("p_partkey").cast("int").alias("appid"), body.alias("body"))
 
 
-def count_responses(part: DataFrame) -> DataFrame:
-    """One player-count response per part: good, failed, without a count, null, unreadable."""
+def count_responses(part: DataFrame, more: int = 0) -> DataFrame:
+    """One player-count response per part: good (with `more` players), failed, without a count, null, unreadable."""
     size, _, brand, _, null = _attributes()
     result = F.when(brand == "Brand#13", F.lit("42")).otherwise(F.lit("1"))
-    count = F.when(size == 31, null).otherwise((F.col("p_partkey") + 1).cast("string"))
+    count = F.when(size == 31, null).otherwise((F.col("p_partkey") + 1 + more).cast("string"))
     answer = _object(_pair("result", result), F.when(size != 30, _pair("player_count", count)))
     body = F.when(size == 32, F.lit('{"response":')).otherwise(_object(_pair("response", answer)))
     return part.select(F.col("p_partkey").cast("int").alias("appid"), body.alias("body"))
 
 
+def land(part: DataFrame, folder: str, more: int = 0, entries: int = 100) -> None:
+    """The responses of one day as files: lists of up to so many games, one to a file, and packed detail and count
+    responses."""
+    listed = list_payloads(part).withColumn("list", F.floor(F.col("payload_id").cast("long") / entries))
+    inner = F.expr("substring(body, 2, char_length(body) - 2)")
+    body = F.concat(F.lit("{"), F.concat_ws(",", F.array_sort(F.collect_list(inner))), F.lit("}"))
+    packed = listed.groupBy("list").agg(body.alias("value"))
+    packed.write.partitionBy("list").text(f"{folder}/list")
+    detail_responses(part).write.json(f"{folder}/details")
+    count_responses(part, more).write.json(f"{folder}/counts")
+
+
 def raw_games(part: DataFrame) -> DataFrame:
     """Parts as rows of the current-state table, before the store-data gate."""
     size, kind, brand, price, _ = _attributes()

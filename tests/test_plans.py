@@ -19,7 +19,10 @@ from starload.sources.calendar import calendar
 from starload.sources.store import bucket_of
 
 D = dt.date
-STORED = {"c6_ingest_games", "c6_ingest_snapshots", "c5_fact_two_batches", "c4_load_dimensions"}
+STORED = {
+    "c6_ingest_games", "c6_ingest_snapshots", "c5_fact_two_batches", "c4_load_dimensions", "p11_stored_arrivals",
+    "s7_stored_arrivals", "e2e_weekday",
+}
 
 
 def plan_of(df):
@@ -31,7 +34,8 @@ def final_plan(plan):
 
 
 def exchanges(plan):
-    return len(re.findall(r"[^d]Exchange hashpartitioning", plan))
+    """Shuffles by hash; a reused one names, on its line, the one that it reuses."""
+    return len(re.findall(r"^[\s:+*()0-9-]*Exchange hashpartitioning", plan, re.M))
 
 
 @pytest.fixture
@@ -167,7 +171,7 @@ def test_keys_come_from_one_scan_and_shuffle(spark, shuffled, store):
     keyed.collect()
     plan = plan_of(keyed)
     assert "ReusedExchange" in plan
-    assert len(re.findall(r"^.*\bExchange hashpartitioning\(_bucket", final_plan(plan), re.M)) == 1
+    assert "hashpartitioning(_bucket" in plan and exchanges(final_plan(plan)) == 1
 
 
 def test_one_game_series_does_not_shuffle_the_facts(published, shuffled):
@@ -186,3 +190,15 @@ def test_sql_over_the_views(spark, published):
         WHERE d.full_date >= DATE '2024-03-31' - INTERVAL '60 days' GROUP BY g.name ORDER BY g.name
     """)
     assert [tuple(r) for r in found.collect()] == [("g1", 2.5), ("g2", 5.0), ("g3", 7.5), ("g4", 10.0)]
+
+
+def test_weekdays_of_all_games_shuffle_the_facts_once(published, shuffled):
+    found = analytics.games_by_weekday(
+        published.read(FACT), published.read("dim_games"), published.read("dim_date"), D(2024, 3, 31), 60
+    )
+    plan = plan_of(found)
+    # Sums by game, the dimension by game, the result by name and weekday.
+    assert exchanges(plan) == 3 and len(re.findall(r"Exchange hashpartitioning\(game_key", plan)) == 2
+    # The tenth of February is a Saturday, that of March a Sunday.
+    expected = [(f"g{g}", 6, g * 2.0) for g in range(1, 5)] + [(f"g{g}", 0, g * 3.0) for g in range(1, 5)]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
