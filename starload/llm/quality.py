@@ -8,12 +8,13 @@ whole hash and position are sorted instead, so that equal hashes are always neig
 
 Line frequency: lines are stripped, lower-cased and hashed; for each host (column source) the distinct documents that
 hold a line are counted, equal texts as one document, so that a group of copies does not make its own lines frequent.
-A line is above the limit if at least LEAST documents and SHARE of the host's documents hold it. Such lines are
+A line is above the limit if at least LEAST documents of the host hold it, however many the host has. Such lines are
 removed, and a document that loses more than half of its characters this way is depleted and rejected.
 
 Defined results: a null text has no words and fails; a null source is the host ''; rows are kept as often as they
 come, equal texts of one host get equal verdicts; blank lines are never removed; an empty table gives an empty
-result; further columns are kept by clean() and not looked at by the rest.
+result; a text is one row of a task, whose memory grows with its length; further columns, whatever they are called, are
+kept by clean() and not looked at by the rest.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ FEWEST_WORDS = 50
 MOST_REPEATED = 50  # percent of the words
 SYMBOLS = "#*$%&|<>"
 LEAST = 10
-SHARE = 0.02
 WINDOW = 3
 
 
@@ -106,27 +106,26 @@ def profile(docs: DataFrame) -> DataFrame:
     return _repeated(df)
 
 
-def removed_lines(found: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
-    """host, digest, positions (ascending) and characters of the lines above the limits, where a text has any.
+def removed_lines(found: DataFrame, least: int = LEAST) -> DataFrame:
+    """host, digest, positions (ascending) and characters of the lines above the limit, where a text has any.
 
     found: host, digest and lines of profile(). A group of copies is one row before its lines are written out.
     """
     texts = found.groupBy("host", "digest").agg(F.first("lines").alias("lines"))
-    limits = texts.groupBy("host").agg(F.greatest(F.lit(least), F.ceil(F.count("*") * share)).alias("least"))
     lines = texts.select("host", "digest", F.posexplode("lines").alias("at", "line")).where("line is not null")
     lines = lines.select("host", "digest", "at", "line.hash", "line.chars")
     held = lines.groupBy("host", "hash").agg(F.count_distinct("digest").alias("n"))
-    frequent = held.join(limits, "host").where("n >= least").select("host", "hash")
+    frequent = held.where(F.col("n") >= least).select("host", "hash")
     return lines.join(frequent, ["host", "hash"]).groupBy("host", "digest").agg(
         F.sort_array(F.collect_list("at")).alias("removed"), F.sum("chars").alias("removed_chars")
     )
 
 
-def judge(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
+def judge(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """The counts of every row with base_failed, n_removed_lines, removed_chars, depleted and kept."""
     found = checkpointed(profile(docs))
     # Kept apart first, so that the join can split the rows of a text with many copies.
-    removed = checkpointed(removed_lines(found, least, share))
+    removed = checkpointed(removed_lines(found, least))
     joined = found.join(removed, ["host", "digest"], "left")
     line_chars = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x["chars"], F.lit(0)))
     base_failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
@@ -141,9 +140,9 @@ def judge(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFram
     )
 
 
-def clean(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
-    """The columns of docs for the documents that are kept, their text without the lines above the limits."""
-    verdicts = judge(docs, least, share).where("kept").groupBy("host", "digest").agg(F.first("removed").alias("removed"))
+def clean(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """The columns of docs for the documents that are kept, their text without the lines above the limit."""
+    verdicts = judge(docs, least).where("kept").groupBy("host", "digest").agg(F.first("removed").alias("removed"))
     verdicts = written(verdicts, "verdicts")  # a plain table: the join can split the rows of a text with many copies
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     keyed = docs.select(row, _host().alias("host"), F.unhex(F.md5(whole_text())).alias("digest"))
@@ -182,11 +181,8 @@ line AS (
   FROM (SELECT doc_id, host, t, unnest(ls) AS line FROM worded) WHERE trim(line, (SELECT b FROM blanks)) <> ''
 ),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n, sum(length(s)) AS chars FROM line GROUP BY doc_id),
-hosts AS (SELECT host, count(DISTINCT t) AS texts FROM docs GROUP BY host),
 held AS (SELECT host, lower(s) AS key, count(DISTINCT t) AS n FROM line GROUP BY ALL),
-frequent AS (
-  SELECT host, key FROM held JOIN hosts USING (host) WHERE n >= greatest(10, ceil(texts * 0.02))
-),
+frequent AS (SELECT host, key FROM held WHERE n >= 10),
 removed AS (
   SELECT doc_id, count(*) AS n, sum(length(s)) AS chars
   FROM line JOIN frequent ON line.host = frequent.host AND lower(s) = key GROUP BY doc_id

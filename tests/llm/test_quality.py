@@ -30,19 +30,16 @@ def counts(text):
     return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), repeated(words)
 
 
-def brute(rows, least, share):
-    texts = defaultdict(set)
+def brute(rows, least):
     held = defaultdict(set)
     for _, text, source in rows:
-        texts[source or ""].add(text or "")
         for line in (text or "").split("\n"):
             if line.strip(BLANKS):
                 held[source or "", line.strip(BLANKS).lower()].add(text or "")
     out = []
     for doc_id, text, source in rows:
         host, lines = source or "", (text or "").split("\n")
-        limit = max(least, -int(-len(texts[host]) * share // 1))
-        gone = [k for k, x in enumerate(lines) if len(held[host, x.strip(BLANKS).lower()]) >= limit]
+        gone = [k for k, x in enumerate(lines) if len(held[host, x.strip(BLANKS).lower()]) >= least]
         chars = sum(len(lines[k].strip(BLANKS)) for k in gone)
         depleted = 2 * chars > sum(len(x.strip(BLANKS)) for x in lines)
         c = counts(text)
@@ -81,18 +78,18 @@ COLUMNS = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words n_remo
 
 def test_equals_brute_force(spark):
     rows = corpus()
-    for least, share in [(4, 0.0), (2, 0.3), (10, 0.02)]:
-        found = quality.judge(frame(spark, rows).repartition(5), least, share).select(*COLUMNS.split())
-        want = brute(rows, least, share)
+    for least in (4, 2, 10):
+        found = quality.judge(frame(spark, rows).repartition(5), least).select(*COLUMNS.split())
+        want = brute(rows, least)
         assert sorted(map(tuple, found.collect()), key=str) == sorted((w[:-1] for w in want), key=str)
-        cleaned = quality.clean(frame(spark, rows), least, share)
+        cleaned = quality.clean(frame(spark, rows), least)
         assert cleaned.columns == ["doc_id", "text", "source", "lines", "removed", "_host", "row", "digest"]
         got = sorted(((r.doc_id, r.text) for r in cleaned.collect()), key=str)
         assert got == sorted(((w[0], w[-1]) for w in want if w[-2]), key=str)
 
 
 def test_some_documents_are_depleted_and_some_lines_removed():
-    want = brute(corpus(), 4, 0.0)
+    want = brute(corpus(), 4)
     assert any(w[9] and not w[8] for w in want) and any(w[10] and w[6] for w in want)
 
 
@@ -129,3 +126,14 @@ def test_repeats_are_found_where_hashes_share_their_high_bits(spark, monkeypatch
     docs = frame(spark, [(k, t, None) for k, t in enumerate(texts)])
     found = {r.doc_id: r.n_repeat_words for r in quality.profile(docs).collect()}
     assert found == {k: repeated(words_of(t)) for k, t in enumerate(texts)}
+
+
+def test_the_limit_does_not_grow_with_the_host(spark):
+    """A passage that 300 documents share goes from a host of thousands of texts as it goes from one of some hundred."""
+    passage = "A passage that some documents of the host have in common."
+    words = " ".join(f"w{i}" for i in range(60))
+    for host, texts in (("hot", 4000), ("small", 400)):
+        rows = [(k, f"{words} {host} {k}" + (f"\n{passage}" if k < 300 else ""), host) for k in range(texts)]
+        removed = quality.judge(frame(spark, rows).repartition(8)).where("n_removed_lines = 1")
+        assert removed.agg(F.count("*"), F.max("doc_id")).first()[:] == (300, 299)
+        assert quality.clean(frame(spark, rows)).where(F.contains("text", F.lit("passage"))).count() == 0
