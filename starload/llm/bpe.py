@@ -9,17 +9,23 @@ Chunks and pieces are kept by task, in caches of bounded size. Encoding them onc
 shuffle every text and its ids, which costs more than the encoding it saves; blank-separated pieces, of which a few
 hundred thousand cover most of a corpus, carry nearly all of the reuse.
 
-Only tokenizers that treat blank-separated pieces independently can be used; this is probed when one is loaded. If
-it is found to ignore case, texts are lower-cased first (A-Z), and if it parts words from full stops and commas, a piece
-that ends in one is put together from its word and the mark: fewer different pieces are left to encode.
+Only tokenizers that treat blank-separated pieces independently can be used. That is read off the tokenizer's own
+description when it is loaded (see proofs()): steps that are not known to keep pieces apart make it refused. Two shortcuts
+leave fewer different pieces to encode, each taken only where the description proves it. If all texts are lower-cased,
+A-Z are beforehand, but in texts where a composing character might follow one of them. If words are always parted from
+full stops and commas, a piece that ends in one is put together from its word and the mark.
 
 Defined results: a null text is an empty one and has no ids and an empty decoded text; strings of special tokens in a
-text are those tokens, as in the library; rows are kept as often as they come; an empty table gives an empty result.
+text are those tokens, as in the library; rows are kept as often as they come; an empty table gives an empty result; a
+very long text is encoded whole, in memory that grows with its length; other columns than those to be kept are not
+looked at, and a kept one must not be called like a result.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
@@ -43,6 +49,46 @@ if sys.byteorder != "little" or array("I").itemsize != 4:
 GEAR = np.random.default_rng(20240501).integers(0, 1 << 32, 256, np.uint32)
 BLANKS = b" \t\n\x0b\x0c\r"
 MARKS = b".,"
+COMPOSED = re.compile(rb"[A-Z][\x80-\xff]")  # where lower-casing first could let characters compose that else do not
+
+# Splits into apostrophe endings, words, digits and runs of the rest, none of which holds a blank.
+WORD_SPLITS = {r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+
+
+def _steps(part: dict | None, listed: str) -> list[dict]:
+    if part is None:
+        return []
+    return [x for step in part[listed] for x in _steps(step, listed)] if part["type"] == "Sequence" else [part]
+
+
+def proofs(description: dict) -> tuple[bool, bool, bool]:
+    """What a tokenizer's description proves: that blank-separated pieces are independent, that A-Z are lower-cased
+    whatever stands around them (but for composing characters), that words are parted from a mark that follows them."""
+    model, tokens = description["model"], description["added_tokens"]
+    normal = _steps(description["normalizer"], "normalizers")
+    split = _steps(description["pre_tokenizer"], "pretokenizers")
+
+    def keeps_apart(step: dict) -> bool:
+        """Letters are lower-cased one by one, no blank composes with anything, and a blank stays one."""
+        blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+        return step["type"] in ("NFC", "NFD", "Lowercase") or step == blanks
+
+    def at_words(step: dict) -> bool:
+        known = step["type"] == "Split" and step["pattern"].get("Regex") in WORD_SPLITS
+        return known and step["behavior"] == "Removed" and step["invert"]
+
+    def inside(step: dict) -> bool:
+        """Looks at each piece alone."""
+        plain = step["type"] == "ByteLevel" and not step["add_prefix_space"] and not step["use_regex"]
+        return plain or step["type"] in ("Digits", "Punctuation")
+
+    first = split[0]["type"] if split else ""
+    apart = first in ("WhitespaceSplit", "Whitespace", "BertPreTokenizer") or bool(split) and at_words(split[0])
+    strict = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or len(t["content"].split()) != 1 for t in tokens)
+    bpe = model["type"] == "BPE" and not model.get("dropout") and description["decoder"] is None
+    independent = apart and strict and bpe and all(map(keeps_apart, normal)) and all(map(inside, split[1:]))
+    folds = independent and any(step["type"] == "Lowercase" for step in normal)
+    return independent, folds, independent and first != "WhitespaceSplit"
 
 
 def cuts(data: bytes, mean: int = MEAN_CHUNK) -> list[int]:
@@ -84,15 +130,9 @@ class Encoder:
         self.long: list[bytes] = []
         self.ids: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, tuple] = {}
-        probe = ["ab", "é", "x1"]
-        apart = [k for p in probe for k in self._plain(p)]
-        if self.tokenizer.decoder is not None or any(
-            self._plain(f" {blank.join(probe)}{blank}") != apart for blank in (" ", "\n", "\r\n", "\t \x0b\x0c")
-        ):
-            raise ValueError("this tokenizer does not treat blank-separated pieces independently")
-        letters = "abcdefghijklmnopqrstuvwxyz"
-        self.folds = all(self._plain(x.upper()) == self._plain(x) for x in (*letters, letters))
-        self.parts = all(self._plain(x + m) == self._plain(x) + self._plain(m) for x in (*letters, "é", "the") for m in ".,")
+        independent, self.folds, self.parts = proofs(json.loads(tokenizer_json))
+        if not independent:
+            raise ValueError("this tokenizer is not known to treat blank-separated pieces independently")
 
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -107,7 +147,7 @@ class Encoder:
         new = [p for p in pieces if p not in self.ids]
         marked = []
         if self.parts:
-            marked = [p for p in new if p[-1] in MARKS and len(p) > 1 and p[:-1].decode()[-1].isalpha()]
+            marked = [p for p in new if p[-1] in MARKS and p[-2:-1].isalpha()]  # of bytes: after A-Z, a-z
             whole = set(marked)
             new = [p for p in new if p not in whole]
             new += [p for p in {p[:-1]: None for p in marked} | {p[-1:]: None for p in marked} if p not in self.ids]
@@ -136,9 +176,9 @@ class Encoder:
         return left, b"".join(map(self.ids.__getitem__, closed)), right
 
     def _folded(self, data: bytes) -> bytes:
-        """Lower-cased, unless that could make or unmake a special token."""
+        """Lower-cased, unless that could make or unmake a special token or a composed character."""
         lower = data.lower()
-        return data if any(token in lower for token in self.special) else lower
+        return data if any(token in lower for token in self.special) or COMPOSED.search(data) else lower
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

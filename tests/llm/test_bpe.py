@@ -5,7 +5,8 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, decoders, normalizers, pre_tokenizers
+from tokenizers.models import BPE
 
 from starload.llm import bpe
 
@@ -28,7 +29,7 @@ def tiny():
     return bpe.Encoder(CONTENT, mean=4)
 
 
-words = st.sampled_from(["the", "THE", "é", "é", " ", "\n", " ", "'s", "don't", "12", "!?", "<|endoftext|>", "\x1c", "İ", "ß", "日本", "Σ", "🙂"])
+words = st.sampled_from(["J\u030c", "j\u030c", "T\u0308", "W\u030a.", "H\u0331 h\u0331", ".", ",", "a.", "A\u0301", "the", "THE", "é", "é", " ", "\n", " ", "'s", "don't", "12", "!?", "<|endoftext|>", "\x1c", "İ", "ß", "日本", "Σ", "🙂"])
 
 
 @settings(max_examples=300, deadline=None)
@@ -64,6 +65,48 @@ def test_other_kinds_of_tokenizers_are_refused():
         bpe.Encoder(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
 
 
+def built(**parts):
+    """A small tokenizer with a merge over a full stop."""
+    letters = [*"abcdefghijklmnopqrstuvwxyzABC.,"]
+    merges = [("e", "t"), ("et", "c"), ("etc", "."), ("a", "n"), ("an", "d")]
+    vocabulary = {t: k for k, t in enumerate([*letters, *(a + b for a, b in merges)])}
+    found = Tokenizer(BPE(vocab=vocabulary, merges=merges))
+    for name, value in parts.items():
+        setattr(found, name, value)
+    return found
+
+
+def test_shortcuts_are_taken_only_where_they_are_proved():
+    texts = ["and etc. so", "etc. etc.", "Bad ETC. and, etc.,", "a.b c.", "etc"]
+    for parts, proved in [
+        ({"pre_tokenizer": pre_tokenizers.WhitespaceSplit()}, (False, False)),
+        ({"pre_tokenizer": pre_tokenizers.WhitespaceSplit(), "normalizer": normalizers.Lowercase()}, (True, False)),
+        ({"pre_tokenizer": pre_tokenizers.Whitespace()}, (False, True)),
+        ({"pre_tokenizer": pre_tokenizers.BertPreTokenizer(), "normalizer": normalizers.Lowercase()}, (True, True)),
+    ]:
+        plain = built(**parts)
+        own = bpe.Encoder(plain.to_str())
+        assert (own.folds, own.parts) == proved
+        want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert [ids for ids, _ in own.encode([t.encode() for t in texts])] == want
+    assert (bpe.Encoder(CONTENT).folds, bpe.Encoder(CONTENT).parts) == (True, True)
+
+
+@pytest.mark.parametrize(
+    "parts",
+    [
+        {},  # blanks are symbols like others
+        {"pre_tokenizer": pre_tokenizers.Metaspace()},
+        {"pre_tokenizer": pre_tokenizers.WhitespaceSplit(), "normalizer": normalizers.Strip()},
+        {"pre_tokenizer": pre_tokenizers.WhitespaceSplit(), "normalizer": normalizers.Replace("a b", "c")},
+        {"pre_tokenizer": pre_tokenizers.WhitespaceSplit(), "decoder": decoders.BPEDecoder()},
+    ],
+)
+def test_tokenizers_with_unknown_steps_are_refused(parts):
+    with pytest.raises(ValueError, match="independently"):
+        bpe.Encoder(built(**parts).to_str())
+
+
 def test_documents(spark):
     rows = [(1, "Some words here"), (2, None), (3, ""), (None, "İ é"), (1, "Some words here"), (4, "x" * 5000 + " y " * 9000)]
     docs = spark.createDataFrame([(i, t, "n", "d") for i, t in rows], "doc_id long, text string, n_tokens string, decoded string")
