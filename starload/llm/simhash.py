@@ -7,8 +7,9 @@ exactly (numpy exclusive-or and bit counts). Equal fingerprints are one vertex,
 forest of its links, so a group of copies never turns into pairs.
 
 Defined results: a null text is an empty one; a text without words has fingerprint zero, linked like any other;
-rows are kept as often as they come; a null doc_id is never the smallest one, and a component of null ids only has
-a null id; an empty table gives an empty result; other columns are not looked at.
+a very long text is hashed whole, a strip of shingles at a time; rows are kept as often as they come; a null doc_id is
+never the smallest one, and a component of null ids only has a null id; an empty table gives an empty result; other
+columns are not looked at, and kept by one_of_each(), whatever they are called.
 """
 
 from __future__ import annotations
@@ -102,6 +103,24 @@ def _offsets(radius: int) -> list[int]:
 BASE = 32  # over 16 + any radius in use, so that no step wraps into a neighbouring digit
 
 
+def tile_pairs(tiles: DataFrame, parts: DataFrame, radius: int) -> DataFrame:
+    """fps and others of every pair of tiles that may hold a link; a crowded cell's pairs are dealt out by tile.
+
+    tiles: cell, part, fps; parts: how many parts each cell has.
+    """
+    visits = tiles.select(
+        F.explode(F.array([F.col("cell") - F.lit(o) for o in _offsets(radius)])).alias("cell"),
+        F.col("cell").alias("from_cell"),
+        F.col("part").alias("from_part"),
+        F.col("fps").alias("others"),
+    )
+    # Of two tiles of one cell each pair once.
+    last = F.when(F.col("cell") == F.col("from_cell"), F.col("from_part")).otherwise(F.col("parts") - 1)
+    visits = visits.join(F.broadcast(parts), "cell")
+    visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return tiles.join(visits, ["cell", "part"])
+
+
 def links(found: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints of column fp within the radius."""
     if not 0 <= radius < BASE - 16:
@@ -120,15 +139,7 @@ def links(found: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame
         .agg(F.collect_list("fp").alias("fps"))
     )
     tiles = checkpointed(tiles)  # read from both sides of the join, which can then split a crowded cell
-    visits = tiles.select(
-        F.explode(F.array([F.col("cell") - F.lit(o) for o in _offsets(radius)])).alias("cell"),
-        F.col("cell").alias("from_cell"),
-        F.col("part").alias("from_part"),
-        F.col("fps").alias("others"),
-    )
-    pairs = tiles.join(visits, "cell").where(
-        (F.col("cell") != F.col("from_cell")) | (F.col("part") <= F.col("from_part"))
-    )
+    pairs = tile_pairs(tiles, parts, radius)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,18 +198,21 @@ def _by_print(found: DataFrame, radius: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
-    """The document with the smallest doc_id of each component, all columns kept.
+    """One row of each component, all columns kept: that with the smallest doc_id, one without doc_id only if all are.
 
-    Of rows without doc_id one of each component stays as well. Of the rows of a component that share a doc_id, or
-    have none, the one that comes first by its columns in order (nulls first) stays, once.
+    Of the rows of a component that share this doc_id, or have none, the one that comes first by its columns in order
+    (nulls first) stays. Only such rows are gathered by component; the others are known by doc_id and text beforehand.
     """
     own = [F.col(f"`{c}`") for c in docs.columns]
     sortable = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
     key = F.concat_ws("/", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))).alias("key")
     found = checkpointed(fingerprints(docs.select("doc_id", key, "text"), shingle, seed, keyed=True))
-    least = found.join(_by_print(found, radius), "fp").where("doc_id = component_id or doc_id is null")
-    # Kept apart first, so that the join can split the rows of a key with many copies.
-    least = checkpointed(least.select("key", "root", F.col("doc_id").isNull().alias("nameless")).distinct())
+    least = found.join(_by_print(found, radius), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Kept apart first, so that the joins can split the rows of a key with many copies.
+    least = checkpointed(least.groupBy("root", "key").agg(F.count("*").alias("n")))
+    several = least.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select("root")
+    several = checkpointed(least.join(several, "root", "left_semi").select("key", "root"))
+    single = checkpointed(least.join(several.select("root").distinct(), "root", "left_anti").select("key"))
     rows = docs.select(key, F.struct(*own).alias("row"), F.struct(*sortable).alias("place"))
-    first = F.min_by("row", "place").alias("row")
-    return rows.join(least, "key").groupBy("root", "nameless").agg(first).select("row.*")
+    first = rows.join(several, "key").groupBy("root").agg(F.min_by("row", "place").alias("row")).select("row.*")
+    return rows.select("key", "row").join(single, "key", "left_semi").select("row.*").unionByName(first)

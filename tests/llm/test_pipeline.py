@@ -36,7 +36,7 @@ def corpus():
 
 
 def expected(rows):
-    judged = quality_brute([(i, t, s) for i, t, _, s in rows], 10, 0.02)
+    judged = quality_brute([(i, t, s) for i, t, _, s in rows], 10)
     texts = {w[0]: w[-1] for w in judged if w[-2]}
     rows = [(i, texts[i], lang, s) for i, _, lang, s in rows if i in texts]
     yield rows
