@@ -5,14 +5,16 @@ none), whether a blank line came before it, its length and whether it asks; each
 lines, as are the steps from state to state, so fitting is one aggregation. Viterbi then finds the best states of each
 transcript. Where a state begins a turn, a turn is cut; its text loses the marker and is rendered canonically.
 
-A transcript is worked on in blocks of TURNS turns. Each block is a matrix of best scores from the state before it
-to the state at its end; blocks are combined TURNS by TURNS until one is left, and scores from both sides are handed
-back down. The result is that of one run over the whole transcript, though no task ever holds a whole one.
+All lines are sorted by transcript and place, in ranges, and cut into blocks of at most LINES lines, whatever the turn
+numbers: a transcript of any length, or one whose rows share a turn number, is spread over tasks. Each block is a matrix
+of best scores from the state before it to the state at its end; blocks are combined FAN by FAN until one is left, and
+scores from both sides are handed back down. The result is that of one run over the whole transcript, though no task ever
+holds a whole one. For fitting, steps are counted inside stretches of TURNS turns; crowded ones are split by their rows.
 
 Defined results: rows repeated exactly count once; several texts under one turn number follow each other in order of
 role (null first) and of the text's digest; a null text is one empty line; a row without conversation or turn number is a transcript
 of its own, told apart by role and text; of equally good states the one listed first wins; an empty table gives an
-empty result; other columns are not looked at.
+empty result; a text of any length is split into its lines; other columns, whatever they are called, are not looked at.
 """
 
 from __future__ import annotations
@@ -29,11 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starload.llm.common import checkpointed
+from starload.llm.common import checkpointed, written
 
 ROLES = ("system", "user", "assistant")
 STATES = tuple(itertools.product(ROLES, (True, False)))  # role, begins a turn
 TURNS = 64
+CROWD = 4096  # lines of a stretch of turns that are counted together
+LINES = 4096  # to a block; a power of two
+FAN = 64
 # Words that name a speaker.
 SPEAKERS = {
     "system": ("system", "instructions"),
@@ -104,7 +109,12 @@ def fit(lines: DataFrame) -> Model:
     """Counted over all lines of lines_of() with a known role; steps within blocks."""
     role = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") - 1
     known = lines.where(F.col("role").isin(*ROLES)).withColumn("state", 2 * role + (F.col("at") > 0).cast("int"))
-    known = known.withColumn("last", F.lag("state").over(W.partitionBy(*KEY).orderBy(*ORDER)))
+    known = known.select(*KEY, *ORDER, "state", *SHOWN)
+    crowds = known.groupBy(*KEY).agg(F.ceil(F.count("*") / CROWD).alias("parts")).where("parts > 1")
+    known = known.join(written(crowds, "crowds"), KEY, "left")
+    part = F.pmod(F.xxhash64("turn", "role", "digest"), F.coalesce("parts", F.lit(1))).alias("part")
+    known = known.select(*KEY, part, *ORDER, "state", *SHOWN).repartition(*KEY, "part")
+    known = known.withColumn("last", F.lag("state").over(W.partitionBy(*KEY, "part").orderBy(*ORDER)))
     counts = known.groupBy("last", "state", *SHOWN).agg(F.count("*").alias("n"))
     size = len(STATES)
     start, steps = np.ones(size), np.ones((size, size))
@@ -160,32 +170,46 @@ def viterbi(scores: np.ndarray, model: Model, into: np.ndarray | None = None, ou
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Rows sorted by KEY, as tables of whole groups, with where each group begins and the end."""
-    held = None
+    held: list[pa.RecordBatch] = []  # of a group that may go on
+
+    def whole(parts: list[pa.RecordBatch]) -> pa.Table:
+        return pa.Table.from_batches(parts).combine_chunks()
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([batch])
-        table = table if held is None else pa.concat_tables([held, table])
-        table = table.combine_chunks()
-        differs = np.zeros(table.num_rows, bool)
-        differs[0] = True
+        differs = np.zeros(batch.num_rows, bool)
         for name in KEY:
-            column = table.column(name)
-            differs[1:] |= pc.not_equal(column.slice(1), column.slice(0, table.num_rows - 1)).to_numpy()
-        begins = np.flatnonzero(differs)
-        if begins[-1]:  # the last group may go on in the next batch
-            yield table.slice(0, begins[-1]).combine_chunks(), begins
-        held = table.slice(begins[-1])
-    if held is not None:
-        yield held.combine_chunks(), np.array([0, held.num_rows])
+            column = batch.column(name)
+            differs[1:] |= pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+            if held:
+                differs[0] |= held[-1].column(name)[-1] != column[0]
+        cuts = np.flatnonzero(differs)
+        if len(cuts):  # the last group may go on in the next batch
+            table = whole([*held, batch.slice(0, cuts[-1])])
+            if table.num_rows:
+                before = table.num_rows - int(cuts[-1])
+                begins = np.unique(np.concatenate([[0], before + cuts]))
+                yield table, begins
+            held = []
+        held.append(batch.slice(cuts[-1] if len(cuts) else 0))
+    if held:
+        table = whole(held)
+        yield table, np.array([0, table.num_rows])
 
 
 def _scores(table: pa.Table, model: Model) -> np.ndarray:
     return model.scores({name: table.column(name).to_numpy() for name in SHOWN})
 
 
-def _blocked(lines: DataFrame) -> DataFrame:
-    return lines.repartition(*KEY).sortWithinPartitions(*KEY, *ORDER)
+def blocked(lines: DataFrame) -> DataFrame:
+    """The lines, sorted over all tasks, with their block: consecutive lines of one task, at most LINES of them.
+
+    Kept in the shared folder at once: where the ranges end is drawn from a sample, so it must not be drawn again.
+    """
+    ordered = lines.repartitionByRange("conv", *ORDER).sortWithinPartitions("conv", *ORDER)
+    number = F.shiftright(F.monotonically_increasing_id(), LINES.bit_length() - 1)
+    return checkpointed(ordered.withColumn("block", number))
 
 
 def _summaries(lines: DataFrame, shared) -> DataFrame:
@@ -202,7 +226,7 @@ def _summaries(lines: DataFrame, shared) -> DataFrame:
             keys = [table.column(k).combine_chunks().take(pa.array(begins[:-1])) for k in KEY]
             yield pa.record_batch([*keys, pa.array(through), pa.array(first)], [*KEY, "through", "first"])
 
-    picked = _blocked(lines).select(*KEY, *SHOWN)
+    picked = lines.sortWithinPartitions(*KEY, *ORDER).select(*KEY, *SHOWN)
     return picked.mapInArrow(run, "conv string, block long, through array<double>, first array<double>")
 
 
@@ -211,7 +235,7 @@ def _matrix(values) -> np.ndarray:
 
 
 def _combined(level: DataFrame) -> DataFrame:
-    """Summaries of TURNS neighbouring blocks each."""
+    """Summaries of FAN neighbouring blocks each."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("block")
@@ -221,14 +245,14 @@ def _combined(level: DataFrame) -> DataFrame:
         row = {"conv": [group["conv"].iat[0]], "block": [group["parent"].iat[0]]}
         return pd.DataFrame(row | {"through": [through.ravel()], "first": [first]})
 
-    grouped = level.withColumn("parent", F.floor(F.col("block") / TURNS)).groupBy("conv", "parent")
+    grouped = level.withColumn("parent", F.floor(F.col("block") / FAN)).groupBy("conv", "parent")
     return grouped.applyInPandas(run, level.schema)
 
 
 def _handed_down(level: DataFrame, above: DataFrame | None) -> DataFrame:
     """conv, block, into and out_of for each block of a level, from those of the level above (None: nothing)."""
     kind = "conv string, block long, into array<double>, out_of array<double>"
-    keyed = level.withColumn("parent", F.floor(F.col("block") / TURNS) if above is not None else F.lit(0))
+    keyed = level.withColumn("parent", F.floor(F.col("block") / FAN) if above is not None else F.lit(0))
     if above is None:
         nothing = F.lit(None).cast("array<double>")
         keyed = keyed.withColumns({"into": nothing, "out_of": nothing})
@@ -254,38 +278,46 @@ def _handed_down(level: DataFrame, above: DataFrame | None) -> DataFrame:
 def _boundaries(lines: DataFrame, shared) -> DataFrame:
     """conv, block, into and out_of of the transcripts that have several blocks."""
     several = lines.groupBy("conv").agg(F.min("block").alias("a"), F.max("block").alias("b")).where("a < b")
-    levels = [checkpointed(_summaries(lines.join(several.select("conv"), "conv", "left_semi"), shared))]
-    while True:
-        ends = levels[-1].agg(F.min("block").alias("a"), F.max("block").alias("b")).first()
-        if ends.a is None or ends.a >= -1 and ends.b <= 0:
-            break
+    several = written(several.select("conv"), "several")
+    summaries = checkpointed(_summaries(lines.join(several, "conv", "left_semi"), shared))
+    # Blocks of a transcript numbered from 0: one row for some LINES lines.
+    place = F.row_number().over(W.partitionBy("conv").orderBy("block")) - 1
+    numbers = checkpointed(summaries.select(*KEY, place.cast("long").alias("number")))
+    numbered = summaries.join(numbers, KEY).select("conv", F.col("number").alias("block"), "through", "first")
+    levels = [checkpointed(numbered)]
+    while (levels[-1].agg(F.max("block")).first()[0] or 0) > 0:
         levels.append(checkpointed(_combined(levels[-1])))
     found = _handed_down(levels[-1], None)
     for level in levels[-2::-1]:
         found = _handed_down(level, found)
-    return found
+    found = found.withColumnRenamed("block", "number").join(numbers, ["conv", "number"])
+    return written(found.select(*KEY, "into", "out_of"), "boundaries")
 
 
 def label(lines: DataFrame, model: Model) -> DataFrame:
-    """The lines of lines_of() with state, a place in STATES."""
-    lines = checkpointed(lines)
+    """The lines of lines_of() with state, a place in STATES, and inside, the turns begun in the block so far."""
+    lines = blocked(lines)
     shared = lines.sparkSession.sparkContext.broadcast(model)
     joined = lines.join(_boundaries(lines, shared), KEY, "left")
     columns = [*KEY, "conv_id", *ORDER, "line"]
+    opens = np.array([begins for _, begins in STATES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for table, begins in _groups(batches):
-            scores, states = _scores(table, model), []
+            scores, states, inside = _scores(table, model), [], []
             intos, outs = table.column("into"), table.column("out_of")
             for a, b in zip(begins.tolist(), begins[1:].tolist()):
                 into, out_of = (None if (x := c[a].as_py()) is None else np.array(x) for c in (intos, outs))
                 states.append(viterbi(scores[a:b], model, into, out_of))
+                inside.append(np.cumsum(opens[states[-1]]))
             found = table.select(columns).append_column("state", pa.array(np.concatenate(states)))
-            yield from found.to_batches()
+            yield from found.append_column("inside", pa.array(np.concatenate(inside))).to_batches()
 
-    schema = "conv string, block long, conv_id long, turn long, role string, digest string, at int, line string, state long"
-    return _blocked(joined).select(*columns, *SHOWN, "into", "out_of").mapInArrow(run, schema)
+    schema = """conv string, block long, conv_id long, turn long, role string, digest string, at int, line string, state long,
+        inside long"""
+    # A block lies in one task, as the lines were dealt out, or if the boundaries are many, by its key.
+    return joined.sortWithinPartitions(*KEY, *ORDER).select(*columns, *SHOWN, "into", "out_of").mapInArrow(run, schema)
 
 
 def turns(labelled: DataFrame) -> DataFrame:
@@ -293,16 +325,14 @@ def turns(labelled: DataFrame) -> DataFrame:
     labelled = checkpointed(labelled)  # read twice: for the turns of each block and for their lines
     begins = F.element_at(F.array(*[F.lit(b) for _, b in STATES]), (F.col("state") + 1).cast("int"))
     role = F.element_at(F.array(*[F.lit(r) for r, _ in STATES]), (F.col("state") + 1).cast("int"))
-    named = labelled.withColumn("begins", begins.cast("int")).withColumn("found_role", role)
-    inside = F.sum("begins").over(W.partitionBy(*KEY).orderBy(*ORDER))
-    named = named.withColumn("inside", inside)
-    blocks = named.groupBy(*KEY).agg(F.sum("begins").alias("n"))
+    blocks = labelled.groupBy(*KEY).agg(F.max("inside").alias("n"))
     earlier = F.sum("n").over(W.partitionBy("conv").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
-    blocks = blocks.select(*KEY, F.coalesce(earlier, F.lit(0)).alias("earlier"))
-    numbered = named.join(blocks, KEY).withColumn("number", F.greatest(F.lit(0), F.col("earlier") + F.col("inside") - 1))
-    line = F.when(F.col("begins") == 1, F.regexp_replace("line", "(?i)" + MARKER, "")).otherwise(F.col("line"))
+    blocks = written(blocks.select(*KEY, earlier.alias("earlier")).where("earlier is not null"), "earlier")
+    named = labelled.withColumn("begins", begins).withColumn("found_role", role).join(blocks, KEY, "left")
+    number = F.greatest(F.lit(0), F.coalesce("earlier", F.lit(0)) + F.col("inside") - 1)
+    line = F.when(F.col("begins"), F.regexp_replace("line", "(?i)" + MARKER, "")).otherwise(F.col("line"))
     place = F.struct("block", *ORDER)
-    gathered = numbered.groupBy("conv", "conv_id", "number").agg(
+    gathered = named.groupBy("conv", "conv_id", number.alias("number")).agg(
         F.min_by("found_role", place).alias("role"),
         F.count("*").alias("n_lines"),
         F.array_sort(F.collect_list(F.struct(place.alias("place"), line.alias("line")))).alias("lines"),

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.session import scratch_root, settle
+from starload.session import checkpointed, scratch_root, settle  # noqa: F401
 
 # The six characters of [\x20\x09-\x0D], as a set for trim() and as a Java pattern.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -40,15 +40,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, BLANK_RUN), lambda w: w != "")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared folder: a lost executor costs no recomputation."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or scratch_root(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder, read back, so that its true size is known to the planner."""
     folder = f"{scratch_root(df.sparkSession)}/{name}"

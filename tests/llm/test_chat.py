@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import os
 import random
@@ -5,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starload.llm import chat
 from starload.llm.common import table
@@ -78,9 +80,10 @@ def test_roles_are_recovered(spark, pieces, model):
     assert found.keys() == {r.conv_id for r in pieces.select("conv_id").distinct().collect()}
 
 
-@pytest.mark.parametrize("size", [64, 3, 2])
-def test_blocks_do_not_matter(spark, model, monkeypatch, size):
-    monkeypatch.setattr(chat, "TURNS", size)
+@pytest.mark.parametrize("size, fan", [(4096, 64), (8, 3), (2, 2)])
+def test_blocks_do_not_matter(spark, model, monkeypatch, size, fan):
+    monkeypatch.setattr(chat, "LINES", size)
+    monkeypatch.setattr(chat, "FAN", fan)
     rng = random.Random(size)
     rows, want = [], {}
     for conv in range(6):
@@ -119,3 +122,29 @@ def test_turns_that_differ_in_role_only(spark, model):
     found = chat.parse(spark.createDataFrame(rows, SCHEMA), model).collect()
     assert sum(r.n_lines for r in found if r.conv_id == 1) == 6
     assert [(r.role, r.text) for r in found if r.conv_id is None] == [("user", "a")] * 2
+
+
+def test_rows_that_share_a_turn_number_are_spread(spark, model, monkeypatch):
+    """All rows of the table are one conversation and one turn; they follow each other by digest."""
+    monkeypatch.setattr(chat, "LINES", 32)
+    monkeypatch.setattr(chat, "CROWD", 64)
+    rng = random.Random(9)
+    marks = ["User: ", "Assistant: ", "\n", "", "Q : "]
+    texts = {rng.choice(marks) + f"row {k}\n" + rng.choice(["why?", "no " * 30, "ok"]) for k in range(2500)}
+    rows = [(1, 7, "user", t, "x", 1) for t in texts]
+    pieces = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        labelled = chat.label(chat.lines_of(pieces), model)
+        tasks = labelled.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < 3500
+    assert labelled.groupBy("block").count().agg(F.max("count")).first()[0] <= 32
+    ordered = sorted(texts, key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert parsed(chat.parse(pieces, model)) == {1: plain_turns(ordered, model)}
+    assert chat.fit(chat.lines_of(pieces)).steps.shape == model.steps.shape
