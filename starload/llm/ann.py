@@ -6,9 +6,11 @@ distance: a template of perturbation sets is made once for all queries and appli
 distances to its cell's walls. All rows are indexed; projections and spread are fitted on SAMPLE rows at most.
 
 Equal vectors are one class: no more than the k + 1 smallest ids of a class can be among a query's k nearest, so only
-these are carried, and a vector held by a third of all rows is one entry of the index. Rows and queries of a cell are
-joined block by block, never as pairs; candidates of all tables meet in per-task top lists, ranked by exact distance.
-Queries that found fewer than k candidates are compared with all classes, also in blocks.
+these are carried, and a vector held by a third of all rows is one entry of the index. Only ids go through the tables:
+those of rows and queries of a cell meet block by block, and each task packs what a query has found in all its cells, once,
+by the block of vectors it lies in. Then each block of vectors meets the queries that have candidates there, and exact
+distances are ranked in per-task top lists. Queries that found fewer than k candidates are compared with all classes, in
+blocks as well; mostly there are none.
 
 Defined results: rows whose id or vector is null, whose vector is empty, zero or holds null or non-finite components
 take no part, nor do vectors of another than the most frequent length (of equally frequent ones the shortest); an id
@@ -19,6 +21,7 @@ result; other columns are not looked at.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +37,9 @@ HASHES = 8
 WIDTH = 2.0
 PROBES = 80
 SAMPLE = 4096
-BLOCK = 512
+BLOCK = 512  # entries of a cell at a time
+VECTORS = 2048  # to a block that distances are computed with, about
+QUERIES = 256  # that a block of vectors meets at a time, about
 SEED = 7
 NEAREST = 10
 
@@ -133,21 +138,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _keyed(found: DataFrame, hasher, probing: bool) -> DataFrame:
-    """cell, cid and vector: a row for each table, or for each cell that a query visits."""
+    """cell, cid and block: a row for each table, or for each cell that a query visits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = hasher.value
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                vectors = _matrix(part.column(1))
+                vectors = _matrix(part.column(2))
                 keys = own.visits(vectors) if probing else own.cells(vectors)
                 cells = pa.array(list(keys.reshape(len(vectors), -1)), pa.list_(pa.int64()))
-                yield pa.record_batch([cells, part.column(0), part.column(1)], ["cells", "cid", "vector"])
+                yield pa.record_batch([cells, part.column(0), part.column(1)], ["cells", "cid", "block"])
 
-    kind = found.schema["vector"].dataType.simpleString()
-    keyed = found.select("cid", "vector").mapInArrow(run, f"cells array<bigint>, cid long, vector {kind}")
-    return keyed.select(F.explode(F.array_distinct("cells")).alias("cell"), "cid", "vector")
+    keyed = found.select("cid", "block", "vector").mapInArrow(run, "cells array<bigint>, cid long, block long")
+    return keyed.select(F.explode(F.array_distinct("cells")).alias("cell"), "cid", "block")
 
 
 def _blocks(keyed: DataFrame, key: str, size: int) -> DataFrame:
@@ -159,7 +163,116 @@ def _blocks(keyed: DataFrame, key: str, size: int) -> DataFrame:
     large = keyed.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > size)
     large = written(large.select(key, F.ceil(F.col("n") / size).alias("parts")), "crowded")
     dealt = keyed.join(large, key, "left").withColumn("part", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))))
-    return dealt.repartition(key, "part").groupBy(key, "part").agg(F.collect_list(F.struct("cid", "vector")).alias("entries")).select(key, "entries")
+    entry = F.struct(*[c for c in keyed.columns if c != key])
+    return dealt.repartition(key, "part").groupBy(key, "part").agg(F.collect_list(entry).alias("entries")).select(key, "entries")
+
+
+def pack(ids: np.ndarray) -> bytes:
+    """Ascending ids, as their compressed differences."""
+    return zlib.compress(np.diff(ids, prepend=ids.dtype.type(0)).tobytes(), 1)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), np.int64))
+
+
+def _candidates(pairs: DataFrame) -> DataFrame:
+    """block, qid, packed: the classes of a block that a query shares a cell with, once for each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[np.ndarray]] = {}
+        held = 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for qid, parts in found.items():
+                blocks, cids = np.concatenate(parts, axis=1)
+                cids, first = np.unique(cids, return_index=True)
+                order = np.argsort(blocks[first], kind="stable")  # by block, then by class
+                cids, blocks = cids[order], blocks[first][order]
+                starts = np.flatnonzero(np.diff(blocks, prepend=blocks[0] - 1))
+                packed = [pack(cids[a:b]) for a, b in zip(starts, [*starts[1:], len(cids)])]
+                columns = [pa.array(blocks[starts]), pa.array([qid] * len(starts), pa.int64()), pa.array(packed, pa.binary())]
+                yield pa.record_batch(columns, ["block", "qid", "packed"])
+
+        for batch in batches:
+            asking, entries = batch.column(0), batch.column(1)
+            q_ends, e_ends = (np.asarray(c.value_lengths()).cumsum().tolist() for c in (asking, entries))
+            qids = np.asarray(asking.flatten().field("cid")).tolist()
+            classes = np.stack([np.asarray(entries.flatten().field(c)) for c in ("block", "cid")])
+            for q_at, q_end, e_at, e_end in zip([0, *q_ends], q_ends, [0, *e_ends], e_ends):
+                own = classes[:, e_at:e_end]
+                for qid in qids[q_at:q_end]:
+                    found.setdefault(qid, []).append(own)
+                    held += own.shape[1]
+                if held > MOST_PAIRS:
+                    yield from rows()
+                    found.clear()
+                    held = 0
+        yield from rows()
+
+    return pairs.select("asking", "entries").mapInArrow(run, "block long, qid long, packed binary")
+
+
+class Tops:
+    """The k nearest classes of each query, as far as a task has seen."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.best: dict[int, dict[int, float]] = {}
+        self.worst: dict[int, float] = {}
+
+    def add(self, qid: int, cids: np.ndarray, scores: np.ndarray) -> None:
+        near = self.best.setdefault(qid, {})
+        close = scores <= self.worst.get(qid, np.inf)
+        near.update(zip(cids[close].tolist(), scores[close].tolist()))
+        if len(near) > 4 * self.k:
+            self._trim(qid)
+
+    def _trim(self, qid: int) -> None:
+        kept = sorted(self.best[qid].items(), key=lambda x: (x[1], x[0]))[: self.k]
+        self.best[qid] = dict(kept)
+        if len(kept) == self.k:
+            self.worst[qid] = kept[-1][1]
+
+    def taken(self) -> pa.RecordBatch:
+        """All rows; begins anew."""
+        for qid in self.best:
+            self._trim(qid)
+        found = [(q, c, s) for q, near in self.best.items() for c, s in near.items()]
+        columns = zip(*found) if found else ((), (), ())
+        self.best.clear()
+        self.worst.clear()
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds)], ["qid", "cid", "score"])
+
+
+def _ranked(found: DataFrame, candidates: DataFrame, queries: int, k: int) -> DataFrame:
+    """qid, cid, score: of each query the k nearest of its candidates, merged within a task.
+
+    A block of vectors meets the queries that have candidates in it, some QUERIES at a time.
+    """
+    asking = found.where("asks").select(F.col("cid").alias("qid"), F.col("vector").alias("query"))
+    chunk = F.pmod(F.xxhash64("qid"), F.lit(1 + queries // QUERIES)).alias("chunk")
+    asked = candidates.join(asking, "qid").groupBy("block", chunk)
+    asked = asked.agg(F.collect_list(F.struct("qid", "query", "packed")).alias("asking"))
+    vectors = found.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("cid", "vector"))).alias("entries"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tops = Tops(k)
+        for batch in batches:
+            for asking, entries in zip(batch.column(0), batch.column(1)):
+                ids, vectors = np.asarray(entries.values.field("cid")), _matrix(entries.values.field("vector"))
+                queries = _matrix(asking.values.field("query"))
+                qids = asking.values.field("qid").to_pylist()
+                for qid, query, packed in zip(qids, queries, asking.values.field("packed")):
+                    cids = unpack(packed.as_py())
+                    scores = np.sqrt(((vectors[np.searchsorted(ids, cids)] - query) ** 2).sum(axis=1))
+                    tops.add(qid, cids, scores)
+            if len(tops.best) > MOST_HELD:
+                yield tops.taken()
+        yield tops.taken()
+
+    return asked.join(vectors, "block").select("asking", "entries").mapInArrow(run, "qid long, cid long, score double")
 
 
 def _nearest(pairs: DataFrame, k: int) -> DataFrame:
@@ -172,21 +285,7 @@ def _nearest(pairs: DataFrame, k: int) -> DataFrame:
         return np.asarray(ids), _matrix(vectors), ends
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, dict[int, float]] = {}
-        worst: dict[int, float] = {}
-
-        def trim(qid: int) -> None:
-            kept = sorted(best[qid].items(), key=lambda x: (x[1], x[0]))[:k]
-            best[qid] = dict(kept)
-            if len(kept) == k:
-                worst[qid] = kept[-1][1]
-
-        def rows() -> pa.RecordBatch:
-            found = [(q, c, s) for q, near in best.items() for c, s in near.items()]
-            columns = zip(*found) if found else ((), (), ())
-            kinds = (pa.int64(), pa.int64(), pa.float64())
-            return pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds)], ["qid", "cid", "score"])
-
+        tops = Tops(k)
         for batch in batches:
             qids, asking, q_ends = parts(batch.column(0))
             cids, entries, e_ends = parts(batch.column(1))
@@ -194,28 +293,17 @@ def _nearest(pairs: DataFrame, k: int) -> DataFrame:
             for q_end, e_end in zip(q_ends.tolist(), e_ends.tolist()):
                 block, own_ids = entries[e_at:e_end], cids[e_at:e_end]
                 for q in range(q_at, q_end):
-                    qid = int(qids[q])
-                    scores = np.sqrt(((block - asking[q]) ** 2).sum(axis=1))
-                    near = best.setdefault(qid, {})
-                    close = scores <= worst.get(qid, np.inf)
-                    near.update(zip(own_ids[close].tolist(), scores[close].tolist()))
-                    if len(near) > 4 * k:
-                        trim(qid)
+                    tops.add(int(qids[q]), own_ids, np.sqrt(((block - asking[q]) ** 2).sum(axis=1)))
                 q_at, e_at = q_end, e_end
-            if len(best) > MOST_HELD:
-                for qid in best:
-                    trim(qid)
-                yield rows()
-                best.clear()
-                worst.clear()
-        for qid in best:
-            trim(qid)
-        yield rows()
+            if len(tops.best) > MOST_HELD:
+                yield tops.taken()
+        yield tops.taken()
 
     return pairs.select("asking", "entries").mapInArrow(run, "qid long, cid long, score double")
 
 
 MOST_HELD = 100_000  # queries with a top list in a task
+MOST_PAIRS = 4_000_000  # ids of candidates held in a task before they are packed
 
 
 def _merged(near: DataFrame, k: int) -> DataFrame:
@@ -252,7 +340,9 @@ def search(
     """query_id, rank, vec_id, score of the k nearest rows found for each row for which asked (over vec_id) holds."""
     spark = rows.sparkSession
     members = checkpointed(usable(rows, id_column, vector_column))
-    found = checkpointed(classes(members, asked, k))
+    found = classes(members, asked, k)
+    total = members.count()
+    found = checkpointed(found.withColumn("block", F.pmod(F.xxhash64("cid"), F.lit(1 + total // VECTORS))))
     fitted = members.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").collect()
     if not fitted:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -262,7 +352,8 @@ def search(
     asking = found.where("asks")
     visits = _blocks(_keyed(asking, hasher, probing=True), "cell", BLOCK).withColumnRenamed("entries", "asking")
     index = _blocks(_keyed(found, hasher, probing=False), "cell", BLOCK)
-    near = checkpointed(_merged(_nearest(visits.join(index, "cell"), k + 1), k + 1))
+    candidates = _candidates(visits.join(index, "cell"))
+    near = checkpointed(_merged(_ranked(found, candidates, asking.count(), k + 1), k + 1))
     askers = members.where(asked).select(F.col("vec_id").alias("query_id"), "vector")
     queries = askers.join(asking.select(F.col("cid").alias("qid"), "vector"), "vector").select("query_id", "qid")
     queries = checkpointed(queries)
@@ -270,8 +361,11 @@ def search(
     # Classes that found too few ids: with all classes, block by block.
     sizes = found.select("cid", F.size("ids").alias("n"))
     held = near.join(sizes, "cid").groupBy("qid").agg(F.sum("n").alias("n"))
-    enough = F.least(F.lit(k + 1), F.lit(members.count()))
+    enough = F.least(F.lit(k + 1), F.lit(total))
     few = asking.join(held.where(F.col("n") >= enough).select(F.col("qid").alias("cid")), "cid", "left_anti")
+    few = checkpointed(few)
+    if few.isEmpty():
+        return _expanded(near, found, queries, k)
     dealt = lambda df: df.withColumn("cell", F.lit(0))
     some, every = (_blocks(dealt(df.select("cid", "vector")), "cell", BLOCK) for df in (few, found))
     rest = _nearest(some.withColumnRenamed("entries", "asking").drop("cell").crossJoin(every.drop("cell")), k + 1)

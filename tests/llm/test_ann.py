@@ -82,9 +82,15 @@ def test_few_rows_are_all_found(spark):
     }
 
 
+def test_candidates_come_back_from_their_packing():
+    for ids in ([5], [-7, 0, 3, 2**62], range(1000)):
+        ids = np.array(ids, np.int64)
+        assert ann.unpack(ann.pack(ids)).tolist() == ids.tolist()
+
+
 def test_crowded_cells_are_dealt_to_blocks(spark, monkeypatch):
-    monkeypatch.setattr(ann, "BLOCK", 8)
-    monkeypatch.setattr(ann, "MOST_HELD", 3)
+    for name, value in [("BLOCK", 8), ("MOST_HELD", 3), ("MOST_PAIRS", 50), ("VECTORS", 16), ("QUERIES", 3)]:
+        monkeypatch.setattr(ann, name, value)
     close = (np.array(unit(300, 8)) * 1e-3 + 1).tolist() + unit(50, 8, 3)
     df, rows = frame(spark, list(enumerate(close)))
     found = got(ann.search(df, F.col("vec_id") % 10 == 0, probes=4000))
