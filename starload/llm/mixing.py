@@ -1,19 +1,24 @@
 """Mixing sources to target weights: iterative proportional fitting on cells, then sampling by the fitted rates.
 
 A document weighs its words, at least one. The corpus is summed by cell (source, language, topic). The tokens to take
-are BUDGET times those of the corpus; of them, each source, language and topic is to get a share, by default one in
-proportion to its tokens to the power of TEMPER, which lifts small values against large ones. Fitting multiplies the
-cells of each value by what its margin lacks, margin after margin, ROUNDS times. A rate never exceeds one, as no
-document is taken twice: cells at one are whole, and the others of the margin make up for them as far as they can.
+are BUDGET times those of the corpus; of them, each source, language and topic is to get a share: the one that the caller's
+targets give it, or by default one in proportion to its tokens to the power of TEMPER, which lifts small values against
+large ones. Fitting multiplies the cells of each value by what its margin lacks, margin after margin, ROUNDS times. A rate
+never exceeds one, as no document is taken twice: cells at one are whole, and the others of the margin make up for them as
+far as they can. A factor is held at HIGHEST: one that reaches it belongs to a value whose documents are all taken and do
+not fill its share, and would else grow with every round; the share it cannot fill is left to no other value.
 
 A document is taken if a uniform number drawn from its id is below its cell's rate, so a run repeated, or repeated in
-part after a lost executor, takes the same documents.
+part after a lost executor, takes the same documents; one whose number equals the rate is left.
 
 Fitting touches the cells only, never the documents, and stays a DataFrame: there may be as many sources as there are.
-The topic of a document is that of the first rule of TOPICS one of whose strings its text holds, else "prose".
+The topic of a document is the column that the caller names, or that of the first rule of TOPICS one of whose strings its
+text holds, else "prose".
 
-Defined results: a null text weighs one; a null source or language is the value ''; rows that repeat a doc_id are taken
-or left together, rows without one by their text; an empty table gives an empty result; sample() keeps all columns.
+Defined results: a null text weighs one, a very long one all its words; a null source, language or topic is the value '';
+a value that given targets do not name gets nothing; shares need not add up to one; rows that repeat a doc_id are taken
+or left together, rows without one by their text; an empty table gives an empty result; sample() keeps all columns,
+whatever they are called.
 """
 
 from __future__ import annotations
@@ -55,13 +60,13 @@ def _uniform(seed: int) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def weighed(seed: int = SEED) -> dict[str, Column]:
-    """What a document is sampled by."""
+def weighed(seed: int = SEED, topic: str | None = None) -> dict[str, Column]:
+    """What a document is sampled by. topic: a column to take topics from, instead of the rules."""
     text = whole_text()
     return {
         "_source": F.coalesce("source", F.lit("")),
         "_lang": F.coalesce("lang", F.lit("")),
-        "_topic": _topic(text),
+        "_topic": F.coalesce(F.col(f"`{topic}`").cast("string"), F.lit("")) if topic else _topic(text),
         "_tokens": F.greatest(F.lit(1), F.size(words(text))).cast("long"),
         "_u": _uniform(seed),
     }
@@ -96,18 +101,36 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], budget: float = BUD
     return fitted.select(*MARGINS, "tokens", F.least(F.lit(1.0), "factor").alias("rate"))
 
 
-def rates(docs: DataFrame, temper: Mapping[str, float] = TEMPER, budget: float = BUDGET, rounds: int = ROUNDS) -> DataFrame:
-    """The fitted cells of docs, which carries the columns of weighed()."""
+def rates(
+    docs: DataFrame,
+    temper: Mapping[str, float] = TEMPER,
+    budget: float = BUDGET,
+    rounds: int = ROUNDS,
+    targets: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """The fitted cells of docs, which carries the columns of weighed(). targets: value and share of some margins."""
+    targets = targets or {}
+    if wrong := targets.keys() - set(MARGINS):
+        raise ValueError(f"no margins: {sorted(wrong)}")
     cells = docs.groupBy(*[F.col(f"_{m}").alias(m) for m in MARGINS]).agg(F.sum("_tokens").alias("tokens"))
     cells = checkpointed(cells)
-    return rake(cells, {m: tempered(cells, m, temper[m]) for m in MARGINS}, budget, rounds)
-
-
-def mix(docs: DataFrame, temper: Mapping[str, float] = TEMPER, budget: float = BUDGET, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens, rate and sampled of every row."""
-    own = docs.select("doc_id", "source", "lang", *[c.alias(name) for name, c in weighed(seed).items()])
+    given = {m: targets[m] if m in targets else tempered(cells, m, temper[m]) for m in MARGINS}
+    return rake(cells, given, budget, rounds)
+
+
+def mix(
+    docs: DataFrame,
+    temper: Mapping[str, float] = TEMPER,
+    budget: float = BUDGET,
+    rounds: int = ROUNDS,
+    seed: int = SEED,
+    targets: Mapping[str, DataFrame] | None = None,
+    topic: str | None = None,
+) -> DataFrame:
+    """doc_id, source, lang, topic, n_tokens, rate and sampled of every row. targets and topic: see rates(), weighed()."""
+    own = docs.select("doc_id", "source", "lang", *[c.alias(name) for name, c in weighed(seed, topic).items()])
     own = checkpointed(own)
-    return _joined(own, rates(own, temper, budget, rounds)).select(
+    return _joined(own, rates(own, temper, budget, rounds, targets)).select(
         "doc_id",
         "source",
         "lang",
@@ -118,14 +141,22 @@ def mix(docs: DataFrame, temper: Mapping[str, float] = TEMPER, budget: float = B
     )
 
 
-def sample(docs: DataFrame, temper: Mapping[str, float] = TEMPER, budget: float = BUDGET, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
+def sample(
+    docs: DataFrame,
+    temper: Mapping[str, float] = TEMPER,
+    budget: float = BUDGET,
+    rounds: int = ROUNDS,
+    seed: int = SEED,
+    targets: Mapping[str, DataFrame] | None = None,
+    topic: str | None = None,
+) -> DataFrame:
     """The sampled rows of docs, all columns.
 
     The rates are written first: with their size known, they meet the texts without a shuffle wherever they are small.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    own = docs.select(row.alias("row"), *[c.alias(name) for name, c in weighed(seed).items()])
-    found = written(rates(own, temper, budget, rounds), "rates")
+    own = docs.select(row.alias("row"), *[c.alias(name) for name, c in weighed(seed, topic).items()])
+    found = written(rates(own, temper, budget, rounds, targets), "rates")
     return _joined(own, found).where("_u < _rate").select("row.*")
 
 

@@ -105,6 +105,25 @@ def test_own_targets(spark):
     assert {r.rate for r in none.collect() if r.source == "b"} == {0.0}
 
 
+def test_targets_and_topics_of_the_caller(spark):
+    rows = corpus()
+    docs = frame(spark, rows).withColumn("tokens", F.pmod("doc_id", F.lit(2)))  # a column to take topics from
+    shares = {"hot": 0.1, "s1": 0.6, "s2": 0.3}
+    targets = {"source": spark.createDataFrame(list(shares.items()), "value string, share double")}
+    found = mixing.mix(docs, budget=0.1, rounds=30, targets=targets, topic="tokens")
+    assert {r.topic for r in found.select("topic").distinct().collect()} == {"0", "1", ""}
+    took = {r.source: r.took for r in found.groupBy("source").agg(F.sum(F.col("rate") * F.col("n_tokens")).alias("took")).collect()}
+    total = found.agg(F.sum("n_tokens")).first()[0]
+    for source, share in shares.items():
+        assert took[source] == pytest.approx(0.1 * total * share, rel=0.03)
+    assert sum(took.values()) == pytest.approx(0.1 * total, rel=0.03) and took["s3"] == 0
+    kept = mixing.sample(docs, budget=0.1, rounds=30, targets=targets, topic="tokens")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted(r.doc_id or -1 for r in found.where("sampled").collect())
+    with pytest.raises(ValueError, match="colour"):
+        mixing.mix(docs, targets={"colour": targets["source"]})
+
+
 def test_sample_keeps_columns_and_whole_rows(spark):
     rows = corpus()
     docs = frame(spark, rows)
