@@ -6,9 +6,10 @@ the languages of neighbouring words are learned with them, on windows of texts a
 languages. Forward-backward gives each word a probability for each language; the words' sum names the text's language,
 so a text that switches is labelled by its larger part and its runs of languages can be read off.
 
-Fitting takes SAMPLE different texts, or all if there are fewer, of each of the LANGUAGES languages with the most
-different texts, chosen by a hash of the text whatever its length; of a long text it takes a run of neighbouring words
-of at most LONGEST characters in all. Labelling reads whole texts: forward-backward runs over all words of a slice of texts side by
+Fitting takes SAMPLE different texts, or all if there are fewer, of every language, chosen by a hash of the text whatever
+its length; of a long text it takes a run of neighbouring words of at most LONGEST characters in all. From LANGUAGES
+languages on, each has fewer texts and the table of weights fewer rows, at least one text and 2 ** 12 rows, so what the
+driver fits and sends stays the same size; no language is left out. Labelling reads whole texts: forward-backward runs over all words of a slice of texts side by
 side, in blocks whose products are chained, which is exact.
 
 Defined results: a null text or one without letters is "und" with score 0; with no labelled row to learn from every
@@ -28,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starload.llm.common import checkpointed
+
 SAMPLE = 250
-LANGUAGES = 64
+LANGUAGES = 64  # with a full sample and table
 LONGEST = 8_000
 TABLE = 1 << 18
 WINDOW = 32  # words to a training sequence
@@ -54,8 +57,8 @@ def words_of(text: str | None) -> list[str]:
     return [w for w in found if w.isalpha() or any(c.isalpha() for c in w)]
 
 
-def features(word: str) -> list[int]:
-    """Places in the table of weights."""
+def features(word: str, table: int = TABLE) -> list[int]:
+    """Places in a table of weights."""
     n = len(word)
     marked = f"<{word}>"
     names = [f"w{word}"]
@@ -63,12 +66,12 @@ def features(word: str) -> list[int]:
     names += [f"s{word[-k:]}" for k in range(1, min(4, n) + 1)]
     names += [marked[k : k + size] for size in (2, 3) for k in range(n + 3 - size)]
     hashed = zlib.crc32
-    return [hashed(x.encode()) % TABLE for x in names]
+    return [hashed(x.encode()) % table for x in names]
 
 
-def places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def places(words: list[str], table: int = TABLE) -> tuple[np.ndarray, np.ndarray]:
     """All words' places in one array, and where each word's begin."""
-    found = [features(w) for w in words]
+    found = [features(w, table) for w in words]
     starts = np.cumsum([0] + [len(x) for x in found[:-1]])
     return np.fromiter((p for x in found for p in x), np.int64), starts
 
@@ -76,12 +79,12 @@ def places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]
-    weights: np.ndarray  # TABLE x languages
+    weights: np.ndarray  # features x languages
     transitions: np.ndarray
     start: np.ndarray
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        flat, starts = places(words)
+        flat, starts = places(words, len(self.weights))
         return np.add.reduceat(self.weights[flat], starts, axis=0)
 
 
@@ -106,9 +109,10 @@ def fit(texts: list[tuple[str, list[str]]], seed: int = 5) -> Model:
         for at in range(0, len(ids), WINDOW):
             part = ids[at : at + WINDOW]
             windows.append((part, np.full(len(part), label[lang])))
-    flat, starts = places(list(vocabulary))
+    table = max(1 << 12, TABLE >> max(0, (size - 1) // LANGUAGES).bit_length())
+    flat, starts = places(list(vocabulary), table)
     counts = np.diff(np.append(starts, len(flat)))
-    weights, sums = np.zeros((TABLE, size)), np.full((TABLE, size), 1e-6)
+    weights, sums = np.zeros((table, size)), np.full((table, size), 1e-6)
     transitions, start = np.zeros((size, size)), np.zeros(size)
     t_sums, s_sums = np.full((size, size), 1e-6), np.full(size, 1e-6)
 
@@ -279,8 +283,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.string())], ["lang", "h", "words"])
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE, most_languages: int = LANGUAGES) -> Model:
-    """Fitted on text and lang of rows that are not held out.
+def learn(docs: DataFrame, sample: int = SAMPLE, most_languages: int | None = None) -> Model:
+    """Fitted on text and lang of rows that are not held out; of most_languages, if given, those with the most texts.
 
     Of each language some 1.5 * sample different texts are fetched, as runs of words, so no language takes the place of
     another one. Equal texts of a language are one row before they are counted, and one row before they are fetched.
@@ -288,10 +292,13 @@ def learn(docs: DataFrame, sample: int = SAMPLE, most_languages: int = LANGUAGES
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     usable = usable.where(F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("h"))
     counts = usable.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n"))
-    most = counts.orderBy(F.desc("n"), "lang").limit(most_languages)
+    counts = checkpointed(counts)
+    most = counts.orderBy(F.desc("n"), "lang").limit(most_languages) if most_languages else counts
+    languages = most.count()
+    sample = max(1, min(sample, sample * LANGUAGES // max(1, languages)))
     # Beside the largest share a few rows more, so that a small sample is full all the same.
     share = F.least(F.lit(1.0), F.lit(1.5 * sample + 50) / F.col("n"))
-    chosen = usable.join(F.broadcast(most.select("lang", share.alias("share"))), "lang")  # most_languages rows
+    chosen = usable.join(most.select("lang", share.alias("share")), "lang")
     chosen = chosen.where((F.col("h") / F.lit(2.0**64) + 0.5) <= F.col("share")).select("lang", "h", "text").distinct()
     texts: dict[str, list[list[str]]] = {}
     for row in sorted(chosen.mapInArrow(_runs, "lang string, h long, words string").collect(), key=lambda r: (r.h, r.words)):
@@ -302,7 +309,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, most_languages: int = LANGUAGES
 
 def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns with lang_pred, score and runs: array of (lang, words) along the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # TABLE x languages weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most TABLE x LANGUAGES weights, or 2 ** 12 a language
     picked = docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"])
     runs = "array<struct<lang:string,words:bigint>>"
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]]

@@ -5,7 +5,8 @@ digits); github, slack and jwt are added to them. Matches of a kind are leftmost
 is too short is dropped but still consumed.
 
 Defined results: a null text is an empty one and has no spans; positions are code points, ends exclusive; spans are
-ordered by start, then by kind as listed; rows are kept as often as they come; an empty table gives an empty result.
+ordered by start, then by kind as listed; a very long text is scanned whole, in memory that grows with its length; rows
+are kept as often as they come; an empty table gives an empty result; columns that are not to be kept are not looked at.
 """
 
 from __future__ import annotations

@@ -137,3 +137,14 @@ def test_copies_do_not_push_other_languages_out(spark):
     text = texts.orderBy(F.xxhash64("text")).first().text
     rows = [(None, text, "aa", "s", 0)] * 200 + [(4 * k, f"other words here{k}", "bb", "s", 0) for k in range(20)]
     assert langid.learn(spark.createDataFrame(rows, SCHEMA), sample=2, most_languages=2).languages == ["aa", "bb"]
+
+
+def test_no_language_is_left_out(spark, monkeypatch):
+    """More languages than have a full sample: each has fewer texts, all can be predicted."""
+    monkeypatch.setattr(langid, "LANGUAGES", 4)
+    rows = [(k, f"{'abcdefghij'[k % 10] * 3} word{k % 10} {'abcdefghij'[k % 10]}x{k}", f"l{k % 10}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(docs, sample=20)
+    assert model.languages == [f"l{k}" for k in range(10)] and len(model.weights) == langid.TABLE >> 2
+    found = langid.identify(docs, model, ["doc_id", "lang"]).collect()
+    assert sum(r.lang == r.lang_pred for r in found) > 0.95 * len(found)

@@ -73,6 +73,26 @@ def test_each_stage_on_what_the_last_one_kept(spark, tmp_path):
     assert got == sorted(last, key=str) and all(r.n_tokens == len(r.ids) // 4 for r in found)
 
 
+def test_odd_rows(spark):
+    """Extra columns, ids that several texts share, null ids, very long texts."""
+    rng = random.Random(2)
+    fresh = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n))
+    long, other, shared = fresh(40_000), fresh(80), fresh(90)
+    rows = [(1, long, "en", "a"), (1, other, "en", "a"), (2, shared, "en", "a"), (2, shared, "en", "b"), (None, shared, "en", "a")]
+    rows += [(None, fresh(60), None, None), (None, None, None, None)]
+    docs = frame(spark, rows)
+    extra = docs.withColumns({"row": docs["doc_id"], "key": docs["lang"], "fp": docs["source"], "lines": docs["text"]})
+    kept, wider = docs, extra
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        kept, wider = stage(spark, kept, ""), stage(spark, wider, "")
+        assert kept.columns == wider.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert sorted(kept.collect(), key=str) == sorted(wider.collect(), key=str)
+        if k == 2:
+            assert sorted((str(r.doc_id), r.n_chars) for r in kept.collect()) == sorted(
+                [("1", len(long)), ("1", len(other)), ("2", len(shared)), ("None", len(rows[5][1]))]
+            )
+
+
 def test_empty_table(spark, tmp_path):
     frame(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
