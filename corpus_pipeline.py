@@ -1,4 +1,10 @@
-"""From raw documents to encoded ones: five stages, each written as Parquet and read again by the next one."""
+"""From raw documents to encoded ones: five stages, each written as Parquet and read again by the next one.
+
+What every stage makes of odd rows follows from its operator: a null text is an empty one (the first stage rejects both),
+texts of any length are worked on whole, ids that several rows share are told apart by text where rows are chosen and
+count as one document where documents are counted, null ids come last, rows repeated exactly are one group of near
+duplicates, further columns of documents are not handed on, and an empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -16,27 +22,30 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; kept ones lose the lines that too many documents of their host hold."""
+    """Rejected documents go (short, repeating or depleted ones; null and empty texts are short); kept ones lose the lines
+    that ten or more documents of their host hold."""
     return _documents(quality.clean(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten or more documents hold go, from all of them."""
+    """Lines that ten or more documents hold go, from all of them; a text that loses all its lines stays as the empty one."""
     return _documents(linededup.deduped_text(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays, that with the smallest doc_id; without one only if none has
+    any, and then the first by its columns."""
     return simhash.one_of_each(docs).select(*DOCUMENT_COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled so that sources, languages and topics come near their target weights."""
+    """Documents sampled so that sources, languages and topics come near their target weights; rows of one id together."""
     return mixing.sample(docs).select(*DOCUMENT_COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and ids (little-endian unsigned 32-bit integers) of each document."""
+    """doc_id, lang, source, n_tokens and ids (little-endian unsigned 32-bit integers) of each document; none for an empty
+    text."""
     found = bpe.encode_documents(docs, VOCABULARY, ["doc_id", "lang", "source"])
     return found.select("doc_id", "lang", "source", "n_tokens", "ids")
 
