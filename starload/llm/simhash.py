@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import checkpointed
+from starload.llm.common import checkpointed, written
 
 SHINGLE = 3
 RADIUS = 2
@@ -208,11 +208,12 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, s
     key = F.concat_ws("/", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))).alias("key")
     found = checkpointed(fingerprints(docs.select("doc_id", key, "text"), shingle, seed, keyed=True))
     least = found.join(_by_print(found, radius), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # Kept apart first, so that the joins can split the rows of a key with many copies.
+    # Plain tables of known size: the joins can split the rows of a key with many copies, and no text is moved to meet an
+    # empty one.
     least = checkpointed(least.groupBy("root", "key").agg(F.count("*").alias("n")))
     several = least.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select("root")
-    several = checkpointed(least.join(several, "root", "left_semi").select("key", "root"))
-    single = checkpointed(least.join(several.select("root").distinct(), "root", "left_anti").select("key"))
+    several = written(least.join(several, "root", "left_semi").select("key", "root"), "several")
+    single = written(least.join(several.select("root").distinct(), "root", "left_anti").select("key"), "single")
     rows = docs.select(key, F.struct(*own).alias("row"), F.struct(*sortable).alias("place"))
     first = rows.join(several, "key").groupBy("root").agg(F.min_by("row", "place").alias("row")).select("row.*")
     return rows.select("key", "row").join(single, "key", "left_semi").select("row.*").unionByName(first)
