@@ -21,7 +21,6 @@ result; other columns are not looked at.
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,20 +137,21 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _keyed(found: DataFrame, hasher, probing: bool) -> DataFrame:
-    """cell, cid and block: a row for each table, or for each cell that a query visits."""
+    """cell, cid, block and place: a row for each table, or for each cell that a query visits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = hasher.value
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                vectors = _matrix(part.column(2))
+                vectors = _matrix(part.column(3))
                 keys = own.visits(vectors) if probing else own.cells(vectors)
                 cells = pa.array(list(keys.reshape(len(vectors), -1)), pa.list_(pa.int64()))
-                yield pa.record_batch([cells, part.column(0), part.column(1)], ["cells", "cid", "block"])
+                yield pa.record_batch([cells, *part.columns[:3]], ["cells", "cid", "block", "place"])
 
-    keyed = found.select("cid", "block", "vector").mapInArrow(run, "cells array<bigint>, cid long, block long")
-    return keyed.select(F.explode(F.array_distinct("cells")).alias("cell"), "cid", "block")
+    keyed = found.select("cid", "block", "place", "vector")
+    keyed = keyed.mapInArrow(run, "cells array<bigint>, cid long, block long, place int")
+    return keyed.select(F.explode(F.array_distinct("cells")).alias("cell"), "cid", "block", "place")
 
 
 def _blocks(keyed: DataFrame, key: str, size: int) -> DataFrame:
@@ -167,13 +167,23 @@ def _blocks(keyed: DataFrame, key: str, size: int) -> DataFrame:
     return dealt.repartition(key, "part").groupBy(key, "part").agg(F.collect_list(entry).alias("entries")).select(key, "entries")
 
 
-def pack(ids: np.ndarray) -> bytes:
-    """Ascending ids, as their compressed differences."""
-    return zlib.compress(np.diff(ids, prepend=ids.dtype.type(0)).tobytes(), 1)
+def pack(places: np.ndarray) -> bytes:
+    """Ascending places in a block, as a list or, where that is shorter, as bits; the first byte says which."""
+    last = int(places[-1])
+    if 16 * len(places) < last:
+        return b"s" + places.astype(np.uint16).tobytes() if last < 1 << 16 else b"l" + places.astype(np.uint32).tobytes()
+    bits = np.zeros(last + 1, bool)
+    bits[places] = True
+    return b"b" + np.packbits(bits).tobytes()
 
 
-def unpack(packed: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(packed), np.int64))
+def mark(packed: bytes, held: np.ndarray) -> None:
+    """Set the places that were packed."""
+    if packed[:1] == b"b":
+        bits = np.unpackbits(np.frombuffer(packed, np.uint8, offset=1))[: len(held)]
+        held[: len(bits)] |= bits.astype(bool)
+    else:
+        held[np.frombuffer(packed, np.uint16 if packed[:1] == b"s" else np.uint32, offset=1)] = True
 
 
 def _candidates(pairs: DataFrame) -> DataFrame:
@@ -185,12 +195,10 @@ def _candidates(pairs: DataFrame) -> DataFrame:
 
         def rows() -> Iterator[pa.RecordBatch]:
             for qid, parts in found.items():
-                blocks, cids = np.concatenate(parts, axis=1)
-                cids, first = np.unique(cids, return_index=True)
-                order = np.argsort(blocks[first], kind="stable")  # by block, then by class
-                cids, blocks = cids[order], blocks[first][order]
+                keys = np.unique(np.concatenate(parts))
+                blocks, places = keys >> PLACE_BITS, keys & ((1 << PLACE_BITS) - 1)
                 starts = np.flatnonzero(np.diff(blocks, prepend=blocks[0] - 1))
-                packed = [pack(cids[a:b]) for a, b in zip(starts, [*starts[1:], len(cids)])]
+                packed = [pack(places[a:b]) for a, b in zip(starts, [*starts[1:], len(places)])]
                 columns = [pa.array(blocks[starts]), pa.array([qid] * len(starts), pa.int64()), pa.array(packed, pa.binary())]
                 yield pa.record_batch(columns, ["block", "qid", "packed"])
 
@@ -198,12 +206,13 @@ def _candidates(pairs: DataFrame) -> DataFrame:
             asking, entries = batch.column(0), batch.column(1)
             q_ends, e_ends = (np.asarray(c.value_lengths()).cumsum().tolist() for c in (asking, entries))
             qids = np.asarray(asking.flatten().field("cid")).tolist()
-            classes = np.stack([np.asarray(entries.flatten().field(c)) for c in ("block", "cid")])
+            values = entries.flatten()
+            classes = np.asarray(values.field("block")) << PLACE_BITS | np.asarray(values.field("place"))
             for q_at, q_end, e_at, e_end in zip([0, *q_ends], q_ends, [0, *e_ends], e_ends):
-                own = classes[:, e_at:e_end]
+                own = classes[e_at:e_end]
                 for qid in qids[q_at:q_end]:
                     found.setdefault(qid, []).append(own)
-                    held += own.shape[1]
+                    held += len(own)
                 if held > MOST_PAIRS:
                     yield from rows()
                     found.clear()
@@ -251,28 +260,34 @@ def _ranked(found: DataFrame, candidates: DataFrame, queries: int, k: int) -> Da
 
     A block of vectors meets the queries that have candidates in it, some QUERIES at a time.
     """
-    asking = found.where("asks").select(F.col("cid").alias("qid"), F.col("vector").alias("query"))
     chunk = F.pmod(F.xxhash64("qid"), F.lit(1 + queries // QUERIES)).alias("chunk")
-    asked = candidates.join(asking, "qid").groupBy("block", chunk)
-    asked = asked.agg(F.collect_list(F.struct("qid", "query", "packed")).alias("asking"))
+    asking = found.where("asks").select(F.col("cid").alias("qid"), F.col("vector").alias("query"))
+    # With their size known, the planner sends them to all tasks where they are few.
+    asking = written(asking.groupBy(chunk).agg(F.collect_list(F.struct("qid", "query")).alias("queries")), "asking")
+    asked = candidates.groupBy("block", chunk).agg(F.collect_list(F.struct("qid", "packed")).alias("asking"))
     vectors = found.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("cid", "vector"))).alias("entries"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tops = Tops(k)
         for batch in batches:
-            for asking, entries in zip(batch.column(0), batch.column(1)):
+            for asking, queries, entries in zip(*batch.columns):
                 ids, vectors = np.asarray(entries.values.field("cid")), _matrix(entries.values.field("vector"))
-                queries = _matrix(asking.values.field("query"))
-                qids = asking.values.field("qid").to_pylist()
-                for qid, query, packed in zip(qids, queries, asking.values.field("packed")):
-                    cids = unpack(packed.as_py())
-                    scores = np.sqrt(((vectors[np.searchsorted(ids, cids)] - query) ** 2).sum(axis=1))
-                    tops.add(qid, cids, scores)
+                known = zip(queries.values.field("qid").to_pylist(), _matrix(queries.values.field("query")))
+                known = dict(known)
+                held: dict[int, np.ndarray] = {}
+                for qid, packed in zip(asking.values.field("qid").to_pylist(), asking.values.field("packed")):
+                    mark(packed.as_py(), held.setdefault(qid, np.zeros(len(ids), bool)))
+                for qid, places in held.items():
+                    many = 2 * np.count_nonzero(places) > len(ids)  # then picking them out first costs more
+                    near = vectors if many else vectors[places]
+                    scores = np.sqrt(((near - known[qid]) ** 2).sum(axis=1))
+                    tops.add(qid, ids[places], scores[places] if many else scores)
             if len(tops.best) > MOST_HELD:
                 yield tops.taken()
         yield tops.taken()
 
-    return asked.join(vectors, "block").select("asking", "entries").mapInArrow(run, "qid long, cid long, score double")
+    met = asked.join(asking, "chunk").join(vectors, "block").select("asking", "queries", "entries")
+    return met.mapInArrow(run, "qid long, cid long, score double")
 
 
 def _nearest(pairs: DataFrame, k: int) -> DataFrame:
@@ -303,7 +318,8 @@ def _nearest(pairs: DataFrame, k: int) -> DataFrame:
 
 
 MOST_HELD = 100_000  # queries with a top list in a task
-MOST_PAIRS = 4_000_000  # ids of candidates held in a task before they are packed
+MOST_PAIRS = 4_000_000  # candidates held in a task before they are packed
+PLACE_BITS = 24  # of a class' place in its block
 
 
 def _merged(near: DataFrame, k: int) -> DataFrame:
@@ -342,7 +358,9 @@ def search(
     members = checkpointed(usable(rows, id_column, vector_column))
     found = classes(members, asked, k)
     total = members.count()
-    found = checkpointed(found.withColumn("block", F.pmod(F.xxhash64("cid"), F.lit(1 + total // VECTORS))))
+    found = found.withColumn("block", F.pmod(F.xxhash64("cid"), F.lit(1 + total // VECTORS)))
+    place = F.row_number().over(W.partitionBy("block").orderBy("cid")) - 1
+    found = checkpointed(found.withColumn("place", place))
     fitted = members.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").collect()
     if not fitted:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

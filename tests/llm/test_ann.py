@@ -83,9 +83,11 @@ def test_few_rows_are_all_found(spark):
 
 
 def test_candidates_come_back_from_their_packing():
-    for ids in ([5], [-7, 0, 3, 2**62], range(1000)):
-        ids = np.array(ids, np.int64)
-        assert ann.unpack(ann.pack(ids)).tolist() == ids.tolist()
+    for places in ([0], [5], [3, 900], range(1000), [*range(0, 70_000, 7), 70_001], [1, 70_000]):
+        held = np.zeros(80_000, bool)
+        ann.mark(ann.pack(np.array(places)), held)
+        assert np.flatnonzero(held).tolist() == list(places)
+    assert [ann.pack(np.array(p))[:1] for p in ([3, 900], range(1000), [1, 70_000])] == [b"s", b"b", b"l"]
 
 
 def test_crowded_cells_are_dealt_to_blocks(spark, monkeypatch):
