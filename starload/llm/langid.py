@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import checkpointed
+from starload.llm.common import checkpointed, written
 
 SAMPLE = 250
 LANGUAGES = 64  # with a full sample and table
@@ -298,7 +298,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE, most_languages: int | None = No
     sample = max(1, min(sample, sample * LANGUAGES // max(1, languages)))
     # Beside the largest share a few rows more, so that a small sample is full all the same.
     share = F.least(F.lit(1.0), F.lit(1.5 * sample + 50) / F.col("n"))
-    chosen = usable.join(most.select("lang", share.alias("share")), "lang")
+    # A table of known size: the planner sends it to all tasks while it is small, so no text moves by language.
+    chosen = usable.join(written(most.select("lang", share.alias("share")), "languages"), "lang")
     chosen = chosen.where((F.col("h") / F.lit(2.0**64) + 0.5) <= F.col("share")).select("lang", "h", "text").distinct()
     texts: dict[str, list[list[str]]] = {}
     for row in sorted(chosen.mapInArrow(_runs, "lang string, h long, words string").collect(), key=lambda r: (r.h, r.words)):
