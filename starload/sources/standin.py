@@ -28,6 +28,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt over the cluster, whatever their keys, before costly work on each.
+
+    A file is read in as many tasks as it has row groups, often one, and the texts made of its rows are many times
+    larger than the file: without this one task would make and parse them all. Small input stays in few tasks.
+    """
+    return rows.hint("rebalance")
+
+
 def _text(column: Column) -> Column:
     return F.concat(F.lit('"'), column, F.lit('"'))
 
@@ -67,7 +76,7 @@ def list_payloads(part: DataFrame) -> DataFrame:
     )
     skipped = F.concat(_text(F.concat(F.lit("x"), key)), F.lit(':{"name":"not a game"}'))
     body = F.concat(F.lit("{"), _text(shown), F.lit(":"), entry, F.lit(","), skipped, F.lit("}"))
-    return part.select(key.alias("payload_id"), body.alias("body"))
+    return spread(part).select(key.alias("payload_id"), body.alias("body"))
 
 
 def detail_responses(part: DataFrame, described_from_size: int = 0) -> DataFrame:
@@ -109,7 +118,7 @@ def detail_responses(part: DataFrame, described_from_size: int = 0) -> DataFrame
     body = F.when(kind == "PROMO", F.lit("<html>try again later</html>")).otherwise(
         F.concat(F.lit("{"), _text(key), F.lit(":"), answer, F.lit("}"))
     )
-    return part.select(F.col("p_partkey").cast("int").alias("appid"), body.alias("body"))
+    return spread(part).select(F.col("p_partkey").cast("int").alias("appid"), body.alias("body"))
 
 
 def count_responses(part: DataFrame, more: int = 0) -> DataFrame:
@@ -119,7 +128,7 @@ def count_responses(part: DataFrame, more: int = 0) -> DataFrame:
     count = F.when(size == 31, null).otherwise((F.col("p_partkey") + 1 + more).cast("string"))
     answer = _object(_pair("result", result), F.when(size != 30, _pair("player_count", count)))
     body = F.when(size == 32, F.lit('{"response":')).otherwise(_object(_pair("response", answer)))
-    return part.select(F.col("p_partkey").cast("int").alias("appid"), body.alias("body"))
+    return spread(part).select(F.col("p_partkey").cast("int").alias("appid"), body.alias("body"))
 
 
 def land(part: DataFrame, folder: str, more: int = 0, entries: int = 100) -> None:
