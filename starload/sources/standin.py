@@ -138,7 +138,8 @@ def land(part: DataFrame, folder: str, more: int = 0, entries: int = 100) -> Non
     inner = F.expr("substring(body, 2, char_length(body) - 2)")
     body = F.concat(F.lit("{"), F.concat_ws(",", F.array_sort(F.collect_list(inner))), F.lit("}"))
     packed = listed.groupBy("list").agg(body.alias("value"))
-    packed.write.partitionBy("list").text(f"{folder}/list")
+    # A folder for each list would have to be listed one by one when read.
+    packed.select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/list")
     detail_responses(part).write.json(f"{folder}/details")
     count_responses(part, more).write.json(f"{folder}/counts")
 

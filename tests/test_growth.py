@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starload.sources import standin
-from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list
+from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list, read_payloads
 
 
 @pytest.fixture
@@ -35,3 +35,12 @@ def test_responses_made_of_one_file_are_parsed_by_many_tasks(spark, one_file, pa
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
     assert sum(n for _, n in by_task) == 2000
     assert len(by_task) > 1 and max(n for _, n in by_task) < 1500
+
+
+def test_lists_are_landed_one_to_a_file_of_one_folder(spark, one_file, tmp_path):
+    standin.land(one_file, f"{tmp_path}/day", entries=100)
+    entries = list((tmp_path / "day" / "list").iterdir())
+    assert all(e.is_file() for e in entries) and sum(e.suffix == ".txt" for e in entries) == 20
+    lists = read_payloads(spark, f"{tmp_path}/day/list")
+    games = parse_top_list(lists).groupBy("payload_id").agg(F.count("*").alias("n"), F.min("appid").alias("first"))
+    assert sorted((r.first, r.n) for r in games.collect()) == [(k, 100) for k in range(0, 2000, 100)]
