@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.functions.dates import date_key
 from starload.operators.bookmark import (
     changed_since,
     choose_load_mode,
@@ -132,6 +133,22 @@ def _load_names(
     return staged
 
 
+def _overlapped(store: Store, snapshots: DataFrame, low: dt.date) -> list[int]:
+    """The months to merge: those of the snapshots to load, unless all their days are later than every day stored there.
+
+    Told before anything is written, so that facts are written once. Nothing is read if the bookmark is at or past
+    the last stored day, as it is after every load; else one column of the snapshots.
+    """
+    if (store.last_day(FACT) or 0) <= low.year * 10000 + low.month * 100 + low.day:
+        return []
+    dated = snapshots.select(date_key(F.col("recorded_date")).alias("date_key")).groupBy("date_key").agg(F.lit(1))
+    days = dated.join(store.read("dim_date").select("date_key", "ym"), "date_key")
+    found = {row.ym: row.first for row in days.groupBy("ym").agg(F.min("date_key").alias("first")).collect()}
+    if not found or (store.last_day(FACT, list(found)) or 0) < min(found.values()):
+        return []
+    return sorted(found)
+
+
 def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     """Load snapshots past the bookmark, then move it to the last snapshot day.
 
@@ -153,16 +170,13 @@ def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     delta = fact_delta(snapshots, store.read("dim_games"), store.read("dim_date"))
     delta = delta.withColumn("created_at", timestamp(load_ts))
 
-    staged = []
-    added = store.stage(run_id, FACT, delta, appended=True)
-    if added.rows:
-        new, touched = store.read_staged(added), store.staged_months(added)
-        if (store.last_day(FACT, touched) or 0) < added.first_day:
-            # Every new day is later than every stored day: nothing to overwrite.
-            staged.append(added)
-        else:
-            merged = upsert_fact(store.read(FACT, parts=touched), new.drop("created_at"), load_ts)
-            staged.append(store.stage(run_id, FACT, merged))
+    touched = _overlapped(store, snapshots, low)
+    if touched:
+        merged = upsert_fact(store.read(FACT, parts=touched), delta.drop("created_at"), load_ts)
+        facts = store.stage(run_id, FACT, merged)
+    else:
+        facts = store.stage(run_id, FACT, delta, appended=True)
+    staged = [facts] if facts.rows else []
     staged.append(
         store.stage(run_id, "etl_bookmark", advance_bookmark(marks, FACT, high, load_ts))
     )

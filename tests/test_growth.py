@@ -1,8 +1,14 @@
 """What the loads do with more rows than a task should hold: dealt, landed and written once."""
 
+import datetime as dt
+import os
+
 import pytest
+from conftest import T1, T2, rows_of
 from pyspark.sql import functions as F
 
+from starload.plans.warehouse import create_warehouse, load_dimensions, load_facts
+from starload.schemas import FACT
 from starload.sources import standin
 from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list, read_payloads
 
@@ -44,3 +50,31 @@ def test_lists_are_landed_one_to_a_file_of_one_folder(spark, one_file, tmp_path)
     lists = read_payloads(spark, f"{tmp_path}/day/list")
     games = parse_top_list(lists).groupBy("payload_id").agg(F.count("*").alias("n"), F.min("appid").alias("first"))
     assert sorted((r.first, r.n) for r in games.collect()) == [(k, 100) for k in range(0, 2000, 100)]
+
+
+def test_facts_of_an_overlapping_load_are_written_once(store, make):
+    """Only the months the new days lie in are merged; a load behind the bookmark is told from the state alone."""
+
+    def put(run_id, *rows):
+        rows = [{"appid": a, "recorded_date": d, "ccu": c, "created_at": T1, "ym": d.year * 100 + d.month} for a, d, c in rows]
+        store.publish(run_id, [store.stage(run_id, "snapshots", make("snapshots", *rows), True)])
+
+    create_warehouse(store, T1)
+    games = [{"appid": a, "name": f"g{a}", "created_at": T1, "updated_at": T1} for a in (1, 2)]
+    store.publish("games", [store.stage("games", "games", make("games", *games))])
+    load_dimensions(store, "dims", T1, "initial")
+    put("s1", (1, dt.date(2024, 1, 5), 1), (1, dt.date(2024, 2, 5), 2))
+    load_facts(store, "f1", T1)
+    january = [e.path for e in store._state.entries if e.table_name == FACT and e.part == 202401]
+    back = make("etl_bookmark", {"table_name": FACT, "last_loaded_date": dt.date(2024, 1, 31), "updated_at": T1})
+    store.publish("back", [store.stage("back", "etl_bookmark", back)])
+    put("s2", (2, dt.date(2024, 2, 5), 3), (1, dt.date(2024, 3, 1), 4))
+    staged = load_facts(store, "f2", T2)
+    assert {s.table: s.rows for s in staged}[FACT] == 3
+    written = [n for n in os.listdir(f"{store.root}/{FACT}") if n.startswith("run=f2-")]
+    assert len(written) == 1
+    assert [e.path for e in store._state.entries if e.table_name == FACT and e.part == 202401] == january
+    appids = store.read("dim_games").select("game_key", "appid")
+    assert rows_of(store.read(FACT).join(appids, "game_key"), "appid", "date_key", "ccu", "created_at") == [
+        (1, 20240105, 1, T1), (1, 20240205, 2, T1), (1, 20240301, 4, T2), (2, 20240205, 3, T2),
+    ]
