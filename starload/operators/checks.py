@@ -12,13 +12,19 @@ class CheckFailed(ValueError):
     """A constraint does not hold; nothing was published."""
 
 
-def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:
+def unique_violations(df: DataFrame, keys: list[str], stored: DataFrame | None = None) -> DataFrame:
     """Keys that occur more than once, and how often. Counted map-side, so a hot key is one row.
 
-    Rows with a NULL key part are left out: a unique constraint lets NULLs repeat.
+    With `stored` rows, which are counted along in the same shuffle, keys of `df` that occur more than once in both
+    together. Rows with a NULL key part are left out: a unique constraint lets NULLs repeat.
     """
     present = df.dropna(subset=keys)
-    return present.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    if stored is None:
+        return present.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    old = stored.dropna(subset=keys).select(*keys, F.lit(0).alias("new"))
+    both = present.select(*keys, F.lit(1).alias("new")).unionByName(old)
+    counted = both.groupBy(*keys).agg(F.count("*").alias("n"), F.max("new").alias("new"))
+    return counted.filter((F.col("n") > 1) & (F.col("new") == 1)).drop("new")
 
 
 def _per_column(df: DataFrame, aggregates: dict[str, list], names: list[str]) -> DataFrame:

@@ -374,10 +374,11 @@ class Store:
                 fresh = True  # every day is later than every stored one
             for keys in UNIQUE_KEYS.get(table, []):
                 what = f"{table}: more than one row for {', '.join(keys)}"
-                found.append((what, unique_violations(rows, keys)))
-                if not fresh:
+                if fresh:
+                    found.append((what, unique_violations(rows, keys)))
+                else:
                     stored = self.read(table, self.staged_months(item) if table in MONTHLY else None)
-                    found.append((what, rows.select(*keys).join(stored.select(*keys), keys, "left_semi")))
+                    found.append((what, unique_violations(rows, keys, stored)))
             for column, parent, parent_column in REFERENCES.get(table, []):
                 if parent in new or self._live(parent):
                     parents = self.after(new[parent]) if parent in new else self.read(parent)

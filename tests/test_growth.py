@@ -2,15 +2,19 @@
 
 import datetime as dt
 import os
+import threading
 
 import pytest
-from conftest import T1, T2, rows_of
+from conftest import DATA, T1, T2, rows_of
 from pyspark.sql import functions as F
 
+from starload import registry
+from starload.operators.checks import unique_violations
 from starload.plans.warehouse import create_warehouse, load_dimensions, load_facts
 from starload.schemas import FACT
 from starload.sources import standin
 from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list, read_payloads
+from starload.sources.store import Store
 
 
 @pytest.fixture
@@ -78,3 +82,36 @@ def test_facts_of_an_overlapping_load_are_written_once(store, make):
     assert rows_of(store.read(FACT).join(appids, "game_key"), "appid", "date_key", "ccu", "created_at") == [
         (1, 20240105, 1, T1), (1, 20240205, 2, T1), (1, 20240301, 4, T2), (2, 20240205, 3, T2),
     ]
+
+
+def test_the_second_delivery_lands_while_the_first_is_loaded(spark, monkeypatch):
+    stage, load = Store.stage, registry.load_warehouse
+    landing, loads = threading.Event(), []
+
+    def noted(self, run_id, *more, **named):
+        if run_id == "raw-2":
+            landing.set()
+        return stage(self, run_id, *more, **named)
+
+    def loaded(store, run_id, load_ts):
+        assert landing.wait(30)
+        loads.append((run_id, store.is_published("raw-2")))
+        return load(store, run_id, load_ts)
+
+    monkeypatch.setattr(Store, "stage", noted)
+    monkeypatch.setattr(registry, "load_warehouse", loaded)
+    registry.queries()["c5_fact_two_batches"](spark, DATA)
+    assert loads == [("load-1", False), ("load-2", True)]
+
+
+def test_appended_keys_are_counted_with_the_stored_ones(store, make):
+    """In one grouping; keys that only stored rows repeat are not the fault of the new ones."""
+    day = dt.date(2024, 1, 5)
+    row = lambda appid: {"appid": appid, "recorded_date": day, "ccu": 1, "created_at": T1, "ym": 202401}
+    store.publish("s1", [store.stage("s1", "snapshots", make("snapshots", row(1), row(2)), True)])
+    more = store.stage("s2", "snapshots", make("snapshots", row(2), row(3), row(4), row(4)), True)
+    (found,) = [broken for what, broken in store._violations([more]) if "more than one row" in what]
+    assert rows_of(found, "appid", "n") == [(2, 2), (4, 2)]
+    stored = make("snapshots", row(1), row(1), row(2), row(None), row(None))
+    new = make("snapshots", row(2), row(3), row(5), row(5), row(None))
+    assert rows_of(unique_violations(new, ["appid", "recorded_date"], stored), "appid", "n") == [(2, 2), (5, 2)]
