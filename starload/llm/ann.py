@@ -6,11 +6,13 @@ distance: a template of perturbation sets is made once for all queries and appli
 distances to its cell's walls. All rows are indexed; projections and spread are fitted on SAMPLE rows at most.
 
 Equal vectors are one class: no more than the k + 1 smallest ids of a class can be among a query's k nearest, so only
-these are carried, and a vector held by a third of all rows is one entry of the index. Only ids go through the tables:
-those of rows and queries of a cell meet block by block, and each task packs what a query has found in all its cells, once,
-by the block of vectors it lies in. Then each block of vectors meets the queries that have candidates there, and exact
-distances are ranked in per-task top lists. Queries that found fewer than k candidates are compared with all classes, in
-blocks as well; mostly there are none.
+these are carried, and a vector held by a third of all rows is one entry of the index. Where the tables are selective, only
+ids go through them: those of rows and queries of a cell meet block by block, and each task packs what a query has found in
+all its cells, once, by the block of vectors it lies in. Then each block of vectors meets the queries that have candidates
+there, and exact distances are ranked in per-task top lists. Where a query shares cells with DENSE of the sample or more,
+each block of vectors meets all queries instead, some at a time: the tables of a block are built and asked where its vectors
+are, so no candidate is sent. Both ways find the same candidates. Queries that found fewer than k candidates are compared
+with all classes, in blocks as well; mostly there are none.
 
 Defined results: rows whose id or vector is null, whose vector is empty, zero or holds null or non-finite components
 take no part, nor do vectors of another than the most frequent length (of equally frequent ones the shortest); an id
@@ -39,6 +41,9 @@ SAMPLE = 4096
 BLOCK = 512  # entries of a cell at a time
 VECTORS = 2048  # to a block that distances are computed with, about
 QUERIES = 256  # that a block of vectors meets at a time, about
+DENSE = 1 / 64  # of all vectors candidates of a query: from here on sending candidates costs more than meeting all blocks
+WIDER = 8  # times VECTORS and QUERIES to a block where all blocks meet all queries
+COMPONENTS = 1 << 20  # of the vectors of such a block at most, about
 SEED = 7
 NEAREST = 10
 
@@ -127,7 +132,38 @@ class Hasher:
         with np.errstate(over="ignore"):
             factors = np.broadcast_to(self.factors, own.shape)
             change = np.take_along_axis(factors, order % self.hashes, axis=-1) * step
-            return self._key(own)[..., None] + (change[:, :, None, :] * self.sets).sum(axis=-1)
+            return self._key(own)[..., None] + change @ self.sets.T
+
+    def share(self, sample: np.ndarray) -> float:
+        """Of the vectors of a sample the part that one of them shares a cell with, on average over its first 64."""
+        tables, asking = Cells(self.cells(sample)), self.visits(sample[:64])
+        return float(unpacked(tables.sharing(asking), len(asking)).mean())
+
+
+class Cells:
+    """The tables of a block of vectors."""
+
+    def __init__(self, cells: np.ndarray):
+        self.tables = [np.unique(cells[:, t], return_inverse=True) for t in range(cells.shape[1])]
+        self.size = len(cells)
+
+    def sharing(self, visits: np.ndarray) -> np.ndarray:
+        """For each vector the queries that visit one of its cells, as bits; of at most 64 queries."""
+        found = np.zeros(self.size, np.uint64)
+        bits = np.uint64(1) << np.arange(len(visits), dtype=np.uint64)
+        for t, (keys, cell) in enumerate(self.tables):
+            at = np.minimum(np.searchsorted(keys, visits[:, t]), len(keys) - 1)
+            query, probe = np.nonzero(keys[at] == visits[:, t])
+            met = np.zeros(len(keys), np.uint64)
+            np.bitwise_or.at(met, at[query, probe], bits[query])
+            found |= met[cell]
+        return found
+
+
+def unpacked(bits: np.ndarray, queries: int) -> np.ndarray:
+    """Vectors x queries, from the bits of each vector."""
+    octets = bits.astype("<u8", copy=False).view(np.uint8).reshape(len(bits), 8)
+    return np.unpackbits(octets, axis=1, count=queries, bitorder="little").view(bool)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -235,9 +271,9 @@ class Tops:
         close = scores <= self.worst.get(qid, np.inf)
         near.update(zip(cids[close].tolist(), scores[close].tolist()))
         if len(near) > 4 * self.k:
-            self._trim(qid)
+            self.trim(qid)
 
-    def _trim(self, qid: int) -> None:
+    def trim(self, qid: int) -> None:
         kept = sorted(self.best[qid].items(), key=lambda x: (x[1], x[0]))[: self.k]
         self.best[qid] = dict(kept)
         if len(kept) == self.k:
@@ -246,7 +282,7 @@ class Tops:
     def taken(self) -> pa.RecordBatch:
         """All rows; begins anew."""
         for qid in self.best:
-            self._trim(qid)
+            self.trim(qid)
         found = [(q, c, s) for q, near in self.best.items() for c, s in near.items()]
         columns = zip(*found) if found else ((), (), ())
         self.best.clear()
@@ -290,31 +326,74 @@ def _ranked(found: DataFrame, candidates: DataFrame, queries: int, k: int) -> Da
     return met.mapInArrow(run, "qid long, cid long, score double")
 
 
-def _nearest(pairs: DataFrame, k: int) -> DataFrame:
-    """qid, cid, score: of each row of blocks (asking, entries) the k nearest of each query, merged within a task."""
+def near_ones(queries: np.ndarray, vectors: np.ndarray, lengths: np.ndarray, held: np.ndarray, worst: np.ndarray, k: int):
+    """Query and place of the candidates (held: vectors x queries) that can be among a query's k nearest.
 
-    def parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        values = column.flatten()
-        ids, vectors = values.field("cid"), values.field("vector")
-        ends = np.asarray(column.value_lengths()).cumsum()
-        return np.asarray(ids), _matrix(vectors), ends
+    Squared distances by one product of matrices tell those that cannot; a bound of its rounding errors is allowed for.
+    worst: the distance that a query's candidates must not exceed, infinite where k are not known yet. lengths: squared.
+    """
+    own = (queries**2).sum(axis=1)
+    slack = 4 * (queries.shape[1] + 8) * np.finfo(float).eps * (lengths.max() + own)
+    apart = vectors @ queries.T
+    apart *= -2
+    apart += lengths[:, None]
+    limit = worst**2 - own
+    unknown = np.flatnonzero(np.isinf(worst) & (np.count_nonzero(held, axis=0) > k))
+    if len(unknown):
+        some = slice(max(k, len(vectors) // 16))  # k of these are no nearer than k of all
+        first = np.where(held[some, unknown].T, apart[some, unknown].T, np.inf)
+        limit[unknown] = np.partition(first, k - 1)[:, k - 1]
+    far = apart > limit + 2 * slack  # what cannot be told, as sums that overflow, is not far
+    place, query = np.nonzero(held & ~far)
+    order = np.argsort(query, kind="stable")
+    return query[order], place[order]
+
+
+def _compared(found: DataFrame, asking: DataFrame, total: int, queries: int, width: int, hasher, k: int) -> DataFrame:
+    """qid, cid, score: of each query the k nearest of the classes it shares a cell with, or without a hasher of all.
+
+    Every block of vectors meets the queries, some at a time; top lists are merged within a task.
+    """
+    size = max(1, min(WIDER * VECTORS, COMPONENTS // width))
+    block = F.pmod(F.xxhash64("cid"), F.lit(1 + total // size)).alias("block")
+    chunk = F.pmod(F.xxhash64("qid"), F.lit(1 + queries // (WIDER * QUERIES))).alias("chunk")
+    # With their size known, the planner sends them to all tasks where they are few.
+    asking = asking.select(F.col("cid").alias("qid"), F.col("vector").alias("query"))
+    asking = asking.groupBy(chunk).agg(F.collect_list(F.struct("qid", "query")).alias("asking"))
+    asking = written(asking.select("asking"), "asking")
+    vectors = found.groupBy(block).agg(F.collect_list(F.struct("cid", "vector")).alias("entries"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tops = Tops(k)
+        own = hasher and hasher.value
+        tops, last = Tops(k), None
         for batch in batches:
-            qids, asking, q_ends = parts(batch.column(0))
-            cids, entries, e_ends = parts(batch.column(1))
-            q_at = e_at = 0
-            for q_end, e_end in zip(q_ends.tolist(), e_ends.tolist()):
-                block, own_ids = entries[e_at:e_end], cids[e_at:e_end]
-                for q in range(q_at, q_end):
-                    tops.add(int(qids[q]), own_ids, np.sqrt(((block - asking[q]) ** 2).sum(axis=1)))
-                q_at, e_at = q_end, e_end
-            if len(tops.best) > MOST_HELD:
-                yield tops.taken()
+            for number, entries, asking in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if number != last:  # a block meets one chunk after the other
+                    last, cids = number, np.asarray(entries.values.field("cid"))
+                    vectors = _matrix(entries.values.field("vector"))
+                    lengths = (vectors**2).sum(axis=1)
+                    tables = own and Cells(own.cells(vectors))
+                qids, asked = asking.values.field("qid").to_pylist(), _matrix(asking.values.field("query"))
+                for at in range(0, len(qids), 64):
+                    part, these = asked[at : at + 64], qids[at : at + 64]
+                    if own:
+                        held = unpacked(tables.sharing(own.visits(part)), len(these))
+                    else:
+                        held = np.ones((len(cids), len(these)), bool)
+                    worst = np.array([tops.worst.get(q, np.inf) for q in these])
+                    query, place = near_ones(part, vectors, lengths, held, worst, k)
+                    ends = np.searchsorted(query, np.arange(len(these) + 1)).tolist()
+                    for qid, vector, a, b in zip(these, part, ends, ends[1:]):
+                        if a < b:
+                            near = vectors[place[a:b]]
+                            tops.add(qid, cids[place[a:b]], np.sqrt(((near - vector) ** 2).sum(axis=1)))
+                            tops.trim(qid)
+                    if len(tops.best) > MOST_HELD:
+                        yield tops.taken()
         yield tops.taken()
 
-    return pairs.select("asking", "entries").mapInArrow(run, "qid long, cid long, score double")
+    met = vectors.crossJoin(asking).select("block", "entries", "asking")
+    return met.mapInArrow(run, "qid long, cid long, score double")
 
 
 MOST_HELD = 100_000  # queries with a top list in a task
@@ -341,6 +420,16 @@ def _expanded(near: DataFrame, found: DataFrame, queries: DataFrame, k: int) ->
     return rows.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
 
 
+def _probed(found: DataFrame, total: int, queries: int, hasher, k: int) -> DataFrame:
+    """qid, cid, score: of each query the k nearest of the classes it shares a cell with, found through the tables."""
+    found = found.withColumn("block", F.pmod(F.xxhash64("cid"), F.lit(1 + total // VECTORS)))
+    place = F.row_number().over(W.partitionBy("block").orderBy("cid")) - 1
+    found = checkpointed(found.withColumn("place", place))
+    visits = _blocks(_keyed(found.where("asks"), hasher, probing=True), "cell", BLOCK).withColumnRenamed("entries", "asking")
+    index = _blocks(_keyed(found, hasher, probing=False), "cell", BLOCK)
+    return _ranked(found, _candidates(visits.join(index, "cell")), queries, k)
+
+
 def search(
     rows: DataFrame,
     asked: Column,
@@ -356,22 +445,22 @@ def search(
     """query_id, rank, vec_id, score of the k nearest rows found for each row for which asked (over vec_id) holds."""
     spark = rows.sparkSession
     members = checkpointed(usable(rows, id_column, vector_column))
-    found = classes(members, asked, k)
+    found = checkpointed(classes(members, asked, k))
     total = members.count()
-    found = found.withColumn("block", F.pmod(F.xxhash64("cid"), F.lit(1 + total // VECTORS)))
-    place = F.row_number().over(W.partitionBy("block").orderBy("cid")) - 1
-    found = checkpointed(found.withColumn("place", place))
     fitted = members.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").collect()
     if not fitted:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = np.array([r.vector for r in fitted], np.float64)
-    hasher = spark.sparkContext.broadcast(Hasher(sample, tables, hashes, width, probes, seed))
+    own = Hasher(sample, tables, hashes, width, probes, seed)
+    hasher = spark.sparkContext.broadcast(own)
 
     asking = found.where("asks")
-    visits = _blocks(_keyed(asking, hasher, probing=True), "cell", BLOCK).withColumnRenamed("entries", "asking")
-    index = _blocks(_keyed(found, hasher, probing=False), "cell", BLOCK)
-    candidates = _candidates(visits.join(index, "cell"))
-    near = checkpointed(_merged(_ranked(found, candidates, asking.count(), k + 1), k + 1))
+    number, dimension = asking.count(), sample.shape[1]
+    if own.share(sample) >= DENSE:
+        near = _compared(found, asking, total, number, dimension, hasher, k + 1)
+    else:
+        near = _probed(found, total, number, hasher, k + 1)
+    near = checkpointed(_merged(near, k + 1))
     askers = members.where(asked).select(F.col("vec_id").alias("query_id"), "vector")
     queries = askers.join(asking.select(F.col("cid").alias("qid"), "vector"), "vector").select("query_id", "qid")
     queries = checkpointed(queries)
@@ -382,9 +471,7 @@ def search(
     enough = F.least(F.lit(k + 1), F.lit(total))
     few = asking.join(held.where(F.col("n") >= enough).select(F.col("qid").alias("cid")), "cid", "left_anti")
     few = checkpointed(few)
-    if few.isEmpty():
+    if not (number := few.count()):
         return _expanded(near, found, queries, k)
-    dealt = lambda df: df.withColumn("cell", F.lit(0))
-    some, every = (_blocks(dealt(df.select("cid", "vector")), "cell", BLOCK) for df in (few, found))
-    rest = _nearest(some.withColumnRenamed("entries", "asking").drop("cell").crossJoin(every.drop("cell")), k + 1)
+    rest = _compared(found, few, total, number, dimension, None, k + 1)
     return _expanded(_merged(near.union(rest), k + 1), found, queries, k)

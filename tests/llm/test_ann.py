@@ -114,3 +114,44 @@ def test_nothing(spark):
     assert ann.search(df, F.col("vec_id") > 0).count() == 0
     one, _ = frame(spark, [(100, [1.0, 2.0])])
     assert ann.search(one, F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_where_candidates_are_many_none_is_sent_and_the_same_are_found(spark, monkeypatch):
+    monkeypatch.setattr(ann, "VECTORS", 16)
+    monkeypatch.setattr(ann, "QUERIES", 1)
+    rows = [*enumerate(unit(700, 8)), *((1000 + k, v) for k, v in enumerate(unit(5, 8)))]
+    df, _ = frame(spark, rows)
+    search = lambda: got(ann.search(df.repartition(4), F.col("vec_id") % 20 == 0, probes=3))
+    sent, candidates = [], ann._candidates
+    monkeypatch.setattr(ann, "_candidates", lambda pairs: sent.append(1) or candidates(pairs))
+    met = search()
+    assert not sent and len(met) == 36
+    monkeypatch.setattr(ann, "DENSE", 2)
+    assert search() == met and sent
+
+
+@pytest.mark.parametrize("at, spread", [(0, 1), (1e6, 1e-3), (0, 1e160), (1e8, 0)])
+def test_none_that_can_be_near_is_taken_for_far(at, spread):
+    rng = np.random.default_rng(0)
+    vectors, queries = (at + spread * rng.standard_normal((n, 6)) for n in (400, 5))
+    held = rng.random((400, 5)) < 0.5
+    held[:, 4] = np.arange(400) < 3
+    with np.errstate(all="ignore"):
+        exact = np.sqrt(((vectors[:, None] - queries) ** 2).sum(axis=2))
+        nearest = [sorted((d, i) for i, d in enumerate(exact[:, q]) if held[i, q])[:10] for q in range(5)]
+        for worst in (np.full(5, np.inf), np.array([near[-1][0] for near in nearest])):
+            query, place = ann.near_ones(queries, vectors, (vectors**2).sum(axis=1), held, worst, 10)
+            assert held[place, query].all() and sorted(query) == list(query)
+            for q, near in enumerate(nearest):
+                assert sorted((exact[i, q], i) for i in place[query == q])[:10] == near
+
+
+def test_a_block_tells_who_shares_a_cell():
+    vectors = np.array(unit(300, 8))
+    hasher = ann.Hasher(vectors, 4, 5, 1.0, 20, 1)
+    cells, visits = hasher.cells(vectors), hasher.visits(vectors[:64])
+    want = [[any(np.isin(cells[i, t], visits[q, t]) for t in range(4)) for q in range(64)] for i in range(300)]
+    for n in (1, 9, 64):
+        found = ann.unpacked(ann.Cells(cells).sharing(visits[:n]), n)
+        assert found.tolist() == [row[:n] for row in want]
+    assert hasher.share(vectors) == np.mean(want)
