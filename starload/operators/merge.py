@@ -86,7 +86,7 @@ def upsert_scd1(
     fresh = source.select("appid").join(dim.select("appid"), "appid", "left_anti")
     keys = assign_keys(fresh, "appid", "_key", start, buckets)
     return (
-        merged.join(keys, "appid", "left")
+        merged.join(keys.hint("merge"), "appid", "left")  # both lie by game already
         .withColumn("game_key", F.coalesce("game_key", "_key"))
         .select(*dim.columns)
     )

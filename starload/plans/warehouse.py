@@ -30,7 +30,7 @@ from starload.operators.merge import (
 from starload.operators.names import bridge, list_names
 from starload.schemas import BUCKETED, FACT, GAME_ATTRIBUTES
 from starload.sources.calendar import FIRST_DAY, LAST_DAY, calendar
-from starload.sources.store import Staged, Store
+from starload.sources.store import Staged, Store, by_key
 
 # list column in games, name dimension, its name and key columns, bridge table
 NAME_DIMENSIONS = [
@@ -41,6 +41,8 @@ NAME_DIMENSIONS = [
 # Dimensions whose keys are handed out here.
 KEYED = ["dim_games", "dim_publishers", "dim_genres"]
 
+FACTS_A_GAME = 8  # from so many snapshots a game on the planner alone decides how they meet the games
+
 
 def create_warehouse(
     store: Store,
@@ -92,6 +94,7 @@ def load_dimensions(store: Store, run_id: str, load_ts: dt.datetime, mode: str)
         source, seen = store.work(run_id, "games_source", source)
         if seen["rows"]:
             start, buckets = highest_key(dim, "game_key"), store.key_buckets("dim_games")
+            source = by_key(source, max(seen["rows"], store.rows("dim_games")))
             merged = lambda old: upsert_scd1(old, source, load_ts, start, buckets)
             staged.append(store.merge(run_id, "dim_games", source, seen["rows"], merged))
             dim = store.after(staged[-1])
@@ -128,7 +131,7 @@ def _load_names(
         fresh = keyed_names(unseen, name, key, load_ts, highest_key(known, key), store.key_buckets(table))
         staged.append(store.stage(run_id, table, fresh, appended=True))
         known = known.unionByName(store.read_staged(staged[-1]))
-    pairs = bridge(games, dim_games, known, column, name, key)
+    pairs = bridge(by_key(games, store.rows("games")), dim_games, known, column, name, key)
     staged.append(store.stage(run_id, bridge_table, pairs))
     return staged
 
@@ -167,7 +170,10 @@ def load_facts(store: Store, run_id: str, load_ts: dt.datetime) -> list[Staged]:
     high = dt.datetime.strptime(str(store.last_day("snapshots")), "%Y%m%d").date()
     wanted = [m for m in months if m >= low.year * 100 + low.month]
     snapshots = past_bookmark(store.read("snapshots", parts=wanted), low, high)
-    delta = fact_delta(snapshots, store.read("dim_games"), store.read("dim_date"))
+    # Many facts a game cost more to shuffle than their games to broadcast, if the planner finds these small enough.
+    few = store.rows("snapshots", wanted) < FACTS_A_GAME * store.rows("dim_games")
+    dim_games = store.side("dim_games") if few else store.read("dim_games")
+    delta = fact_delta(snapshots, dim_games, store.read("dim_date"))
     delta = delta.withColumn("created_at", timestamp(load_ts))
 
     touched = _overlapped(store, snapshots, low)

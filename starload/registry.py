@@ -301,7 +301,7 @@ def e2e_weekday(spark, folder):
         )
         load_warehouse(store, f"load-{number}", day)
     return analytics.top_games_by_weekday(
-        store.read(FACT), store.read("dim_games"), store.read("dim_date"), day.date()
+        store.read(FACT), store.side("dim_games"), store.read("dim_date"), day.date()
     )
 
 

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from starload import registry
 from starload.operators.checks import unique_violations
-from starload.plans.warehouse import create_warehouse, load_dimensions, load_facts
+from starload.plans import analytics
+from starload.plans.ingest import ingest
+from starload.plans.warehouse import create_warehouse, load_dimensions, load_facts, load_warehouse
 from starload.schemas import FACT
-from starload.sources import standin
+from starload.sources import standin, store as stored
 from starload.sources.payloads import parse_app_details, parse_player_count, parse_top_list, read_payloads
 from starload.sources.store import Store
 
@@ -115,3 +117,38 @@ def test_appended_keys_are_counted_with_the_stored_ones(store, make):
     stored = make("snapshots", row(1), row(1), row(2), row(None), row(None))
     new = make("snapshots", row(2), row(3), row(5), row(5), row(None))
     assert rows_of(unique_violations(new, ["appid", "recorded_date"], stored), "appid", "n") == [(2, 2), (5, 2)]
+
+
+@pytest.mark.parametrize("most, sent", [(0, False), (10**6, True)])
+def test_tables_that_grow_with_the_games_are_sent_to_the_driver_only_while_they_are_few(
+    spark, store, one_file, monkeypatch, most, sent
+):
+    """By their rows: the files of any number of keys in order can look small enough to the planner."""
+    monkeypatch.setattr(stored, "MOST_SENT", most)
+    plans, stage, violations = [], Store.stage, Store._violations
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    def noted(self, run_id, table, df, *more, **named):
+        planned(df)
+        return stage(self, run_id, table, df, *more, **named)
+
+    def checked(self, staged):
+        found = violations(self, staged)
+        for _, broken in found:
+            planned(broken)
+        return found
+
+    monkeypatch.setattr(Store, "stage", noted)
+    monkeypatch.setattr(Store, "_violations", checked)
+    create_warehouse(store, T1)
+    responses = standin.list_payloads(one_file), standin.detail_responses(one_file), standin.count_responses(one_file)
+    for number, day in enumerate((T1, T2)):
+        ingest(store, *responses, day.date(), day, f"ingest-{number}", on_orphan="quarantine")
+        load_warehouse(store, f"load-{number}", day)
+    top = analytics.top_games(store.read(FACT), store.side("dim_games"), T2.date())
+    planned(top)
+    assert any("BroadcastHashJoin [appid" in p or "BroadcastHashJoin [game_key" in p for p in plans) == sent
+    assert store.rows("games") == 2000 and store.rows(FACT) == store.read(FACT).count() == 4000
+    assert [r.appid for r in top.collect()] == list(range(1999, 1989, -1))
